@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.functions.ratios import SUM_DECIMALS, zero, zero_sum
+from ebbtide.functions.ratios import SUM_DECIMALS, zero_sum
 from ebbtide.operators.calendar import week_grid, with_week
 from ebbtide.params import RunParams
 
@@ -63,77 +63,66 @@ FACT_MEASURES = [m for m in RAW_MEASURES if m not in INTERNAL_MEASURES] + DERIVE
 def total(measure: str) -> Column:
     """Weekly sum of a measure; null when no source row exists."""
     if measure in COUNT_MEASURES:
-        return F.sum(measure).cast("long").alias(measure)
-    return F.round(F.sum(measure), SUM_DECIMALS).alias(measure)
+        return F.expr(f"CAST(sum({measure}) AS BIGINT) AS {measure}")
+    return F.expr(f"round(sum({measure}), {SUM_DECIMALS}) AS {measure}")
 
 
-# ---------------------------------------------------------------- transactions
-
-def counts_for_activity() -> Column:
-    """Rows that make an account active: all of A, B outside excluded centres."""
-    return (F.col("platform") == "A") | ~F.col("service_centre").isin(EXCLUDED_CENTRES)
-
-
-def is_platform_a_core() -> Column:
-    return (
-        (F.col("platform") == "A")
-        & (F.col("billing_type") == CARD_BILLING)
-        & ~F.col("card_bin").isin(ECASH_BIN, VIRTUAL_CHECK_BIN, VCAP_BIN)
-    )
-
-
-def is_platform_b_core() -> Column:
-    return (F.col("platform") == "B") & ~F.col("service_centre").isin(EXCLUDED_CENTRES)
-
+def named(expressions: dict[str, str]) -> list[str]:
+    return [f"{text} AS {name}" for name, text in expressions.items()]
 
-def platform_a_measures() -> dict[str, Column]:
-    """Fuel rows carry gallons; everything else is non-fuel."""
-    fuel = (F.col("diesel_gallons") > 0) | (F.col("gas_gallons") > 0)
-    return {
-        "total_gallons": zero_sum(F.col("diesel_gallons"), F.col("gas_gallons")),
-        "fuel_spend": F.when(fuel, F.col("spend")),
-        "nonfuel_spend": F.when(F.coalesce(fuel, F.lit(False)), None).otherwise(F.col("spend")),
-        "total_spend": F.col("spend"),
-        "fuel_trx": F.when(fuel, F.col("txns")).otherwise(0),
-        "nonfuel_trx": F.when(fuel, 0).otherwise(F.col("txns")),
-        "total_discount": zero_sum(*[F.col(c) for c in (
-            "rebate_mainframe", "rebate_direct", "rebate_other", "rebate_variance", "discount_mainframe")]),
-    }
 
+def quoted(values: list[str]) -> str:
+    return ", ".join(f"'{v}'" for v in values)
 
-def platform_b_measures() -> dict[str, Column]:
-    """Cost columns say how much, item flags say whether a row counts as fuel."""
-    def cols(*names):
-        return [F.col(n) for n in names]
 
-    fuel_cost = cols("tractor_cost", "trailer_cost", "other_cost")
-    other_cost = cols("product_amount_1", "product_amount_2", "product_amount_3", "oil_cost", "cash_advance_amount")
-    fuel_flags = zero_sum(*cols("tractor_fuel", "trailer_fuel", "other_fuel"))
-    other_flags = zero_sum(*cols("product_1", "product_2", "product_3", "oil", "cash"))
-    return {
-        "total_gallons": zero_sum(*cols("other_gallons", "fuel_gallons")),
-        "fuel_spend": zero_sum(*fuel_cost),
-        "nonfuel_spend": zero_sum(*other_cost),
-        "total_spend": zero_sum(*fuel_cost, *other_cost),
-        "fuel_trx": F.when(fuel_flags > 0, 1).otherwise(0),
-        "nonfuel_trx": F.when(other_flags > 0, 1).otherwise(0),
-        "total_discount": zero(F.col("select_discount")),
-    }
+# ---------------------------------------------------------------- transactions
 
+# Rows that make an account active: all of A, B outside excluded centres.
+COUNTS_FOR_ACTIVITY = f"(platform = 'A' OR service_centre NOT IN ({quoted(EXCLUDED_CENTRES)}))"
+CORE_A = (
+    f"(platform = 'A' AND billing_type = '{CARD_BILLING}'"
+    f" AND card_bin NOT IN ({quoted([ECASH_BIN, VIRTUAL_CHECK_BIN, VCAP_BIN])}))"
+)
+CORE_B = f"(platform = 'B' AND service_centre NOT IN ({quoted(EXCLUDED_CENTRES)}))"
+
+# Platform A: a row with gallons is fuel as a whole, any other is non-fuel.
+FUEL_A = "(diesel_gallons > 0 OR gas_gallons > 0)"
+MEASURES_A = {
+    "total_gallons": zero_sum("diesel_gallons", "gas_gallons"),
+    "fuel_spend": f"CASE WHEN {FUEL_A} THEN spend END",
+    "nonfuel_spend": f"CASE WHEN {FUEL_A} THEN NULL ELSE spend END",
+    "total_spend": "spend",
+    "fuel_trx": f"CASE WHEN {FUEL_A} THEN txns ELSE 0 END",
+    "nonfuel_trx": f"CASE WHEN {FUEL_A} THEN 0 ELSE txns END",
+    "total_discount": zero_sum(
+        "rebate_mainframe", "rebate_direct", "rebate_other", "rebate_variance", "discount_mainframe"),
+}
 
-def _platform_rows(trx: DataFrame, core: Column, measures: dict[str, Column]) -> DataFrame:
-    return trx.where(core).select("customer_id", "trx_date", *[c.alias(n) for n, c in measures.items()])
+# Platform B: cost columns say how much, item flags say what a row counts as.
+FUEL_COSTS_B = ["tractor_cost", "trailer_cost", "other_cost"]
+OTHER_COSTS_B = ["product_amount_1", "product_amount_2", "product_amount_3", "oil_cost", "cash_advance_amount"]
+FUEL_FLAGS_B = ["tractor_fuel", "trailer_fuel", "other_fuel"]
+OTHER_FLAGS_B = ["product_1", "product_2", "product_3", "oil", "cash"]
+MEASURES_B = {
+    "total_gallons": zero_sum("other_gallons", "fuel_gallons"),
+    "fuel_spend": zero_sum(*FUEL_COSTS_B),
+    "nonfuel_spend": zero_sum(*OTHER_COSTS_B),
+    "total_spend": zero_sum(*FUEL_COSTS_B, *OTHER_COSTS_B),
+    "fuel_trx": f"CASE WHEN {zero_sum(*FUEL_FLAGS_B)} > 0 THEN 1 ELSE 0 END",
+    "nonfuel_trx": f"CASE WHEN {zero_sum(*OTHER_FLAGS_B)} > 0 THEN 1 ELSE 0 END",
+    "total_discount": "coalesce(select_discount, 0)",
+}
 
 
 def trx_platform_a(trx: DataFrame, lob: DataFrame, calendar: DataFrame) -> DataFrame:
     """Row-level measures of platform A card transactions outside the three bins."""
-    rows = _platform_rows(trx, is_platform_a_core(), platform_a_measures())
+    rows = trx.where(CORE_A).selectExpr("customer_id", "trx_date", *named(MEASURES_A))
     return in_scope(with_week(rows, F.col("trx_date"), calendar), lob)
 
 
 def trx_platform_b(trx: DataFrame, lob: DataFrame, calendar: DataFrame) -> DataFrame:
     """Row-level measures of platform B transactions outside the excluded centres."""
-    rows = _platform_rows(trx, is_platform_b_core(), platform_b_measures())
+    rows = trx.where(CORE_B).selectExpr("customer_id", "trx_date", *named(MEASURES_B))
     return in_scope(with_week(rows, F.col("trx_date"), calendar), lob)
 
 
@@ -142,80 +131,72 @@ def in_scope(rows: DataFrame, lob: DataFrame, name: str = "NAT") -> DataFrame:
     return rows.join(lob.where(F.col("line_of_business") == name).select("customer_id"), "customer_id", "left_semi")
 
 
-def fuel_row_measures() -> dict[str, Column]:
-    """Fuel statistics of either platform's row; null for rows that do not count."""
-    a, b = platform_a_measures(), platform_b_measures()
-    both = {n: F.when(is_platform_a_core(), a[n]).when(is_platform_b_core(), b[n]) for n in a}
-    counts = is_platform_a_core() | is_platform_b_core()
-
-    def filled(value: Column) -> Column:
-        return F.when(counts, F.coalesce(value, F.lit(0)))
-
-    return {
-        "total_gallons": filled(both["total_gallons"]),
-        "total_fuel_trx": filled(both["fuel_trx"]),
-        "total_nonfuel_trx": filled(both["nonfuel_trx"]),
-        "total_num_trx": filled(zero_sum(both["fuel_trx"], both["nonfuel_trx"])),
-        "total_fuel_spend": filled(both["fuel_spend"]),
-        "total_nonfuel_spend": filled(both["nonfuel_spend"]),
-        "total_spend": filled(both["total_spend"]),
-        "total_discount": filled(both["total_discount"]),
-    }
-
-
-def channel_row_measures() -> dict[str, Column]:
-    """Spend by card bin, null for rows outside the bin."""
-    spend = F.coalesce("spend", F.lit(0.0))
-    gallons = zero_sum(F.col("diesel_gallons"), F.col("gas_gallons"))
-    in_a = F.col("platform") == "A"
-    card = in_a & (F.col("billing_type") == CARD_BILLING)
-    ecash = card & (F.col("card_bin") == ECASH_BIN)
-    return {
-        "total_comcheck_spend": F.when(in_a & (F.col("billing_type") == EXPRESS_BILLING), spend),
-        "total_vcomcheckspend": F.when(card & (F.col("card_bin") == VIRTUAL_CHECK_BIN), spend),
-        "total_vcap_spend": F.when(card & (F.col("card_bin") == VCAP_BIN), spend),
-        "total_ecashspend": F.when(ecash, spend),
-        "ecash_gallons": F.when(ecash, gallons),
-    }
-
-
-def platform_fee_row_measures() -> dict[str, Column]:
-    """Sum of the three per-transaction rates and whether any applied; no centre is excluded."""
-    rates = zero_sum(F.col("fuel_rate"), F.col("cash_advance_rate"), F.col("handling_charge"))
-    in_b = F.col("platform") == "B"
-    return {
-        "fleet_transaction_fee": F.when(in_b, rates),
-        "num_of_fleet_fees_applied": F.when(in_b, (rates > 0).cast("long")),
-    }
-
-
-def _weekly(rows: DataFrame, day: str, calendar: DataFrame, measures: dict[str, Column]) -> DataFrame:
+def _either(measure: str) -> str:
+    """A measure by the rule of the row's platform: zero if empty, null for rows that do not count."""
+    return (
+        f"CASE WHEN {CORE_A} THEN coalesce({MEASURES_A[measure]}, 0)"
+        f" WHEN {CORE_B} THEN coalesce({MEASURES_B[measure]}, 0) END"
+    )
+
+
+FUEL_ROW_MEASURES = {
+    "total_gallons": _either("total_gallons"),
+    "total_fuel_trx": _either("fuel_trx"),
+    "total_nonfuel_trx": _either("nonfuel_trx"),
+    "total_num_trx": f"{_either('fuel_trx')} + {_either('nonfuel_trx')}",
+    "total_fuel_spend": _either("fuel_spend"),
+    "total_nonfuel_spend": _either("nonfuel_spend"),
+    "total_spend": _either("total_spend"),
+    "total_discount": _either("total_discount"),
+}
+
+
+def _card_spend(card_bin: str, value: str = "coalesce(spend, 0)") -> str:
+    return f"CASE WHEN platform = 'A' AND billing_type = '{CARD_BILLING}' AND card_bin = '{card_bin}' THEN {value} END"
+
+
+# Spend by card bin, null for rows outside the bin.
+CHANNEL_ROW_MEASURES = {
+    "total_comcheck_spend": f"CASE WHEN platform = 'A' AND billing_type = '{EXPRESS_BILLING}' THEN coalesce(spend, 0) END",
+    "total_vcomcheckspend": _card_spend(VIRTUAL_CHECK_BIN),
+    "total_vcap_spend": _card_spend(VCAP_BIN),
+    "total_ecashspend": _card_spend(ECASH_BIN),
+    "ecash_gallons": _card_spend(ECASH_BIN, zero_sum("diesel_gallons", "gas_gallons")),
+}
+
+# Sum of the three per-transaction rates and whether any applied; no centre is excluded.
+_RATES = zero_sum("fuel_rate", "cash_advance_rate", "handling_charge")
+PLATFORM_FEE_ROW_MEASURES = {
+    "fleet_transaction_fee": f"CASE WHEN platform = 'B' THEN {_RATES} END",
+    "num_of_fleet_fees_applied": f"CASE WHEN platform = 'B' THEN CAST({_RATES} > 0 AS INT) END",
+}
+
+
+def _weekly(rows: DataFrame, day: str, calendar: DataFrame, measures: dict[str, str]) -> DataFrame:
     """Sums per account and week; weeks without any source row are left out."""
-    named = rows.select("customer_id", day, *[c.alias(n) for n, c in measures.items()])
-    summed = with_week(named, F.col(day), calendar).groupBy("customer_id", "week").agg(*[total(m) for m in measures])
-    return summed.where(F.coalesce(*measures).isNotNull())
+    projected = rows.selectExpr("customer_id", day, *named(measures))
+    summed = with_week(projected, F.col(day), calendar).groupBy("customer_id", "week").agg(*[total(m) for m in measures])
+    return summed.where(f"coalesce({', '.join(measures)}) IS NOT NULL")
 
 
 def fuel_stats(trx: DataFrame, lob: DataFrame, calendar: DataFrame) -> DataFrame:
     """Weekly fuel statistics of both platforms together."""
-    return in_scope(_weekly(trx, "trx_date", calendar, fuel_row_measures()), lob)
+    return in_scope(_weekly(trx, "trx_date", calendar, FUEL_ROW_MEASURES), lob)
 
 
 def channel_spend_weekly(trx: DataFrame, active: DataFrame, calendar: DataFrame) -> DataFrame:
-    weekly = _weekly(trx, "trx_date", calendar, channel_row_measures())
-    return weekly.join(active, "customer_id", "left_semi")
+    return _weekly(trx, "trx_date", calendar, CHANNEL_ROW_MEASURES).join(active, "customer_id", "left_semi")
 
 
 def platform_fee_weekly(trx: DataFrame, active: DataFrame, calendar: DataFrame) -> DataFrame:
-    weekly = _weekly(trx, "trx_date", calendar, platform_fee_row_measures())
-    return weekly.join(active, "customer_id", "left_semi")
+    return _weekly(trx, "trx_date", calendar, PLATFORM_FEE_ROW_MEASURES).join(active, "customer_id", "left_semi")
 
 
 # ------------------------------------------------------------------- accounts
 
 def active_accounts(trx: DataFrame, lob: DataFrame, calendar: DataFrame, p: RunParams) -> DataFrame:
     """Accounts of the line of business with a transaction in the activity window."""
-    rows = with_week(trx.where(counts_for_activity()), F.col("trx_date"), calendar)
+    rows = with_week(trx.where(COUNTS_FOR_ACTIVITY), F.col("trx_date"), calendar)
     rows = rows.where(F.col("week").between(p.activity_floor, p.current_week))
     return in_scope(rows.select("customer_id").distinct(), lob).where(F.col("customer_id").isNotNull())
 
@@ -227,19 +208,16 @@ def weekly_spine(active: DataFrame, p: RunParams) -> DataFrame:
 
 # ----------------------------------------------------------------------- fees
 
-def fee_class() -> Column:
-    """Fee behind a ledger row's product codes, null for other rows."""
-    code, sub1, sub2 = F.col("product_code"), F.col("sub_product_1"), F.col("sub_product_2")
-    program = (code == "00500") & (sub1 == "90001")
-    return (
-        F.when(program & (sub2 == "00068"), "risk")
-        .when(program & (sub2 == "00067"), "optional")
-        .when(program & (sub2 == "00074"), "proximity")
-        .when(program & (sub2 == "00070"), "card")
-        .when(code == "00175", "fleet_advance")
-        .when((code == "00200") & (sub1 == "90005"), "inactivity")
-        .when((code == "00630") & (sub1 == "90001") & (sub2 == "00004"), "check_admin")
-    )
+# Fee behind a ledger row's product codes, null for other rows.
+FEE_CLASS = """
+    CASE WHEN product_code = '00500' AND sub_product_1 = '90001' AND sub_product_2 = '00068' THEN 'risk'
+         WHEN product_code = '00500' AND sub_product_1 = '90001' AND sub_product_2 = '00067' THEN 'optional'
+         WHEN product_code = '00500' AND sub_product_1 = '90001' AND sub_product_2 = '00074' THEN 'proximity'
+         WHEN product_code = '00500' AND sub_product_1 = '90001' AND sub_product_2 = '00070' THEN 'card'
+         WHEN product_code = '00175' THEN 'fleet_advance'
+         WHEN product_code = '00200' AND sub_product_1 = '90005' THEN 'inactivity'
+         WHEN product_code = '00630' AND sub_product_1 = '90001' AND sub_product_2 = '00004' THEN 'check_admin'
+    END"""
 
 
 def equipment_products(products: DataFrame) -> DataFrame:
@@ -257,36 +235,36 @@ def classified_ledger(ledger: DataFrame, products: DataFrame, code_width: int =
     matched = ledger.join(
         equipment_products(products), ["product_code", "sub_product_1", "sub_product_2"], "left"
     )
-    late_number = F.lpad(F.col("late_gl_no").cast("string"), 5, "0")
+    late = f"lpad(CAST(late_gl_no AS STRING), 5, '0') IN ({quoted(LATE_LEDGER_NUMBERS)})"
 
-    def entry(condition: Column, fee: Column, day: str, amount: str) -> Column:
-        return F.when(condition, F.struct(fee.alias("fee"), F.col(day).alias("fee_date"), F.col(amount).alias("amount")))
+    def entry(condition: str, fee: str, day: str, amount: str) -> str:
+        return f"CASE WHEN {condition} THEN named_struct('fee', {fee}, 'fee_date', {day}, 'amount', {amount}) END"
 
-    entries = F.array_compact(F.array(
-        entry(late_number.isin(LATE_LEDGER_NUMBERS), F.lit("late"), "load_date", "late_gl_amount"),
-        entry(fee_class().isNotNull(), fee_class(), "tran_date", "revenue_amount"),
-        entry(F.col("description").isNotNull(), F.lit("equipment"), "tran_date", "revenue_amount"),
-    ))
-    account = F.right("account_no", F.lit(code_width)).cast("long")
-    return matched.select(account.alias("customer_id"), F.inline(entries).alias("fee", "fee_date", "amount"))
+    entries = [
+        entry(late, "'late'", "load_date", "late_gl_amount"),
+        entry(f"{FEE_CLASS} IS NOT NULL", FEE_CLASS, "tran_date", "revenue_amount"),
+        entry("description IS NOT NULL", "'equipment'", "tran_date", "revenue_amount"),
+    ]
+    return matched.selectExpr(
+        f"CAST(right(account_no, {code_width}) AS BIGINT) AS customer_id",
+        f"inline(array_compact(array({', '.join(entries)})))",
+    )
 
 
-def fee_row_measures(fees: list[str], negative_is_fee: bool = True) -> dict[str, Column]:
+def fee_row_measures(fees: list[str], negative_is_fee: bool = True) -> dict[str, str]:
     """Amount, refund and counts per fee.
 
     In the ledger a negative amount is a fee and a positive one a refund; both
     change sign. In settlements a positive amount is a fee and none changes sign.
     """
-    amount = F.col("amount")
-    signed = -amount if negative_is_fee else amount
+    signed = "-amount" if negative_is_fee else "amount"
     measures = {}
     for fee in fees:
         charged, refunded, applied, returned = FEE_COLUMNS[fee]
-        mine = F.col("fee") == fee
-        measures[charged] = F.when(mine, F.when(signed > 0, signed).otherwise(0.0))
-        measures[refunded] = F.when(mine, F.when(signed < 0, signed).otherwise(0.0))
-        measures[applied] = F.when(mine, F.when(signed > 0, 1).otherwise(0))
-        measures[returned] = F.when(mine, F.when(signed < 0, 1).otherwise(0))
+        measures[charged] = f"CASE WHEN fee = '{fee}' THEN greatest({signed}, 0) END"
+        measures[refunded] = f"CASE WHEN fee = '{fee}' THEN least({signed}, 0) END"
+        measures[applied] = f"CASE WHEN fee = '{fee}' THEN CAST({signed} > 0 AS INT) END"
+        measures[returned] = f"CASE WHEN fee = '{fee}' THEN CAST({signed} < 0 AS INT) END"
     return measures
 
 
@@ -320,11 +298,11 @@ def settlement_fee_weekly(settlements: DataFrame, active: DataFrame, calendar: D
 
 def source_rows(trx: DataFrame, ledger: DataFrame, products: DataFrame, settlements: DataFrame, calendar: DataFrame, code_width: int = 5) -> DataFrame:
     """All sources as (customer_id, week, measures), measures of other sources null."""
-    trx_measures = {**fuel_row_measures(), **channel_row_measures(), **platform_fee_row_measures()}
+    trx_measures = {**FUEL_ROW_MEASURES, **CHANNEL_ROW_MEASURES, **PLATFORM_FEE_ROW_MEASURES}
 
-    def rows(source: DataFrame, day: str, measures: dict[str, Column]) -> DataFrame:
-        named = source.select("customer_id", F.col(day).alias("_day"), *[c.alias(n) for n, c in measures.items()])
-        return with_week(named, F.col("_day"), calendar).drop("_day")
+    def rows(source: DataFrame, day: str, measures: dict[str, str]) -> DataFrame:
+        projected = source.selectExpr("customer_id", f"{day} AS _day", *named(measures))
+        return with_week(projected, F.col("_day"), calendar).drop("_day")
 
     ledger_rows = classified_ledger(ledger, products, code_width)
     parts = [
@@ -338,43 +316,44 @@ def source_rows(trx: DataFrame, ledger: DataFrame, products: DataFrame, settleme
     return result
 
 
-def derived_measures() -> list[Column]:
+def derived_measures() -> list[str]:
     """Program, other and total fees. The transaction fee knows no refund."""
-    def fee(names: list[str], index: int, *extra: str) -> Column:
-        return zero_sum(*[F.col(FEE_COLUMNS[n][index]) for n in names], *[F.col(c) for c in extra])
-
-    def money(value: Column, name: str) -> Column:
-        return F.round(value, SUM_DECIMALS).alias(name)
-
     every = SINGLE_FEES + PROGRAM_FEES + OTHER_FEES
-    return [
-        money(fee(PROGRAM_FEES, 0, "fleet_transaction_fee"), "program_fee_amount"),
-        money(fee(PROGRAM_FEES, 1), "program_fee_refund"),
-        money(fee(OTHER_FEES, 0), "other_fees_amount"),
-        money(fee(OTHER_FEES, 1), "other_fees_refund"),
-        money(fee(every, 0, "fleet_transaction_fee"), "tot_fee_amount"),
-        money(fee(every, 1), "tot_fee_refund"),
-        fee(PROGRAM_FEES, 2, "num_of_fleet_fees_applied").alias("num_of_program_fees_applied"),
-        fee(PROGRAM_FEES, 3).alias("num_of_program_fees_refunded"),
-        fee(OTHER_FEES, 2).alias("num_of_other_fees_applied"),
-        fee(OTHER_FEES, 3).alias("num_of_other_fees_refunded"),
-    ]
+
+    def fee(names: list[str], index: int, *extra: str) -> str:
+        return zero_sum(*[FEE_COLUMNS[n][index] for n in names], *extra)
+
+    return named({
+        "program_fee_amount": f"round({fee(PROGRAM_FEES, 0, 'fleet_transaction_fee')}, {SUM_DECIMALS})",
+        "program_fee_refund": f"round({fee(PROGRAM_FEES, 1)}, {SUM_DECIMALS})",
+        "other_fees_amount": f"round({fee(OTHER_FEES, 0)}, {SUM_DECIMALS})",
+        "other_fees_refund": f"round({fee(OTHER_FEES, 1)}, {SUM_DECIMALS})",
+        "tot_fee_amount": f"round({fee(every, 0, 'fleet_transaction_fee')}, {SUM_DECIMALS})",
+        "tot_fee_refund": f"round({fee(every, 1)}, {SUM_DECIMALS})",
+        "num_of_program_fees_applied": fee(PROGRAM_FEES, 2, "num_of_fleet_fees_applied"),
+        "num_of_program_fees_refunded": fee(PROGRAM_FEES, 3),
+        "num_of_other_fees_applied": fee(OTHER_FEES, 2),
+        "num_of_other_fees_refunded": fee(OTHER_FEES, 3),
+    })
+
+
+def sum_weeks(rows: DataFrame, key: str) -> DataFrame:
+    """All measures summed per (key, week) in one shuffle, with the derived ones."""
+    summed = rows.groupBy(key, "week").agg(*[total(m) for m in RAW_MEASURES])
+    kept = [m for m in RAW_MEASURES if m not in INTERNAL_MEASURES]
+    return summed.selectExpr(key, "week", *kept, *derived_measures())
 
 
-def dense_weeks(rows: DataFrame, spine: DataFrame, key: str) -> DataFrame:
-    """Sum rows per (key, week) on the spine in one shuffle.
+def on_spine(summed: DataFrame, spine: DataFrame, key: str, zeros: list[str]) -> DataFrame:
+    """Every spine week with its sums; the measures in ``zeros`` default to zero.
 
-    Spine rows join the union as rows without measures and mark what to keep,
-    so no join on (key, week) is needed.
+    Only the narrow spine is shuffled for this join: the sums are already
+    partitioned by (key, week).
     """
-    marked = spine.select(key, "week").withColumn("_on_spine", F.lit(1))
-    both = rows.unionByName(marked, allowMissingColumns=True)
-    summed = both.groupBy(key, "week").agg(F.max("_on_spine").alias("_on_spine"), *[total(m) for m in RAW_MEASURES])
-    return summed.where(F.col("_on_spine") == 1).drop("_on_spine")
+    values = [f"coalesce({m}, 0) AS {m}" if m in zeros else m for m in FACT_MEASURES]
+    return spine.select(key, "week").join(summed, [key, "week"], "left").selectExpr(key, "week", *values)
 
 
 def weekly_fact(rows: DataFrame, active: DataFrame, p: RunParams) -> DataFrame:
     """Dense account-by-week fact; measures without a source row stay null."""
-    dense = dense_weeks(rows, weekly_spine(active, p), "customer_id")
-    kept = [m for m in RAW_MEASURES if m not in INTERNAL_MEASURES]
-    return dense.select("customer_id", "week", *kept, *derived_measures())
+    return on_spine(sum_weeks(rows, "customer_id"), weekly_spine(active, p), "customer_id", DERIVED_MEASURES)

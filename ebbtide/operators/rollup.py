@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.functions.ratios import zero
 from ebbtide.operators.calendar import week_grid
-from ebbtide.operators.fact import FACT_MEASURES, INTERNAL_MEASURES, RAW_MEASURES, dense_weeks, derived_measures, total
+from ebbtide.operators.fact import FACT_MEASURES, RAW_MEASURES, on_spine, sum_weeks, total
 from ebbtide.params import RunParams
 
 REPRESENTATIVE_COLUMNS = [
@@ -46,7 +45,7 @@ def rollup_profile(profile: DataFrame, p: RunParams) -> DataFrame:
         )
         .select(
             "parentname", "accounts", "pick.*",
-            F.when(several, zero(F.col("limits"))).otherwise(F.col("limits")).alias("credit_limit"),
+            F.when(several, F.coalesce("limits", F.lit(0))).otherwise(F.col("limits")).alias("credit_limit"),
             "first_trx_month", "last_transaction_week", "total_producttype_spend",
             churn_flag(F.col("last_transaction_week"), p).alias("churn_flag"),
         )
@@ -61,12 +60,12 @@ def rollup_weekly(fact: DataFrame, parents: DataFrame) -> DataFrame:
     mapped = fact.join(parents.select("customer_id", "parentname"), "customer_id")
     measures = FACT_MEASURES
     summed = mapped.where(F.col("parentname").isNotNull()).groupBy("parentname", "week").agg(*[total_of(m) for m in measures])
-    return summed.select("parentname", "week", *[zero(F.col(m)).alias(m) for m in measures])
+    return summed.selectExpr("parentname", "week", *[f"coalesce({m}, 0) AS {m}" for m in measures])
 
 
 def total_of(measure: str) -> Column:
     if measure.startswith("num_of_"):
-        return F.sum(measure).cast("long").alias(measure)
+        return F.expr(f"CAST(sum({measure}) AS BIGINT) AS {measure}")
     return total(measure)
 
 
@@ -81,10 +80,7 @@ def parent_weekly(rows: DataFrame, parents: DataFrame, p: RunParams) -> DataFram
     by_account = rows.groupBy("customer_id", "week").agg(*[total(m) for m in RAW_MEASURES])
     mapped = by_account.join(mapping, "customer_id").drop("customer_id")
     spine = week_grid(mapping.select("parentname").distinct(), "parentname", p)
-    dense = dense_weeks(mapped, spine, "parentname")
-    filled = dense.select("parentname", "week", *[zero(F.col(m)).alias(m) for m in RAW_MEASURES])
-    kept = [m for m in RAW_MEASURES if m not in INTERNAL_MEASURES]
-    return filled.select("parentname", "week", *kept, *derived_measures())
+    return on_spine(sum_weeks(mapped, "parentname"), spine, "parentname", FACT_MEASURES)
 
 
 def orphan_parents(parents: DataFrame, other: DataFrame) -> DataFrame:
