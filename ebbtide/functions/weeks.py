@@ -73,5 +73,9 @@ def month_key_minus(key: int, months: int) -> int:
     return (total // 12) * 100 + total % 12 + 1
 
 
+def month_first_day_of(key: int) -> dt.date:
+    return dt.date(key // 100, key % 100, 1)
+
+
 def monday_of(day: dt.date) -> dt.date:
     return day - dt.timedelta(days=day.weekday())

@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-
-from ebbtide.operators import fact, rollup
+from pyspark.sql import functions as F
+
+from ebbtide.functions import weeks as wk
+from ebbtide.functions.staging import stage
+from ebbtide.modelling import evaluate
+from ebbtide.operators import (
+    behaviour, contact, fact, feature_table, metrics, priority, profile, ranges, rollup, static_features,
+)
+from ebbtide.operators import calendar as cal
 from ebbtide.params import RunParams
 from ebbtide.sources import logical
 from ebbtide.sources.tables import Tables
@@ -86,3 +94,85 @@ class Inputs:
     @cached_property
     def parent_weekly(self) -> DataFrame:
         return rollup.parent_weekly(self.source_rows, self.active_parents, self.p)
+
+    # ---- labelled weeks and profile, written once because every family reads them
+
+    @cached_property
+    def labelled(self) -> DataFrame:
+        status = self.parent_profile.select("parentname", "churn_flag") if self.p.random_cutoff else None
+        return stage(ranges.labelled_weeks(self.parent_weekly, self.p, status), "labelled")
+
+    @cached_property
+    def revenue(self) -> DataFrame:
+        low = wk.month_first_day_of(self.p.product_floor_month)
+        return logical.monthly_revenue(self.tables, (low, self.p.last_day + dt.timedelta(days=1)))
+
+    @cached_property
+    def profile(self) -> DataFrame:
+        activity = profile.account_activity(self.all_transactions, self.accounts, self.calendar, self.p)
+        attributes = profile.latest_attribute(logical.billing_terms(self.tables), logical.deals(self.tables))
+        return profile.account_profile(
+            activity, self.accounts, logical.first_months(self.tables), attributes,
+            profile.product_information(self.revenue, self.p),
+            profile.last_payment(logical.payments(self.tables)), self.p,
+        )
+
+    @cached_property
+    def parent_profile(self) -> DataFrame:
+        return stage(rollup.rollup_profile(self.profile, self.p), "profile")
+
+    # ---- feature families
+
+    @cached_property
+    def static(self) -> DataFrame:
+        return static_features.static_features(
+            self.parent_profile, ranges.last_weeks(self.labelled), cal.month_of_week(self.calendar)
+        )
+
+    @cached_property
+    def call_cases(self) -> DataFrame:
+        t = self.tables
+        return contact.call_cases(logical.cases(t), logical.contacts(t), self.active_parents, self.history_calendar)
+
+    @cached_property
+    def survey_responses(self) -> DataFrame:
+        t = self.tables
+        return contact.survey_responses(
+            logical.surveys(t), logical.contacts(t), self.active_parents, self.history_calendar, self.p.history_floor
+        )
+
+    @cached_property
+    def families(self) -> list[DataFrame]:
+        return [
+            self.static,
+            behaviour.transaction_features(self.labelled),
+            behaviour.fee_features(self.labelled),
+            behaviour.fee_flags(self.labelled),
+            contact.call_features(self.labelled, contact.call_weekly(self.call_cases)),
+            contact.survey_features(self.labelled, self.survey_responses),
+        ]
+
+    @cached_property
+    def features(self) -> DataFrame:
+        return stage(feature_table.feature_table(self.families, self.p), "features")
+
+    # ---- prioritisation input
+
+    @cached_property
+    def combined(self) -> DataFrame:
+        cases = contact.call_cases(
+            logical.cases(self.tables), logical.contacts(self.tables), self.active_parents, self.history_calendar
+        )
+        rows = metrics.combined_metrics(self.recent_transactions, self.active_parents, self.accounts, cases, self.calendar, self.p)
+        probability = logical.attrition_probability(F.col("parentname_x"))
+        return stage(rows.withColumn("attrition_prob_x", probability), "combined")
+
+    @cached_property
+    def priority(self) -> DataFrame:
+        return stage(priority.parent_priority(self.combined), "priority")
+
+    @cached_property
+    def scored(self) -> DataFrame:
+        """Feature rows with a fixed pseudo-score, for queries that need scores without a model."""
+        probability = logical.attrition_probability(F.col("parentname"))
+        return evaluate.score_bands(self.features.withColumn("attrition_prob", probability))

@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ebbtide.functions import labels
 from ebbtide.functions import weeks as wk
+from ebbtide.functions.order_stats import quartile_scores
+from ebbtide.functions.staging import shared_folder, stage
+from ebbtide.modelling import evaluate, explain, prepare, select
+from ebbtide.operators import behaviour, checks, contact, fact, feature_table, priority, profile, ranges, rollup
 from ebbtide.operators import calendar as cal
-from ebbtide.operators import fact, ranges, rollup
 from ebbtide.plans.inputs import Inputs
 from ebbtide.session import configure
-from ebbtide.sources import logical
+from ebbtide.sources import logical, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -161,3 +166,344 @@ LABELS = ["parentname", "week", "week_rank", *[f"week_range_{n}" for n in (4, 8,
 @query
 def week_ranges(i: Inputs) -> DataFrame:
     return ranges.labelled_weeks(i.parent_weekly, i.p).select(LABELS)
+
+
+def rounded(df: DataFrame, places: int = 6) -> DataFrame:
+    """Doubles to a fixed number of places, so that values compare across engines."""
+    return df.select([
+        F.round(F.col(f"`{f.name}`"), places).alias(f.name) if f.dataType.typeName() == "double" else F.col(f"`{f.name}`")
+        for f in df.schema.fields
+    ])
+
+
+@query
+def random_cutoff(i: Inputs) -> DataFrame:
+    trimmed = ranges.lifetime_bounds(i.parent_weekly, i.p.min_weeks)
+    last = trimmed.groupBy("parentname").agg(F.max("max_lifetime_week").alias("last"))
+    status = last.select("parentname", rollup.churn_flag(F.col("last"), i.p).alias("churn_flag"))
+    cut = ranges.random_cutoff(trimmed, status, i.p)
+    return cut.groupBy("parentname").agg(F.count("*").alias("weeks"), F.max("week").alias("last_week"))
+
+
+# --------------------------------------------------------------------- profile
+
+@query
+def last_activity(i: Inputs) -> DataFrame:
+    return profile.last_activity(i.all_transactions, i.accounts, i.calendar, i.p)
+
+
+@query
+def latest_attribute(i: Inputs) -> DataFrame:
+    return profile.latest_attribute(logical.billing_terms(i.tables), logical.deals(i.tables))
+
+
+@query
+def last_payment(i: Inputs) -> DataFrame:
+    return profile.last_payment(logical.payments(i.tables))
+
+
+@query
+def product_top6(i: Inputs) -> DataFrame:
+    return profile.product_top6(i.revenue, i.p)
+
+
+@query
+def product_spend(i: Inputs) -> DataFrame:
+    return profile.product_spend(i.revenue, i.p)
+
+
+@query
+def account_profile(i: Inputs) -> DataFrame:
+    return i.profile
+
+
+@query
+def rollup_profile(i: Inputs) -> DataFrame:
+    return rollup.rollup_profile(i.profile, i.p)
+
+
+@query
+def channel_class(i: Inputs) -> DataFrame:
+    attributes = profile.latest_attribute(logical.billing_terms(i.tables), logical.deals(i.tables))
+    kept = attributes.select("customer_id", "channel_1", "channel_2")
+    return kept.withColumn("channel", labels.channel_class(F.col("channel_1"), F.col("channel_2")))
+
+
+@query
+def credit_grade(i: Inputs) -> DataFrame:
+    return i.accounts.select("customer_id", "credit_score", labels.credit_grade(F.col("credit_score")).alias("credit_grade"))
+
+
+@query
+def product_bucket(i: Inputs) -> DataFrame:
+    top = profile.product_top6(i.revenue, i.p)
+    combination = labels.product_combination([F.col(f"product_information_{n}") for n in (1, 2, 3)])
+    return top.select("customer_id", combination.alias("combination")).withColumn("bucket", labels.product_bucket(F.col("combination")))
+
+
+@query
+def static_features_query(i: Inputs) -> DataFrame:
+    return i.static
+
+
+QUERIES["static_features"] = QUERIES.pop("static_features_query")
+
+
+# -------------------------------------------------------------------- features
+
+@query
+def fee_types_count(i: Inputs) -> DataFrame:
+    counted = behaviour.fee_types_count(i.parent_weekly)
+    return counted.select("parentname", "week", "unique_types_of_fees_applied", "unique_types_of_fees_refunded")
+
+
+@query
+def quartile_score(i: Inputs) -> DataFrame:
+    averages = behaviour.transaction_averages(i.labelled)
+    names = [f"{m}_avg" for m in behaviour.TRANSACTION_MEASURES]
+    scored = quartile_scores(averages, "parentname", names)
+    return scored.select("parentname", *[f"{m}_score" for m in behaviour.TRANSACTION_MEASURES])
+
+
+@query
+def pct_change(i: Inputs) -> DataFrame:
+    averages = behaviour.transaction_averages(i.labelled)
+    changed = behaviour.pct_change(averages, behaviour.TRANSACTION_MEASURES)
+    return rounded(changed.select("parentname", *[c for c in (f"`{n}`" for n in changed.columns) if "_ch_" in c]))
+
+
+@query
+def transaction_features(i: Inputs) -> DataFrame:
+    return rounded(behaviour.transaction_features(i.labelled))
+
+
+@query
+def fee_features(i: Inputs) -> DataFrame:
+    return rounded(behaviour.fee_features(i.labelled))
+
+
+@query
+def fee_flags(i: Inputs) -> DataFrame:
+    return rounded(behaviour.fee_flags(i.labelled))
+
+
+@query
+def call_type_clean(i: Inputs) -> DataFrame:
+    kind, subtype = labels.call_type(F.col("type"), F.col("subtype"))
+    cases = logical.cases(i.tables).select("type", "subtype", kind.alias("grouped_type"), subtype.alias("clean_subtype"))
+    return cases.groupBy("type", "subtype", "grouped_type", "clean_subtype").agg(F.count("*").alias("cases"))
+
+
+@query
+def call_cases(i: Inputs) -> DataFrame:
+    return i.call_cases.select("customer_id", "parentname", "call_week", "type", "subtype", "status_changes", "created_date")
+
+
+@query
+def dedup_cases(i: Inputs) -> DataFrame:
+    cases = logical.cases(i.tables).select("type", "subtype", "status_changes", "created_date")
+    return contact.dedup_cases(cases)
+
+
+@query
+def call_weekly(i: Inputs) -> DataFrame:
+    return contact.call_weekly(i.call_cases)
+
+
+@query
+def call_features(i: Inputs) -> DataFrame:
+    return rounded(contact.call_features(i.labelled, contact.call_weekly(i.call_cases)))
+
+
+@query
+def survey_responses(i: Inputs) -> DataFrame:
+    return i.survey_responses
+
+
+@query
+def survey_weekly(i: Inputs) -> DataFrame:
+    return rounded(contact.survey_weekly(i.survey_responses))
+
+
+@query
+def survey_features(i: Inputs) -> DataFrame:
+    return rounded(contact.survey_features(i.labelled, i.survey_responses))
+
+
+@query
+def full_outer_features(i: Inputs) -> DataFrame:
+    weekly_calls = contact.call_weekly(i.call_cases).groupBy("parentname").agg(F.sum("statuschangeflag_count").alias("cases"))
+    answers = contact.survey_counts(i.survey_responses).groupBy("parentname").agg(F.sum("responses").alias("responses"))
+    fees = i.parent_weekly.groupBy("parentname").agg(F.round(F.sum("tot_fee_amount"), 6).alias("fees"))
+    return feature_table.full_outer_features([weekly_calls, answers, fees])
+
+
+@query
+def feature_table_query(i: Inputs) -> DataFrame:
+    return rounded(feature_table.feature_table(i.families, i.p))
+
+
+QUERIES["feature_table"] = QUERIES.pop("feature_table_query")
+
+
+@query
+def stage_invariants(i: Inputs) -> DataFrame:
+    labelled, parent_profile = i.labelled, i.parent_profile
+    return checks.stage_invariants([
+        checks.not_empty(labelled, "labelled weeks present"),
+        checks.one_row_per(parent_profile, "parentname", "profile has one row per parent"),
+        checks.one_row_per(behaviour.fee_flags(labelled), "parentname", "fee flags have one row per parent"),
+        checks.one_row_per(i.accounts, "customer_id", "accounts have one row each"),
+        checks.no_orphans(labelled, parent_profile, "parentname", "labelled parents have a profile"),
+    ])
+
+
+# -------------------------------------------------------------------- priority
+
+@query
+def parent_pct_rank(i: Inputs) -> DataFrame:
+    return rounded(priority.parent_pct_rank(priority.parent_frame(i.combined)))
+
+
+@query
+def parent_priority(i: Inputs) -> DataFrame:
+    columns = ["parentname", "priority", "attrition_prob_bin", "priority_bin", "revenue_bin", "parent_rank"]
+    return rounded(priority.parent_priority(i.combined).select(columns))
+
+
+@query
+def priority_pivot(i: Inputs) -> DataFrame:
+    return priority.priority_pivot(i.priority)
+
+
+@query
+def revenue_pivot(i: Inputs) -> DataFrame:
+    return priority.revenue_pivot(i.priority)
+
+
+@query
+def account_priority(i: Inputs) -> DataFrame:
+    return rounded(priority.account_priority(i.combined, i.priority))
+
+
+# ------------------------------------------------------------------- modelling
+
+# Features of the SQL-checkable modelling queries, and fixed weights for attributions.
+MODEL_COLUMNS = [
+    "total_gallons_avg", "total_fuel_trx_avg", "total_nonfuel_trx_avg", "total_fuel_spend_avg", "total_nonfuel_spend_avg",
+    "total_num_trx_avg", "total_comcheck_spend_avg", "total_vcap_spend_avg", "total_ecashspend_avg", "ecash_gallons_avg",
+    "share_active_fuel52", "share_active_nonfuel52", "share_active_trx52", "share_active_fuel26", "share_active_nonfuel26",
+]
+WEIGHTS = {c: round((-1) ** k * (0.9 - 0.05 * k), 2) for k, c in enumerate(MODEL_COLUMNS)}
+
+
+def model_frame(i: Inputs) -> DataFrame:
+    """The checkable columns with a label; staged, as several statistics read it."""
+    averages = behaviour.transaction_averages(i.labelled)
+    last = ranges.last_weeks(i.labelled).withColumn("churn_flag", F.when(F.col("week") > i.p.churn_cutoff_week, 0).otherwise(1))
+    return stage(averages.select("parentname", *MODEL_COLUMNS).join(last.select("parentname", "churn_flag"), "parentname"), "model")
+
+
+@query
+def one_hot_align(i: Inputs) -> DataFrame:
+    categories = {c: v for c, v in prepare.CATEGORIES.items() if c in ("credit_grade", "channel", "billing_freq")}
+    hot = prepare.one_hot(i.static.select("parentname", *categories), categories)
+    columns = [f"{c}_{v}" for c, values in categories.items() for v in values] + ["state_code_ZZ"]
+    return prepare.align(hot, columns)
+
+
+@query
+def power_transform(i: Inputs) -> DataFrame:
+    columns = MODEL_COLUMNS[:6]
+    frame = model_frame(i)
+    return rounded(prepare.power_transform(frame.select("parentname", *columns), columns), 4)
+
+
+@query
+def standard_scale(i: Inputs) -> DataFrame:
+    return rounded(prepare.standard_scale(model_frame(i).drop("churn_flag"), MODEL_COLUMNS))
+
+
+@query
+def constant_columns(i: Inputs) -> DataFrame:
+    flags = behaviour.fee_flags(i.labelled)
+    return prepare.constant_columns(flags, [c for c in flags.columns if c != "parentname"])
+
+
+@query
+def anova_f(i: Inputs) -> DataFrame:
+    return select.anova_f(model_frame(i), MODEL_COLUMNS)
+
+
+@query
+def mutual_info(i: Inputs) -> DataFrame:
+    return select.mutual_info(model_frame(i), MODEL_COLUMNS)
+
+
+@query
+def feature_votes(i: Inputs) -> DataFrame:
+    frame = model_frame(i)
+    by_f, by_mi = select.anova_f(frame, MODEL_COLUMNS), select.mutual_info(frame, MODEL_COLUMNS)
+    scores = stage(by_f.join(by_mi, "measure", "full_outer"), "scores")
+    place_f = F.row_number().over(Window.orderBy(F.desc_nulls_last("f"), "measure"))
+    place_mi = F.row_number().over(Window.orderBy(F.desc_nulls_last("mi"), "measure"))
+    placed = scores.select("measure", place_f.alias("pf"), place_mi.alias("pm"))
+    limits = {v: (("pf", "pm")[k % 2], 3 + k) for k, v in enumerate(select.VOTES)}
+    return select.feature_votes(placed.select("measure", *[(F.col(c) <= n).alias(v) for v, (c, n) in limits.items()]))
+
+
+@query
+def score_bands(i: Inputs) -> DataFrame:
+    return i.scored.select("parentname", "attrition_prob", "attrition_rank", "churn_flag_predicted")
+
+
+@query
+def score_distribution(i: Inputs) -> DataFrame:
+    return evaluate.score_distribution(i.scored)
+
+
+@query
+def binary_metrics(i: Inputs) -> DataFrame:
+    return evaluate.binary_metrics(i.scored, by=["customer_size"])
+
+
+@query
+def precision_at_n(i: Inputs) -> DataFrame:
+    return evaluate.precision_at_n(i.scored, 25)
+
+
+@query
+def validation_table(i: Inputs) -> DataFrame:
+    probability = logical.attrition_probability(F.col("parentname"))
+    profiles = i.parent_profile.select("parentname", "last_transaction_week", "churn_flag", probability.alias("attrition_prob"))
+    churned = evaluate.score_bands(profiles.where("churn_flag = 'CHURNER'"))
+    return evaluate.validation_table(churned, evaluate.validation_bounds(i.p.activity_floor))
+
+
+@query
+def score_factors(i: Inputs) -> DataFrame:
+    frame = model_frame(i)
+    scaled = prepare.standard_scale(frame.drop("churn_flag"), MODEL_COLUMNS)
+    return explain.score_factors(explain.linear_attributions(scaled, WEIGHTS), frame, MODEL_COLUMNS)
+
+
+@query
+def score_combine(i: Inputs) -> DataFrame:
+    segments = [prepare.segment(i.scored, name) for name in prepare.SEGMENTS]
+    combined = sinks.stamp(evaluate.score_combine(segments), i.p.current_week, i.p.last_day)
+    return combined.select(
+        "parentname", "customer_size", "attrition_prob", "attrition_rank", "churn_flag_predicted",
+        F.col("churn_flag").alias("churn_flag_actual"), "run_week", "run_date",
+    )
+
+
+@query
+def sink_slice(i: Inputs) -> DataFrame:
+    """Write two slices, write one of them again, and read the table back."""
+    path = f"{shared_folder(i.spark)}/ebbtide/result-{uuid.uuid4().hex}"
+    base = i.scored.select("parentname", "attrition_prob", "attrition_rank", "churn_flag_predicted")
+    earlier = wk.week_key_minus(i.p.current_week, 1)
+    for week, rows in ((earlier, base), (i.p.current_week, base), (i.p.current_week, base.where("attrition_rank >= 5"))):
+        sinks.replace_slice(sinks.stamp(rows, week, i.p.last_day), path)
+    schema = f"{base._jdf.schema().toDDL()}, run_week string, run_date date"
+    return i.spark.read.schema(schema).parquet(path)

@@ -59,3 +59,187 @@ sql("orphan_parents", "acct enough", """
 sql("lifetime_bounds", "trimmed", "SELECT parentname, week, min_lifetime_week, max_lifetime_week FROM trimmed")
 LABELS = "parentname, week, week_rank, week_range_4, week_range_8, week_range_13, week_range_26, week_range_52"
 sql("week_ranges", "labelled", f"SELECT {LABELS} FROM labelled")
+
+# ---------------------------------------------------------------- second part
+import oracles.features as feat  # noqa: E402
+import oracles.profile as prof  # noqa: E402
+
+sql("random_cutoff", "trimmed bounds run", """
+  SELECT parentname, count(*) AS weeks, max(week) AS last_week FROM (
+    SELECT *, greatest(12, n - 52) AS lo, ('0x' || substr(md5('0:' || parentname), 1, 8))::BIGINT AS h FROM (
+      SELECT parentname, week, max_lifetime_week, count(*) OVER (PARTITION BY parentname) AS n, row_number() OVER (PARTITION BY parentname ORDER BY week) AS r FROM trimmed))
+  CROSS JOIN run
+  WHERE r <= CASE WHEN max_lifetime_week > cutoff AND n > lo THEN lo + h % (n - lo) ELSE n END GROUP BY 1""")
+sql("last_activity", "last_trx", "SELECT * FROM last_trx")
+sql("latest_attribute", "terms channels", "SELECT * FROM terms FULL JOIN channels USING (customer_id)")
+sql("last_payment", "pay", "SELECT * FROM pay")
+sql("product_top6", "top6", "SELECT * FROM top6")
+sql("product_spend", "spend6", "SELECT * FROM spend6")
+sql("account_profile", "profile", "SELECT * FROM profile")
+sql("rollup_profile", "pprofile", "SELECT * FROM pprofile")
+sql("channel_class", "channels", f"SELECT customer_id, channel_1, channel_2, {prof.CHANNEL} AS channel FROM (SELECT *, {prof.CHANNEL_TEXT} AS t FROM channels)")
+sql("credit_grade", "acct", f"SELECT customer_id, credit_score, {prof.GRADE} AS credit_grade FROM acct")
+sql("product_bucket", "top6", f"SELECT customer_id, combination, {prof.BUCKET} AS bucket FROM (SELECT customer_id, {prof.combination(3)} AS combination FROM top6)")
+sql("static_features", "static", "SELECT * FROM static")
+
+
+def r6(names: list[str]) -> str:
+    return ", ".join(f'round("{n}", 6) AS "{n}"' for n in names)
+
+
+sql("fee_types_count", "weekly", f"""
+  SELECT parentname, week, {feat.KINDS} AS unique_types_of_fees_applied, {feat.KINDS_BACK} AS unique_types_of_fees_refunded FROM weekly""")
+sql("quartile_score", "trx_avg trx_edges", f"SELECT parentname, {feat.TRX_SCORES} FROM trx_avg CROSS JOIN trx_edges")
+ROUND_ALL = "parentname, round(COLUMNS(* EXCLUDE (parentname)), 6)"
+
+
+def rounded(rows: str, doubles: str) -> str:
+    """All columns of ``rows``; those matching the pattern rounded."""
+    return f"SELECT * REPLACE ({doubles}) FROM {rows}"
+
+
+sql("pct_change", "trx_avg", f"""SELECT parentname, {', '.join(
+    f'round({feat.change(f"{m}_avg4", f"{m}_avg{feat.tail(n)}")}, 6) AS "{m}_ch_1-{n}_1-4"' for m in feat.TRX for n in (8, 13, 26, 52))} FROM trx_avg""")
+_trx_doubles = [f"{m}_avg{feat.tail(n)}" for m in feat.TRX for n in feat.R] + [f"share_active_{s}{n}" for s in feat.SHARES for n in feat.R]
+_trx_doubles += [f"{m}_ch_1-{n}_1-4" for m in feat.TRX for n in (8, 13, 26, 52)]
+_fee_doubles = feat._kept + feat._names + [f"{f}_ch_1-{n}_1-4" for f in feat.FEE_SCORED for n in (8, 13, 26, 52)]
+_flag_doubles = [f"{f}_{k}_ratio{n}" for f in feat.FLAG_FEES for k in ("refund_dollar", "ref_incidence") for n in feat.R]
+_call_doubles = [f"freq_{t}_{n}" for t in feat.CALLS for n in (52, 8)] + [f"status_change_lt3_ratio_{n}" for n in (52, 26, 8)] + ["status_change_lt3_ch_1-52_1-8", "status_change_lt3_ch_1-52_1-26"]
+_survey_doubles = [f"{w}_rating_avg_{n}" for w in ("product", "agent") for n in (52, 26, 8)] + [f"{c}_ratio_{n}" for c in feat.COUNTS + ["issue_solved"] for n in (52, 26, 8)]
+_survey_doubles += [f"{c}_ch_1-52_1-{n}" for c in feat.COUNTS + ["issue_solved", "product_rating_avg", "agent_rating_avg"] for n in (26, 8)]
+sql("transaction_features", "trx_features", rounded("trx_features", r6(_trx_doubles)))
+sql("fee_features", "fee_features", rounded("fee_features", r6(_fee_doubles)))
+sql("fee_flags", "flags", rounded("flags", r6(_flag_doubles)))
+sql("call_type_clean", "cases_raw", f"""
+  SELECT type, subtype, {prof.GROUPED} AS grouped_type, coalesce(lower(replace(subtype, '  ', ' ')), '') AS clean_subtype, count(*) AS cases
+  FROM cases_raw GROUP BY 1, 2, 3, 4""")
+sql("call_cases", "cases", "SELECT * FROM cases")
+sql("dedup_cases", "cases_raw", "SELECT DISTINCT type, subtype, status_changes, created_date FROM cases_raw")
+sql("call_weekly", "call_weekly", "SELECT * FROM call_weekly")
+sql("call_features", "call_features", rounded("call_features", r6(_call_doubles)))
+sql("survey_responses", "responses", "SELECT * FROM responses")
+sql("survey_weekly", "survey_rows", rounded("survey_rows", r6(["avg_product_rating", "avg_agent_rating"])))
+sql("survey_features", "survey_features", rounded("survey_features", r6(_survey_doubles)))
+sql("full_outer_features", "call_weekly responses weekly", """
+  SELECT parentname, coalesce(cases, 0)::BIGINT AS cases, coalesce(responses, 0)::BIGINT AS responses, coalesce(fees, 0) AS fees
+  FROM (SELECT parentname, sum(statuschangeflag_count) AS cases FROM call_weekly GROUP BY 1)
+  FULL JOIN (SELECT parentname, count(*) AS responses FROM responses GROUP BY 1) USING (parentname)
+  FULL JOIN (SELECT parentname, round(sum(tot_fee_amount), 6) AS fees FROM weekly GROUP BY 1) USING (parentname)""")
+sql("feature_table", "features", rounded("features", r6(["tenure"] + _trx_doubles + _fee_doubles + _flag_doubles + _call_doubles + _survey_doubles)))
+sql("stage_invariants", "labelled pprofile acct", """
+  SELECT 'labelled weeks present' AS "check", count(*) AS rows, 1::BIGINT AS expected, count(*) = 1 AS ok FROM (SELECT 1 FROM labelled LIMIT 1)
+  UNION ALL SELECT 'profile has one row per parent', count(*), count(DISTINCT parentname), count(*) = count(DISTINCT parentname) FROM pprofile
+  UNION ALL SELECT 'fee flags have one row per parent', count(DISTINCT parentname), count(DISTINCT parentname), true FROM labelled
+  UNION ALL SELECT 'accounts have one row each', count(*), count(DISTINCT customer_id), count(*) = count(DISTINCT customer_id) FROM acct
+  UNION ALL SELECT 'labelled parents have a profile', count(*), 0, count(*) = 0 FROM (SELECT DISTINCT parentname FROM labelled WHERE parentname NOT IN (SELECT parentname FROM pprofile))""")
+
+sql("parent_pct_rank", "pct", f"SELECT parentname, {r6([f'{c}_pct' for c in prof.RANKED])} FROM pct")
+sql("parent_priority", "prio", "SELECT parentname, round(priority, 6) AS priority, attrition_prob_bin, priority_bin, revenue_bin, parent_rank FROM prio")
+BINS = ["0-0.2", "0.2-0.4", "0.4-0.6", "0.6-0.8", "0.8-1"]
+BIN_COLUMNS = ["attrition_bin_0_0_2", "attrition_bin_0_2_0_4", "attrition_bin_0_4_0_6", "attrition_bin_0_6_0_8", "attrition_bin_0_8_1"]
+
+
+def pivot(index: str, value: str, wrap: str) -> str:
+    cells = ", ".join(wrap.format(f"sum({value}) FILTER (attrition_prob_bin = '{b}' AND (b.l = {index} OR b.l = 'Grand Total'))") + f" AS {c}" for b, c in zip(BINS, BIN_COLUMNS))
+    total = wrap.format(f"sum({value}) FILTER (b.l = {index} OR b.l = 'Grand Total')")
+    labels = ", ".join(f"'{b}'" for b in BINS + ["Grand Total"])
+    return f"SELECT b.l AS {index}, {cells}, {total} AS grand_total FROM (SELECT unnest([{labels}]) AS l) b CROSS JOIN prio GROUP BY 1"
+
+
+sql("priority_pivot", "prio", pivot("priority_bin", "1", "coalesce({}, 0)::BIGINT"))
+sql("revenue_pivot", "prio", pivot("revenue_bin", "last_52_weeks_revenue_x", "round(coalesce({}, 0), 6)::DOUBLE"))
+_level = [f"{c}_{s} AS {c}_{'parent' if s == 'x' else 'account'}_level" for s in "xy" for m in ("gallons", "revenue")
+          for c in (f"last_52_weeks_{m}", f"max_{m}_per_month", f"last_52_weeks_{m}_max")]
+_level += [f"round(monthly_avg_{m}_last_52_weeks_{s}, 6) AS monthly_avg_{m}_last_52_weeks_{'parent' if s == 'x' else 'account'}_level" for s in "xy" for m in ("gallons", "revenue")]
+sql("account_priority", "combined prio", f"""
+  SELECT c.parentname, c.acctcode, c.prob AS attrition_prob, {', '.join(_level)}, c.last_transaction_week, c.last_transaction_month,
+         c.last_4_weeks_gallons, c.last_8_weeks_gallons, c.last_13_weeks_gallons, c.last_26_weeks_gallons, c.count_sf_cases_last3m, c.phone,
+         round(priority, 6) AS priority, attrition_prob_bin, priority_bin, revenue_bin, parent_rank, coalesce(account_rank, 1) AS account_rank
+  FROM combined c JOIN prio USING (parentname) LEFT JOIN (
+    SELECT acctcode, dense_rank() OVER (PARTITION BY parentname ORDER BY gm) AS account_rank FROM (
+      SELECT *, (CASE WHEN phone IS NULL THEN 2 ELSE 1 END + dense_rank() OVER (PARTITION BY parentname ORDER BY last_transaction_week DESC)
+        + CASE WHEN dec IS NULL THEN 0 ELSE dense_rank() OVER (PARTITION BY parentname ORDER BY dec DESC NULLS LAST) END
+        + dense_rank() OVER (PARTITION BY parentname ORDER BY count_sf_cases_last3m DESC)) / 4 AS gm
+      FROM (SELECT *, CASE WHEN last_26_weeks_gallons <> 0 THEN (last_26_weeks_gallons - last_4_weeks_gallons) / last_26_weeks_gallons * 100
+                          WHEN last_4_weeks_gallons > 0 THEN '-inf'::DOUBLE END AS dec, count(*) OVER (PARTITION BY parentname) AS n FROM combined) WHERE n > 1)) USING (acctcode)""")
+
+# Modelling
+_cats = {"credit_grade": ["Worse", "Poor", "Fair", "Good", "Very-Good", "Excellent", "UNK"],
+         "channel": ["inbound", "outbound", "field", "strategic/AM", "unknown", "others"],
+         "billing_freq": ["semi-monthly", "daily", "weekly", "monthly", "unknown", "others"]}
+sql("one_hot_align", "static", "SELECT parentname, " + ", ".join(
+    f"({c} = '{v}')::INTEGER::DOUBLE AS \"{c}_{v}\"" for c, vs in _cats.items() for v in vs) + ', 0.0::DOUBLE AS "state_code_ZZ" FROM static')
+sql("standard_scale", "model", "SELECT parentname, " + ", ".join(
+    f"round(({c} - avg({c}) OVER ()) / CASE WHEN stddev_pop({c}) OVER () = 0 THEN 1 ELSE stddev_pop({c}) OVER () END, 6) AS {c}" for c in feat.MODEL) + " FROM model")
+sql("constant_columns", "flags", f"""
+  SELECT measure, min(value) AS value FROM (UNPIVOT (SELECT {', '.join(f'"{c}"::DOUBLE AS "{c}"' for c in
+    [f'{f}_{k}{n}' for f in feat.FLAG_FEES for k in ('inv_cnt', 'ref_cnt', 'refund_dollar_ratio', 'ref_incidence_ratio') for n in feat.R]
+    + [f'{f}_{k}' for f in feat.FLAG_FEES for k in ('1st_4', '1st_8', 'optout4', 'optout8')] + ['late_interest_fee_2nd_4', 'late_interest_fee_2nd_8'])} FROM flags)
+    ON COLUMNS(*) INTO NAME measure VALUE value) GROUP BY 1 HAVING min(value) = max(value)""")
+sql("anova_f", "anova", "SELECT * FROM anova")
+sql("mutual_info", "mi", "SELECT * FROM mi")
+_votes = ["lasso_select_from_model", "logistic_select_from_model", "lgbm_select_from_model", "svm_select_from_model", "mutual_info", "kbest",
+          "rfe_logistic", "rfe_lgbm", "rfe_svm"]
+_v = [f"({('pf', 'pm')[k % 2]} <= {3 + k})" for k in range(9)]
+sql("feature_votes", "anova mi", f"""
+  SELECT *, row_number() OVER (ORDER BY total DESC, measure DESC)::INTEGER AS place FROM (
+    SELECT measure, {', '.join(f'{x} AS {n}' for x, n in zip(_v, _votes))}, ({' + '.join(f'{x}::INTEGER' for x in _v)})::INTEGER AS total
+    FROM (SELECT measure, row_number() OVER (ORDER BY f DESC NULLS LAST, measure) AS pf, row_number() OVER (ORDER BY mi DESC NULLS LAST, measure) AS pm
+          FROM anova FULL JOIN mi USING (measure)))""")
+_pt = feat.MODEL[:6]
+_grid = "[" + ", ".join(str(-2 + 0.25 * k) for k in range(17)) + "]::DOUBLE[]"
+_yj = """CASE WHEN value >= 0 THEN CASE WHEN lam = 0 THEN ln(1 + value) ELSE ((1 + value) ** lam - 1) / lam END
+  ELSE CASE WHEN lam = 2 THEN -ln(1 - value) ELSE -(((1 - value) ** (2 - lam) - 1) / (2 - lam)) END END"""
+sql("power_transform", "long", f"""
+  SELECT parentname, {', '.join(f"max(v) FILTER (measure = '{c}') AS {c}" for c in _pt)} FROM (
+    SELECT parentname, measure, round({_yj}, 4) AS v FROM long JOIN (
+      SELECT measure, CASE WHEN max(ll) IS NULL THEN 1 ELSE arg_max(lam, (ll, -lam)) END::DOUBLE AS lam FROM (
+        SELECT measure, lam, CASE WHEN vr > 1e-12 THEN round(-n / 2 * ln(vr) + (lam - 1) * logs, 6) END AS ll FROM (
+          SELECT measure, lam, count(*) AS n, var_pop({_yj}) AS vr, sum(sign(value) * ln(1 + abs(value))) AS logs
+          FROM long CROSS JOIN (SELECT unnest({_grid}) AS lam) GROUP BY 1, 2)) GROUP BY 1) USING (measure)
+    WHERE measure IN ({', '.join(repr(c) for c in _pt)})) GROUP BY 1""")
+sql("score_bands", "scored", "SELECT parentname, attrition_prob, attrition_rank, churn_flag_predicted FROM scored")
+sql("score_distribution", "scored", "SELECT attrition_rank, count(*) AS parents FROM scored GROUP BY 1")
+sql("binary_metrics", "scored", """
+  SELECT *, round((tp + tn) / (tp + fp + fn + tn), 6) AS accuracy, round(coalesce(tp / nullif(tp + fp, 0), 0), 6) AS "precision",
+         round(coalesce(tp / nullif(tp + fn, 0), 0), 6) AS recall, round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), 6) AS f1_score
+  FROM (SELECT customer_size, count(*) FILTER (churn_flag = 1 AND churn_flag_predicted = 1) AS tp, count(*) FILTER (churn_flag = 0 AND churn_flag_predicted = 1) AS fp,
+               count(*) FILTER (churn_flag = 1 AND churn_flag_predicted = 0) AS fn, count(*) FILTER (churn_flag = 0 AND churn_flag_predicted = 0) AS tn
+        FROM scored GROUP BY 1)""")
+sql("precision_at_n", "scored", """
+  SELECT sum(churn_flag)::BIGINT AS hits, (SELECT sum(churn_flag)::BIGINT FROM scored) AS positives,
+         round(coalesce(sum(churn_flag) / nullif(least((SELECT sum(churn_flag) FROM scored), 25), 0), 0), 6) AS precision_at_n
+  FROM (SELECT * FROM scored ORDER BY attrition_prob DESC, parentname LIMIT 25)""")
+_ends = [(minus_weeks("act_lo", -n), t) for n, t in ((4, "4 Weeks"), (8, "8 Weeks"), (13, "13 Weeks"), (23, "23 Weeks"), (33, "33 Weeks"), (53, "52 Weeks"))]
+sql("validation_table", "pprofile run", f"""
+  SELECT last_transaction_weeks, weeks, count(last_transaction_week) AS actual_churners, coalesce(sum(pred), 0)::BIGINT AS predicted_churners,
+         round(sum(pred) / nullif(count(last_transaction_week), 0) * 100, 6) AS percentage_prediction
+  FROM (SELECT '<' || act_lo AS last_transaction_weeks, 'Past 8 Weeks' AS weeks, 0 AS lo, act_lo - 1 AS hi FROM run
+        {' '.join(f"UNION ALL SELECT act_lo || '-' || {e}, '{t}', act_lo, {e} FROM run" for e, t in _ends)}) b
+  LEFT JOIN (SELECT last_transaction_week, ({feat.PROB} >= 0.5)::INTEGER AS pred FROM pprofile WHERE churn_flag = 'CHURNER') p
+    ON last_transaction_week BETWEEN lo AND hi GROUP BY 1, 2""")
+
+
+def num(v: str, k: int) -> str:
+    t = f"regexp_replace(round_even({v}, {k})::DECIMAL(38, {k})::VARCHAR, '0+$', '')"
+    t = f"CASE WHEN {t} LIKE '%.' THEN {t} || '0' ELSE {t} END"
+    return f"CASE WHEN ({t}) = '-0.0' THEN '0.0' ELSE ({t}) END"
+
+
+_weights = ", ".join(f"('{c}', {w}::DOUBLE)" for c, w in zip(feat.MODEL, feat.WEIGHTS))
+sql("score_factors", "long", f"""
+  SELECT parentname, {', '.join(f'max(factor) FILTER (place = {n}) AS factor_{n}' for n in range(1, 11))} FROM (
+    SELECT parentname, place, '{{''feature'': ''' || measure || ''', ''impact'': ' || {num('impact', 2)} || ', ''value'': ' || {num('value', 3)} || '}}' AS factor
+    FROM (SELECT *, a / nullif(sum(abs(a)) OVER (PARTITION BY parentname), 0) AS impact,
+                 row_number() OVER (PARTITION BY parentname ORDER BY round(abs(a), 9) DESC, measure) AS place
+          FROM (SELECT parentname, measure, value, w * (value - avg(value) OVER (PARTITION BY measure))
+                  / CASE WHEN stddev_pop(value) OVER (PARTITION BY measure) = 0 THEN 1 ELSE stddev_pop(value) OVER (PARTITION BY measure) END AS a
+                FROM long JOIN (VALUES {_weights}) AS t(measure, w) USING (measure)))) GROUP BY 1""")
+sql("score_combine", "scored run", """
+  SELECT parentname, CASE customer_size WHEN 'others' THEN 'express-check' WHEN 'medium' THEN 'small' ELSE customer_size END AS customer_size,
+         attrition_prob, attrition_rank, churn_flag_predicted, churn_flag AS churn_flag_actual, cur::VARCHAR AS run_week,
+         (SELECT max(o_orderdate)::DATE FROM orders) AS run_date FROM scored CROSS JOIN run""")
+sql("sink_slice", "scored run", f"""
+  SELECT parentname, attrition_prob, attrition_rank, churn_flag_predicted, week::VARCHAR AS run_week, (SELECT max(o_orderdate)::DATE FROM orders) AS run_date
+  FROM scored CROSS JOIN run CROSS JOIN LATERAL (SELECT unnest([cur, {minus_weeks('cur', 1)}]) AS week)
+  WHERE week <> cur OR attrition_rank >= 5""")
