@@ -1,8 +1,10 @@
 """Exact ranks and quantiles that never put a whole group into one task.
 
 Everything rests on :func:`value_positions`: the distinct values of each group
-with their counts and the number of rows below them. Groups are cut at split
-points drawn from their own values, so a group of any size is sorted in pieces.
+with their counts and the number of rows below them. The counts are staged, so
+their size is known: few values are ordered by a plain window, many are cut at
+split points drawn from the values themselves, so that a group of any size is
+sorted in pieces.
 """
 
 from __future__ import annotations
@@ -10,68 +12,81 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ebbtide.functions.staging import stage
+
 # About this many split points are drawn over all groups together; they are
 # the only data broadcast here, so its size does not grow with the input.
 SPLITS = 256
+# Up to this many distinct values in total, one window per group is safe.
+WINDOW_LIMIT = 1_000_000
 
 
-def _split_points(counts: DataFrame, group: list[str], value: str) -> DataFrame:
-    """Split points per group: distinct values picked by hash, hence repeatable."""
-    picked = counts.where(
-        F.pmod(F.xxhash64(*group, value), counts.agg(F.greatest(F.lit(1), F.count("*") / SPLITS).cast("long")).scalar()) == 0
-    )
-    return picked.groupBy(*group).agg(F.array_sort(F.collect_list(value)).alias("splits"))
-
-
-def value_positions(rows: DataFrame, group: list[str], value: str) -> DataFrame:
+def value_positions(rows: DataFrame, group: list[str], value: str, window_limit: int = WINDOW_LIMIT) -> DataFrame:
     """One row per (group, value): ``n`` rows, ``below`` rows and ``dense`` rank.
 
     Null values are left out. ``dense`` starts at 1 for the smallest value.
     """
-    counts = rows.where(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count("*").alias("n"))
-    splits = _split_points(counts, group, value)
+    present = rows.where(F.col(value).isNotNull())
+    counts = stage(present.groupBy(*group, value).agg(F.count("*").alias("n")), "counts")
+    distinct = counts.count()
+    if distinct <= window_limit:
+        return _positions_within(counts, group, value)
+    return _positions_in_pieces(counts, group, value, max(1, distinct // SPLITS))
+
+
+def _local_positions(counts: DataFrame, group: list[str], value: str) -> DataFrame:
+    within = Window.partitionBy(*group).orderBy(value)
+    before = within.rowsBetween(Window.unboundedPreceding, -1)
+    return counts.withColumns({
+        "below": F.coalesce(F.sum("n").over(before), F.lit(0)), "dense": F.row_number().over(within),
+    })
+
+
+def _positions_within(counts: DataFrame, group: list[str], value: str) -> DataFrame:
+    return _local_positions(counts, group, value).select(*group, value, "n", "below", "dense")
+
+
+def _positions_in_pieces(counts: DataFrame, group: list[str], value: str, every: int) -> DataFrame:
+    # Split points are picked by hash, hence the same on every evaluation; a
+    # group without one is small and stays whole.
+    picked = counts.where(F.pmod(F.xxhash64(*group, value), F.lit(every)) == 0)
+    splits = picked.groupBy(*group).agg(F.array_sort(F.collect_list(value)).alias("splits"))
+    piece = F.size(F.filter("splits", lambda s: s < F.col(value)))
     cut = counts.join(F.broadcast(splits), group, "left").select(
-        *group, value, "n",
-        F.when(
-            F.col("splits").isNotNull(),
-            F.size(F.filter("splits", lambda s: s < F.col(value))),
-        ).alias("piece"),
+        *group, value, "n", F.when(F.col("splits").isNotNull(), piece).alias("piece")
     )
     # Offsets exist only for groups that were cut: at most one row per split
     # point plus one per cut group.
-    sizes = (
-        cut.where(F.col("piece").isNotNull())
-        .groupBy(*group, "piece")
-        .agg(F.sum("n").alias("rows"), F.count("*").alias("values"))
+    sizes = cut.where(F.col("piece").isNotNull()).groupBy(*group, "piece").agg(
+        F.sum("n").alias("rows"), F.count("*").alias("values")
     )
     earlier = Window.partitionBy(*group).orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
         *group, "piece",
-        F.sum("rows").over(earlier).alias("rows_before"),
-        F.sum("values").over(earlier).alias("values_before"),
-    )
-    within = Window.partitionBy(*group, "piece").orderBy(value)
-    before = within.rowsBetween(Window.unboundedPreceding, -1)
-    local = cut.select(
-        *group, value, "n", "piece",
-        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("rows_local"),
-        F.row_number().over(within).alias("value_local"),
+        F.sum("rows").over(earlier).alias("rows_before"), F.sum("values").over(earlier).alias("values_before"),
     )
+    local = _local_positions(cut, [*group, "piece"], value)
     return local.join(F.broadcast(offsets), [*group, "piece"], "left").select(
         *group, value, "n",
-        (F.col("rows_local") + F.coalesce("rows_before", F.lit(0))).alias("below"),
-        (F.col("value_local") + F.coalesce("values_before", F.lit(0))).alias("dense"),
+        (F.col("below") + F.coalesce("rows_before", F.lit(0))).alias("below"),
+        (F.col("dense") + F.coalesce("values_before", F.lit(0))).alias("dense"),
     )
 
 
-def dense_rank_in_group(rows: DataFrame, group: list[str], value: Column, name: str, descending: bool = True) -> DataFrame:
-    """Add ``name``: dense rank of ``value`` in its group, null for null values."""
-    key = F.negative(value) if descending else value
-    keyed = rows.withColumn("_rank_key", key)
-    ranks = value_positions(keyed.select(*group, "_rank_key"), group, "_rank_key")
-    return keyed.join(
-        ranks.select(*group, "_rank_key", F.col("dense").cast("long").alias(name)), [*group, "_rank_key"], "left"
-    ).drop("_rank_key")
+def dense_ranks(rows: DataFrame, key: str, group: str, columns: dict[str, str], descending: bool = True) -> DataFrame:
+    """(key, rank columns): dense rank of each column in its group, null for null values.
+
+    ``columns`` maps a value column to the name of its rank. All columns are
+    ranked in one pass over (group, column, value).
+    """
+    sign = "-" if descending else ""
+    signed = rows.selectExpr(key, group, *[f"{sign}CAST({c} AS DOUBLE) AS {name}" for c, name in columns.items()])
+    long = signed.unpivot([key, group], list(columns.values()), "measure", "value").where(F.col("value").isNotNull())
+    places = value_positions(long, [group, "measure"], "value")
+    ranked = long.join(places.select(group, "measure", "value", "dense"), [group, "measure", "value"])
+    return ranked.groupBy(key).agg(
+        *[F.max(F.when(F.col("measure") == name, F.col("dense"))).cast("long").alias(name) for name in columns.values()]
+    )
 
 
 def percentile_ranks(rows: DataFrame, key: str, columns: list[str]) -> DataFrame:
@@ -91,8 +106,9 @@ def quantiles(rows: DataFrame, columns: list[str], probabilities: list[float]) -
 
     ``lower`` and ``upper`` are the two neighbouring order statistics.
     """
-    long = rows.select([F.col(c).cast("double") for c in columns])
-    long = long.unpivot([], columns, "measure", "value").where(F.col("value").isNotNull())
+    names = [F.col(f"`{c}`") for c in columns]
+    long = rows.select([n.cast("double").alias(c) for n, c in zip(names, columns)])
+    long = long.unpivot([], names, "measure", "value").where(F.col("value").isNotNull())
     places = value_positions(long, ["measure"], "value")
     totals = places.groupBy("measure").agg(F.sum("n").alias("total"))
     wanted = totals.select(

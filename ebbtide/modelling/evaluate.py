@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ebbtide.functions.rounding import half_even
 from ebbtide.functions.weeks import week_key_minus
 
 QUALITY_FLOOR = 0.5
@@ -15,7 +16,7 @@ THRESHOLD = 0.5
 
 def score_bands(scores: DataFrame, probability: str = "attrition_prob") -> DataFrame:
     """Probability to four places half-even, decile rank and class."""
-    rounded = F.bround(F.col(probability), 4)
+    rounded = half_even(F.col(probability), 4)
     return scores.withColumn(probability, rounded).withColumns({
         "attrition_rank": F.floor(F.round(F.col(probability) * 10, 6)).cast("int"),
         "churn_flag_predicted": (F.col(probability) >= THRESHOLD).cast("int"),

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ebbtide.functions.order_stats import dense_rank_in_group, percentile_ranks
+from ebbtide.functions.order_stats import dense_ranks, percentile_ranks
 from ebbtide.functions.ratios import SUM_DECIMALS
+from ebbtide.functions.staging import stage
 
 # Right-closed bins, the first one closed on both sides.
 BIN_EDGES = [0.2, 0.4, 0.6, 0.8, 1.0]
@@ -16,6 +17,13 @@ GRAND_TOTAL = "Grand Total"
 RANKED_COLUMNS = [
     "last_52_weeks_gallons_x", "last_52_weeks_gallons_max_x", "last_52_weeks_revenue_x", "last_52_weeks_revenue_max_x",
 ]
+RANK_NAMES = {
+    "last_transaction_week": "rank_last_transaction_week",
+    "last_52_weeks_revenue_y": "rank_revenue",
+    "last_52_weeks_gallons_y": "rank_gallons",
+    "count_sf_cases_last3m": "rank_sf_cases",
+    "decline_pct": "rank_decline",
+}
 
 
 def bin_label(value: Column) -> Column:
@@ -104,16 +112,13 @@ def account_ranks(accounts: DataFrame) -> DataFrame:
         decline.alias("decline_pct"),
         "last_52_weeks_revenue_y", "last_52_weeks_gallons_y",
     )
-    group = ["parentname_x"]
-    for column, name in (
-        ("last_transaction_week", "rank_last_transaction_week"), ("last_52_weeks_revenue_y", "rank_revenue"),
-        ("last_52_weeks_gallons_y", "rank_gallons"), ("count_sf_cases_last3m", "rank_sf_cases"), ("decline_pct", "rank_decline"),
-    ):
-        ranked = dense_rank_in_group(ranked, group, F.col(column), name)
+    ranked = stage(ranked, "accounts")
+    ranks = dense_ranks(ranked, "acctcode", "parentname_x", RANK_NAMES)
     used = ["valid_phone", "rank_last_transaction_week", "rank_decline", "rank_sf_cases"]
-    mean = F.expr("(" + " + ".join(f"coalesce({c}, 0)" for c in used) + ") / 4")
-    ranked = ranked.withColumn("global_rank_mean", mean)
-    return dense_rank_in_group(ranked, group, F.col("global_rank_mean"), "account_rank", descending=False)
+    mean = "(" + " + ".join(f"coalesce({c}, 0)" for c in used) + ") / 4 AS global_rank_mean"
+    both = stage(ranked.join(ranks, "acctcode", "left").selectExpr("*", mean), "ranks")
+    final = dense_ranks(both, "acctcode", "parentname_x", {"global_rank_mean": "account_rank"}, descending=False)
+    return both.join(final, "acctcode")
 
 
 def account_priority(combined: DataFrame, priority: DataFrame) -> DataFrame:

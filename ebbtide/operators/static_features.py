@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ebbtide.functions import labels
 from ebbtide.functions.order_stats import quantiles
+from ebbtide.functions.rounding import half_even
 from ebbtide.functions.weeks import month_first_day
 
 STATIC_FEATURES = [
@@ -62,7 +63,7 @@ def static_features(profile: DataFrame, last_weeks: DataFrame, month_of_week: Da
     months = last_weeks.join(F.broadcast(month_of_week), "week", "left").select("parentname", "yearmonth")
     joined = impute(profile).join(months, "parentname")
     days = F.datediff(month_first_day(F.col("yearmonth")), month_first_day(F.col("first_trx_month")))
-    tenure = F.bround(days / 365, 2)
+    tenure = half_even(days / 365, 2)
     band = labels.truck_band(F.col("num_of_trucks"))
     products = [F.col(f"product_information_{n}") for n in range(1, 7)]
     return joined.select(

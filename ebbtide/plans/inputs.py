@@ -173,6 +173,7 @@ class Inputs:
 
     @cached_property
     def scored(self) -> DataFrame:
-        """Feature rows with a fixed pseudo-score, for queries that need scores without a model."""
+        """Profile features with a fixed pseudo-score, for queries that need scores without a model."""
         probability = logical.attrition_probability(F.col("parentname"))
-        return evaluate.score_bands(self.features.withColumn("attrition_prob", probability))
+        rows = feature_table.feature_table([self.static], self.p)
+        return stage(evaluate.score_bands(rows.withColumn("attrition_prob", probability)), "scored")

@@ -12,7 +12,7 @@ from ebbtide.functions import labels
 from ebbtide.functions import weeks as wk
 from ebbtide.functions.order_stats import quartile_scores
 from ebbtide.functions.staging import shared_folder, stage
-from ebbtide.modelling import evaluate, explain, prepare, select
+from ebbtide.modelling import evaluate, explain, prepare, select, train
 from ebbtide.operators import behaviour, checks, contact, fact, feature_table, priority, profile, ranges, rollup
 from ebbtide.operators import calendar as cal
 from ebbtide.plans.inputs import Inputs
@@ -31,6 +31,13 @@ def query(function: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFra
     return function
 
 
+def nullable_counts(df: DataFrame) -> DataFrame:
+    """Counts that can be missing as doubles, which every client reads alike."""
+    return df.selectExpr(*[
+        f"CAST({c} AS DOUBLE) AS {c}" if c in fact.COUNT_MEASURES else c for c in df.columns
+    ])
+
+
 # ------------------------------------------------------- calendar and periods
 
 @query
@@ -119,7 +126,7 @@ def platform_fee_weekly(i: Inputs) -> DataFrame:
 
 @query
 def fee_ledger_weekly(i: Inputs) -> DataFrame:
-    return fact.fee_ledger_weekly(i.ledger, i.products, i.active, i.history_calendar, logical.ACCOUNT_WIDTH)
+    return nullable_counts(fact.fee_ledger_weekly(i.ledger, i.products, i.active, i.history_calendar, logical.ACCOUNT_WIDTH))
 
 
 @query
@@ -134,7 +141,7 @@ def settlement_fee_weekly(i: Inputs) -> DataFrame:
 
 @query
 def weekly_fact(i: Inputs) -> DataFrame:
-    return i.weekly_fact
+    return nullable_counts(i.weekly_fact)
 
 
 @query
@@ -507,3 +514,79 @@ def sink_slice(i: Inputs) -> DataFrame:
         sinks.replace_slice(sinks.stamp(rows, week, i.p.last_day), path)
     schema = f"{base._jdf.schema().toDDL()}, run_week string, run_date date"
     return i.spark.read.schema(schema).parquet(path)
+
+
+# Spark ML has no SQL counterpart: the queries below are checked for their rows only.
+
+def _segment_matrix(i: Inputs, name: str = "small") -> tuple[DataFrame, list[str]]:
+    """One-hot features of a segment without constant columns, and the column names."""
+    hot = stage(prepare.one_hot(prepare.segment(i.features, name)), "matrix")
+    columns = prepare.feature_columns(hot)
+    constant = {r.measure for r in prepare.constant_columns(hot, columns).select("measure").collect()}
+    return hot, [c for c in columns if c not in constant]
+
+
+def _train_and_test(hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Fixed split of the parents, for want of two extracts of different dates."""
+    bucket = F.pmod(F.xxhash64("parentname"), F.lit(4))
+    return hot.where(bucket != 0), hot.where(bucket == 0)
+
+
+def _best(hot: DataFrame, columns: list[str], k: int) -> list[str]:
+    """The k columns of highest F value; a bounded list of names."""
+    return [r.measure for r in select.top_k(select.anova_f(hot, columns), "f", k).collect()]
+
+
+@query
+def model_select(i: Inputs) -> DataFrame:
+    hot, columns = _segment_matrix(i)
+    return train.model_select(hot, columns, max_iter=10)
+
+
+@query
+def rfe(i: Inputs) -> DataFrame:
+    hot, columns = _segment_matrix(i)
+    return train.rfe(hot, _best(hot, columns, 60), keep=20, step=20, max_iter=5)
+
+
+@query
+def model_leaderboard(i: Inputs) -> DataFrame:
+    hot, columns = _segment_matrix(i)
+    fit_on, check_on = _train_and_test(hot)
+    by_mi = select.top_k(select.mutual_info(hot, _best(hot, columns, 40)), "mi", 15)
+    sets = {"kbest": _best(hot, columns, 15), "mutual_info": [r.measure for r in by_mi.collect()]}
+    return train.model_leaderboard(fit_on, check_on, sets, max_iter=10)
+
+
+@query
+def tune(i: Inputs) -> DataFrame:
+    hot, columns = _segment_matrix(i)
+    fit_on, check_on = _train_and_test(hot)
+    return train.tune(fit_on, check_on, "LogisticRegression", _best(hot, columns, 15), "kbest", max_iter=10)
+
+
+@query
+def train_segment(i: Inputs) -> DataFrame:
+    hot, columns = _segment_matrix(i)
+    best = _best(hot, columns, 15)
+    scaled = prepare.standard_scale(prepare.power_transform(hot, best), best)
+    weights = train.coefficients(train.train_segment(scaled, best), best)
+    return i.spark.createDataFrame([("small", c, w) for c, w in weights.items()], "segment string, feature string, weight double")
+
+
+@query
+def score_segment(i: Inputs) -> DataFrame:
+    hot, columns = _segment_matrix(i)
+    best = _best(hot, columns, 15)
+    fit_on, _ = _train_and_test(hot)
+    lambdas = stage(prepare.power_fit(fit_on, best), "lambdas")
+    powered = prepare.power_transform(fit_on, best, lambdas)
+    spread = stage(prepare.scale_statistics(powered, best), "spread")
+    model = train.train_segment(prepare.standard_scale(powered, best, spread), best)
+    # Scoring reuses what was fitted in training.
+    batch = prepare.standard_scale(prepare.power_transform(hot, best, lambdas), best, spread)
+    scores = train.score_segment(model, batch, best, ["parentname"])
+    factors = explain.score_factors(
+        explain.linear_attributions(batch, train.coefficients(model, best)), hot, best
+    )
+    return scores.join(factors, "parentname")

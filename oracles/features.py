@@ -74,24 +74,26 @@ _edges, FEE_SCORES = scored("fee_avg", FEE_SCORED)
 cte("fee_edges", "fee_avg", _edges)
 
 
+# Literal infinity arithmetic: x/0 is signed infinity; in a change infinity becomes 1 and not-a-number 0.
+cte("fee_rates", "fee_avg", "SELECT *, " + ", ".join(
+    f"CASE WHEN g{k} <> 0 THEN s_{f}_{k} / g{k} WHEN s_{f}_{k} <> 0 THEN sign(s_{f}_{k}) * 'inf'::DOUBLE ELSE 0 END AS q_{f}_{k}"
+    for f in RATES for k in R) + " FROM fee_avg")
+
+
 def rate_change(f: str, n: int) -> str:
-    """Literal infinity arithmetic: x/0 is signed infinity, then infinity is 1 and not-a-number 0."""
-    def rate(k: int) -> str:
-        return f"CASE WHEN g{k} <> 0 THEN s_{f}_{k} / g{k} WHEN s_{f}_{k} <> 0 THEN sign(s_{f}_{k}) * 'inf'::DOUBLE ELSE 0 END"
-    return f"""(SELECT CASE WHEN isnan(v) THEN 0 WHEN isinf(v) THEN sign(v) ELSE v END::DOUBLE FROM (
-      SELECT CASE WHEN isinf(b) THEN 'nan'::DOUBLE WHEN isinf(a) THEN CASE WHEN b < 0 THEN -a ELSE a END
-                  WHEN b <> 0 THEN (a - b) / b WHEN a = 0 THEN 'nan'::DOUBLE ELSE sign(a) * 'inf'::DOUBLE END AS v
-      FROM (SELECT {rate(4)} AS a, {rate(n)} AS b)))"""
+    a, b = f"q_{f}_4", f"q_{f}_{n}"
+    return (f"CASE WHEN isinf({b}) THEN 0 WHEN isinf({a}) THEN sign({a}) * CASE WHEN {b} < 0 THEN -1 ELSE 1 END"
+            f" WHEN {b} <> 0 THEN ({a} - {b}) / {b} ELSE sign({a}) END::DOUBLE")
 
 
 FEE_CHANGES = [f'{rate_change(f, n)} AS "{f}_cents_p_gallon_ch_1-{n}_1-4"' for f in RATES for n in (8, 13, 26, 52)]
 FEE_CHANGES += [f'{change(f"{f}_avg4", f"{f}_avg{tail(n)}")} AS "{f}_ch_1-{n}_1-4"' for f in FEE_SCORED[6:] for n in (8, 13, 26, 52)]
 _kept = [f"{f}_avg" for f in FEE_SCORED] + [f"{f}_share_avg{n}" for f in SHARE_FEES for n in (4, 8, 13, 26)]
 _names = ["cents_p_gallon4", "cents_p_gallon8", "cents_p_gallon_before4", "cents_p_gallon_before8"]
-cte("fee_features", "fee_avg fee_edges", f"""
+cte("fee_features", "fee_rates fee_edges", f"""
   SELECT parentname, {', '.join(_kept)}, {', '.join(f'coalesce({c}, 0) AS {c}' for c in _names)}, {FEE_SCORES},
          {', '.join(f'(coalesce(cents_p_gallon{n} > cents_p_gallon_before{n}, false))::INTEGER AS max_cents_p_gallon{n}' for n in (4, 8))}, {', '.join(FEE_CHANGES)}
-  FROM fee_avg CROSS JOIN fee_edges""")
+  FROM fee_rates CROSS JOIN fee_edges""")
 
 FLAG_FEES = ["late_interest_fee", "program_fee", "optional_program", "risk_based_pricing", "other_fees"]
 UP_TO = {n: f"week_rank <= {n}" for n in (4, 8, 13, 26, 52)}

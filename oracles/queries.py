@@ -47,11 +47,18 @@ sql("channel_spend_weekly", "express_check virtual_check vcap ecash", """
   SELECT * FROM express_check FULL JOIN virtual_check USING (customer_id, week) FULL JOIN vcap USING (customer_id, week)
   FULL JOIN ecash USING (customer_id, week)""")
 sql("platform_fee_weekly", "platform_fee", "SELECT * FROM platform_fee")
-sql("fee_ledger_weekly", " ".join(f"fee_{f}" for f in inp.FEES), "SELECT * FROM fee_late "
+_counts = [f[k] for f in [*inp.FEES.values(), inp.EXPRESS] for k in (2, 3)] + ["num_of_fleet_fees_applied", "total_fuel_trx", "total_nonfuel_trx", "total_num_trx"]
+
+
+def as_double(names: list[str]) -> str:
+    return "* REPLACE (" + ", ".join(f"{n}::DOUBLE AS {n}" for n in names) + ")"
+
+
+sql("fee_ledger_weekly", " ".join(f"fee_{f}" for f in inp.FEES), f"SELECT {as_double(_counts[:18])} FROM fee_late "
     + " ".join(f"FULL JOIN fee_{f} USING (customer_id, week)" for f in list(inp.FEES)[1:]))
 sql("fee_equipment", "fee_equipment", "SELECT * FROM fee_equipment")
 sql("settlement_fee_weekly", "fee_express", "SELECT * FROM fee_express")
-sql("weekly_fact", "fact", "SELECT * FROM fact")
+sql("weekly_fact", "fact", f"SELECT {as_double(_counts)} FROM fact")
 sql("rollup_weekly", "weekly", "SELECT * FROM weekly")
 sql("active_parents", "enough", "SELECT * FROM enough")
 sql("orphan_parents", "acct enough", """
@@ -148,9 +155,9 @@ def pivot(index: str, value: str, wrap: str) -> str:
 
 sql("priority_pivot", "prio", pivot("priority_bin", "1", "coalesce({}, 0)::BIGINT"))
 sql("revenue_pivot", "prio", pivot("revenue_bin", "last_52_weeks_revenue_x", "round(coalesce({}, 0), 6)::DOUBLE"))
-_level = [f"{c}_{s} AS {c}_{'parent' if s == 'x' else 'account'}_level" for s in "xy" for m in ("gallons", "revenue")
+_level = [f"c.{c}_{s} AS {c}_{'parent' if s == 'x' else 'account'}_level" for s in "xy" for m in ("gallons", "revenue")
           for c in (f"last_52_weeks_{m}", f"max_{m}_per_month", f"last_52_weeks_{m}_max")]
-_level += [f"round(monthly_avg_{m}_last_52_weeks_{s}, 6) AS monthly_avg_{m}_last_52_weeks_{'parent' if s == 'x' else 'account'}_level" for s in "xy" for m in ("gallons", "revenue")]
+_level += [f"round(c.monthly_avg_{m}_last_52_weeks_{s}, 6) AS monthly_avg_{m}_last_52_weeks_{'parent' if s == 'x' else 'account'}_level" for s in "xy" for m in ("gallons", "revenue")]
 sql("account_priority", "combined prio", f"""
   SELECT c.parentname, c.acctcode, c.prob AS attrition_prob, {', '.join(_level)}, c.last_transaction_week, c.last_transaction_month,
          c.last_4_weeks_gallons, c.last_8_weeks_gallons, c.last_13_weeks_gallons, c.last_26_weeks_gallons, c.count_sf_cases_last3m, c.phone,
@@ -193,7 +200,7 @@ _yj = """CASE WHEN value >= 0 THEN CASE WHEN lam = 0 THEN ln(1 + value) ELSE ((1
 sql("power_transform", "long", f"""
   SELECT parentname, {', '.join(f"max(v) FILTER (measure = '{c}') AS {c}" for c in _pt)} FROM (
     SELECT parentname, measure, round({_yj}, 4) AS v FROM long JOIN (
-      SELECT measure, CASE WHEN max(ll) IS NULL THEN 1 ELSE arg_max(lam, (ll, -lam)) END::DOUBLE AS lam FROM (
+      SELECT measure, CASE WHEN max(ll) IS NULL THEN 1 ELSE arg_max(lam, (ll, -lam)) FILTER (ll IS NOT NULL) END::DOUBLE AS lam FROM (
         SELECT measure, lam, CASE WHEN vr > 1e-12 THEN round(-n / 2 * ln(vr) + (lam - 1) * logs, 6) END AS ll FROM (
           SELECT measure, lam, count(*) AS n, var_pop({_yj}) AS vr, sum(sign(value) * ln(1 + abs(value))) AS logs
           FROM long CROSS JOIN (SELECT unnest({_grid}) AS lam) GROUP BY 1, 2)) GROUP BY 1) USING (measure)
