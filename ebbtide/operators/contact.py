@@ -24,9 +24,13 @@ SURVEY_COUNTS = [
 
 
 def _of_accounts(rows: DataFrame, contacts: DataFrame, parents: DataFrame) -> DataFrame:
-    """Events joined over distinct contacts to active accounts with a parent."""
-    refs = contacts.select("account_ref", "customer_id").distinct()
-    return rows.join(refs, "account_ref").join(parents, "customer_id").drop("account_ref")
+    """Events joined over distinct contacts to active accounts with a parent.
+
+    The account sides are joined first, so the event rows, of which one account
+    may hold very many, are shuffled for a single join.
+    """
+    refs = contacts.select("account_ref", "customer_id").distinct().join(parents, "customer_id")
+    return rows.join(refs, "account_ref").drop("account_ref")
 
 
 def dedup_cases(rows: DataFrame) -> DataFrame:

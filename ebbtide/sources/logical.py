@@ -19,7 +19,6 @@ from ebbtide.sources.tables import Tables, within_days
 
 Days = tuple[dt.date, dt.date] | None
 
-FUEL_TYPES = ["SMALL", "MEDIUM", "LARGE"]
 PRODUCT_OF_TYPE = {
     "SMALL": "FUEL", "MEDIUM": "MASTERCARD", "LARGE": "PROPRIETARY",
     "ECONOMY": "ECASH", "STANDARD": "EXPRESS CHECK", "PROMO": "NON-CORE",
@@ -95,85 +94,65 @@ def _sales(t: Tables, days: Days) -> DataFrame:
     return lines.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
 
 
+IS_A = "o_orderpriority IN ('1-URGENT', '2-HIGH')"
+IS_FUEL = "p_type IN ('SMALL', 'MEDIUM', 'LARGE')"
+NO_AMOUNTS = ["gas_gallons", "rebate_direct", "rebate_other", "rebate_variance", "discount_mainframe", "other_gallons",
+              "trailer_cost", "other_cost", "product_amount_2", "product_amount_3", "oil_cost", "cash_advance_amount"]
+NO_FLAGS = ["trailer_fuel", "other_fuel", "product_2", "product_3", "oil", "cash"]
+
+
 def transactions(t: Tables, days: Days = None) -> DataFrame:
     """Transactions of both platforms; each fills its own columns."""
-    a, b = _is_platform_a(), ~_is_platform_a()
-    fuel = F.col("p_type").isin(FUEL_TYPES)
-    spend, volume = F.col("l_extendedprice"), F.col("l_quantity")
-    card = F.pmod("l_suppkey", F.lit(10))
-    nothing = F.lit(None).cast("double")
-    return _sales(t, days).select(
-        F.col("o_custkey").alias("customer_id"),
-        F.col("o_orderdate").cast("date").alias("trx_date"),
-        F.when(a, "A").otherwise("B").alias("platform"),
-        # platform A
-        F.when(a, F.when(card == 3, "Express Check").otherwise("MasterCard")).alias("billing_type"),
-        F.when(a, F.when(card == 0, "556736").when(card == 1, "555622").when(card == 2, "556766").otherwise("540000")).alias("card_bin"),
-        F.when(a, spend).alias("spend"),
-        F.when(a, F.lit(1)).alias("txns"),
-        F.when(a & fuel, volume).alias("diesel_gallons"),
-        nothing.alias("gas_gallons"),
-        F.when(a, spend * F.col("l_discount")).alias("rebate_mainframe"),
-        nothing.alias("rebate_direct"),
-        nothing.alias("rebate_other"),
-        nothing.alias("rebate_variance"),
-        nothing.alias("discount_mainframe"),
-        # platform B
-        F.when(b, F.when(F.pmod("l_suppkey", F.lit(50)) == 0, "MC901").otherwise("SC001")).alias("service_centre"),
-        F.when(b & fuel, volume).alias("fuel_gallons"),
-        nothing.alias("other_gallons"),
-        F.when(b & fuel, spend).alias("tractor_cost"),
-        nothing.alias("trailer_cost"),
-        nothing.alias("other_cost"),
-        F.when(b & ~fuel, spend).alias("product_amount_1"),
-        nothing.alias("product_amount_2"),
-        nothing.alias("product_amount_3"),
-        nothing.alias("oil_cost"),
-        nothing.alias("cash_advance_amount"),
-        F.when(b & fuel, F.lit(1)).alias("tractor_fuel"),
-        F.lit(None).cast("int").alias("trailer_fuel"),
-        F.lit(None).cast("int").alias("other_fuel"),
-        F.when(b & ~fuel, F.lit(1)).alias("product_1"),
-        F.lit(None).cast("int").alias("product_2"),
-        F.lit(None).cast("int").alias("product_3"),
-        F.lit(None).cast("int").alias("oil"),
-        F.lit(None).cast("int").alias("cash"),
-        F.when(b, spend * F.col("l_discount")).alias("select_discount"),
-        F.when(b & fuel, F.col("l_tax")).alias("fuel_rate"),
-        F.when(b & (F.col("l_linenumber") == 1), F.lit(0.5)).alias("cash_advance_rate"),
-        F.when(b & (F.col("l_linestatus") == "O"), F.lit(0.25)).alias("handling_charge"),
+    platform_a = {
+        "billing_type": "CASE WHEN pmod(l_suppkey, 10) = 3 THEN 'Express Check' ELSE 'MasterCard' END",
+        "card_bin": "CASE pmod(l_suppkey, 10) WHEN 0 THEN '556736' WHEN 1 THEN '555622' WHEN 2 THEN '556766' ELSE '540000' END",
+        "spend": "l_extendedprice",
+        "txns": "1",
+        "diesel_gallons": f"CASE WHEN {IS_FUEL} THEN l_quantity END",
+        "rebate_mainframe": "l_extendedprice * l_discount",
+    }
+    platform_b = {
+        "service_centre": "CASE WHEN pmod(l_suppkey, 50) = 0 THEN 'MC901' ELSE 'SC001' END",
+        "fuel_gallons": f"CASE WHEN {IS_FUEL} THEN l_quantity END",
+        "tractor_cost": f"CASE WHEN {IS_FUEL} THEN l_extendedprice END",
+        "product_amount_1": f"CASE WHEN NOT {IS_FUEL} THEN l_extendedprice END",
+        "tractor_fuel": f"CASE WHEN {IS_FUEL} THEN 1 END",
+        "product_1": f"CASE WHEN NOT {IS_FUEL} THEN 1 END",
+        "select_discount": "l_extendedprice * l_discount",
+        "fuel_rate": f"CASE WHEN {IS_FUEL} THEN l_tax END",
+        "cash_advance_rate": "CASE WHEN l_linenumber = 1 THEN 0.5D END",
+        "handling_charge": "CASE WHEN l_linestatus = 'O' THEN 0.25D END",
+    }
+    return _sales(t, days).selectExpr(
+        "o_custkey AS customer_id", "CAST(o_orderdate AS DATE) AS trx_date", f"if({IS_A}, 'A', 'B') AS platform",
+        *[f"CASE WHEN {IS_A} THEN {text} END AS {name}" for name, text in platform_a.items()],
+        *[f"CASE WHEN NOT {IS_A} THEN {text} END AS {name}" for name, text in platform_b.items()],
+        *[f"CAST(NULL AS DOUBLE) AS {name}" for name in NO_AMOUNTS],
+        *[f"CAST(NULL AS INT) AS {name}" for name in NO_FLAGS],
     )
 
 
 def ledger(t: Tables, days: Days = None) -> DataFrame:
     """Fee ledger: signed amounts under product codes, late fees on their own account."""
-    amount = F.col("l_extendedprice") * F.col("l_tax")
-    signed = F.when(F.col("l_returnflag") == "R", amount).otherwise(-amount)
-    line = F.col("l_linenumber")
-    equipment = F.col("p_size") <= 3
-    sub2 = F.lpad(F.col("p_size").cast("string"), 5, "0")
-    open_line = F.col("l_linestatus") == "O"
-    code = (
-        F.when(equipment, "00700").when(line == 5, "00175").when((line == 7) & open_line, "00200")
-        .when(line == 7, "00630").when(line.isin(2, 3, 4, 6), "00500").otherwise("00999")
-    )
-    sub1 = F.when((line == 7) & open_line & ~equipment, "90005").otherwise("90001")
-    sub2 = (
-        F.when(equipment, sub2).when(line == 2, "00068").when(line == 3, "00067").when(line == 4, "00074")
-        .when(line == 6, "00070").when((line == 7) & ~open_line, "00004").otherwise("00000")
-    )
-    late = (line == 1) & ~equipment
     source = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
     if days is not None:
         source = source.where(within_days("o_orderdate", days) | within_days("l_shipdate", days))
-    return source.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(
-        F.concat(F.lit("AR-"), F.lpad(F.col("o_custkey").cast("string"), ACCOUNT_WIDTH, "0")).alias("account_no"),
-        F.col("l_shipdate").cast("date").alias("load_date"),
-        F.col("o_orderdate").cast("date").alias("tran_date"),
-        code.alias("product_code"), sub1.alias("sub_product_1"), sub2.alias("sub_product_2"),
-        F.when(late, F.when(F.pmod("l_orderkey", F.lit(2)) == 0, 55).otherwise(54)).alias("late_gl_no"),
-        F.when(late, signed).alias("late_gl_amount"),
-        signed.alias("revenue_amount"),
+    late = "l_linenumber = 1 AND p_size > 3"
+    signed = "CASE WHEN l_returnflag = 'R' THEN l_extendedprice * l_tax ELSE -(l_extendedprice * l_tax) END"
+    return source.join(t.part, F.col("l_partkey") == F.col("p_partkey")).selectExpr(
+        f"concat('AR-', lpad(CAST(o_custkey AS STRING), {ACCOUNT_WIDTH}, '0')) AS account_no",
+        "CAST(l_shipdate AS DATE) AS load_date",
+        "CAST(o_orderdate AS DATE) AS tran_date",
+        """CASE WHEN p_size <= 3 THEN '00700' WHEN l_linenumber = 5 THEN '00175'
+                WHEN l_linenumber = 7 THEN if(l_linestatus = 'O', '00200', '00630')
+                WHEN l_linenumber IN (2, 3, 4, 6) THEN '00500' ELSE '00999' END AS product_code""",
+        "CASE WHEN p_size > 3 AND l_linenumber = 7 AND l_linestatus = 'O' THEN '90005' ELSE '90001' END AS sub_product_1",
+        """CASE WHEN p_size <= 3 THEN lpad(CAST(p_size AS STRING), 5, '0') WHEN l_linenumber = 2 THEN '00068'
+                WHEN l_linenumber = 3 THEN '00067' WHEN l_linenumber = 4 THEN '00074' WHEN l_linenumber = 6 THEN '00070'
+                WHEN l_linenumber = 7 AND l_linestatus <> 'O' THEN '00004' ELSE '00000' END AS sub_product_2""",
+        f"CASE WHEN {late} THEN if(pmod(l_orderkey, 2) = 0, 55, 54) END AS late_gl_no",
+        f"CASE WHEN {late} THEN {signed} END AS late_gl_amount",
+        f"{signed} AS revenue_amount",
     )
 
 
