@@ -8,23 +8,71 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+# Says that a local-looking path is one mount on every machine of a cluster.
+MOUNTED = "spark.ebbtide.sharedMount"
 
+_fallback: dict[str, str] = {}
+_runs: dict[str, str] = {}
 
-def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one in local mode only."""
-    folder = spark.conf.get(CHECKPOINT_DIR, None)
-    if folder is None:
-        folder = spark.sparkContext.getConf().get(CHECKPOINT_DIR)
+
+def _setting(spark: SparkSession, key: str) -> str | None:
+    return spark.conf.get(key, None) or spark.sparkContext.getConf().get(key)
+
+
+def shared_folder(spark: SparkSession, folder: str | None = None) -> str:
+    """Folder that the driver and all executors reach.
+
+    ``folder`` wins, else the cluster's checkpoint folder. A temporary folder
+    stands in only where driver and executors are one machine. On a real cluster
+    a missing setting is refused, and so is a local path, unless
+    ``spark.ebbtide.sharedMount`` says that it is a mount all machines have.
+    """
+    folder = folder or _setting(spark, CHECKPOINT_DIR)
+    one_machine = spark.sparkContext.master.startswith("local")
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not one_machine:
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors can reach")
-        folder = tempfile.mkdtemp(prefix="ebbtide-")
-        spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+        app = spark.sparkContext.applicationId
+        return _fallback.setdefault(app, tempfile.mkdtemp(prefix="ebbtide-"))
+    local_path = folder.startswith("file:") or "://" not in folder
+    if not one_machine and local_path and _setting(spark, MOUNTED) != "true":
+        raise ValueError(f"{folder} is a local path; name a shared one or set {MOUNTED}=true")
+    return folder.rstrip("/")
+
+
+def run_folder(spark: SparkSession, folder: str | None = None) -> str:
+    """This application's own folder under the shared one; removed when the driver's JVM ends."""
+    base = shared_folder(spark, folder)
+    key = f"{spark.sparkContext.applicationId} {base}"
+    if key not in _runs:
+        path = f"{base}/ebbtide/{spark.sparkContext.applicationId}-{uuid.uuid4().hex[:8]}"
+        hadoop_path, fs = _hadoop(spark, path)
+        fs.mkdirs(hadoop_path)
+        fs.deleteOnExit(hadoop_path)
+        _runs[key] = path
+    return _runs[key]
+
+
+def _hadoop(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path, hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def release(spark: SparkSession, folder: str | None = None) -> None:
+    """Remove what this application has staged; frames that still read it become invalid."""
+    path = _runs.pop(f"{spark.sparkContext.applicationId} {shared_folder(spark, folder)}", None)
+    if path:
+        hadoop_path, fs = _hadoop(spark, path)
+        fs.delete(hadoop_path, True)
+
+
+def new_path(spark: SparkSession, label: str, folder: str | None = None) -> str:
+    """A fresh path below the run's folder."""
+    return f"{run_folder(spark, folder)}/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
     """Write ``df`` once and read it back: cuts lineage, keeps column pruning."""
-    path = f"{shared_folder(df.sparkSession).rstrip('/')}/ebbtide/{label}-{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession, label, folder)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

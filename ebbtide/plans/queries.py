@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -11,7 +10,7 @@ from pyspark.sql import functions as F
 from ebbtide.functions import labels
 from ebbtide.functions import weeks as wk
 from ebbtide.functions.order_stats import quartile_scores
-from ebbtide.functions.staging import shared_folder, stage
+from ebbtide.functions.staging import new_path, stage
 from ebbtide.modelling import evaluate, explain, prepare, select, train
 from ebbtide.operators import behaviour, checks, contact, fact, feature_table, priority, profile, ranges, rollup
 from ebbtide.operators import calendar as cal
@@ -507,7 +506,7 @@ def score_combine(i: Inputs) -> DataFrame:
 @query
 def sink_slice(i: Inputs) -> DataFrame:
     """Write two slices, write one of them again, and read the table back."""
-    path = f"{shared_folder(i.spark)}/ebbtide/result-{uuid.uuid4().hex}"
+    path = new_path(i.spark, "result")
     base = i.scored.select("parentname", "attrition_prob", "attrition_rank", "churn_flag_predicted")
     earlier = wk.week_key_minus(i.p.current_week, 1)
     for week, rows in ((earlier, base), (i.p.current_week, base), (i.p.current_week, base.where("attrition_rank >= 5"))):
