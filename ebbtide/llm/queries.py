@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ebbtide.llm import exact_dedup, mixing
+from ebbtide.llm import decontaminate, exact_dedup, mixing
 from ebbtide.llm.common import documents
 
 QUERIES: dict = {}
@@ -55,6 +56,37 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query(rf"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r, regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (
+  SELECT item_id, regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w, least(10, len(w)) AS m
+  FROM benchmark WHERE item_id IS NOT NULL),
+p AS (
+  SELECT DISTINCT item_id, m, array_to_string(w[k : k + m - 1], ' ') AS gram
+  FROM (SELECT item_id, w, m, unnest(range(1, len(w) - m + 2)) AS k FROM i WHERE m > 0)),
+h AS (
+  SELECT r, k, c.m, array_to_string(w[k : k + c.m - 1], ' ') AS gram
+  FROM (SELECT d.r, d.w, l.m, unnest(range(1, len(d.w) - l.m + 2)) AS k FROM d, (SELECT DISTINCT m FROM p) l) c),
+o AS (SELECT h.r, h.k, h.m, p.item_id FROM h JOIN p USING (m, gram)),
+n AS (SELECT r, count(DISTINCT word) AS n_hit FROM (SELECT r, unnest(range(k, k + m)) AS word FROM o) GROUP BY r),
+e AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT r, item_id::VARCHAR AS item FROM o) GROUP BY r)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n.n_hit, 0) AS n_hit, coalesce(e.n_items, 0) AS n_items,
+       sha256(coalesce(e.ids, '')) AS items_sha256, coalesce(n.n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n USING (r) LEFT JOIN e USING (r)""")
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = decontaminate.benchmark_hits(
+        documents(spark, sf_dir).select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    )
+    n_hit = F.aggregate("runs", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["start"])
+    return hits.select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
+    )
+
+
 @query(f"""
 WITH d AS (SELECT doc_id, {LOWERED} AS t FROM documents)
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
