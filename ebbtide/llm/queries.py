@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm import decontaminate, exact_dedup, mixing
+from ebbtide.llm import decontaminate, exact_dedup, mixing, ngram_join
 from ebbtide.llm.common import documents
 
 QUERIES: dict = {}
@@ -87,6 +87,11 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 @query(f"""
 WITH d AS (SELECT doc_id, {LOWERED} AS t FROM documents)
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
