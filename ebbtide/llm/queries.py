@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm import decontaminate, exact_dedup, mixing, ngram_join
+from ebbtide.llm import decontaminate, exact_dedup, language, mixing, ngram_join
 from ebbtide.llm.common import documents
 
 QUERIES: dict = {}
@@ -92,6 +92,13 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(documents(spark, sf_dir).select("doc_id", "text"))
 
 
+@query()
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    model = language.fit(docs.where(~language.held_out()))
+    return language.identify(docs, model).select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
 @query(f"""
 WITH d AS (SELECT doc_id, {LOWERED} AS t FROM documents)
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
