@@ -29,7 +29,8 @@ def frequent_keys(keys: DataFrame, counters: int = COUNTERS) -> DataFrame:
     merged = sketches.groupBy(F.floor(F.col("part") / FAN_IN).alias("part")).agg(
         F.expr("approx_top_k_combine(sketch)").alias("sketch")
     )
-    top = merged.agg(F.expr(f"approx_top_k_combine(sketch, {counters})").alias("sketch"))
+    # Grouped by a constant: a global aggregate would merge empty buffers of empty partitions, which this sketch refuses.
+    top = merged.groupBy(F.lit(0).alias("one")).agg(F.expr(f"approx_top_k_combine(sketch, {counters})").alias("sketch"))
     items = top.select(F.explode(F.expr(f"approx_top_k_estimate(sketch, {counters})")).alias("item"))
     return items.where("item.count > 1").select(F.col("item.item").alias("key")).distinct()
 
