@@ -16,6 +16,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/pages.parquet")
+
+
 def lower_ascii(text: Column) -> Column:
     """Lower-case A-Z and nothing else; null becomes the empty text."""
     return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)

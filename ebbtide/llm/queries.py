@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm import decontaminate, exact_dedup, language, mixing, ngram_join, substring_dedup
-from ebbtide.llm.common import documents
+from ebbtide.llm import decontaminate, exact_dedup, language, mixing, ngram_join, substring_dedup, warc
+from ebbtide.llm.common import documents, pages
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -105,6 +105,20 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, model).select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
+@query("""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS x FROM pages),
+c AS (
+  SELECT page_id, h, x, list_transform(range(8), lambda k: ('0x' || x[5 * k + 1 : 5 * k + 5])::BIGINT) AS g, max(page_id) OVER (PARTITION BY h) AS top FROM p)
+SELECT page_id, strlen(h) AS payload_bytes,
+       array_to_string(list_transform(g, lambda v: array_to_string(list_transform([15, 10, 5, 0],
+         lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v >> s) & 31)::INTEGER + 1, 1)), '')), '') AS payload_digest,
+       CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> top THEN top END AS refers_to
+FROM c""")
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.captures(pages(spark, sf_dir)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query(f"""
 WITH d AS (SELECT doc_id, {LOWERED} AS t FROM documents)
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
