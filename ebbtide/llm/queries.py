@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm import decontaminate, exact_dedup, language, mixing, ngram_join, substring_dedup, warc
+from ebbtide.llm import decontaminate, exact_dedup, html_wrapper, language, mixing, ngram_join, substring_dedup, warc
 from ebbtide.llm.common import documents, pages
 
 QUERIES: dict = {}
@@ -119,6 +119,11 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.captures(pages(spark, sf_dir)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query()
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_wrapper.extract(pages(spark, sf_dir))
+
+
 @query(f"""
 WITH d AS (SELECT doc_id, {LOWERED} AS t FROM documents)
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
