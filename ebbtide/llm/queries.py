@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm import decontaminate, exact_dedup, html_wrapper, language, mixing, ngram_join, substring_dedup, warc
+from ebbtide.llm import decontaminate, exact_dedup, html_wrapper, language, mixing, ngram_join, resample, substring_dedup, warc
 from ebbtide.llm.common import documents, pages
 
 QUERIES: dict = {}
@@ -25,6 +25,15 @@ def query(sql: str | None = None):
 LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+@query()
+def op1_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    good = (F.col("quality") == 1) & (F.col("toxic") == 0)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", F.coalesce(good, F.lit(False)).alias("is_target"))
+    ratio = resample.fit(docs, labels.where("is_target").select("doc_id"))
+    return resample.resample(docs, ratio, resample.sample_size(docs, labels))
+
+
 @query(r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
