@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm import decontaminate, exact_dedup, html_wrapper, language, mixing, ngram_join, resample, substring_dedup, warc
+from ebbtide.llm import decontaminate, exact_dedup, html_wrapper, language, mixing, ngram_join, pii, resample, substring_dedup, warc
 from ebbtide.llm.common import documents, pages
 
 QUERIES: dict = {}
@@ -96,6 +96,63 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(r"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS x FROM documents),
+m AS (
+  SELECT r, 0 AS kind, string_split_regex(x, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+') AS p,
+         regexp_extract_all(x, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+') AS v FROM t
+  UNION ALL SELECT r, 1, string_split_regex(x, '[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)'), regexp_extract_all(x, '[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)') FROM t
+  UNION ALL SELECT r, 2, string_split_regex(x, '[0-9]([\x20-]?[0-9])+'), regexp_extract_all(x, '[0-9]([\x20-]?[0-9])+') FROM t
+  UNION ALL SELECT r, 3, string_split_regex(x, '\+[0-9][\x20().0-9-]+[0-9]'), regexp_extract_all(x, '\+[0-9][\x20().0-9-]+[0-9]') FROM t),
+c AS (
+  SELECT r, kind, v[i] AS value, regexp_replace(v[i], '[^0-9]', '', 'g') AS digits, p[i] AS b, p[i + 1] AS a,
+         sum(length(p[i]) + length(v[i])) OVER (PARTITION BY r, kind ORDER BY i) AS stop
+  FROM (SELECT r, kind, p, v, unnest(range(1, len(v) + 1)) AS i FROM m)),
+base AS (
+  SELECT r, kind, stop - length(value) AS start, stop, lower(value) AS value,
+         list_distinct(regexp_extract_all(lower(
+           CASE WHEN length(b) > 120 THEN regexp_replace(right(b, 120), '^\p{L}+', '') ELSE b END || ' ' ||
+           CASE WHEN length(a) > 120 THEN regexp_replace(left(a, 120), '\p{L}+$', '') ELSE a END), '\p{L}+')) AS terms
+  FROM c
+  WHERE CASE kind WHEN 0 THEN true
+    WHEN 1 THEN list_bool_and(list_transform(string_split(value, '.'), lambda q: length(ltrim(q, '0')) <= 3 AND coalesce(try_cast(left(ltrim(q, '0'), 3) AS INTEGER), 0) <= 255))
+    WHEN 2 THEN length(digits) BETWEEN 16 AND 19 AND list_sum(list_transform(range(1, length(digits) + 1), lambda i:
+      CASE WHEN i % 2 = 1 THEN substr(reverse(digits), i, 1)::INTEGER
+           WHEN substr(reverse(digits), i, 1)::INTEGER > 4 THEN substr(reverse(digits), i, 1)::INTEGER * 2 - 9
+           ELSE substr(reverse(digits), i, 1)::INTEGER * 2 END)) % 10 = 0
+    ELSE length(digits) BETWEEN 8 AND 15 END),
+n AS (SELECT count(*)::DOUBLE AS total FROM t),
+pairs AS (SELECT DISTINCT r, kind, value, unnest(terms) AS term FROM base),
+near AS (
+  SELECT kind, value, term, both_n, n_value
+  FROM (SELECT kind, value, term, count(*) AS both_n FROM pairs GROUP BY ALL HAVING count(*) >= 2)
+  JOIN (SELECT kind, value, count(DISTINCT r) AS n_value FROM base GROUP BY ALL) USING (kind, value), n WHERE n_value < total),
+spread AS (
+  SELECT term, count(*) AS n_term FROM (SELECT unnest(list_distinct(regexp_extract_all(lower(x), '\p{L}+'))) AS term FROM t)
+  WHERE term IN (SELECT term FROM near) GROUP BY term),
+disclosing AS (
+  SELECT kind, value, term, round(ln(both_n * total / (n_value * n_term)) / ln(total / n_value), 6) AS d FROM near JOIN spread USING (term), n),
+terms AS (SELECT DISTINCT r, term FROM pairs JOIN disclosing USING (kind, value, term) WHERE d >= 0.9),
+w AS (
+  SELECT r, lower(v[i]) AS term, length(v[i]) AS size, sum(length(p[i]) + length(v[i])) OVER (PARTITION BY r ORDER BY i) AS stop
+  FROM (SELECT r, p, v, unnest(range(1, len(v) + 1)) AS i FROM (
+    SELECT r, string_split_regex(x, '\p{L}+') AS p, regexp_extract_all(x, '\p{L}+') AS v FROM t WHERE r IN (SELECT r FROM terms)))),
+spans AS (
+  SELECT r, kind, start, stop FROM base
+  UNION ALL SELECT w.r, 4, w.stop - w.size, w.stop FROM w JOIN terms USING (r, term)
+  WHERE NOT EXISTS (SELECT 1 FROM base WHERE base.r = w.r AND base.start < w.stop AND base.stop > w.stop - w.size)),
+g AS (
+  SELECT r, count(*) FILTER (kind = 0) AS n_email, count(*) FILTER (kind = 1) AS n_ip, count(*) FILTER (kind = 2) AS n_card, count(*) FILTER (kind = 3) AS n_phone,
+         string_agg(['email', 'ip', 'card', 'phone', 'term'][kind + 1] || ':' || start || ':' || stop, ',' ORDER BY kind, start) AS spans,
+         string_agg(['email', 'ip', 'card', 'phone'][kind + 1] || ':' || start || ':' || stop, ',' ORDER BY kind, start) FILTER (kind < 4) AS base
+  FROM spans GROUP BY r)
+SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card, coalesce(n_phone, 0) AS n_phone,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM t LEFT JOIN g USING (r)""")
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.span_columns(pii.personal_spans(documents(spark, sf_dir).select("doc_id", "text")))
+
+
 @query()
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(documents(spark, sf_dir).select("doc_id", "text"))
