@@ -10,6 +10,7 @@ bounded by the shortest pattern of a table.
 from __future__ import annotations
 
 import re
+import uuid
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
 
@@ -109,16 +110,15 @@ def item_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_words:
         yield [(r[0], r[1]) for r in rows if r[1] and r[0] is not None]
 
 
-_built: dict[tuple, list[Tables]] = {}
+_built: dict[str, list[Tables]] = {}
 
 
-def _tables(shared, window: int) -> list[Tables]:
-    """Tables of a broadcast set of items, built once per Python worker."""
-    key = (shared.id if hasattr(shared, "id") else id(shared), window)
-    if key not in _built:
+def _tables(shared, name: str, window: int) -> list[Tables]:
+    """Tables of a broadcast set of items, built once per Python worker; ``name`` is the set's own."""
+    if name not in _built:
         _built.clear()
-        _built[key] = build_tables(shared.value, window)
-    return _built[key]
+        _built[name] = build_tables(shared.value, window)
+    return _built[name]
 
 
 RUNS = "array<struct<start: long, end: long>>"
@@ -150,8 +150,8 @@ def benchmark_hits(
             frame = stage(frame, "hits")
         shared = spark.sparkContext.broadcast(block)
 
-        def scan(batches, shared=shared):
-            tables = _tables(shared, window)
+        def scan(batches, shared=shared, name=uuid.uuid4().hex):
+            tables = _tables(shared, name, window)
             for batch in batches:
                 counts, runs, items = [], [], []
                 for text, old_runs, old_items in zip(*(batch.column(c).to_pylist() for c in ("text", "runs", "items"))):
@@ -184,8 +184,8 @@ def drop_contaminated(
             docs = stage(docs, "clean")
         shared = spark.sparkContext.broadcast(block)
 
-        def clean(batches, shared=shared):
-            tables = _tables(shared, window)
+        def clean(batches, shared=shared, name=uuid.uuid4().hex):
+            tables = _tables(shared, name, window)
             for batch in batches:
                 texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
                 yield batch.filter(pa.array([not search(t, tables)[1] for t in texts], pa.bool_()))
