@@ -1,3 +1,3 @@
-"""Customer-attrition analytics as Spark DataFrame operators."""
+"""Customer-churn analytics as Spark DataFrame operators."""
 
 __version__ = "0.1.0"

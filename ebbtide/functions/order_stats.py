@@ -1,75 +1,51 @@
 """Exact ranks and quantiles that never put a whole group into one task.
 
 Everything rests on :func:`value_positions`: the distinct values of each group
-with their counts and the number of rows below them. The counts are staged, so
-their size is known: few values are ordered by a plain window, many are cut at
-split points drawn from the values themselves, so that a group of any size is
-sorted in pieces.
+with their counts and the number of rows below them. The distinct values are cut
+into ranges whose number grows with theirs, ordered within each range, and shifted
+by the sums of the ranges before it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbtide.functions.staging import stage
 
-# About this many split points are drawn over all groups together; they are
-# the only data broadcast here, so its size does not grow with the input.
-SPLITS = 256
-# Up to this many distinct values in total, one window per group is safe.
-WINDOW_LIMIT = 1_000_000
+# Distinct values that one range holds on average.
+PIECE_VALUES = 200_000
 
 
-def value_positions(rows: DataFrame, group: list[str], value: str, window_limit: int = WINDOW_LIMIT) -> DataFrame:
+def value_positions(rows: DataFrame, group: list[str], value: str, piece_values: int = PIECE_VALUES) -> DataFrame:
     """One row per (group, value): ``n`` rows, ``below`` rows and ``dense`` rank.
 
-    Null values are left out. ``dense`` starts at 1 for the smallest value.
+    Null values are left out. ``dense`` starts at 1 for the smallest value. A
+    repeated value is one row, so ties of any number do not matter.
     """
     present = rows.where(F.col(value).isNotNull())
     counts = stage(present.groupBy(*group, value).agg(F.count("*").alias("n")), "counts")
-    distinct = counts.count()
-    if distinct <= window_limit:
-        return _positions_within(counts, group, value)
-    return _positions_in_pieces(counts, group, value, max(1, distinct // SPLITS))
-
-
-def _local_positions(counts: DataFrame, group: list[str], value: str) -> DataFrame:
-    within = Window.partitionBy(*group).orderBy(value)
-    before = within.rowsBetween(Window.unboundedPreceding, -1)
-    return counts.withColumns({
-        "below": F.coalesce(F.sum("n").over(before), F.lit(0)), "dense": F.row_number().over(within),
-    })
-
-
-def _positions_within(counts: DataFrame, group: list[str], value: str) -> DataFrame:
-    return _local_positions(counts, group, value).select(*group, value, "n", "below", "dense")
-
-
-def _positions_in_pieces(counts: DataFrame, group: list[str], value: str, every: int) -> DataFrame:
-    # Split points are picked by hash, hence the same on every evaluation; a
-    # group without one is small and stays whole.
-    picked = counts.where(F.pmod(F.xxhash64(*group, value), F.lit(every)) == 0)
-    splits = picked.groupBy(*group).agg(F.array_sort(F.collect_list(value)).alias("splits"))
-    piece = F.size(F.filter("splits", lambda s: s < F.col(value)))
-    cut = counts.join(F.broadcast(splits), group, "left").select(
-        *group, value, "n", F.when(F.col("splits").isNotNull(), piece).alias("piece")
-    )
-    # Offsets exist only for groups that were cut: at most one row per split
-    # point plus one per cut group.
-    sizes = cut.where(F.col("piece").isNotNull()).groupBy(*group, "piece").agg(
-        F.sum("n").alias("rows"), F.count("*").alias("values")
-    )
+    pieces = counts.count() // piece_values + 1
+    # Ranges of (group, value): a group of any size spreads over as many as it needs.
+    ranged = counts.repartitionByRange(pieces, *group, value).withColumn("piece", F.spark_partition_id())
+    cut = stage(ranged, "ranges")
+    # One row per group and range it touches.
+    sizes = cut.groupBy(*group, "piece").agg(F.sum("n").alias("rows"), F.count("*").alias("values"))
     earlier = Window.partitionBy(*group).orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
         *group, "piece",
-        F.sum("rows").over(earlier).alias("rows_before"), F.sum("values").over(earlier).alias("values_before"),
+        F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("rows_before"),
+        F.coalesce(F.sum("values").over(earlier), F.lit(0)).alias("values_before"),
     )
-    local = _local_positions(cut, [*group, "piece"], value)
-    return local.join(F.broadcast(offsets), [*group, "piece"], "left").select(
+    within = Window.partitionBy(*group, "piece").orderBy(value)
+    before = within.rowsBetween(Window.unboundedPreceding, -1)
+    local = cut.withColumns({
+        "below": F.coalesce(F.sum("n").over(before), F.lit(0)), "dense": F.row_number().over(within),
+    })
+    return local.join(offsets, [*group, "piece"]).select(
         *group, value, "n",
-        (F.col("below") + F.coalesce("rows_before", F.lit(0))).alias("below"),
-        (F.col("dense") + F.coalesce("values_before", F.lit(0))).alias("dense"),
+        (F.col("below") + F.col("rows_before")).alias("below"),
+        (F.col("dense") + F.col("values_before")).alias("dense"),
     )
 
 

@@ -14,17 +14,22 @@ QUALITY_FLOOR = 0.5
 THRESHOLD = 0.5
 
 
-def score_bands(scores: DataFrame, probability: str = "attrition_prob") -> DataFrame:
-    """Probability to four places half-even, decile rank and class."""
+def score_bands(scores: DataFrame, probability: str = "churn_prob") -> DataFrame:
+    """Probability to four places half-even, decile rank and class.
+
+    The class is the model's own where ``scores`` has it, else the unrounded probability
+    against the threshold.
+    """
+    if "churn_flag_predicted" not in scores.columns:
+        scores = scores.withColumn("churn_flag_predicted", (F.col(probability) >= THRESHOLD).cast("int"))
     rounded = half_even(F.col(probability), 4)
-    return scores.withColumn(probability, rounded).withColumns({
-        "attrition_rank": F.floor(F.round(F.col(probability) * 10, 6)).cast("int"),
-        "churn_flag_predicted": (F.col(probability) >= THRESHOLD).cast("int"),
-    })
+    return scores.withColumn(probability, rounded).withColumn(
+        "churn_rank", F.floor(F.round(F.col(probability) * 10, 6)).cast("int")
+    )
 
 
 def score_distribution(scored: DataFrame) -> DataFrame:
-    return scored.groupBy("attrition_rank").agg(F.count("*").alias("parents"))
+    return scored.groupBy("churn_rank").agg(F.count("*").alias("parents"))
 
 
 def _safe(num: Column, den: Column) -> Column:
@@ -47,7 +52,7 @@ def binary_metrics(scored: DataFrame, actual: str = "churn_flag", predicted: str
     })
 
 
-def precision_at_n(scored: DataFrame, n: int, score: str = "attrition_prob", actual: str = "churn_flag") -> DataFrame:
+def precision_at_n(scored: DataFrame, n: int, score: str = "churn_prob", actual: str = "churn_flag") -> DataFrame:
     """Share of positives in the n best scores, at best one."""
     positives = scored.agg(F.sum(actual).alias("positives"))
     best = scored.orderBy(F.desc(score), "parentname").limit(n).agg(F.sum(actual).alias("hits"))

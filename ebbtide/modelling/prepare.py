@@ -50,13 +50,13 @@ def align(features: DataFrame, columns: Sequence[str], keep: Sequence[str] = ("p
     """Exactly the model's columns in its order; absent ones are 0.0."""
     present = set(features.columns)
     values = [(q(c).cast("double") if c in present else F.lit(0.0)).alias(c) for c in columns]
-    return features.select(*keep, *values)
+    return features.select(*[q(c) for c in keep], *values)
 
 
 def long_form(features: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """(keep…, measure, value): statistics of hundreds of columns become one grouped pass."""
-    doubles = features.select(*keep, *[q(c).cast("double").alias(c) for c in columns])
-    return doubles.unpivot(list(keep), [q(c) for c in columns], "measure", "value")
+    doubles = features.select(*[q(c) for c in keep], *[q(c).cast("double").alias(c) for c in columns])
+    return doubles.unpivot([q(c) for c in keep], [q(c) for c in columns], "measure", "value")
 
 
 def constant_columns(features: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -1 +1 @@
-"""DataFrame-to-DataFrame operators of the attrition pipeline."""
+"""DataFrame-to-DataFrame operators of the churn pipeline."""

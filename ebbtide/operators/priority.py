@@ -12,7 +12,7 @@ from ebbtide.functions.staging import stage
 # Right-closed bins, the first one closed on both sides.
 BIN_EDGES = [0.2, 0.4, 0.6, 0.8, 1.0]
 BIN_LABELS = ["0-0.2", "0.2-0.4", "0.4-0.6", "0.6-0.8", "0.8-1"]
-BIN_COLUMNS = ["attrition_bin_0_0_2", "attrition_bin_0_2_0_4", "attrition_bin_0_4_0_6", "attrition_bin_0_6_0_8", "attrition_bin_0_8_1"]
+BIN_COLUMNS = ["churn_bin_0_0_2", "churn_bin_0_2_0_4", "churn_bin_0_4_0_6", "churn_bin_0_6_0_8", "churn_bin_0_8_1"]
 GRAND_TOTAL = "Grand Total"
 RANKED_COLUMNS = [
     "last_52_weeks_gallons_x", "last_52_weeks_gallons_max_x", "last_52_weeks_revenue_x", "last_52_weeks_revenue_max_x",
@@ -35,7 +35,7 @@ def bin_label(value: Column) -> Column:
 
 def parent_frame(combined: DataFrame) -> DataFrame:
     """One row per parent with gallons; the parent columns repeat on each account."""
-    columns = ["attrition_prob_x", *RANKED_COLUMNS]
+    columns = ["churn_prob_x", *RANKED_COLUMNS]
     parents = combined.groupBy(F.col("parentname_x").alias("parentname")).agg(
         F.first(F.struct(*columns)).alias("_row")
     ).select("parentname", "_row.*")
@@ -55,26 +55,26 @@ def parent_priority(combined: DataFrame) -> DataFrame:
     parents = parent_frame(combined)
     pct = [f"{c.removesuffix('_x')}_pct" for c in RANKED_COLUMNS]
     ranked = parents.join(parent_pct_rank(parents), "parentname").withColumn(
-        "priority", F.col("attrition_prob_x") * F.greatest(*pct)
+        "priority", F.col("churn_prob_x") * F.greatest(*pct)
     ).withColumns({
-        "attrition_prob_bin": bin_label(F.col("attrition_prob_x")),
+        "churn_prob_bin": bin_label(F.col("churn_prob_x")),
         "priority_bin": bin_label(F.col("priority")),
         "revenue_bin": bin_label(F.col("last_52_weeks_revenue_pct")),
     })
     # At most 25 pairs of bins exist; the label text sorts like the bin.
-    pairs = ranked.select("priority_bin", "attrition_prob_bin").distinct()
-    order = Window.orderBy(F.desc("priority_bin"), F.desc("attrition_prob_bin"))
-    pairs = pairs.where("priority_bin IS NOT NULL AND attrition_prob_bin IS NOT NULL").withColumn("parent_rank", F.dense_rank().over(order))
-    return ranked.join(F.broadcast(pairs), ["priority_bin", "attrition_prob_bin"], "left")
+    pairs = ranked.select("priority_bin", "churn_prob_bin").distinct()
+    order = Window.orderBy(F.desc("priority_bin"), F.desc("churn_prob_bin"))
+    pairs = pairs.where("priority_bin IS NOT NULL AND churn_prob_bin IS NOT NULL").withColumn("parent_rank", F.dense_rank().over(order))
+    return ranked.join(F.broadcast(pairs), ["priority_bin", "churn_prob_bin"], "left")
 
 
 def _pivot(rows: DataFrame, index: str, value: Column) -> DataFrame:
     """Five by five cells with a total row and column; empty cells are zero."""
     cells = [
-        F.coalesce(F.sum(F.when(F.col("attrition_prob_bin") == label, value)), F.lit(0)).alias(name)
+        F.coalesce(F.sum(F.when(F.col("churn_prob_bin") == label, value)), F.lit(0)).alias(name)
         for label, name in zip(BIN_LABELS, BIN_COLUMNS)
     ]
-    binned = rows.where(F.col(index).isNotNull() & F.col("attrition_prob_bin").isNotNull())
+    binned = rows.where(F.col(index).isNotNull() & F.col("churn_prob_bin").isNotNull())
     totals = binned.rollup(index).agg(*cells, F.coalesce(F.sum(value), F.lit(0)).alias("grand_total"))
     totals = totals.withColumn(index, F.coalesce(index, F.lit(GRAND_TOTAL)))
     spine = rows.sparkSession.createDataFrame([(x,) for x in [*BIN_LABELS, GRAND_TOTAL]], f"{index} string")
@@ -93,7 +93,7 @@ def revenue_pivot(priority: DataFrame) -> DataFrame:
 
 def with_parent_priority(combined: DataFrame, priority: DataFrame) -> DataFrame:
     """Parent priority on every account row; parents without priority drop out."""
-    columns = ["priority", "attrition_prob_bin", "priority_bin", "revenue_bin", "parent_rank"]
+    columns = ["priority", "churn_prob_bin", "priority_bin", "revenue_bin", "parent_rank"]
     return combined.join(priority.select(F.col("parentname").alias("parentname_x"), *columns), "parentname_x")
 
 
@@ -132,7 +132,7 @@ def account_priority(combined: DataFrame, priority: DataFrame) -> DataFrame:
 
 def level_names(columns: list[str]) -> dict[str, str]:
     """``_x`` and ``_y`` become parent and account level; two names just lose ``_x``."""
-    plain = {"parentname_x": "parentname", "attrition_prob_x": "attrition_prob"}
+    plain = {"parentname_x": "parentname", "churn_prob_x": "churn_prob"}
     suffixes = {"_x": "_parent_level", "_y": "_account_level"}
     renamed = {}
     for c in columns:

@@ -164,8 +164,8 @@ class Inputs:
             logical.cases(self.tables), logical.contacts(self.tables), self.active_parents, self.history_calendar
         )
         rows = metrics.combined_metrics(self.recent_transactions, self.active_parents, self.accounts, cases, self.calendar, self.p)
-        probability = logical.attrition_probability(F.col("parentname_x"))
-        return stage(rows.withColumn("attrition_prob_x", probability), "combined")
+        probability = logical.churn_probability(F.col("parentname_x"))
+        return stage(rows.withColumn("churn_prob_x", probability), "combined")
 
     @cached_property
     def priority(self) -> DataFrame:
@@ -174,6 +174,6 @@ class Inputs:
     @cached_property
     def scored(self) -> DataFrame:
         """Profile features with a fixed pseudo-score, for queries that need scores without a model."""
-        probability = logical.attrition_probability(F.col("parentname"))
+        probability = logical.churn_probability(F.col("parentname"))
         rows = feature_table.feature_table([self.static], self.p)
-        return stage(evaluate.score_bands(rows.withColumn("attrition_prob", probability)), "scored")
+        return stage(evaluate.score_bands(rows.withColumn("churn_prob", probability)), "scored")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -17,6 +18,7 @@ from ebbtide.operators import calendar as cal
 from ebbtide.plans.inputs import Inputs
 from ebbtide.session import configure
 from ebbtide.sources import logical, sinks
+from ebbtide.sources.tables import read_csv
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -373,7 +375,7 @@ def parent_pct_rank(i: Inputs) -> DataFrame:
 
 @query
 def parent_priority(i: Inputs) -> DataFrame:
-    columns = ["parentname", "priority", "attrition_prob_bin", "priority_bin", "revenue_bin", "parent_rank"]
+    columns = ["parentname", "priority", "churn_prob_bin", "priority_bin", "revenue_bin", "parent_rank"]
     return rounded(priority.parent_priority(i.combined).select(columns))
 
 
@@ -460,7 +462,7 @@ def feature_votes(i: Inputs) -> DataFrame:
 
 @query
 def score_bands(i: Inputs) -> DataFrame:
-    return i.scored.select("parentname", "attrition_prob", "attrition_rank", "churn_flag_predicted")
+    return i.scored.select("parentname", "churn_prob", "churn_rank", "churn_flag_predicted")
 
 
 @query
@@ -480,8 +482,8 @@ def precision_at_n(i: Inputs) -> DataFrame:
 
 @query
 def validation_table(i: Inputs) -> DataFrame:
-    probability = logical.attrition_probability(F.col("parentname"))
-    profiles = i.parent_profile.select("parentname", "last_transaction_week", "churn_flag", probability.alias("attrition_prob"))
+    probability = logical.churn_probability(F.col("parentname"))
+    profiles = i.parent_profile.select("parentname", "last_transaction_week", "churn_flag", probability.alias("churn_prob"))
     churned = evaluate.score_bands(profiles.where("churn_flag = 'CHURNER'"))
     return evaluate.validation_table(churned, evaluate.validation_bounds(i.p.activity_floor))
 
@@ -489,8 +491,8 @@ def validation_table(i: Inputs) -> DataFrame:
 @query
 def score_factors(i: Inputs) -> DataFrame:
     frame = model_frame(i)
-    scaled = prepare.standard_scale(frame.drop("churn_flag"), MODEL_COLUMNS)
-    return explain.score_factors(explain.linear_attributions(scaled, WEIGHTS), frame, MODEL_COLUMNS)
+    scaled = prepare.standard_scale(frame.select("*", explain.raw_values(MODEL_COLUMNS)), MODEL_COLUMNS)
+    return explain.score_factors(scaled, explain.linear_attributions(WEIGHTS), explain.raw_of(MODEL_COLUMNS))
 
 
 @query
@@ -498,7 +500,7 @@ def score_combine(i: Inputs) -> DataFrame:
     segments = [prepare.segment(i.scored, name) for name in prepare.SEGMENTS]
     combined = sinks.stamp(evaluate.score_combine(segments), i.p.current_week, i.p.last_day)
     return combined.select(
-        "parentname", "customer_size", "attrition_prob", "attrition_rank", "churn_flag_predicted",
+        "parentname", "customer_size", "churn_prob", "churn_rank", "churn_flag_predicted",
         F.col("churn_flag").alias("churn_flag_actual"), "run_week", "run_date",
     )
 
@@ -507,14 +509,62 @@ def score_combine(i: Inputs) -> DataFrame:
 def sink_slice(i: Inputs) -> DataFrame:
     """Write two slices, write one of them again, and read the table back."""
     path = new_path(i.spark, "result")
-    base = i.scored.select("parentname", "attrition_prob", "attrition_rank", "churn_flag_predicted")
-    earlier = wk.week_key_minus(i.p.current_week, 1)
-    for week, rows in ((earlier, base), (i.p.current_week, base), (i.p.current_week, base.where("attrition_rank >= 5"))):
-        sinks.replace_slice(sinks.stamp(rows, week, i.p.last_day), path)
+    base = i.scored.select("parentname", "churn_prob", "churn_rank", "churn_flag_predicted")
+    earlier, oldest = wk.week_key_minus(i.p.current_week, 1), wk.week_key_minus(i.p.current_week, 2)
+    empty = base.where("false")
+    for week, rows in ((oldest, base), (earlier, base), (i.p.current_week, base), (i.p.current_week, base.where("churn_rank >= 5")), (oldest, empty)):
+        sinks.replace_slice(rows, path, week, i.p.last_day)
     schema = f"{base._jdf.schema().toDDL()}, run_week string, run_date date"
     return i.spark.read.schema(schema).parquet(path)
 
 
+@query
+def sink_archive(i: Inputs) -> DataFrame:
+    """Archive the features of two run dates, one of them twice, and read all copies back."""
+    path = new_path(i.spark, "archive")
+    base = i.scored.select("parentname", "churn_prob", "churn_rank")
+    for day, rows in ((i.p.first_day, base), (i.p.last_day, base), (i.p.last_day, base.where("churn_rank < 5"))):
+        sinks.write_archive(rows, path, day)
+    return i.spark.read.schema(f"{base._jdf.schema().toDDL()}, run_date date").parquet(path)
+
+
+@query
+def sink_append(i: Inputs) -> DataFrame:
+    """Append two runs to a table and read the sum back."""
+    table = f"ebbtide_runs_{uuid.uuid4().hex}"
+    base = sinks.stamp(i.scored.select("parentname", "churn_prob"), i.p.current_week, i.p.last_day)
+    sinks.append_table(base, table)
+    sinks.append_table(base.where("churn_prob >= 0.5"), table)
+    rows = stage(i.spark.table(table), "appended")
+    i.spark.sql(f"DROP TABLE {table}")
+    return rows
+
+
+@query
+def sink_params(i: Inputs) -> DataFrame:
+    """Run parameters through their JSON sidecar."""
+    path = new_path(i.spark, "params")
+    row = cal.latest_common_week(logical.platform_days(i.tables), i.calendar)
+    sinks.write_params(row, path)
+    return i.spark.read.schema(row.schema).json(path)
+
+
+@query
+def csv_round_trip(i: Inputs) -> DataFrame:
+    """Scores written as CSV and read back in declared types."""
+    path = new_path(i.spark, "csv")
+    rows = i.scored.select("parentname", "customer_size", "churn_prob", "churn_rank")
+    rows.write.option("header", True).csv(path)
+    return read_csv(i.spark, path, rows.schema)
+
+
+@query
+def quality_gate(i: Inputs) -> DataFrame:
+    """Fleet sizes whose F1 misses the floor."""
+    metrics = evaluate.binary_metrics(i.scored, by=["customer_size"])
+    return evaluate.below_quality(metrics.withColumnRenamed("customer_size", "segment"))
+
+
 # Spark ML has no SQL counterpart: the queries below are checked for their rows only.
 
 def _segment_matrix(i: Inputs, name: str = "small") -> tuple[DataFrame, list[str]]:
@@ -583,9 +633,7 @@ def score_segment(i: Inputs) -> DataFrame:
     spread = stage(prepare.scale_statistics(powered, best), "spread")
     model = train.train_segment(prepare.standard_scale(powered, best, spread), best)
     # Scoring reuses what was fitted in training.
-    batch = prepare.standard_scale(prepare.power_transform(hot, best, lambdas), best, spread)
+    batch = prepare.standard_scale(prepare.power_transform(hot.select("*", explain.raw_values(best)), best, lambdas), best, spread)
     scores = train.score_segment(model, batch, best, ["parentname"])
-    factors = explain.score_factors(
-        explain.linear_attributions(batch, train.coefficients(model, best)), hot, best
-    )
+    factors = explain.score_factors(batch, train.attributions(model, best), explain.raw_of(best))
     return scores.join(factors, "parentname")

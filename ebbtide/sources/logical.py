@@ -271,7 +271,7 @@ def surveys(t: Tables) -> DataFrame:
     )
 
 
-def attrition_probability(parent: Column) -> Column:
+def churn_probability(parent: Column) -> Column:
     """A fixed pseudo-score per parent, for queries that need scores without a model."""
     digits = F.substring(F.md5(F.concat(F.lit("0:"), parent).cast("binary")), 1, 8)
     return F.round(F.conv(digits, 16, 10).cast("double") / F.lit(4294967296.0), 4)

@@ -26,8 +26,8 @@ RESULT_SCHEMA = T.StructType([
     T.StructField("last_payment_method", T.StringType()),
     T.StructField("churn_flag_actual", T.IntegerType()),
     T.StructField("churn_flag_predicted", T.IntegerType()),
-    T.StructField("attrition_prob", T.FloatType()),
-    T.StructField("attrition_rank", T.IntegerType()),
+    T.StructField("churn_prob", T.FloatType()),
+    T.StructField("churn_rank", T.IntegerType()),
     *[T.StructField(f"factor_{n}", T.StringType()) for n in range(1, 11)],
     T.StructField("customer_size", T.StringType()),
     T.StructField("run_week", T.StringType()),
@@ -47,9 +47,17 @@ def stamp(rows: DataFrame, run_week: int, run_date: dt.date) -> DataFrame:
     return rows.withColumns({"run_week": F.lit(str(run_week)), "run_date": F.lit(run_date)})
 
 
-def replace_slice(rows: DataFrame, path: str) -> None:
-    """Write the (run_week, run_date) slices of ``rows``, replacing only those slices."""
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*SLICE).parquet(path))
+def replace_slice(rows: DataFrame, path: str, run_week: int, run_date: dt.date) -> None:
+    """Stamp ``rows`` with one (run_week, run_date) and let them replace that slice, also when there are none."""
+    spark = rows.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/run_week={run_week}/run_date={run_date.isoformat()}")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    stamp(rows, run_week, run_date).write.mode("append").partitionBy(*SLICE).parquet(path)
+
+
+def read_result(spark, path: str) -> DataFrame:
+    """The result table in its declared types."""
+    return spark.read.schema(RESULT_SCHEMA).parquet(path)
 
 
 def append_table(rows: DataFrame, table: str) -> None:

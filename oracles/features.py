@@ -144,8 +144,8 @@ cte("features", "static trx_features fee_features flags call_features survey_fea
 
 PROB = "round(('0x' || substr(md5('0:' || parentname), 1, 8))::BIGINT / 4294967296.0::DOUBLE, 4)"
 cte("scored", "static labelled run", f"""
-  SELECT parentname, customer_size, CASE WHEN last_transaction_week > cutoff THEN 0 ELSE 1 END AS churn_flag, {PROB} AS attrition_prob,
-         floor(round({PROB} * 10, 6))::INTEGER AS attrition_rank, ({PROB} >= 0.5)::INTEGER AS churn_flag_predicted
+  SELECT parentname, customer_size, CASE WHEN last_transaction_week > cutoff THEN 0 ELSE 1 END AS churn_flag, {PROB} AS churn_prob,
+         floor(round({PROB} * 10, 6))::INTEGER AS churn_rank, ({PROB} >= 0.5)::INTEGER AS churn_flag_predicted
   FROM static CROSS JOIN run WHERE last_transaction_week > recent""")
 
 # Modelling ----------------------------------------------------------------------

@@ -210,6 +210,6 @@ def bin5(v: str) -> str:
 
 
 cte("prio", "pct", f"""
-  SELECT *, dense_rank() OVER (ORDER BY priority_bin DESC, attrition_prob_bin DESC)::INTEGER AS parent_rank FROM (
-    SELECT *, {bin5('prob')} AS attrition_prob_bin, {bin5('priority')} AS priority_bin, {bin5('last_52_weeks_revenue_pct')} AS revenue_bin
+  SELECT *, dense_rank() OVER (ORDER BY priority_bin DESC, churn_prob_bin DESC)::INTEGER AS parent_rank FROM (
+    SELECT *, {bin5('prob')} AS churn_prob_bin, {bin5('priority')} AS priority_bin, {bin5('last_52_weeks_revenue_pct')} AS revenue_bin
     FROM (SELECT *, prob * greatest({', '.join(f'{c}_pct' for c in RANKED)}) AS priority FROM pct))""")

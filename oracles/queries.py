@@ -141,13 +141,13 @@ sql("stage_invariants", "labelled pprofile acct", """
   UNION ALL SELECT 'labelled parents have a profile', count(*), 0, count(*) = 0 FROM (SELECT DISTINCT parentname FROM labelled WHERE parentname NOT IN (SELECT parentname FROM pprofile))""")
 
 sql("parent_pct_rank", "pct", f"SELECT parentname, {r6([f'{c}_pct' for c in prof.RANKED])} FROM pct")
-sql("parent_priority", "prio", "SELECT parentname, round(priority, 6) AS priority, attrition_prob_bin, priority_bin, revenue_bin, parent_rank FROM prio")
+sql("parent_priority", "prio", "SELECT parentname, round(priority, 6) AS priority, churn_prob_bin, priority_bin, revenue_bin, parent_rank FROM prio")
 BINS = ["0-0.2", "0.2-0.4", "0.4-0.6", "0.6-0.8", "0.8-1"]
-BIN_COLUMNS = ["attrition_bin_0_0_2", "attrition_bin_0_2_0_4", "attrition_bin_0_4_0_6", "attrition_bin_0_6_0_8", "attrition_bin_0_8_1"]
+BIN_COLUMNS = ["churn_bin_0_0_2", "churn_bin_0_2_0_4", "churn_bin_0_4_0_6", "churn_bin_0_6_0_8", "churn_bin_0_8_1"]
 
 
 def pivot(index: str, value: str, wrap: str) -> str:
-    cells = ", ".join(wrap.format(f"sum({value}) FILTER (attrition_prob_bin = '{b}' AND (b.l = {index} OR b.l = 'Grand Total'))") + f" AS {c}" for b, c in zip(BINS, BIN_COLUMNS))
+    cells = ", ".join(wrap.format(f"sum({value}) FILTER (churn_prob_bin = '{b}' AND (b.l = {index} OR b.l = 'Grand Total'))") + f" AS {c}" for b, c in zip(BINS, BIN_COLUMNS))
     total = wrap.format(f"sum({value}) FILTER (b.l = {index} OR b.l = 'Grand Total')")
     labels = ", ".join(f"'{b}'" for b in BINS + ["Grand Total"])
     return f"SELECT b.l AS {index}, {cells}, {total} AS grand_total FROM (SELECT unnest([{labels}]) AS l) b CROSS JOIN prio GROUP BY 1"
@@ -159,9 +159,9 @@ _level = [f"c.{c}_{s} AS {c}_{'parent' if s == 'x' else 'account'}_level" for s
           for c in (f"last_52_weeks_{m}", f"max_{m}_per_month", f"last_52_weeks_{m}_max")]
 _level += [f"round(c.monthly_avg_{m}_last_52_weeks_{s}, 6) AS monthly_avg_{m}_last_52_weeks_{'parent' if s == 'x' else 'account'}_level" for s in "xy" for m in ("gallons", "revenue")]
 sql("account_priority", "combined prio", f"""
-  SELECT c.parentname, c.acctcode, c.prob AS attrition_prob, {', '.join(_level)}, c.last_transaction_week, c.last_transaction_month,
+  SELECT c.parentname, c.acctcode, c.prob AS churn_prob, {', '.join(_level)}, c.last_transaction_week, c.last_transaction_month,
          c.last_4_weeks_gallons, c.last_8_weeks_gallons, c.last_13_weeks_gallons, c.last_26_weeks_gallons, c.count_sf_cases_last3m, c.phone,
-         round(priority, 6) AS priority, attrition_prob_bin, priority_bin, revenue_bin, parent_rank, coalesce(account_rank, 1) AS account_rank
+         round(priority, 6) AS priority, churn_prob_bin, priority_bin, revenue_bin, parent_rank, coalesce(account_rank, 1) AS account_rank
   FROM combined c JOIN prio USING (parentname) LEFT JOIN (
     SELECT acctcode, dense_rank() OVER (PARTITION BY parentname ORDER BY gm) AS account_rank FROM (
       SELECT *, (CASE WHEN phone IS NULL THEN 2 ELSE 1 END + dense_rank() OVER (PARTITION BY parentname ORDER BY last_transaction_week DESC)
@@ -205,8 +205,8 @@ sql("power_transform", "long", f"""
           SELECT measure, lam, count(*) AS n, var_pop({_yj}) AS vr, sum(sign(value) * ln(1 + abs(value))) AS logs
           FROM long CROSS JOIN (SELECT unnest({_grid}) AS lam) GROUP BY 1, 2)) GROUP BY 1) USING (measure)
     WHERE measure IN ({', '.join(repr(c) for c in _pt)})) GROUP BY 1""")
-sql("score_bands", "scored", "SELECT parentname, attrition_prob, attrition_rank, churn_flag_predicted FROM scored")
-sql("score_distribution", "scored", "SELECT attrition_rank, count(*) AS parents FROM scored GROUP BY 1")
+sql("score_bands", "scored", "SELECT parentname, churn_prob, churn_rank, churn_flag_predicted FROM scored")
+sql("score_distribution", "scored", "SELECT churn_rank, count(*) AS parents FROM scored GROUP BY 1")
 sql("binary_metrics", "scored", """
   SELECT *, round((tp + tn) / (tp + fp + fn + tn), 6) AS accuracy, round(coalesce(tp / nullif(tp + fp, 0), 0), 6) AS "precision",
          round(coalesce(tp / nullif(tp + fn, 0), 0), 6) AS recall, round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), 6) AS f1_score
@@ -216,7 +216,7 @@ sql("binary_metrics", "scored", """
 sql("precision_at_n", "scored", """
   SELECT sum(churn_flag)::BIGINT AS hits, (SELECT sum(churn_flag)::BIGINT FROM scored) AS positives,
          round(coalesce(sum(churn_flag) / nullif(least((SELECT sum(churn_flag) FROM scored), 25), 0), 0), 6) AS precision_at_n
-  FROM (SELECT * FROM scored ORDER BY attrition_prob DESC, parentname LIMIT 25)""")
+  FROM (SELECT * FROM scored ORDER BY churn_prob DESC, parentname LIMIT 25)""")
 _ends = [(minus_weeks("act_lo", -n), t) for n, t in ((4, "4 Weeks"), (8, "8 Weeks"), (13, "13 Weeks"), (23, "23 Weeks"), (33, "33 Weeks"), (53, "52 Weeks"))]
 sql("validation_table", "pprofile run", f"""
   SELECT last_transaction_weeks, weeks, count(last_transaction_week) AS actual_churners, coalesce(sum(pred), 0)::BIGINT AS predicted_churners,
@@ -244,9 +244,22 @@ sql("score_factors", "long", f"""
                 FROM long JOIN (VALUES {_weights}) AS t(measure, w) USING (measure)))) GROUP BY 1""")
 sql("score_combine", "scored run", """
   SELECT parentname, CASE customer_size WHEN 'others' THEN 'express-check' WHEN 'medium' THEN 'small' ELSE customer_size END AS customer_size,
-         attrition_prob, attrition_rank, churn_flag_predicted, churn_flag AS churn_flag_actual, cur::VARCHAR AS run_week,
+         churn_prob, churn_rank, churn_flag_predicted, churn_flag AS churn_flag_actual, cur::VARCHAR AS run_week,
          (SELECT max(o_orderdate)::DATE FROM orders) AS run_date FROM scored CROSS JOIN run""")
 sql("sink_slice", "scored run", f"""
-  SELECT parentname, attrition_prob, attrition_rank, churn_flag_predicted, week::VARCHAR AS run_week, (SELECT max(o_orderdate)::DATE FROM orders) AS run_date
+  SELECT parentname, churn_prob, churn_rank, churn_flag_predicted, week::VARCHAR AS run_week, (SELECT max(o_orderdate)::DATE FROM orders) AS run_date
   FROM scored CROSS JOIN run CROSS JOIN LATERAL (SELECT unnest([cur, {minus_weeks('cur', 1)}]) AS week)
-  WHERE week <> cur OR attrition_rank >= 5""")
+  WHERE week <> cur OR churn_rank >= 5""")
+sql("sink_archive", "scored", """
+  SELECT parentname, churn_prob, churn_rank, (SELECT min(o_orderdate)::DATE FROM orders) AS run_date FROM scored
+  UNION ALL SELECT parentname, churn_prob, churn_rank, (SELECT max(o_orderdate)::DATE FROM orders) FROM scored WHERE churn_rank < 5""")
+sql("sink_append", "scored run", """
+  SELECT parentname, churn_prob, cur::VARCHAR AS run_week, (SELECT max(o_orderdate)::DATE FROM orders) AS run_date
+  FROM scored CROSS JOIN run CROSS JOIN (SELECT unnest([1, 2]) AS copy) WHERE copy = 1 OR churn_prob >= 0.5""")
+sql("sink_params", "run", "SELECT cur AS current_week, cutoff AS churn_cutoff_week FROM run")
+sql("csv_round_trip", "scored", "SELECT parentname, customer_size, churn_prob, churn_rank FROM scored")
+sql("quality_gate", "scored", """
+  SELECT segment, best_f1 FROM (
+    SELECT customer_size AS segment, round(coalesce(2 * count(*) FILTER (churn_flag = 1 AND churn_flag_predicted = 1)
+      / nullif(2 * count(*) FILTER (churn_flag = 1 AND churn_flag_predicted = 1) + count(*) FILTER (churn_flag <> churn_flag_predicted), 0), 0), 6) AS best_f1
+    FROM scored GROUP BY 1) WHERE best_f1 < 0.5""")

@@ -186,10 +186,9 @@ def test_model_preparation(spark):
 
 def test_slices_are_replaced_alone(spark):
     path = f"{shared_folder(spark)}/slices-{uuid.uuid4().hex}"
-    rows = spark.createDataFrame([("a", 1), ("b", 2)], "parentname string, attrition_rank int")
-    sinks.replace_slice(sinks.stamp(rows, 200130, DAY), path)
-    sinks.replace_slice(sinks.stamp(rows, 200131, DAY), path)
-    sinks.replace_slice(sinks.stamp(rows.where("attrition_rank = 1"), 200131, DAY), path)
+    rows = spark.createDataFrame([("a", 1), ("b", 2)], "parentname string, churn_rank int")
+    for week, batch in ((200129, rows), (200130, rows), (200131, rows), (200131, rows.where("churn_rank = 1")), (200129, rows.limit(0))):
+        sinks.replace_slice(batch, path, week, DAY)
     counts = {r.run_week: r["count"] for r in spark.read.parquet(path).groupBy("run_week").count().collect()}
     assert counts == {200130: 2, 200131: 1}
     assert sinks.as_result(sinks.stamp(rows, 200131, DAY)).schema.names == sinks.RESULT_SCHEMA.names
@@ -203,3 +202,50 @@ def test_feature_lists_round_trip(spark):
     sinks.write_feature_lists(sets, path)
     back = {r["name"]: r["features"] for r in sinks.read_feature_lists(spark, path).collect()}
     assert back["logistic"] == ["m1", "m2"] and back["lasso"] == ["m2"] and back["total_5"] == ["m2"]
+
+
+def test_factors_of_a_tree_follow_its_path(spark):
+    """Against the path walked by hand; the weight and the ties by name count."""
+    nodes = [
+        {"id": 0, "prediction": 0.5, "left": 1, "right": 2, "feature": 0, "threshold": 1.0},
+        {"id": 1, "prediction": 0.2}, {"id": 2, "prediction": 0.8, "left": 3, "right": 4, "feature": 1, "threshold": 0.0},
+        {"id": 3, "prediction": 0.6}, {"id": 4, "prediction": 0.9},
+    ]
+    rows = spark.createDataFrame([("a", 0.0, 5.0), ("b", 2.0, -1.0), ("c", 2.0, 1.0)], "parentname string, `x.1` double, y double")
+    found = explain.tree_attributions([(2.0, nodes)], ["x.1", "y"])
+    got = {r[0]: (round(r[1], 9), round(r[2], 9)) for r in rows.select("parentname", found["x.1"], found["y"]).collect()}
+    assert got == {"a": (-0.6, 0.0), "b": (0.6, -0.4), "c": (0.6, 0.2)}
+    names = rows.select("parentname", *explain.feature_factors(found, ["y"], top=2)).collect()
+    assert [(r.factor_1, r.factor_2) for r in names] == [("x.1", None)] * 3
+
+
+def test_quality_gate_names_weak_segments(spark):
+    board = spark.createDataFrame([("small", 0.4), ("small", 0.6), ("large", 0.3)], "segment string, f1_score double")
+    assert [tuple(r) for r in evaluate.below_quality(board).collect()] == [("large", 0.3)]
+
+
+def test_class_comes_from_the_unrounded_score(spark):
+    rows = spark.createDataFrame([("a", 0.49996), ("b", 0.5)], "parentname string, churn_prob double")
+    assert [(r.churn_prob, r.churn_flag_predicted) for r in evaluate.score_bands(rows).orderBy("parentname").collect()] == [(0.5, 0), (0.5, 1)]
+    given = rows.selectExpr("*", "1 AS churn_flag_predicted")
+    assert [r.churn_flag_predicted for r in evaluate.score_bands(given).collect()] == [1, 1]
+
+
+def test_local_paths_are_refused_on_a_cluster():
+    from types import SimpleNamespace
+
+    from ebbtide.functions.staging import shared_folder as folder
+
+    def session(master, **conf):
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=lambda k, d=None: conf.get(k, d)),
+            sparkContext=SimpleNamespace(master=master, getConf=lambda: SimpleNamespace(get=lambda k: conf.get(k)), applicationId="x"),
+        )
+
+    here = {"spark.checkpoint.dir": "file:///tmp/x"}
+    assert folder(session("local-cluster[2,1,512]", **here)) == "file:///tmp/x"
+    for wrong in ({}, here, {"spark.checkpoint.dir": "/tmp/x"}):
+        with pytest.raises(ValueError):
+            folder(session("yarn", **wrong))
+    assert folder(session("yarn", **here, **{"spark.ebbtide.sharedMount": "true"})) == "file:///tmp/x"
+    assert folder(session("yarn", **{"spark.checkpoint.dir": "hdfs://n/x/"})) == "hdfs://n/x"
