@@ -245,7 +245,7 @@ def credit_grade(i: Inputs) -> DataFrame:
 @query
 def product_bucket(i: Inputs) -> DataFrame:
     top = profile.product_top6(i.revenue, i.p)
-    combination = labels.product_combination([F.col(f"product_information_{n}") for n in (1, 2, 3)])
+    combination = labels.product_combination([F.col(f"product_information_{n}") for n in range(1, 7)])
     return top.select("customer_id", combination.alias("combination")).withColumn("bucket", labels.product_bucket(F.col("combination")))
 
 
@@ -396,40 +396,41 @@ def account_priority(i: Inputs) -> DataFrame:
 
 # ------------------------------------------------------------------- modelling
 
-# Features of the SQL-checkable modelling queries, and fixed weights for attributions.
-MODEL_COLUMNS = [
-    "total_gallons_avg", "total_fuel_trx_avg", "total_nonfuel_trx_avg", "total_fuel_spend_avg", "total_nonfuel_spend_avg",
-    "total_num_trx_avg", "total_comcheck_spend_avg", "total_vcap_spend_avg", "total_ecashspend_avg", "ecash_gallons_avg",
-    "share_active_fuel52", "share_active_nonfuel52", "share_active_trx52", "share_active_fuel26", "share_active_nonfuel26",
-]
-WEIGHTS = {c: round((-1) ** k * (0.9 - 0.05 * k), 2) for k, c in enumerate(MODEL_COLUMNS)}
+def model_frame(i: Inputs) -> tuple[DataFrame, list[str]]:
+    """Every numeric feature with the label, and the names of the features in order."""
+    features = i.features
+    columns = sorted(c for c in features.columns if c not in prepare.NOT_FEATURES and c not in prepare.CATEGORIES)
+    numeric = [prepare.q(c).cast("double").alias(c) for c in columns]
+    return stage(features.select("parentname", "churn_flag", *numeric), "model"), columns
 
 
-def model_frame(i: Inputs) -> DataFrame:
-    """The checkable columns with a label; staged, as several statistics read it."""
-    averages = behaviour.transaction_averages(i.labelled)
-    last = ranges.last_weeks(i.labelled).withColumn("churn_flag", F.when(F.col("week") > i.p.churn_cutoff_week, 0).otherwise(1))
-    return stage(averages.select("parentname", *MODEL_COLUMNS).join(last.select("parentname", "churn_flag"), "parentname"), "model")
+def fixed_weights(columns: list[str]) -> dict[str, float]:
+    """Weights that SQL can repeat, in place of a fitted model's."""
+    return {c: round((-1) ** k * (0.9 - 0.05 * (k % 18)), 2) for k, c in enumerate(columns)}
+
+
+def long_rounded(frame: DataFrame, columns: list[str], places: int = 6) -> DataFrame:
+    long = prepare.long_form(frame, columns, ["parentname"]).where(F.col("value").isNotNull())
+    return long.withColumn("value", F.round("value", places))
 
 
 @query
 def one_hot_align(i: Inputs) -> DataFrame:
-    categories = {c: v for c, v in prepare.CATEGORIES.items() if c in ("credit_grade", "channel", "billing_freq")}
-    hot = prepare.one_hot(i.static.select("parentname", *categories), categories)
-    columns = [f"{c}_{v}" for c, values in categories.items() for v in values] + ["state_code_ZZ"]
+    hot = prepare.one_hot(i.static.select("parentname", *prepare.CATEGORIES))
+    columns = [f"{c}_{v}" for c, values in prepare.CATEGORIES.items() for v in values] + ["state_code_ZZ"]
     return prepare.align(hot, columns)
 
 
 @query
 def power_transform(i: Inputs) -> DataFrame:
-    columns = MODEL_COLUMNS[:6]
-    frame = model_frame(i)
-    return rounded(prepare.power_transform(frame.select("parentname", *columns), columns), 4)
+    frame, columns = model_frame(i)
+    return long_rounded(prepare.power_transform(frame, columns), columns)
 
 
 @query
 def standard_scale(i: Inputs) -> DataFrame:
-    return rounded(prepare.standard_scale(model_frame(i).drop("churn_flag"), MODEL_COLUMNS))
+    frame, columns = model_frame(i)
+    return long_rounded(prepare.standard_scale(frame, columns), columns)
 
 
 @query
@@ -440,18 +441,18 @@ def constant_columns(i: Inputs) -> DataFrame:
 
 @query
 def anova_f(i: Inputs) -> DataFrame:
-    return select.anova_f(model_frame(i), MODEL_COLUMNS)
+    return select.anova_f(*model_frame(i))
 
 
 @query
 def mutual_info(i: Inputs) -> DataFrame:
-    return select.mutual_info(model_frame(i), MODEL_COLUMNS)
+    return select.mutual_info(*model_frame(i))
 
 
 @query
 def feature_votes(i: Inputs) -> DataFrame:
-    frame = model_frame(i)
-    by_f, by_mi = select.anova_f(frame, MODEL_COLUMNS), select.mutual_info(frame, MODEL_COLUMNS)
+    frame, columns = model_frame(i)
+    by_f, by_mi = select.anova_f(frame, columns), select.mutual_info(frame, columns)
     scores = stage(by_f.join(by_mi, "measure", "full_outer"), "scores")
     place_f = F.row_number().over(Window.orderBy(F.desc_nulls_last("f"), "measure"))
     place_mi = F.row_number().over(Window.orderBy(F.desc_nulls_last("mi"), "measure"))
@@ -490,9 +491,9 @@ def validation_table(i: Inputs) -> DataFrame:
 
 @query
 def score_factors(i: Inputs) -> DataFrame:
-    frame = model_frame(i)
-    scaled = prepare.standard_scale(frame.select("*", explain.raw_values(MODEL_COLUMNS)), MODEL_COLUMNS)
-    return explain.score_factors(scaled, explain.linear_attributions(WEIGHTS), explain.raw_of(MODEL_COLUMNS))
+    frame, columns = model_frame(i)
+    scaled = prepare.standard_scale(frame.select("*", explain.raw_values(columns)), columns)
+    return explain.score_factors(scaled, explain.linear_attributions(fixed_weights(columns)), explain.raw_of(columns))
 
 
 @query

@@ -149,13 +149,11 @@ cte("scored", "static labelled run", f"""
   FROM static CROSS JOIN run WHERE last_transaction_week > recent""")
 
 # Modelling ----------------------------------------------------------------------
-MODEL = ["total_gallons_avg", "total_fuel_trx_avg", "total_nonfuel_trx_avg", "total_fuel_spend_avg", "total_nonfuel_spend_avg",
-         "total_num_trx_avg", "total_comcheck_spend_avg", "total_vcap_spend_avg", "total_ecashspend_avg", "ecash_gallons_avg",
-         "share_active_fuel52", "share_active_nonfuel52", "share_active_trx52", "share_active_fuel26", "share_active_nonfuel26"]
-WEIGHTS = [0.9, -0.85, 0.8, -0.75, 0.7, -0.65, 0.6, -0.55, 0.5, -0.45, 0.4, -0.35, 0.3, -0.25, 0.2]
-cte("model", "trx_avg last_w run", f"""
-  SELECT parentname, {', '.join(MODEL)}, CASE WHEN week > cutoff THEN 0 ELSE 1 END AS y FROM trx_avg JOIN last_w USING (parentname) CROSS JOIN run""")
-cte("long", "model", f"SELECT parentname, y, measure, value FROM (UNPIVOT model ON {', '.join(MODEL)} INTO NAME measure VALUE value)")
+_NOT = ["parentname", "last_transaction_week", "last_transaction_month", "customer_size", "customer_segment", "first_trx_month", "churn_flag", "credit_limit",
+        "last_payment_method", "state_code", "num_of_trucks", "billing_freq", "credit_grade", "channel", "product_type_most_frequent"]
+cte("model", "features", f"SELECT parentname, churn_flag AS y, COLUMNS(* EXCLUDE ({', '.join(_NOT)}))::DOUBLE FROM features")
+cte("long", "model", "SELECT parentname, y, measure, value FROM (UNPIVOT model ON COLUMNS(* EXCLUDE (parentname, y)) INTO NAME measure VALUE value)")
+cte("names", "long", "SELECT DISTINCT measure FROM long")
 cte("anova", "long", """
   SELECT measure, round((sum(n * (m - g) ** 2) / (count(*) - 1)) / nullif(sum(n * v) / (sum(n) - count(*)), 0), 6) AS f
   FROM (SELECT measure, y, count(*) AS n, avg(value) AS m, var_pop(value) AS v FROM long GROUP BY 1, 2)

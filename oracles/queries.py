@@ -86,7 +86,7 @@ sql("account_profile", "profile", "SELECT * FROM profile")
 sql("rollup_profile", "pprofile", "SELECT * FROM pprofile")
 sql("channel_class", "channels", f"SELECT customer_id, channel_1, channel_2, {prof.CHANNEL} AS channel FROM (SELECT *, {prof.CHANNEL_TEXT} AS t FROM channels)")
 sql("credit_grade", "acct", f"SELECT customer_id, credit_score, {prof.GRADE} AS credit_grade FROM acct")
-sql("product_bucket", "top6", f"SELECT customer_id, combination, {prof.BUCKET} AS bucket FROM (SELECT customer_id, {prof.combination(3)} AS combination FROM top6)")
+sql("product_bucket", "top6", f"SELECT customer_id, combination, {prof.BUCKET} AS bucket FROM (SELECT customer_id, {prof.combination(6)} AS combination FROM top6)")
 sql("static_features", "static", "SELECT * FROM static")
 
 
@@ -171,13 +171,17 @@ sql("account_priority", "combined prio", f"""
                           WHEN last_4_weeks_gallons > 0 THEN '-inf'::DOUBLE END AS dec, count(*) OVER (PARTITION BY parentname) AS n FROM combined) WHERE n > 1)) USING (acctcode)""")
 
 # Modelling
-_cats = {"credit_grade": ["Worse", "Poor", "Fair", "Good", "Very-Good", "Excellent", "UNK"],
+_cats = {"state_code": ["CA", "FL", "GA", "IL", "MO", "NC", "OH", "PA", "TN", "TX", "UNK", "OTHERS"],
+         "num_of_trucks": ["b.1-11 trucks", "c.12-20 trucks", "d.21-50 trucks", "e.51-100 trucks", "f.101-250 trucks", "g.251-500 trucks", "h.over 500 trucks", "unknown", "others"],
+         "billing_freq": ["semi-monthly", "daily", "weekly", "monthly", "unknown", "others"],
+         "credit_grade": ["Worse", "Poor", "Fair", "Good", "Very-Good", "Excellent", "UNK"],
          "channel": ["inbound", "outbound", "field", "strategic/AM", "unknown", "others"],
-         "billing_freq": ["semi-monthly", "daily", "weekly", "monthly", "unknown", "others"]}
+         "product_type_most_frequent": ["ECASH_ONLY", "ECASH_COMCHECK", "ECASH_COMCHECK_FUEL", "ECASH_FUEL", "COMCHECK_ONLY", "COMCHECK_FUEL", "FUEL_ONLY", "OTHERS"]}
 sql("one_hot_align", "static", "SELECT parentname, " + ", ".join(
     f"({c} = '{v}')::INTEGER::DOUBLE AS \"{c}_{v}\"" for c, vs in _cats.items() for v in vs) + ', 0.0::DOUBLE AS "state_code_ZZ" FROM static')
-sql("standard_scale", "model", "SELECT parentname, " + ", ".join(
-    f"round(({c} - avg({c}) OVER ()) / CASE WHEN stddev_pop({c}) OVER () = 0 THEN 1 ELSE stddev_pop({c}) OVER () END, 6) AS {c}" for c in feat.MODEL) + " FROM model")
+sql("standard_scale", "long", """
+  SELECT parentname, measure, round((value - avg(value) OVER m) / CASE WHEN stddev_pop(value) OVER m = 0 THEN 1 ELSE stddev_pop(value) OVER m END, 6) AS value
+  FROM long WINDOW m AS (PARTITION BY measure)""")
 sql("constant_columns", "flags", f"""
   SELECT measure, min(value) AS value FROM (UNPIVOT (SELECT {', '.join(f'"{c}"::DOUBLE AS "{c}"' for c in
     [f'{f}_{k}{n}' for f in feat.FLAG_FEES for k in ('inv_cnt', 'ref_cnt', 'refund_dollar_ratio', 'ref_incidence_ratio') for n in feat.R]
@@ -193,18 +197,15 @@ sql("feature_votes", "anova mi", f"""
     SELECT measure, {', '.join(f'{x} AS {n}' for x, n in zip(_v, _votes))}, ({' + '.join(f'{x}::INTEGER' for x in _v)})::INTEGER AS total
     FROM (SELECT measure, row_number() OVER (ORDER BY f DESC NULLS LAST, measure) AS pf, row_number() OVER (ORDER BY mi DESC NULLS LAST, measure) AS pm
           FROM anova FULL JOIN mi USING (measure)))""")
-_pt = feat.MODEL[:6]
 _grid = "[" + ", ".join(str(-2 + 0.25 * k) for k in range(17)) + "]::DOUBLE[]"
 _yj = """CASE WHEN value >= 0 THEN CASE WHEN lam = 0 THEN ln(1 + value) ELSE ((1 + value) ** lam - 1) / lam END
   ELSE CASE WHEN lam = 2 THEN -ln(1 - value) ELSE -(((1 - value) ** (2 - lam) - 1) / (2 - lam)) END END"""
 sql("power_transform", "long", f"""
-  SELECT parentname, {', '.join(f"max(v) FILTER (measure = '{c}') AS {c}" for c in _pt)} FROM (
-    SELECT parentname, measure, round({_yj}, 4) AS v FROM long JOIN (
-      SELECT measure, CASE WHEN max(ll) IS NULL THEN 1 ELSE arg_max(lam, (ll, -lam)) FILTER (ll IS NOT NULL) END::DOUBLE AS lam FROM (
-        SELECT measure, lam, CASE WHEN vr > 1e-12 THEN round(-n / 2 * ln(vr) + (lam - 1) * logs, 6) END AS ll FROM (
-          SELECT measure, lam, count(*) AS n, var_pop({_yj}) AS vr, sum(sign(value) * ln(1 + abs(value))) AS logs
-          FROM long CROSS JOIN (SELECT unnest({_grid}) AS lam) GROUP BY 1, 2)) GROUP BY 1) USING (measure)
-    WHERE measure IN ({', '.join(repr(c) for c in _pt)})) GROUP BY 1""")
+  SELECT parentname, measure, round({_yj}, 6) AS value FROM long JOIN (
+    SELECT measure, CASE WHEN max(ll) IS NULL THEN 1 ELSE arg_max(lam, (ll, -lam)) FILTER (ll IS NOT NULL) END::DOUBLE AS lam FROM (
+      SELECT measure, lam, CASE WHEN vr > 1e-12 THEN round(-n / 2 * ln(vr) + (lam - 1) * logs, 6) END AS ll FROM (
+        SELECT measure, lam, count(*) AS n, var_pop({_yj}) AS vr, sum(sign(value) * ln(1 + abs(value))) AS logs
+        FROM long CROSS JOIN (SELECT unnest({_grid}) AS lam) GROUP BY 1, 2)) GROUP BY 1) USING (measure)""")
 sql("score_bands", "scored", "SELECT parentname, churn_prob, churn_rank, churn_flag_predicted FROM scored")
 sql("score_distribution", "scored", "SELECT churn_rank, count(*) AS parents FROM scored GROUP BY 1")
 sql("binary_metrics", "scored", """
@@ -233,15 +234,15 @@ def num(v: str, k: int) -> str:
     return f"CASE WHEN ({t}) = '-0.0' THEN '0.0' ELSE ({t}) END"
 
 
-_weights = ", ".join(f"('{c}', {w}::DOUBLE)" for c, w in zip(feat.MODEL, feat.WEIGHTS))
-sql("score_factors", "long", f"""
+sql("score_factors", "long names", f"""
   SELECT parentname, {', '.join(f'max(factor) FILTER (place = {n}) AS factor_{n}' for n in range(1, 11))} FROM (
     SELECT parentname, place, '{{''feature'': ''' || measure || ''', ''impact'': ' || {num('impact', 2)} || ', ''value'': ' || {num('value', 3)} || '}}' AS factor
     FROM (SELECT *, a / nullif(sum(abs(a)) OVER (PARTITION BY parentname), 0) AS impact,
                  row_number() OVER (PARTITION BY parentname ORDER BY round(abs(a), 9) DESC, measure) AS place
           FROM (SELECT parentname, measure, value, w * (value - avg(value) OVER (PARTITION BY measure))
                   / CASE WHEN stddev_pop(value) OVER (PARTITION BY measure) = 0 THEN 1 ELSE stddev_pop(value) OVER (PARTITION BY measure) END AS a
-                FROM long JOIN (VALUES {_weights}) AS t(measure, w) USING (measure)))) GROUP BY 1""")
+                FROM long JOIN (SELECT measure, round((CASE k % 2 WHEN 0 THEN 1 ELSE -1 END) * (0.9::DOUBLE - 0.05::DOUBLE * (k % 18)), 2) AS w
+                              FROM (SELECT measure, row_number() OVER (ORDER BY measure) - 1 AS k FROM names)) USING (measure)))) GROUP BY 1""")
 sql("score_combine", "scored run", """
   SELECT parentname, CASE customer_size WHEN 'others' THEN 'express-check' WHEN 'medium' THEN 'small' ELSE customer_size END AS customer_size,
          churn_prob, churn_rank, churn_flag_predicted, churn_flag AS churn_flag_actual, cur::VARCHAR AS run_week,
