@@ -337,13 +337,21 @@ def derived_measures() -> list[str]:
     })
 
 
-def sum_weeks(rows: DataFrame, key: str) -> DataFrame:
-    """All measures summed per (key, week) in one shuffle, with the derived ones."""
-    summed = rows.groupBy(key, "week").agg(*[total(m) for m in RAW_MEASURES])
+def account_weeks(rows: DataFrame) -> DataFrame:
+    """Raw measures of source rows summed per account and week."""
+    return rows.groupBy("customer_id", "week").agg(*[total(m) for m in RAW_MEASURES])
+
+
+def with_derived(summed: DataFrame, key: str) -> DataFrame:
     kept = [m for m in RAW_MEASURES if m not in INTERNAL_MEASURES]
     return summed.selectExpr(key, "week", *kept, *derived_measures())
 
 
+def sum_weeks(rows: DataFrame, key: str) -> DataFrame:
+    """All measures summed per (key, week) in one shuffle, with the derived ones."""
+    return with_derived(rows.groupBy(key, "week").agg(*[total(m) for m in RAW_MEASURES]), key)
+
+
 def on_spine(summed: DataFrame, spine: DataFrame, key: str, zeros: list[str]) -> DataFrame:
     """Every spine week with its sums; the measures in ``zeros`` default to zero.
 
@@ -354,6 +362,6 @@ def on_spine(summed: DataFrame, spine: DataFrame, key: str, zeros: list[str]) ->
     return spine.select(key, "week").join(summed, [key, "week"], "left").selectExpr(key, "week", *values)
 
 
-def weekly_fact(rows: DataFrame, active: DataFrame, p: RunParams) -> DataFrame:
-    """Dense account-by-week fact; measures without a source row stay null."""
-    return on_spine(sum_weeks(rows, "customer_id"), weekly_spine(active, p), "customer_id", DERIVED_MEASURES)
+def weekly_fact(weeks: DataFrame, active: DataFrame, p: RunParams) -> DataFrame:
+    """Dense account-by-week fact from ``account_weeks``; measures without a source row stay null."""
+    return on_spine(with_derived(weeks, "customer_id"), weekly_spine(active, p), "customer_id", DERIVED_MEASURES)

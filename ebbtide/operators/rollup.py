@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.operators.calendar import week_grid
-from ebbtide.operators.fact import FACT_MEASURES, RAW_MEASURES, on_spine, sum_weeks, total
+from ebbtide.operators.fact import FACT_MEASURES, on_spine, sum_weeks
 from ebbtide.params import RunParams
 
 REPRESENTATIVE_COLUMNS = [
@@ -52,33 +52,14 @@ def rollup_profile(profile: DataFrame, p: RunParams) -> DataFrame:
     )
 
 
-def rollup_weekly(fact: DataFrame, parents: DataFrame) -> DataFrame:
-    """Sum an account-level fact to (parent, week); missing measures count as zero.
+def parent_weekly(weeks: DataFrame, parents: DataFrame, p: RunParams) -> DataFrame:
+    """(parent, week) fact from account weeks (``fact.account_weeks``).
 
-    ``parents`` has one row per account: (customer_id, parentname).
-    """
-    mapped = fact.join(parents.select("customer_id", "parentname"), "customer_id")
-    measures = FACT_MEASURES
-    summed = mapped.where(F.col("parentname").isNotNull()).groupBy("parentname", "week").agg(*[total_of(m) for m in measures])
-    return summed.selectExpr("parentname", "week", *[f"coalesce({m}, 0) AS {m}" for m in measures])
-
-
-def total_of(measure: str) -> Column:
-    if measure.startswith("num_of_"):
-        return F.expr(f"CAST(sum({measure}) AS BIGINT) AS {measure}")
-    return total(measure)
-
-
-def parent_weekly(rows: DataFrame, parents: DataFrame, p: RunParams) -> DataFrame:
-    """(parent, week) fact straight from source rows.
-
-    Equals rolling up the dense account fact, but only parents, not accounts,
-    are spread over the weeks. Rows are summed per account and week first, so
-    the join to parents sees at most one row per account and week.
+    Equals rolling up the dense account fact, but only parents, not accounts, are
+    spread over the weeks, and the join to parents sees one row per account and week.
     """
     mapping = parents.where(F.col("parentname").isNotNull()).select("customer_id", "parentname")
-    by_account = rows.groupBy("customer_id", "week").agg(*[total(m) for m in RAW_MEASURES])
-    mapped = by_account.join(mapping, "customer_id").drop("customer_id")
+    mapped = weeks.join(mapping, "customer_id").drop("customer_id")
     spine = week_grid(mapping.select("parentname").distinct(), "parentname", p)
     return on_spine(sum_weeks(mapped, "parentname"), spine, "parentname", FACT_MEASURES)
 

@@ -71,7 +71,8 @@ class Inputs:
 
     @cached_property
     def active(self) -> DataFrame:
-        return fact.active_accounts(self.recent_transactions, self.accounts, self.calendar, self.p)
+        recent = logical.activity(self.tables, self.p.activity_days)
+        return stage(fact.active_accounts(recent, self.accounts, self.calendar, self.p), "active")
 
     @cached_property
     def active_parents(self) -> DataFrame:
@@ -81,19 +82,22 @@ class Inputs:
         )
 
     @cached_property
-    def source_rows(self) -> DataFrame:
-        return fact.source_rows(
-            self.transactions, self.ledger, self.products, self.settlements,
-            self.history_calendar, logical.ACCOUNT_WIDTH,
+    def account_weeks(self) -> DataFrame:
+        """Raw sums of active accounts per week, from one scan per kind of row; written once for all roll-ups."""
+        t, days = self.tables, self.p.history_days
+        rows = fact.source_rows(
+            logical.transactions(t, days, self.active), logical.ledger(t, days, self.active), self.products,
+            logical.settlements(t, days, self.active), self.history_calendar, logical.ACCOUNT_WIDTH,
         )
+        return stage(fact.account_weeks(rows), "weeks")
 
     @cached_property
     def weekly_fact(self) -> DataFrame:
-        return fact.weekly_fact(self.source_rows, self.active, self.p)
+        return fact.weekly_fact(self.account_weeks, self.active, self.p)
 
     @cached_property
     def parent_weekly(self) -> DataFrame:
-        return rollup.parent_weekly(self.source_rows, self.active_parents, self.p)
+        return rollup.parent_weekly(self.account_weeks, self.active_parents, self.p)
 
     # ---- labelled weeks and profile, written once because every family reads them
 

@@ -14,9 +14,15 @@ SETTINGS = {
 }
 
 
+# Shuffles start with this many partitions per core; adaptive planning merges small ones, it adds none.
+PARTITIONS_PER_CORE = 4
+
+
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    initial = PARTITIONS_PER_CORE * spark.sparkContext.defaultParallelism
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(initial))
     return spark
 
 

@@ -88,10 +88,18 @@ def first_months(t: Tables) -> DataFrame:
     )
 
 
-def _sales(t: Tables, days: Days) -> DataFrame:
+def _orders(t: Tables, days: Days, customers: DataFrame | None) -> DataFrame:
+    """Orders of the days; only those of ``customers`` (customer_id) where given, before anything is joined to them."""
     orders = t.orders.where(within_days("o_orderdate", days))
-    lines = t.lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    return lines.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
+    return orders if customers is None else orders.join(customers, F.col("o_custkey") == F.col("customer_id"), "left_semi")
+
+
+def _lines(t: Tables, days: Days, customers: DataFrame | None) -> DataFrame:
+    return t.lineitem.join(_orders(t, days, customers), F.col("l_orderkey") == F.col("o_orderkey"))
+
+
+def _sales(t: Tables, days: Days, customers: DataFrame | None = None) -> DataFrame:
+    return _lines(t, days, customers).join(t.part, F.col("l_partkey") == F.col("p_partkey"))
 
 
 IS_A = "o_orderpriority IN ('1-URGENT', '2-HIGH')"
@@ -101,10 +109,22 @@ NO_AMOUNTS = ["gas_gallons", "rebate_direct", "rebate_other", "rebate_variance",
 NO_FLAGS = ["trailer_fuel", "other_fuel", "product_2", "product_3", "oil", "cash"]
 
 
-def transactions(t: Tables, days: Days = None) -> DataFrame:
+BILLING_TYPE = "CASE WHEN pmod(l_suppkey, 10) = 3 THEN 'Express Check' ELSE 'MasterCard' END"
+SERVICE_CENTRE = "CASE WHEN pmod(l_suppkey, 50) = 0 THEN 'MC901' ELSE 'SC001' END"
+
+
+def activity(t: Tables, days: Days = None) -> DataFrame:
+    """What of a transaction says that its account is active; needs no product."""
+    return _lines(t, days, None).selectExpr(
+        "o_custkey AS customer_id", "CAST(o_orderdate AS DATE) AS trx_date", f"if({IS_A}, 'A', 'B') AS platform",
+        f"CASE WHEN {IS_A} THEN {BILLING_TYPE} END AS billing_type", f"CASE WHEN NOT {IS_A} THEN {SERVICE_CENTRE} END AS service_centre",
+    )
+
+
+def transactions(t: Tables, days: Days = None, customers: DataFrame | None = None) -> DataFrame:
     """Transactions of both platforms; each fills its own columns."""
     platform_a = {
-        "billing_type": "CASE WHEN pmod(l_suppkey, 10) = 3 THEN 'Express Check' ELSE 'MasterCard' END",
+        "billing_type": BILLING_TYPE,
         "card_bin": "CASE pmod(l_suppkey, 10) WHEN 0 THEN '556736' WHEN 1 THEN '555622' WHEN 2 THEN '556766' ELSE '540000' END",
         "spend": "l_extendedprice",
         "txns": "1",
@@ -112,7 +132,7 @@ def transactions(t: Tables, days: Days = None) -> DataFrame:
         "rebate_mainframe": "l_extendedprice * l_discount",
     }
     platform_b = {
-        "service_centre": "CASE WHEN pmod(l_suppkey, 50) = 0 THEN 'MC901' ELSE 'SC001' END",
+        "service_centre": SERVICE_CENTRE,
         "fuel_gallons": f"CASE WHEN {IS_FUEL} THEN l_quantity END",
         "tractor_cost": f"CASE WHEN {IS_FUEL} THEN l_extendedprice END",
         "product_amount_1": f"CASE WHEN NOT {IS_FUEL} THEN l_extendedprice END",
@@ -123,7 +143,7 @@ def transactions(t: Tables, days: Days = None) -> DataFrame:
         "cash_advance_rate": "CASE WHEN l_linenumber = 1 THEN 0.5D END",
         "handling_charge": "CASE WHEN l_linestatus = 'O' THEN 0.25D END",
     }
-    return _sales(t, days).selectExpr(
+    return _sales(t, days, customers).selectExpr(
         "o_custkey AS customer_id", "CAST(o_orderdate AS DATE) AS trx_date", f"if({IS_A}, 'A', 'B') AS platform",
         *[f"CASE WHEN {IS_A} THEN {text} END AS {name}" for name, text in platform_a.items()],
         *[f"CASE WHEN NOT {IS_A} THEN {text} END AS {name}" for name, text in platform_b.items()],
@@ -132,14 +152,26 @@ def transactions(t: Tables, days: Days = None) -> DataFrame:
     )
 
 
-def ledger(t: Tables, days: Days = None) -> DataFrame:
-    """Fee ledger: signed amounts under product codes, late fees on their own account."""
-    source = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    if days is not None:
-        source = source.where(within_days("o_orderdate", days) | within_days("l_shipdate", days))
+def ledger(t: Tables, days: Days = None, customers: DataFrame | None = None) -> DataFrame:
+    """Fee ledger: signed amounts under product codes, late fees on their own account.
+
+    A late fee counts on its load date and nothing else of its row does; the others count
+    on their transaction date. So each kind is cut by its own date, in its own scan.
+    """
+    if days is None:
+        return _ledger_rows(t.lineitem, _orders(t, None, customers), t.part)
+    late = _ledger_rows(
+        t.lineitem.where(within_days("l_shipdate", days) & (F.col("l_linenumber") == 1)), _orders(t, None, customers), t.part.where("p_size > 3")
+    )
+    other = _ledger_rows(t.lineitem, _orders(t, days, customers), t.part, "NOT (l_linenumber = 1 AND p_size > 3)")
+    return late.unionByName(other)
+
+
+def _ledger_rows(lines: DataFrame, orders: DataFrame, parts: DataFrame, condition: str = "true") -> DataFrame:
+    source = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     late = "l_linenumber = 1 AND p_size > 3"
     signed = "CASE WHEN l_returnflag = 'R' THEN l_extendedprice * l_tax ELSE -(l_extendedprice * l_tax) END"
-    return source.join(t.part, F.col("l_partkey") == F.col("p_partkey")).selectExpr(
+    return source.join(parts, F.col("l_partkey") == F.col("p_partkey")).where(condition).selectExpr(
         f"concat('AR-', lpad(CAST(o_custkey AS STRING), {ACCOUNT_WIDTH}, '0')) AS account_no",
         "CAST(l_shipdate AS DATE) AS load_date",
         "CAST(o_orderdate AS DATE) AS tran_date",
@@ -166,9 +198,9 @@ def products(t: Tables) -> DataFrame:
     )
 
 
-def settlements(t: Tables, days: Days = None) -> DataFrame:
+def settlements(t: Tables, days: Days = None, customers: DataFrame | None = None) -> DataFrame:
     amount = F.col("o_totalprice") * F.lit(0.001)
-    return t.orders.where(within_days("o_orderdate", days)).select(
+    return _orders(t, days, customers).select(
         F.col("o_custkey").alias("customer_id"),
         F.col("o_orderdate").cast("date").alias("invoice_date"),
         F.when(F.pmod("o_orderkey", F.lit(10)) != 9, "X").otherwise("Z").alias("fee_type"),
