@@ -15,6 +15,7 @@ from ebbtide.functions.staging import new_path, stage
 from ebbtide.modelling import evaluate, explain, prepare, select, train
 from ebbtide.operators import behaviour, checks, contact, fact, feature_table, priority, profile, ranges, rollup
 from ebbtide.operators import calendar as cal
+from ebbtide.plans import flagship
 from ebbtide.plans.inputs import Inputs
 from ebbtide.session import configure
 from ebbtide.sources import logical, sinks
@@ -566,6 +567,21 @@ def quality_gate(i: Inputs) -> DataFrame:
     return evaluate.below_quality(metrics.withColumnRenamed("customer_size", "segment"))
 
 
+@query
+def score_run_result(i: Inputs) -> DataFrame:
+    """A scoring run of all segments with fixed weights, written to the result table and read back."""
+    hot = prepare.one_hot(i.features)
+    columns = sorted(prepare.feature_columns(hot))
+    weights = {c: round(w * 0.02, 4) for c, w in fixed_weights(columns).items()}
+    path = new_path(i.spark, "result")
+    result = flagship.score_run(i, {name: flagship.LinearModel(weights) for name in prepare.SEGMENTS}, i.p.last_day, path)
+    return result.select(
+        "parentname", "customer_size", "state_code", "credit_limit", F.round(F.col("tenure").cast("double"), 2).alias("tenure"),
+        F.round(F.col("churn_prob").cast("double"), 4).alias("churn_prob"), "churn_rank", "churn_flag_predicted", "churn_flag_actual",
+        *[f"factor_{n}" for n in range(1, 11)], "run_week", F.col("run_date").cast("date").alias("run_date"),
+    )
+
+
 # Spark ML has no SQL counterpart: the queries below are checked for their rows only.
 
 def _segment_matrix(i: Inputs, name: str = "small") -> tuple[DataFrame, list[str]]:

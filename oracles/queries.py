@@ -264,3 +264,21 @@ sql("quality_gate", "scored", """
     SELECT customer_size AS segment, round(coalesce(2 * count(*) FILTER (churn_flag = 1 AND churn_flag_predicted = 1)
       / nullif(2 * count(*) FILTER (churn_flag = 1 AND churn_flag_predicted = 1) + count(*) FILTER (churn_flag <> churn_flag_predicted), 0), 0), 6) AS best_f1
     FROM scored GROUP BY 1) WHERE best_f1 < 0.5""")
+_hot = ", ".join(f"({c} = '{v}')::INTEGER::DOUBLE AS \"{c}_{v}\"" for c, vs in _cats.items() for v in vs)
+_segment = "CASE customer_size WHEN 'others' THEN 'express-check' WHEN 'medium' THEN 'small' ELSE customer_size END"
+sql("score_run_result", "features run", f"""
+, hot AS (SELECT parentname, {_segment} AS seg, COLUMNS(* EXCLUDE ({', '.join(feat._NOT)}))::DOUBLE, {_hot} FROM features),
+l AS (SELECT parentname, seg, measure, value FROM (UNPIVOT hot ON COLUMNS(* EXCLUDE (parentname, seg)) INTO NAME measure VALUE value)),
+w AS (SELECT measure, round(round((CASE k % 2 WHEN 0 THEN 1 ELSE -1 END) * (0.9::DOUBLE - 0.05::DOUBLE * (k % 18)), 2) * 0.02::DOUBLE, 4) AS w
+      FROM (SELECT measure, row_number() OVER (ORDER BY measure) - 1 AS k FROM (SELECT DISTINCT measure FROM l))),
+a AS (SELECT parentname, measure, value, w * (value - avg(value) OVER s) / CASE WHEN stddev_pop(value) OVER s = 0 THEN 1 ELSE stddev_pop(value) OVER s END AS a
+      FROM l JOIN w USING (measure) WINDOW s AS (PARTITION BY seg, measure)),
+p AS (SELECT parentname, 1 / (1 + exp(-round(sum(a), 9))) AS prob FROM a GROUP BY 1),
+f AS (SELECT parentname, {', '.join(f'max(factor) FILTER (place = {n}) AS factor_{n}' for n in range(1, 11))} FROM (
+    SELECT parentname, place, '{{''feature'': ''' || measure || ''', ''impact'': ' || {num('impact', 2)} || ', ''value'': ' || {num('value', 3)} || '}}' AS factor
+    FROM (SELECT *, a / nullif(sum(abs(a)) OVER (PARTITION BY parentname), 0) AS impact,
+                 row_number() OVER (PARTITION BY parentname ORDER BY round(abs(a), 9) DESC, measure) AS place FROM a)) GROUP BY 1)
+SELECT parentname, {_segment} AS customer_size, state_code, credit_limit::INTEGER AS credit_limit, round(tenure::FLOAT::DOUBLE, 2) AS tenure,
+       round(round_even(prob, 4)::FLOAT::DOUBLE, 4) AS churn_prob, floor(round(round_even(prob, 4) * 10, 6))::INTEGER AS churn_rank, (prob >= 0.5)::INTEGER AS churn_flag_predicted,
+       churn_flag AS churn_flag_actual, {', '.join(f'factor_{n}' for n in range(1, 11))}, cur::VARCHAR AS run_week, (SELECT max(o_orderdate)::DATE FROM orders) AS run_date
+FROM features JOIN p USING (parentname) JOIN f USING (parentname) CROSS JOIN run""")
