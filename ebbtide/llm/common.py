@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
+import zlib
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ebbtide.functions.staging import stage
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 # Rows in one Arrow batch: keeps a Python task's memory near a thousand texts.
 BATCH_ROWS = 1000
+# Arrays of fixed size that one task, or the driver, merges.
+FAN_IN = 16
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,3 +49,25 @@ def free_name(taken: list[str], stem: str) -> str:
 
 def q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
+
+
+def merged_arrays(blobs: DataFrame, merge, dtype) -> np.ndarray | None:
+    """All arrays in the column ``blob`` merged into one, some at a time."""
+
+    def total(values):
+        found = None
+        for value in values:
+            part = np.frombuffer(zlib.decompress(value), dtype)
+            found = part if found is None else merge(found, part)
+        return found
+
+    def several(batches):
+        found = total(v for batch in batches for v in batch.column("blob").to_pylist())
+        if found is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(found.tobytes(), 1)], pa.binary())], ["blob"])
+
+    n = blobs.count()
+    while n > FAN_IN:
+        n = -(-n // FAN_IN)
+        blobs = stage(blobs.repartition(n).mapInArrow(several, "blob binary"), "merged")
+    return total(r.blob for r in blobs.collect())

@@ -20,19 +20,21 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.functions.staging import stage
 from ebbtide.llm import words as W
-from ebbtide.llm.common import q, small_batches
+from ebbtide.llm.common import merged_arrays, q, small_batches
 from ebbtide.llm.components import components
 
 SHINGLE = 5
 PERCENT = 80
 # Buckets of the frequency sketch: a broadcast of 4 MB at any input size.
 SKETCH = 1 << 20
-FAN_IN = 16
+# Bits of the filter over documents whose texts are needed: a broadcast of 4 MB at any input size.
+FILTER_BITS = 1 << 25
 # What one task holds of a region.
 REGION_SHINGLES = 3_000_000
 REGION_DOCS = 8192
@@ -90,29 +92,41 @@ def _summaries(texts: DataFrame, size: int, id_type: str) -> DataFrame:
     return texts.mapInArrow(summarise, f"doc_id {id_type}, n long, digest binary, sketch binary")
 
 
-def _total(blobs) -> np.ndarray:
-    total = np.zeros(SKETCH, np.uint32)
-    for blob in blobs:
-        total += np.frombuffer(zlib.decompress(blob), np.uint32)
-    return total
+def _filter_bits(keys: DataFrame):
+    """One bit per hash of the long column ``h``, in an array of fixed size."""
 
+    def mark(batches):
+        bits = np.zeros(FILTER_BITS, bool)
+        for batch in batches:
+            bits[batch.column("h").to_numpy().view(np.uint64) % np.uint64(FILTER_BITS)] = True
+        yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(np.packbits(bits).tobytes(), 1)], pa.binary())], ["blob"])
+
+    merged = merged_arrays(stage(keys.mapInArrow(mark, "blob binary"), "bits"), np.bitwise_or, np.uint8)
+    return np.zeros(FILTER_BITS // 8, np.uint8) if merged is None else merged
 
-def _merge_sketches(sketches: DataFrame) -> np.ndarray:
-    """Sum of all sketches, some at a time."""
 
-    def add(batches):
-        total = None
+def _asked_texts(texts: DataFrame, bits, id_type: str) -> DataFrame:
+    """(doc_id, packed) of documents that may be in the filter: the texts that are shuffled, compressed."""
+
+    def keep(batches):
+        pack = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
-            part = _total(batch.column("sketch").to_pylist())
-            total = part if total is None else total + part
-        if total is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())], ["sketch"])
+            at = batch.column("h").to_numpy().view(np.uint64) % np.uint64(FILTER_BITS)
+            hit = (bits.value[at >> np.uint64(3)] >> (np.uint8(7) - (at & np.uint64(7)).astype(np.uint8))) & np.uint8(1)
+            asked = batch.filter(pa.array(hit.astype(bool), pa.bool_()))
+            packed = [pack(t.as_buffer()) if t.is_valid else None for t in asked.column("text")]
+            yield pa.RecordBatch.from_arrays([asked.column("doc_id"), pa.array(packed, pa.binary())], ["doc_id", "packed"])
+
+    return texts.withColumn("h", F.xxhash64("doc_id")).mapInArrow(keep, f"doc_id {id_type}, packed binary")
 
-    n = sketches.count()
-    while n > FAN_IN:
-        n = -(-n // FAN_IN)
-        sketches = stage(sketches.repartition(n).mapInArrow(add, "sketch binary"), "sketch")
-    return _total(r.sketch for r in sketches.collect())
+
+def packed_sets(column: pa.Array, size: int):
+    """Shingle sets of compressed texts."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    for k in range(len(column)):
+        value = column[k]
+        text = pa.array([unpack(value.as_buffer()) if value.is_valid else None], pa.binary()).cast(pa.string())
+        yield from shingle_sets(text, size)
 
 
 def _prefixes(texts: DataFrame, load, size: int, percent: int, id_type: str) -> DataFrame:
@@ -136,6 +150,7 @@ def _prefixes(texts: DataFrame, load, size: int, percent: int, id_type: str) ->
 def region_links(sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[int, int]]:
     """Links (i, j) that connect exactly the sets which chains of linked sets connect."""
     links: list[tuple[int, int]] = []
+    group = np.arange(len(sets))
     live = np.array([k for k, s in enumerate(sets) if len(s)], np.int64)
     reach = 1 - percent / 100 + 1e-9
     tokens = owners = None
@@ -160,7 +175,13 @@ def region_links(sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[i
         union = sizes[0] + sizes - common
         linked = 100 * common >= percent * union
         linked[0] = False
-        links.extend((int(live[0]), int(k)) for k in live[linked])
+        # A link inside a group that is connected already adds nothing.
+        joined = group == group[live[0]]
+        for other in np.unique(group[live[linked]]):
+            if other != group[live[0]]:
+                links.append((int(live[0]), int(live[linked][group[live[linked]] == other][0])))
+                joined |= group == other
+        group[joined] = group[live[0]]
         distance = 1 - common / union
         others = ~linked
         others[0] = False
@@ -174,8 +195,98 @@ def region_links(sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[i
     return links
 
 
+def possible_partners(prefixes: list[np.ndarray], sizes: np.ndarray, load: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """Which sets may be linked with another one, by what their first tokens have in common.
+
+    Up to the place in the common order where the first tokens of either set end, all
+    tokens of both are known; beyond it two sets share at most what one of them has left.
+    """
+    lengths = np.array([len(p) for p in prefixes])
+    found = np.zeros(len(prefixes), bool)
+    distinct, values, counts = np.unique(np.concatenate(prefixes).view(np.uint64), return_inverse=True, return_counts=True)
+    starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
+    live = np.flatnonzero(np.add.reduceat((counts[values] > 1).astype(np.int64), starts) > 0)
+    if len(live) < 2:
+        return found
+    place = np.empty(len(distinct), np.int64)
+    place[np.lexsort((distinct, load[(distinct & np.uint64(SKETCH - 1)).astype(np.int64)]))] = np.arange(len(distinct))
+    ordered = place[values]
+    parts = [ordered[starts[k] : starts[k] + lengths[k]] for k in live]
+    tokens, n = np.concatenate(parts), sizes[live]
+    ends = np.array([p[-1] for p in parts])
+    starts = np.concatenate(([0], np.cumsum(lengths[live])[:-1]))
+    marks = np.zeros(len(distinct), bool)
+    for k, part in enumerate(parts):
+        marks[part] = True
+        common = np.add.reduceat(marks[tokens].astype(np.int64), starts)
+        marks[part] = False
+        near = np.flatnonzero(common > 0)
+        near = near[near != k]
+        if not len(near):
+            continue
+        upto = np.minimum(ends[near], ends[k])
+        own = np.searchsorted(part, upto, "right")
+        other = np.array([np.searchsorted(parts[j], u, "right") for j, u in zip(near, upto)])
+        most = common[near] + np.minimum(n[k] - own, n[near] - other)
+        # Linked sets share at least percent / (100 + percent) of their joint size.
+        may = near[(100 + percent) * most >= percent * (n[near] + n[k])]
+        if len(may):
+            found[live[may]] = True
+            found[live[k]] = True
+    return found
+
+
+def _prune(rows: DataFrame, load, percent: int, id_type: str) -> DataFrame:
+    """(region, doc_id, n) of the rows (region, doc_id, n, tokens) that may have a link in their region."""
+
+    def prune(batches):
+        region, held = None, []
+
+        def flush():
+            if len(held) < 2:
+                return []
+            may = possible_partners([h[2] for h in held], np.array([h[1] for h in held]), load.value, percent)
+            return [(region, h[0], h[1]) for h, m in zip(held, may) if m]
+
+        def rows_of(found, kind):
+            return pa.RecordBatch.from_arrays(
+                [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], kind), pa.array([f[2] for f in found], pa.int64())],
+                ["region", "doc_id", "n"],
+            )
+
+        for batch in batches:
+            kind, found = batch.column("doc_id").type, []
+            tokens = batch.column("tokens")
+            for k, (name, doc, n) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("region", "doc_id", "n")))):
+                if name != region:
+                    found += flush()
+                    region, held = name, []
+                held.append((doc, n, tokens[k].values.to_numpy(zero_copy_only=False).copy()))
+            yield rows_of(found, kind)
+        if held:
+            yield rows_of(flush(), kind)
+
+    placed = rows.select("region", "doc_id", "n", "tokens").repartition("region").sortWithinPartitions("region")
+    return placed.mapInArrow(prune, f"region string, doc_id {id_type}, n long")
+
+
+def _outer_regions(members: DataFrame) -> DataFrame:
+    """Members of the regions that do not lie wholly within the region of a smaller pivot.
+
+    ``members`` is (pivot, doc_id, n). If all documents of a region are in the region of
+    one smaller pivot they meet there.
+    """
+    sizes = members.groupBy("pivot").agg(F.count("*").alias("size"))
+    homes = members.select(F.col("doc_id").alias("pivot"), F.col("pivot").alias("outer")).where("outer < pivot")
+    both = members.join(homes, "pivot").select("pivot", "doc_id", "outer")
+    also = members.select("doc_id", F.col("pivot").alias("outer"))
+    inside = both.join(also, ["doc_id", "outer"]).groupBy("pivot", "outer").agg(F.count("*").alias("size"))
+    nested = inside.join(sizes, ["pivot", "size"], "left_semi").select("pivot").distinct()
+    return members.join(nested, "pivot", "left_anti")
+
+
 def _in_tasks(rows: DataFrame, size: int, percent: int, id_type: str) -> DataFrame:
-    """Links (u, v) of all regions in (region, doc_id, text), each held by one task."""
+    """Links (u, v) of all regions in (region, doc_id, packed), each held by one task."""
 
     def join(batches):
         region, ids, sets = None, [], []
@@ -188,7 +299,7 @@ def _in_tasks(rows: DataFrame, size: int, percent: int, id_type: str) -> DataFra
             kind = batch.column("doc_id").type
             found = []
             names, docs = batch.column("region").to_pylist(), batch.column("doc_id").to_pylist()
-            for name, doc, s in zip(names, docs, shingle_sets(batch.column("text"), size)):
+            for name, doc, s in zip(names, docs, packed_sets(batch.column("packed"), size)):
                 if name != region:
                     found += flush()
                     region, ids, sets = name, [], []
@@ -201,22 +312,22 @@ def _in_tasks(rows: DataFrame, size: int, percent: int, id_type: str) -> DataFra
     def _links(pairs, kind):
         return pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], kind), pa.array([p[1] for p in pairs], kind)], ["u", "v"])
 
-    placed = rows.select("region", "doc_id", "text").repartition("region").sortWithinPartitions("region", "doc_id")
+    placed = rows.select("region", "doc_id", "packed").repartition("region").sortWithinPartitions("region", "doc_id")
     return placed.mapInArrow(join, f"u {id_type}, v {id_type}")
 
 
 def _distances(rows: DataFrame, size: int, id_type: str) -> DataFrame:
-    """(region, doc_id, n, pivot, common, pivot_n) from rows with text and pivot_text."""
+    """(region, doc_id, n, pivot, common, pivot_n) from rows with packed and pivot_packed."""
 
     def measure(batches):
         for batch in batches:
             known: dict = {}
             common, pivot_n = [], []
             pivots = batch.column("pivot").to_pylist()
-            pivot_texts = batch.column("pivot_text")
-            for k, s in enumerate(shingle_sets(batch.column("text"), size)):
+            pivot_texts = batch.column("pivot_packed")
+            for k, s in enumerate(packed_sets(batch.column("packed"), size)):
                 if pivots[k] not in known:
-                    known = {pivots[k]: next(shingle_sets(pivot_texts.slice(k, 1), size))}
+                    known = {pivots[k]: next(packed_sets(pivot_texts.slice(k, 1), size))}
                 p = known[pivots[k]]
                 common.append(len(np.intersect1d(s, p, assume_unique=True)))
                 pivot_n.append(len(p))
@@ -241,7 +352,7 @@ def _cut(members: DataFrame, texts: DataFrame, level: int, size: int, percent: i
         return None, other.select(name.alias("region"), "doc_id", "n")
     pivots = members.groupBy("region").agg(F.min(F.struct(F.xxhash64("doc_id", F.lit(level)), "doc_id")).alias("p"))
     chosen = pivots.select("region", F.col("p.doc_id").alias("pivot"))
-    pivot_texts = chosen.join(texts.select(F.col("doc_id").alias("pivot"), F.col("text").alias("pivot_text")), "pivot").dropDuplicates(["region"])
+    pivot_texts = chosen.join(texts.select(F.col("doc_id").alias("pivot"), F.col("packed").alias("pivot_packed")), "pivot").dropDuplicates(["region"])
     paired = members.join(texts, "doc_id").join(pivot_texts, "region")
     measured = stage(_distances(paired, size, id_type), "distances")
     union = F.col("n") + F.col("pivot_n") - F.col("common")
@@ -294,7 +405,8 @@ def jaccard_components(
     id_type = docs.schema[id_col].dataType.simpleString()
     texts = docs.select(F.col(q(id_col)).alias("doc_id"), F.col(q(text_col)).alias("text"))
     summary = stage(_summaries(texts, size, id_type), "sets")
-    load = spark.sparkContext.broadcast(_merge_sketches(summary.where("sketch IS NOT NULL").select("sketch")))
+    sketch = merged_arrays(summary.where("sketch IS NOT NULL").select(F.col("sketch").alias("blob")), np.add, np.uint32)
+    load = spark.sparkContext.broadcast(np.zeros(SKETCH, np.uint32) if sketch is None else sketch)
     sets = summary.where("sketch IS NULL").select("doc_id", "n", "digest")
     named = sets.where("doc_id IS NOT NULL AND n > 0")
 
@@ -311,11 +423,19 @@ def jaccard_components(
     pivot_rep = by_rep.select(F.col("doc_id").alias("pivot"), F.col("rep").alias("pivot_rep")).distinct()
     pairs = near.join(by_rep, "doc_id").join(pivot_rep, "pivot").where("rep <> pivot_rep").select("pivot_rep", "rep", "n")
     homes = by_rep.where("doc_id = rep").select(F.col("rep").alias("pivot_rep"), "rep", "n").join(pairs.select("pivot_rep").distinct(), "pivot_rep", "left_semi")
-    members = stage(
-        pairs.unionByName(homes).groupBy(F.col("pivot_rep").cast("string").alias("region"), F.col("rep").alias("doc_id")).agg(F.max("n").alias("n")),
-        "members",
+    met = stage(
+        pairs.unionByName(homes).groupBy(F.col("pivot_rep").alias("pivot"), F.col("rep").alias("doc_id")).agg(F.max("n").alias("n")), "met"
     )
-    wanted = texts.join(members.select("doc_id").distinct(), "doc_id", "left_semi")
+    members = stage(_outer_regions(met).select(F.col("pivot").cast("string").alias("region"), "doc_id", "n"), "members")
+    sizes = members.groupBy("region").agg(F.sum("n").alias("all_n"), F.count("*").alias("docs")).where("docs > 1")
+    marked = members.join(sizes.select("region", ((F.col("all_n") > limits[0]) | (F.col("docs") > limits[1])).alias("large")), "region")
+    first_tokens = prefixes.withColumnRenamed("doc_id", "of")
+    fits = marked.where("NOT large").drop("large")
+    held = fits.join(first_tokens.where(F.size("tokens") > 0), fits["doc_id"] == first_tokens["of"])
+    members = stage(_prune(held, load, percent, id_type).unionByName(marked.where("large").drop("large")).distinct(), "members")
+    asked = members.select("doc_id").distinct()
+    bits = spark.sparkContext.broadcast(_filter_bits(asked.select(F.xxhash64("doc_id").alias("h"))))
+    wanted = _asked_texts(texts, bits, id_type).join(asked, "doc_id", "left_semi")
     edges = equal
     for links in join_regions(members, wanted, size, percent, id_type, limits):
         edges = edges.unionByName(links)
