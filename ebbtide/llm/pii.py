@@ -118,7 +118,8 @@ def disclosures(base: DataFrame, texts: DataFrame, min_documents: int, threshold
     near = stage(together.join(values.where(F.col("n_value") < total), ["kind", "value"]), "near")
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(LETTERS), F.lit(0)))
     spread = texts.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
-    informed = near.join(spread.join(near.select("term").distinct(), "term", "left_semi"), "term")
+    # An inner join stays above the aggregate: words are counted where they are read, then joined.
+    informed = near.join(spread, "term")
     information = F.log(F.lit(float(total)) / F.col("n_value"))
     mutual = F.log(F.col("both") * float(total) / (F.col("n_value") * F.col("n_term")))
     scored = informed.withColumn("disclosure", F.round(mutual / information, 6))
