@@ -585,11 +585,12 @@ def score_run_result(i: Inputs) -> DataFrame:
 # Spark ML has no SQL counterpart: the queries below are checked for their rows only.
 
 def _segment_matrix(i: Inputs, name: str = "small") -> tuple[DataFrame, list[str]]:
-    """One-hot features of a segment without constant columns, and the column names."""
+    """One-hot features of a segment without constant columns, transformed and scaled, and the column names."""
     hot = stage(prepare.one_hot(prepare.segment(i.features, name)), "matrix")
     columns = prepare.feature_columns(hot)
     constant = {r.measure for r in prepare.constant_columns(hot, columns).select("measure").collect()}
-    return hot, [c for c in columns if c not in constant]
+    columns = [c for c in columns if c not in constant]
+    return stage(prepare.standard_scale(prepare.power_transform(hot, columns), columns), "scaled"), columns
 
 
 def _train_and_test(hot: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -605,52 +606,44 @@ def _best(hot: DataFrame, columns: list[str], k: int) -> list[str]:
 
 @query
 def model_select(i: Inputs) -> DataFrame:
-    hot, columns = _segment_matrix(i)
-    return train.model_select(hot, columns, max_iter=10)
+    return train.model_select(*_segment_matrix(i), max_iter=20, trees=10)
 
 
 @query
 def rfe(i: Inputs) -> DataFrame:
-    hot, columns = _segment_matrix(i)
-    return train.rfe(hot, _best(hot, columns, 60), keep=20, step=20, max_iter=5)
+    return train.rfe(*_segment_matrix(i), keep=select.KEPT_FEATURES, step=50, max_iter=10, trees=3)
 
 
 @query
 def model_leaderboard(i: Inputs) -> DataFrame:
-    hot, columns = _segment_matrix(i)
-    fit_on, check_on = _train_and_test(hot)
-    by_mi = select.top_k(select.mutual_info(hot, _best(hot, columns, 40)), "mi", 15)
-    sets = {"kbest": _best(hot, columns, 15), "mutual_info": [r.measure for r in by_mi.collect()]}
-    return train.model_leaderboard(fit_on, check_on, sets, max_iter=10)
+    scaled, columns = _segment_matrix(i)
+    fit_on, check_on = _train_and_test(scaled)
+    by_mi = select.top_k(select.mutual_info(scaled, columns), "mi", 150)
+    sets = {"kbest": _best(scaled, columns, 150), "mutual_info": [r.measure for r in by_mi.collect()]}
+    return train.model_leaderboard(fit_on, check_on, sets, max_iter=10, trees=5)
 
 
 @query
 def tune(i: Inputs) -> DataFrame:
-    hot, columns = _segment_matrix(i)
-    fit_on, check_on = _train_and_test(hot)
-    return train.tune(fit_on, check_on, "LogisticRegression", _best(hot, columns, 15), "kbest", max_iter=10)
+    scaled, columns = _segment_matrix(i)
+    fit_on, check_on = _train_and_test(scaled)
+    return train.tune(fit_on, check_on, "LogisticRegression", _best(scaled, columns, 150), "kbest", max_iter=10)
 
 
 @query
 def train_segment(i: Inputs) -> DataFrame:
-    hot, columns = _segment_matrix(i)
-    best = _best(hot, columns, 15)
-    scaled = prepare.standard_scale(prepare.power_transform(hot, best), best)
-    weights = train.coefficients(train.train_segment(scaled, best), best)
-    return i.spark.createDataFrame([("small", c, w) for c, w in weights.items()], "segment string, feature string, weight double")
+    rows = []
+    for name in prepare.SEGMENTS:
+        scaled, columns = _segment_matrix(i, name)
+        best = _best(scaled, columns, select.KEPT_FEATURES)
+        weights = train.coefficients(train.train_segment(scaled, best), best)
+        rows += [(name, c, w) for c, w in weights.items()]
+    return i.spark.createDataFrame(rows, "segment string, feature string, weight double")
 
 
 @query
 def score_segment(i: Inputs) -> DataFrame:
-    hot, columns = _segment_matrix(i)
-    best = _best(hot, columns, 15)
-    fit_on, _ = _train_and_test(hot)
-    lambdas = stage(prepare.power_fit(fit_on, best), "lambdas")
-    powered = prepare.power_transform(fit_on, best, lambdas)
-    spread = stage(prepare.scale_statistics(powered, best), "spread")
-    model = train.train_segment(prepare.standard_scale(powered, best, spread), best)
-    # Scoring reuses what was fitted in training.
-    batch = prepare.standard_scale(prepare.power_transform(hot.select("*", explain.raw_values(best)), best, lambdas), best, spread)
-    scores = train.score_segment(model, batch, best, ["parentname"])
-    factors = explain.score_factors(batch, train.attributions(model, best), explain.raw_of(best))
-    return scores.join(factors, "parentname")
+    """Fit and apply a model of the smallest and the largest segment kinds, with factors."""
+    models = {name: flagship.train_model(i.features, name) for name in prepare.SEGMENTS}
+    result = flagship.score_run(i, models, i.p.last_day, new_path(i.spark, "result"))
+    return result.select("parentname", "customer_size", "churn_prob", "churn_rank", "churn_flag_predicted", *[f"factor_{n}" for n in range(1, 11)])

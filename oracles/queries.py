@@ -189,8 +189,8 @@ sql("constant_columns", "flags", f"""
     ON COLUMNS(*) INTO NAME measure VALUE value) GROUP BY 1 HAVING min(value) = max(value)""")
 sql("anova_f", "anova", "SELECT * FROM anova")
 sql("mutual_info", "mi", "SELECT * FROM mi")
-_votes = ["lasso_select_from_model", "logistic_select_from_model", "lgbm_select_from_model", "svm_select_from_model", "mutual_info", "kbest",
-          "rfe_logistic", "rfe_lgbm", "rfe_svm"]
+_votes = ["lasso_select_from_model", "logistic_select_from_model", "boosted_select_from_model", "svm_select_from_model", "mutual_info", "kbest",
+          "rfe_logistic", "rfe_boosted", "rfe_svm"]
 _v = [f"({('pf', 'pm')[k % 2]} <= {3 + k})" for k in range(9)]
 sql("feature_votes", "anova mi", f"""
   SELECT *, row_number() OVER (ORDER BY total DESC, measure DESC)::INTEGER AS place FROM (
