@@ -249,3 +249,29 @@ def test_local_paths_are_refused_on_a_cluster():
             folder(session("yarn", **wrong))
     assert folder(session("yarn", **here, **{"spark.ebbtide.sharedMount": "true"})) == "file:///tmp/x"
     assert folder(session("yarn", **{"spark.checkpoint.dir": "hdfs://n/x/"})) == "hdfs://n/x"
+
+
+def test_ledger_scans_are_cut_by_both_dates(spark):
+    from ebbtide.plans.inputs import Inputs
+
+    i = Inputs(spark, "/root/testdata/sf0.001")
+    plan = i.ledger._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    pushed = [line for line in plan.splitlines() if "PushedFilters" in line]
+    assert any("GreaterThanOrEqual(l_shipdate" in p for p in pushed) and any("GreaterThanOrEqual(o_orderdate" in p for p in pushed)
+
+
+def test_a_parent_with_a_third_of_all_accounts(spark):
+    """The roll-up of a hot parent equals plain sums."""
+    from ebbtide.plans.inputs import Inputs
+
+    p = Inputs(spark, "/root/testdata/sf0.001").p
+    week = p.current_week
+    others = [f"CAST(NULL AS {'BIGINT' if m in fact.COUNT_MEASURES else 'DOUBLE'}) AS {m}" for m in fact.RAW_MEASURES if m != "total_gallons"]
+    weeks = spark.range(900).selectExpr("id AS customer_id", f"{week} AS week", "CAST(id AS DOUBLE) AS total_gallons", *others)
+    parents = spark.range(900).selectExpr("id AS customer_id", "IF(id % 3 = 0, 'hot', concat('p', CAST(id % 50 AS STRING))) AS parentname")
+    got = {r.parentname: r.total_gallons for r in rollup.parent_weekly(weeks, parents, p).where(f"week = {week}").collect()}
+    want = {}
+    for k in range(900):
+        name = "hot" if k % 3 == 0 else f"p{k % 50}"
+        want[name] = want.get(name, 0.0) + k
+    assert got == want
