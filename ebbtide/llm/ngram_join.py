@@ -195,49 +195,54 @@ def region_links(sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[i
     return links
 
 
-def possible_partners(prefixes: list[np.ndarray], sizes: np.ndarray, load: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+def possible_partners(
+    tokens: list[np.ndarray], places: list[np.ndarray], last: np.ndarray, lengths: np.ndarray, sizes: np.ndarray, load: np.ndarray, percent: int = PERCENT
+) -> np.ndarray:
     """Which sets may be linked with another one, by what their first tokens have in common.
 
-    Up to the place in the common order where the first tokens of either set end, all
-    tokens of both are known; beyond it two sets share at most what one of them has left.
+    ``tokens`` are those first tokens of each set that other sets have too, in order, with
+    their places; ``last`` and ``lengths`` say where the first tokens end. Up to the point of
+    the common order where those of either set end, all shared tokens are known; beyond
+    it two sets share at most what one of them has left there.
     """
-    lengths = np.array([len(p) for p in prefixes])
-    found = np.zeros(len(prefixes), bool)
-    distinct, values, counts = np.unique(np.concatenate(prefixes).view(np.uint64), return_inverse=True, return_counts=True)
-    starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-    live = np.flatnonzero(np.add.reduceat((counts[values] > 1).astype(np.int64), starts) > 0)
-    if len(live) < 2:
-        return found
-    place = np.empty(len(distinct), np.int64)
-    place[np.lexsort((distinct, load[(distinct & np.uint64(SKETCH - 1)).astype(np.int64)]))] = np.arange(len(distinct))
-    ordered = place[values]
-    parts = [ordered[starts[k] : starts[k] + lengths[k]] for k in live]
-    tokens, n = np.concatenate(parts), sizes[live]
-    ends = np.array([p[-1] for p in parts])
-    starts = np.concatenate(([0], np.cumsum(lengths[live])[:-1]))
+    found = np.zeros(len(tokens), bool)
+    flat = np.concatenate([*tokens, last]).view(np.uint64)
+    distinct, values = np.unique(flat, return_inverse=True)
+    order = np.empty(len(distinct), np.int64)
+    order[np.lexsort((distinct, load[(distinct & np.uint64(SKETCH - 1)).astype(np.int64)]))] = np.arange(len(distinct))
+    ranks = order[values]
+    counts = np.array([len(t) for t in tokens])
+    starts = np.concatenate(([0], np.cumsum(counts)[:-1]))
+    ends = ranks[counts.sum() :]
+    parts = [ranks[a : a + n] for a, n in zip(starts, counts)]
+    joined = ranks[: counts.sum()]
     marks = np.zeros(len(distinct), bool)
+
+    def known(k: int, upto: int) -> int:
+        """At least so many tokens of set k lie up to a point of the order."""
+        if upto >= ends[k]:
+            return lengths[k]
+        at = np.searchsorted(parts[k], upto, "right")
+        return places[k][at - 1] + 1 if at else 0
+
     for k, part in enumerate(parts):
         marks[part] = True
-        common = np.add.reduceat(marks[tokens].astype(np.int64), starts)
+        common = np.add.reduceat(marks[joined].astype(np.int64), starts)
         marks[part] = False
-        near = np.flatnonzero(common > 0)
-        near = near[near != k]
-        if not len(near):
-            continue
-        upto = np.minimum(ends[near], ends[k])
-        own = np.searchsorted(part, upto, "right")
-        other = np.array([np.searchsorted(parts[j], u, "right") for j, u in zip(near, upto)])
-        most = common[near] + np.minimum(n[k] - own, n[near] - other)
-        # Linked sets share at least percent / (100 + percent) of their joint size.
-        may = near[(100 + percent) * most >= percent * (n[near] + n[k])]
-        if len(may):
-            found[live[may]] = True
-            found[live[k]] = True
+        for j in np.flatnonzero(common > 0):
+            # Each pair once; a pair of which both are found already needs no look.
+            if j <= k or found[j] and found[k]:
+                continue
+            upto = min(ends[j], ends[k])
+            most = common[j] + min(sizes[k] - known(k, upto), sizes[j] - known(j, upto))
+            # Linked sets share at least percent / (100 + percent) of their joint size.
+            if (100 + percent) * most >= percent * (sizes[j] + sizes[k]):
+                found[j] = found[k] = True
     return found
 
 
 def _prune(rows: DataFrame, load, percent: int, id_type: str) -> DataFrame:
-    """(region, doc_id, n) of the rows (region, doc_id, n, tokens) that may have a link in their region."""
+    """(region, doc_id, n) of the rows (region, doc_id, n, length, last, shared) that may have a link in their region."""
 
     def prune(batches):
         region, held = None, []
@@ -245,7 +250,8 @@ def _prune(rows: DataFrame, load, percent: int, id_type: str) -> DataFrame:
         def flush():
             if len(held) < 2:
                 return []
-            may = possible_partners([h[2] for h in held], np.array([h[1] for h in held]), load.value, percent)
+            columns = list(zip(*held))
+            may = possible_partners(columns[2], columns[3], np.array(columns[4], np.int64), np.array(columns[5]), np.array(columns[1]), load.value, percent)
             return [(region, h[0], h[1]) for h, m in zip(held, may) if m]
 
         def rows_of(found, kind):
@@ -256,17 +262,19 @@ def _prune(rows: DataFrame, load, percent: int, id_type: str) -> DataFrame:
 
         for batch in batches:
             kind, found = batch.column("doc_id").type, []
-            tokens = batch.column("tokens")
-            for k, (name, doc, n) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("region", "doc_id", "n")))):
+            shared = batch.column("shared")
+            names = ("region", "doc_id", "n", "last", "length")
+            for k, (name, doc, n, last, length) in enumerate(zip(*(batch.column(c).to_pylist() for c in names))):
                 if name != region:
                     found += flush()
                     region, held = name, []
-                held.append((doc, n, tokens[k].values.to_numpy(zero_copy_only=False).copy()))
+                pairs = shared[k].values
+                held.append((doc, n, pairs.field("token").to_numpy().copy(), pairs.field("place").to_numpy().copy(), last, length))
             yield rows_of(found, kind)
         if held:
             yield rows_of(flush(), kind)
 
-    placed = rows.select("region", "doc_id", "n", "tokens").repartition("region").sortWithinPartitions("region")
+    placed = rows.select("region", "doc_id", "n", "last", "length", "shared").repartition("region").sortWithinPartitions("region")
     return placed.mapInArrow(prune, f"region string, doc_id {id_type}, n long")
 
 
@@ -416,9 +424,13 @@ def jaccard_components(
     equal = reps.where("doc_id <> rep").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
 
     prefixes = stage(_prefixes(texts.where("doc_id IS NOT NULL"), load, size, percent, id_type), "prefixes")
-    tokens = prefixes.select("doc_id", F.explode("tokens").alias("token"))
-    shared = tokens.groupBy("token").agg(F.min("doc_id").alias("pivot"), F.max("doc_id").alias("last")).where("pivot < last").drop("last")
-    near = tokens.join(shared, "token").select("doc_id", "pivot").distinct()
+    tokens = prefixes.select("doc_id", F.posexplode("tokens").alias("place", "token"))
+    pivots = tokens.groupBy("token").agg(F.min("doc_id").alias("pivot"), F.max("doc_id").alias("last")).where("pivot < last").drop("last")
+    met_tokens = stage(tokens.join(pivots, "token").select("doc_id", "place", "token", "pivot"), "tokens")
+    near = met_tokens.select("doc_id", "pivot").distinct()
+    # The first tokens of a document that others have too, and where its first tokens end.
+    shared = met_tokens.groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("place", "token"))).alias("shared"))
+    ends = prefixes.where(F.size("tokens") > 0).select("doc_id", F.size("tokens").cast("long").alias("length"), F.element_at("tokens", -1).alias("last"))
     by_rep = reps.select("doc_id", "rep", "n")
     pivot_rep = by_rep.select(F.col("doc_id").alias("pivot"), F.col("rep").alias("pivot_rep")).distinct()
     pairs = near.join(by_rep, "doc_id").join(pivot_rep, "pivot").where("rep <> pivot_rep").select("pivot_rep", "rep", "n")
@@ -427,11 +439,15 @@ def jaccard_components(
         pairs.unionByName(homes).groupBy(F.col("pivot_rep").alias("pivot"), F.col("rep").alias("doc_id")).agg(F.max("n").alias("n")), "met"
     )
     members = stage(_outer_regions(met).select(F.col("pivot").cast("string").alias("region"), "doc_id", "n"), "members")
-    sizes = members.groupBy("region").agg(F.sum("n").alias("all_n"), F.count("*").alias("docs")).where("docs > 1")
-    marked = members.join(sizes.select("region", ((F.col("all_n") > limits[0]) | (F.col("docs") > limits[1])).alias("large")), "region")
-    first_tokens = prefixes.withColumnRenamed("doc_id", "of")
+    # An id on rows with different sets has no single order of tokens; its regions go on unpruned.
+    several = reps.groupBy("doc_id").agg(F.lit(True).alias("several"), F.count("*").alias("rows")).where("rows > 1").drop("rows")
+    sizes = members.join(several, "doc_id", "left").groupBy("region").agg(
+        F.sum("n").alias("all_n"), F.count("*").alias("docs"), F.coalesce(F.max("several"), F.lit(False)).alias("several")
+    ).where("docs > 1")
+    large = (F.col("all_n") > limits[0]) | (F.col("docs") > limits[1]) | F.col("several")
+    marked = members.join(sizes.select("region", large.alias("large")), "region")
     fits = marked.where("NOT large").drop("large")
-    held = fits.join(first_tokens.where(F.size("tokens") > 0), fits["doc_id"] == first_tokens["of"])
+    held = fits.join(ends, "doc_id").join(shared, "doc_id")
     members = stage(_prune(held, load, percent, id_type).unionByName(marked.where("large").drop("large")).distinct(), "members")
     asked = members.select("doc_id").distinct()
     bits = spark.sparkContext.broadcast(_filter_bits(asked.select(F.xxhash64("doc_id").alias("h"))))
