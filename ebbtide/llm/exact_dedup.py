@@ -35,17 +35,18 @@ def frequent_keys(keys: DataFrame, counters: int = COUNTERS) -> DataFrame:
     return items.where("item.count > 1").select(F.col("item.item").alias("key")).distinct()
 
 
-def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counters: int = COUNTERS) -> DataFrame:
+def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counters: int = COUNTERS, carry: list[str] | None = None) -> DataFrame:
     """Every row of ``docs`` with keep_id, group_size, kept and text_sha256.
 
     Texts are equal when identical after lower-casing A-Z; null counts as empty.
     Of equal texts the row with the largest id is kept; a row without id is kept
     only where no equal row has one, and of rows that repeat the same id exactly
     one is kept. An empty input gives no rows. An input column with the name of a
-    result column is replaced by the result.
+    result column is replaced by the result; ``carry`` names the columns to keep, the id
+    among them, where not all are wanted.
     """
     results = {"keep_id", "group_size", "kept", "text_sha256"}
-    carried = [c for c in docs.columns if c.lower() not in results]
+    carried = [c for c in (carry or docs.columns) if c.lower() not in results]
     digest, row = free_name(docs.columns, "digest"), free_name(docs.columns, "row")
     rows = stage(
         docs.withColumn(digest, F.unhex(F.sha2(lower_ascii(F.col(q(text_col))), 256)))

@@ -58,7 +58,7 @@ def source_targets(totals: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_ep
 
 def mix_sources(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-    weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, range_rows: int = RANGE_ROWS,
+    weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, range_rows: int = RANGE_ROWS, carry: list[str] | None = None,
 ) -> DataFrame:
     """Every row of ``docs`` with size, source_size, target and taken.
 
@@ -67,10 +67,11 @@ def mix_sources(
     comes first is decided by md5 of their text. The document at the cut gives only
     the words up to it. A null text has size 0 and takes nothing; a null source is a
     source of its own; an empty input gives no rows. An input column with the name
-    of a result column is replaced by the result.
+    of a result column is replaced by the result; ``carry`` names the columns to keep,
+    the id and the source among them, where not all are wanted.
     """
     results = {"size", "source_size", "target", "taken"}
-    carried = [c for c in docs.columns if c.lower() not in results]
+    carried = [c for c in (carry or docs.columns) if c.lower() not in results]
     key, tie = free_name(docs.columns, "mix_key"), free_name(docs.columns, "mix_tie")
     text = F.coalesce(F.col(q(text_col)), F.lit(""))
     rows = stage(

@@ -62,7 +62,7 @@ SELECT doc_id, size, source_size, target,
 FROM p""")
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "source")
-    return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.mix_sources(docs, carry=["doc_id", "source"]).select("doc_id", "size", "source_size", "target", "taken")
 
 
 @query(rf"""
@@ -197,5 +197,5 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM d WINDOW g AS (PARTITION BY t)""")
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    marked = exact_dedup.exact_duplicates(docs)
+    marked = exact_dedup.exact_duplicates(docs, carry=["doc_id"])
     return marked.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
