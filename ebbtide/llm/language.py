@@ -148,9 +148,16 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
 
 def _smallest(keys: DataFrame, sample: int) -> DataFrame:
-    """(lang, cut): the rank of the last chosen row of each language."""
-    # row_number with a bound is pruned before the shuffle, so a hot language sends few rows.
-    numbered = keys.distinct().withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("rank"))).where(F.col("n") <= sample)
+    """(lang, cut): the rank of the last chosen row of each language.
+
+    Hashes are uniform, so the smallest lie below a bound set by the language's count; only
+    rows below it, some times the sample however many there are, are ranked.
+    """
+    counts = keys.groupBy("lang").agg(F.count("*").alias("n"))
+    share = F.least(F.lit(1.0), F.lit(16.0 * sample) / F.col("n"))
+    below = F.col("rank.col1").cast("double") <= F.lit(-(2.0**63)) + share * F.lit(2.0**64)
+    few = keys.join(F.broadcast(counts), "lang").where(below).select("lang", "rank").distinct()
+    numbered = few.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("rank"))).where(F.col("n") <= sample)
     return numbered.groupBy("lang").agg(F.max("rank").alias("cut"))
 
 
