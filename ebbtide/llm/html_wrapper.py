@@ -30,7 +30,7 @@ from ebbtide.llm.common import q, small_batches
 ALIGN = 64
 # Pages of a host on which a text must be the same to be part of the template.
 TEMPLATE_PAGES = 3
-# Part of a host's text that its article group must hold where no tag names it.
+# Part of a host's text that its article group must hold where no tag names it, and that no mark may drop.
 MASS = 0.6
 
 # HTML element names by their role, and words of class, id or role attributes that mark what is not the article.
@@ -47,6 +47,15 @@ MARKED = frozenset(
     "modal nav navbar navigation newsletter notice notices pagination popup promo promoted related replies reply respond share sharing sidebar site-header "
     "site-footer social sponsor sponsored subscribe toolbar widget complementary contentinfo search alert".split()
 )
+# Words that with marked ones form a compound that is marked too, such as main-nav, comment-list or cookie-bar.
+BESIDE = frozenset(
+    "area bar block bottom box button buttons container div footer form global head header icons inner item items left link links list main mobile outer "
+    "post posts primary right row secondary section site top wrap wrapper".split()
+)
+# Elements that no attribute marks: layout and topic words in their classes say nothing of their text.
+UNMARKED = frozenset("html body main".split())
+# Words that mark an article element, which blogs use for single comments too.
+MARKED_ARTICLE = frozenset("comment reply".split())
 # An element of the first kind ends an open element of the second.
 ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 
@@ -58,6 +67,16 @@ TOKEN = re.compile(
 ATTRIBUTE = re.compile(r"(class|id|role|itemprop|hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 
 
+def marked(tag: str, token: str) -> bool:
+    """Whether a class, id or role token marks an element as no part of the article: it is such a word, or a listed compound with one."""
+    if tag in ARTICLES:
+        return token in MARKED_ARTICLE and tag not in UNMARKED
+    if token in MARKED:
+        return tag not in UNMARKED
+    pieces = [w for w in re.split(r"[-_]+", token) if w]
+    return tag not in UNMARKED and any(w in MARKED for w in pieces) and all(w in MARKED or w in BESIDE for w in pieces)
+
+
 def key_of(tag: str, attrs: str) -> str:
     """Tag name, with ``!`` if its attributes mark it as no part of the article, with ``*`` if as the article."""
     for name, *values in ATTRIBUTE.findall(attrs) if attrs else ():
@@ -67,7 +86,7 @@ def key_of(tag: str, attrs: str) -> str:
                 return tag + "*"
         elif name.lower() == "role" and value == "main":
             return tag + "*"
-        elif any(w in MARKED for token in value.split() for w in (token, *re.split(r"[-_]+", token))):
+        elif any(marked(tag, token) for token in value.split()):
             return tag + "!"
     return tag
 
@@ -198,25 +217,49 @@ def slots(wrapper: list, path: tuple[str, ...] = ()) -> Iterator[tuple[str, ...]
             yield from slots(inner, (*path, kind))
 
 
-def outside(path: tuple[str, ...]) -> bool:
-    """Whether a group on the path is never part of the article."""
+def outside(path: tuple[str, ...], void: frozenset = frozenset()) -> bool:
+    """Whether a group on the path is never part of the article; marks of the paths in ``void`` do not count."""
     inside = False
-    for key in path:
+    for k, key in enumerate(path):
         name = key.rstrip("!*")
-        if key.endswith("!") or name in NOT_TEXT or name == "header" and not inside:
+        if key.endswith("!") and path[: k + 1] not in void or name in NOT_TEXT or name == "header" and not inside:
             return True
         inside = inside or name in ARTICLES
     return False
 
 
-def article_group(wrapper: list, mass: dict[tuple[str, ...], tuple[int, bool]]) -> tuple[list[tuple[str, ...]], set[tuple[str, ...]]]:
+def void_marks(mass: dict[tuple[str, ...], int]) -> frozenset:
+    """Paths of marked groups whose mark would drop most of the host's text, where no article tag outside them has text.
+
+    ``mass`` has the characters of each slot path. Text that its tags exclude does not count.
+    """
+    void: set[tuple[str, ...]] = set()
+    bare = {p: tuple(k.rstrip("!") for k in p) for p in mass}
+    weight = {p: n for p, n in mass.items() if not outside(bare[p])}
+    if any(n and not outside(p) and any(k.endswith("*") or k in ARTICLES for k in p) for p, n in weight.items()):
+        return frozenset()
+    total = sum(weight.values())
+    prefixes: dict[tuple[str, ...], int] = {}
+    for p, n in weight.items():
+        for k, key in enumerate(p):
+            if key.endswith("!"):
+                prefixes[p[: k + 1]] = prefixes.get(p[: k + 1], 0) + n
+    for prefix in sorted(prefixes, key=len):
+        if prefixes[prefix] >= MASS * total:
+            void.add(prefix)
+    return frozenset(void)
+
+
+def article_group(
+    wrapper: list, mass: dict[tuple[str, ...], tuple[int, bool]], void: frozenset = frozenset()
+) -> tuple[list[tuple[str, ...]], set[tuple[str, ...]]]:
     """Paths of the article groups of a host, and slots with template text outside named articles.
 
     ``mass`` has for each slot its characters on all pages and whether its text is a fixed
     part of the template. A group named by an article tag wins; else the deepest group
     that holds most of the host's text.
     """
-    open_slots = [p for p in dict.fromkeys(slots(wrapper)) if not outside(p)]
+    open_slots = [p for p in dict.fromkeys(slots(wrapper)) if not outside(p, void)]
     named = []
     for p in open_slots:
         marks = [k for k, key in enumerate(p) if key.endswith("*") or key.rstrip("*") in ARTICLES]
@@ -255,9 +298,9 @@ def blocks(page: str | None) -> Iterator[tuple[tuple[str, ...], str]]:
             yield tuple(path), value
 
 
-def main_text(page: str | None, groups: list[tuple[str, ...]], fixed: set[tuple[str, ...]]) -> str:
+def main_text(page: str | None, groups: list[tuple[str, ...]], fixed: set[tuple[str, ...]], void: frozenset = frozenset()) -> str:
     """Texts that the page puts into slots of the article groups; of a page without such, all that is not marked as other."""
-    found = [(p, t) for p, t in blocks(page) if not outside(p)]
+    found = [(p, t) for p, t in blocks(page) if not outside(p, void)]
     chosen = [t for p, t in found if p not in fixed and any(p[: len(g)] == g for g in groups)]
     if not chosen:
         chosen = [t for p, t in found if p not in fixed]
@@ -301,7 +344,7 @@ def _pages_as_streams(pages: DataFrame) -> DataFrame:
 
 
 def infer(pages: DataFrame) -> DataFrame:
-    """(host, wrapper, groups, fixed) from (host, html), over all pages of each host."""
+    """(host, wrapper, groups, fixed, void) from (host, html), over all pages of each host."""
     streams = stage(_pages_as_streams(pages), "streams")
     masses = (
         streams.select("host", F.explode("slots").alias("s")).groupBy("host", "s.path")
@@ -330,19 +373,21 @@ def infer(pages: DataFrame) -> DataFrame:
     def decide(batches):
         for batch in batches:
             rows = batch.to_pylist()
-            groups, fixed = [], []
+            groups, fixed, voids = [], [], []
             for row in rows:
                 mass = {tuple(filter(None, s["path"].split("/"))): (s["chars"], s["fixed"]) for s in row["slots"] or ()}
-                g, f = article_group(json.loads(row["wrapper"]), mass)
+                void = void_marks({p: n for p, (n, _) in mass.items()})
+                g, f = article_group(json.loads(row["wrapper"]), mass, void)
                 groups.append(["/".join(p) for p in g])
                 fixed.append(["/".join(p) for p in sorted(f)])
+                voids.append(["/".join(p) for p in sorted(void)])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("host"), batch.column("wrapper"), pa.array(groups, pa.list_(pa.string())), pa.array(fixed, pa.list_(pa.string()))],
-                ["host", "wrapper", "groups", "fixed"],
+                [batch.column("host"), batch.column("wrapper"), *[pa.array(x, pa.list_(pa.string())) for x in (groups, fixed, voids)]],
+                ["host", "wrapper", "groups", "fixed", "void"],
             )
 
     decided = wrappers.join(listed, "host", "left").select("host", "wrapper", "slots")
-    return stage(decided.mapInArrow(decide, "host string, wrapper string, groups array<string>, fixed array<string>"), "wrappers")
+    return stage(decided.mapInArrow(decide, "host string, wrapper string, groups array<string>, fixed array<string>, void array<string>"), "wrappers")
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -363,13 +408,13 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     def read(batches):
         for batch in batches:
             texts = []
-            for page, groups, fixed in zip(*(batch.column(c).to_pylist() for c in ("html", "groups", "fixed"))):
-                split = [[tuple(filter(None, p.split("/"))) for p in paths or [""]] for paths in (groups, fixed)]
-                texts.append(main_text(page, split[0], set(split[1]) if fixed else set()))
+            for page, groups, fixed, void in zip(*(batch.column(c).to_pylist() for c in ("html", "groups", "fixed", "void"))):
+                split = [[tuple(filter(None, p.split("/"))) for p in paths or [""]] for paths in (groups, fixed, void)]
+                texts.append(main_text(page, split[0], set(split[1]) if fixed else set(), frozenset(split[2])))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 ["page_id", "url", "text", "n_chars"],
             )
 
-    joined = rows.join(wrappers.select("host", "groups", "fixed"), "host", "left")
+    joined = rows.join(wrappers.select("host", "groups", "fixed", "void"), "host", "left")
     return joined.mapInArrow(read, f"page_id {id_type}, url {url_type}, text string, n_chars long")

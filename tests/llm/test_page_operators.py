@@ -84,3 +84,30 @@ def test_extraction_without_article_tag_and_of_broken_pages(spark):
     got = {r.page_id: r.text for r in html_wrapper.extract(frame).collect()}
     assert got[1] == "T1\n" + " ".join(["text 1"] * 20)
     assert (got[10], got[11], got[12], got[13], got[None]) == ("", "", "open bold < x", "", "plain")
+
+
+def texts_of(spark, pages):
+    """Texts of pages given as (url, html), in their order."""
+    frame = spark.createDataFrame([(k, *p) for k, p in enumerate(pages)], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_wrapper.extract(frame).collect()}
+    return [got[k] for k in range(len(pages))]
+
+
+def test_modifier_words_in_classes_mark_nothing(spark):
+    body = "<h1>Title {0}</h1><p>" + "words of page {0} " * 5
+    hosts = {
+        "a": "<body class='no-sidebar has-comments'><div>%s</div>", "b": "<body><article class='post has-comments'>%s</article>",
+        "c": "<body><main id=search-results>%s</main>", "d": "<body><div class='social-studies'>%s</div>", "e": "<html class=no-banner><body class=menu>%s",
+        # The host's text outweighs the mark.
+        "f": "<body><div class=widget>%s</div><p>by {0}",
+    }
+    pages = [(f"http://{h}.org/{k}", (page % body).format(k)) for h, page in hosts.items() for k in range(4)]
+    for (url, _), text in zip(pages, texts_of(spark, pages)):
+        k = url[-1]
+        assert text.startswith(f"Title {k}\n" + " ".join([f"words of page {k}"] * 5)), url
+
+
+def test_marked_words_and_listed_compounds_still_mark():
+    keys = {"nav": "div!", "main-nav": "div!", "comment-list": "div!", "ad": "div!", "site_footer": "div!", "x comments": "div!", "no-sidebar": "div", "has-comments": "div"}
+    assert {c: html_wrapper.key_of("div", f" class='{c}'") for c in keys} == keys
+    assert [html_wrapper.key_of(t, " class='comment'") for t in ("article", "main", "body", "section")] == ["article!", "main", "body", "section!"]
