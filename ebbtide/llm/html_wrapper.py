@@ -16,6 +16,7 @@ from __future__ import annotations
 import html
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -40,7 +41,9 @@ BLOCKS = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 NOT_TEXT = frozenset("head title nav footer aside form select option menu dialog button label legend fieldset".split())
-RAW = "script|style|noscript|template|iframe|object|svg|math|canvas|audio|video|textarea|button"
+# Elements whose content is no markup, read to their end tag or the end of the page; those that are left out with what they hold, if they are closed.
+RAW = "script|style|template|textarea"
+CLOSED = frozenset("noscript iframe object svg canvas audio video button".split())
 ARTICLES = ("article", "main")
 MARKED = frozenset(
     "ad ads advert advertisement adverts advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer masthead menu "
@@ -56,11 +59,13 @@ BESIDE = frozenset(
 UNMARKED = frozenset("html body main".split())
 # Words that mark an article element, which blogs use for single comments too.
 MARKED_ARTICLE = frozenset("comment reply".split())
+# Blocks whose end tag may be missing.
+LOOSE = frozenset("p li dt dd tr td th thead tbody tfoot option html head body hr".split())
 # An element of the first kind ends an open element of the second.
 ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})(?=[\s/>])[^>]*>.*?(?:</(?P=raw)(?=[\s/>])[^>]*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']++|\"[^\"<]*+\"|'[^'<]*+'|[\"'])*+)>|<[!?/][^>]*>",
     re.S | re.I,
 )
@@ -91,6 +96,35 @@ def key_of(tag: str, attrs: str) -> str:
     return tag
 
 
+def closed_elements(tokens: list[re.Match]) -> dict[int, int]:
+    """Number of the start tag of each closed element of ``CLOSED``, and where its end tag ends.
+
+    An element that is not closed before a block around it ends is none: its tag is passed over and what follows stays.
+    """
+    past: dict[int, int] = {}
+    # Open elements and blocks; the blocks tell where an element can no longer be closed.
+    opened: list[tuple[str, int]] = []
+    n_open: Counter = Counter()
+    for k, m in enumerate(tokens):
+        tag = (m["tag"] or "").lower()
+        if tag not in CLOSED and (tag not in BLOCKS or tag in VOID or tag in LOOSE):
+            continue
+        if not m["end"]:
+            if not m["attrs"].endswith("/") or tag != "svg":
+                opened.append((tag, k))
+                n_open[tag] += 1
+            continue
+        # What is still open inside is not closed by this end tag.
+        while n_open[tag]:
+            name, start = opened.pop()
+            n_open[name] -= 1
+            if name == tag:
+                if tag in CLOSED:
+                    past[start] = m.end()
+                break
+    return past
+
+
 def events(page: str | None) -> Iterator[tuple[str, str]]:
     """Tokens of a page: ("<", key), (">", key) for blocks, ("t", text) for the text of one block, whitespace folded."""
     stack: list[tuple[str, str]] = []
@@ -106,10 +140,14 @@ def events(page: str | None) -> Iterator[tuple[str, str]]:
             yield ">", stack.pop()[1]
 
     at, page = 0, page or ""
-    for m in TOKEN.finditer(page):
+    tokens = list(TOKEN.finditer(page))
+    past = closed_elements(tokens)
+    for k, m in enumerate(tokens):
+        if m.start() < at:
+            continue
         held.append(page[at : m.start()])
-        at = m.end()
-        if m["tag"] is None:
+        at = past.get(k, m.end())
+        if m["tag"] is None or k in past:
             continue
         tag = m["tag"].lower()
         if tag == "br":
@@ -120,9 +158,9 @@ def events(page: str | None) -> Iterator[tuple[str, str]]:
         if found:
             yield "t", found
         if m["end"]:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    yield from close(k)
+            for depth in range(len(stack) - 1, -1, -1):
+                if stack[depth][0] == tag:
+                    yield from close(depth)
                     break
             continue
         if stack and stack[-1][0] == "p":

@@ -111,3 +111,12 @@ def test_marked_words_and_listed_compounds_still_mark():
     keys = {"nav": "div!", "main-nav": "div!", "comment-list": "div!", "ad": "div!", "site_footer": "div!", "x comments": "div!", "no-sidebar": "div", "has-comments": "div"}
     assert {c: html_wrapper.key_of("div", f" class='{c}'") for c in keys} == keys
     assert [html_wrapper.key_of(t, " class='comment'") for t in ("article", "main", "body", "section")] == ["article!", "main", "body", "section!"]
+
+
+@pytest.mark.parametrize("odd", [
+    "<svg width='1'/>", "<math/>", "<object data=x>", "<audio>", "<video src=y>", "<canvas>", "<button>", "<audio-player src=z></audio-player>", "<video-embed>",
+    "<button-group>", "<svg><text>no</text></svg>", "<object><p>no</p><object>no</object></object>", "<button>no <b>no</b></button>", "<script>no</script >",
+])
+def test_odd_elements_do_not_cut_the_rest(odd):
+    page = f"<article><div><p>one</p>{odd}</div><p>two <math><mi>x</mi></math> three</p><video>no</video></article>"
+    assert [t for _, t in html_wrapper.blocks(page)] == ["one", "two x three"]
