@@ -6,9 +6,9 @@ are then aligned pairwise and iteratively: what both have is kept, a mismatch be
 optional, equal neighbours that arise become repeated. The result is a union-free
 regular expression, held as nested groups. Distinct streams are few, so whole hosts
 are aligned, in rounds of bounded size. The wrapper's slots carry how much text they
-hold on all pages of the host and whether it is the same everywhere; they decide which
-group of the host's pages is the article, and a page's text is what its tokens put
-into the slots of that group.
+hold on all pages of the host and whether it is the same everywhere. An article that a
+page names by a tag is its text; a page without one, of any template of its host, gives
+all slots that are neither template text nor marked as something else.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from ebbtide.llm.common import q, small_batches
 ALIGN = 64
 # Pages of a host on which a text must be the same to be part of the template.
 TEMPLATE_PAGES = 3
-# Part of a host's text that its article group must hold where no tag names it, and that no mark may drop.
+# Part of a host's text that its marks must not drop.
 MASS = 0.6
 
 # HTML element names by their role, and words of class, id or role attributes that mark what is not the article.
@@ -288,41 +288,16 @@ def void_marks(mass: dict[tuple[str, ...], int]) -> frozenset:
     return frozenset(void)
 
 
-def article_group(
-    wrapper: list, mass: dict[tuple[str, ...], tuple[int, bool]], void: frozenset = frozenset()
-) -> tuple[list[tuple[str, ...]], set[tuple[str, ...]]]:
-    """Paths of the article groups of a host, and slots with template text outside named articles.
-
-    ``mass`` has for each slot its characters on all pages and whether its text is a fixed
-    part of the template. A group named by an article tag wins; else the deepest group
-    that holds most of the host's text.
-    """
-    open_slots = [p for p in dict.fromkeys(slots(wrapper)) if not outside(p, void)]
-    named = []
-    for p in open_slots:
-        marks = [k for k, key in enumerate(p) if key.endswith("*") or key.rstrip("*") in ARTICLES]
-        if marks and mass.get(p, (0, False))[0]:
-            named.append(p[: marks[0] + 1])
-    if named:
-        # Where both are used, the article inside the main part is meant.
-        inner = []
-        for root in dict.fromkeys(named):
-            deeper = [p[: k + 1] for p in open_slots for k, key in enumerate(p) if p[: len(root)] == root and k >= len(root) and key.rstrip("*") == "article"]
-            inner += list(dict.fromkeys(deeper)) or [root]
-        return inner, set()
-    fixed = {p for p in open_slots if mass.get(p, (0, False))[1]}
-    weight = {p: mass.get(p, (0, False))[0] for p in open_slots if p not in fixed}
-    total, group = sum(weight.values()), ()
-    while total:
-        children: dict[tuple[str, ...], int] = {}
-        for p, n in weight.items():
-            if p[: len(group)] == group and len(p) > len(group) + 1:
-                children[p[: len(group) + 1]] = children.get(p[: len(group) + 1], 0) + n
-        top = max(children.items(), key=lambda c: c[1], default=None)
-        if top is None or top[1] < MASS * total:
-            break
-        group = top[0]
-    return [group], fixed
+def article_slots(paths: list[tuple[str, ...]]) -> set[tuple[str, ...]]:
+    """Those of a page's open slots that an article tag names: where both are used, the article inside the main part."""
+    named: dict[tuple[str, ...], tuple[tuple[str, ...], bool]] = {}
+    for p in paths:
+        marks = [k for k, key in enumerate(p) if key.endswith("*") or key.rstrip("*!") in ARTICLES]
+        if marks:
+            inner = p[marks[0]].rstrip("*!") != "article" and any(key.rstrip("*!") == "article" for key in p[marks[0] + 1 :])
+            named[p] = (p[: marks[0] + 1], inner)
+    deeper = {root for root, inner in named.values() if inner}
+    return {p for p, (root, inner) in named.items() if inner or root not in deeper}
 
 
 def blocks(page: str | None) -> Iterator[tuple[tuple[str, ...], str]]:
@@ -336,13 +311,11 @@ def blocks(page: str | None) -> Iterator[tuple[tuple[str, ...], str]]:
             yield tuple(path), value
 
 
-def main_text(page: str | None, groups: list[tuple[str, ...]], fixed: set[tuple[str, ...]], void: frozenset = frozenset()) -> str:
-    """Texts that the page puts into slots of the article groups; of a page without such, all that is not marked as other."""
+def main_text(page: str | None, fixed: set[tuple[str, ...]], void: frozenset = frozenset()) -> str:
+    """Texts of the page's named articles; of a page without such, all that is neither template text nor marked as other."""
     found = [(p, t) for p, t in blocks(page) if not outside(p, void)]
-    chosen = [t for p, t in found if p not in fixed and any(p[: len(g)] == g for g in groups)]
-    if not chosen:
-        chosen = [t for p, t in found if p not in fixed]
-    return "\n".join(chosen)
+    named = article_slots([p for p, _ in found])
+    return "\n".join(t for p, t in found if (p in named if named else p not in fixed))
 
 
 def _host(url_col: str):
@@ -382,7 +355,7 @@ def _pages_as_streams(pages: DataFrame) -> DataFrame:
 
 
 def infer(pages: DataFrame) -> DataFrame:
-    """(host, wrapper, groups, fixed, void) from (host, html), over all pages of each host."""
+    """(host, wrapper, fixed, void) from (host, html), over all pages of each host."""
     streams = stage(_pages_as_streams(pages), "streams")
     masses = (
         streams.select("host", F.explode("slots").alias("s")).groupBy("host", "s.path")
@@ -411,21 +384,19 @@ def infer(pages: DataFrame) -> DataFrame:
     def decide(batches):
         for batch in batches:
             rows = batch.to_pylist()
-            groups, fixed, voids = [], [], []
+            fixed, voids = [], []
             for row in rows:
                 mass = {tuple(filter(None, s["path"].split("/"))): (s["chars"], s["fixed"]) for s in row["slots"] or ()}
                 void = void_marks({p: n for p, (n, _) in mass.items()})
-                g, f = article_group(json.loads(row["wrapper"]), mass, void)
-                groups.append(["/".join(p) for p in g])
-                fixed.append(["/".join(p) for p in sorted(f)])
+                fixed.append(["/".join(p) for p, (_, same) in sorted(mass.items()) if same])
                 voids.append(["/".join(p) for p in sorted(void)])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("host"), batch.column("wrapper"), *[pa.array(x, pa.list_(pa.string())) for x in (groups, fixed, voids)]],
-                ["host", "wrapper", "groups", "fixed", "void"],
+                [batch.column("host"), batch.column("wrapper"), *[pa.array(x, pa.list_(pa.string())) for x in (fixed, voids)]],
+                ["host", "wrapper", "fixed", "void"],
             )
 
     decided = wrappers.join(listed, "host", "left").select("host", "wrapper", "slots")
-    return stage(decided.mapInArrow(decide, "host string, wrapper string, groups array<string>, fixed array<string>, void array<string>"), "wrappers")
+    return stage(decided.mapInArrow(decide, "host string, wrapper string, fixed array<string>, void array<string>"), "wrappers")
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -446,13 +417,13 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     def read(batches):
         for batch in batches:
             texts = []
-            for page, groups, fixed, void in zip(*(batch.column(c).to_pylist() for c in ("html", "groups", "fixed", "void"))):
-                split = [[tuple(filter(None, p.split("/"))) for p in paths or [""]] for paths in (groups, fixed, void)]
-                texts.append(main_text(page, split[0], set(split[1]) if fixed else set(), frozenset(split[2])))
+            for page, fixed, void in zip(*(batch.column(c).to_pylist() for c in ("html", "fixed", "void"))):
+                split = [[tuple(filter(None, p.split("/"))) for p in paths or ()] for paths in (fixed, void)]
+                texts.append(main_text(page, set(split[0]), frozenset(split[1])))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 ["page_id", "url", "text", "n_chars"],
             )
 
-    joined = rows.join(wrappers.select("host", "groups", "fixed", "void"), "host", "left")
+    joined = rows.join(wrappers.select("host", "fixed", "void"), "host", "left")
     return joined.mapInArrow(read, f"page_id {id_type}, url {url_type}, text string, n_chars long")

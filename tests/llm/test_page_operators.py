@@ -120,3 +120,15 @@ def test_marked_words_and_listed_compounds_still_mark():
 def test_odd_elements_do_not_cut_the_rest(odd):
     page = f"<article><div><p>one</p>{odd}</div><p>two <math><mi>x</mi></math> three</p><video>no</video></article>"
     assert [t for _, t in html_wrapper.blocks(page)] == ["one", "two x three"]
+
+
+def test_no_part_of_an_unnamed_article_is_dropped(spark):
+    lists = "<body><h1>Head {0}</h1><p>Para {0}</p><ul><li>" + "long item {0} " * 20 + "</ul><blockquote><p>quote {0}</blockquote></body>"
+    prose = "<body><h1>Head {0}</h1><p>" + "para {0} " * 20 + "</p><ul><li>short {0}</ul></body>"
+    named = "<body><p>aside {0}</p><main><p>lead {0}</p></main>"
+    nested = "<body><article><p>outer {0}</p><article><p>inner {0}</p></article></article>"
+    pages = [("http://h.org/", page.format(k)) for k in range(6) for page in (lists, prose, named, nested)]
+    got = texts_of(spark, pages)
+    for k in range(6):
+        item, para = (" ".join([f"{w} {k}"] * 20) for w in ("long item", "para"))
+        assert got[4 * k : 4 * k + 4] == [f"Head {k}\nPara {k}\n{item}\nquote {k}", f"Head {k}\n{para}\nshort {k}", f"lead {k}", f"outer {k}\ninner {k}"]
