@@ -5,14 +5,17 @@ itself: neighbours of the same kind become one repeated group. The streams of a
 are then aligned pairwise and iteratively: what both have is kept, a mismatch becomes
 optional, equal neighbours that arise become repeated. The result is a union-free
 regular expression, held as nested groups. Distinct streams are few, so whole hosts
-are aligned, in rounds of bounded size. The wrapper's slots carry how much text they
-hold on all pages of the host and whether it is the same everywhere. An article that a
+are aligned, in rounds of bounded size. Each page is then matched against its host's
+wrapper, which gives every text a slot by position, not by tags alone. A text that all
+pages with a slot have in it is the template's. An article that a
 page names by a tag is its text; a page without one, of any template of its host, gives
 all slots that are neither template text nor marked as something else.
 """
 
 from __future__ import annotations
 
+import functools
+import hashlib
 import html
 import json
 import re
@@ -246,13 +249,78 @@ def stream(tokens: list[tuple[str, str]]) -> list:
     return fold(stack[0])
 
 
-def slots(wrapper: list, path: tuple[str, ...] = ()) -> Iterator[tuple[str, ...]]:
-    """Paths of the groups that hold text slots."""
-    for kind, _, inner in wrapper:
+def matched(runs: list[str], items: list) -> list[int]:
+    """Item of the wrapper that each run of a page takes, in order; -1 for a run that has none.
+
+    As many runs as possible have an item, and of such ways one that leaves out the fewest
+    items that are not optional.
+    """
+    n, m = len(runs), len(items)
+    if n == m and all(r == i[0] for r, i in zip(runs, items)):
+        return list(range(n))
+    best = [[(0, 0)] * (m + 1) for _ in range(n + 1)]
+    for i in range(n, -1, -1):
+        for j in range(m - 1, -1, -1):
+            taken, missed = best[i][j + 1]
+            top = (taken, missed - (items[j][1] in "1+"))
+            if i < n:
+                top = max(top, best[i + 1][j])
+                if runs[i] == items[j][0]:
+                    taken, missed = best[i + 1][j + 1]
+                    top = max(top, (taken + 1, missed))
+            best[i][j] = top
+    out, i, j = [], 0, 0
+    while i < n:
+        if j < m and runs[i] == items[j][0] and best[i][j] == (best[i + 1][j + 1][0] + 1, best[i + 1][j + 1][1]):
+            out.append(j)
+            i, j = i + 1, j + 1
+        elif j < m and best[i][j] == (best[i][j + 1][0], best[i][j + 1][1] - (items[j][1] in "1+")):
+            j += 1
+        else:
+            out.append(-1)
+            i += 1
+    return out
+
+
+def placed(kinds: list[str], wrapper: list) -> list[str]:
+    """Slot of each text of a page, in order: the items of the wrapper on the way to it, with their kinds.
+
+    ``kinds`` has ``<key`` where a group begins, ``>`` where it ends and ``#`` for a text.
+    A repeated group's members share their slots. What does not match is placed by its kinds alone.
+    """
+    root: list = []
+    stack, n = [root], 0
+    for kind in kinds:
         if kind == SLOT:
-            yield path
+            stack[-1].append((SLOT, n))
+            n += 1
+        elif kind == ">":
+            stack.pop()
         else:
-            yield from slots(inner, (*path, kind))
+            stack[-1].append((kind[1:], []))
+            stack.append(stack[-1][-1][1])
+    out = [""] * n
+    todo = [(root, wrapper, "")]
+    while todo:
+        children, items, at = todo.pop()
+        runs: list[tuple[str, list]] = []
+        for kind, inner in children:
+            if runs and runs[-1][0] == kind:
+                runs[-1][1].append(inner)
+            else:
+                runs.append((kind, [inner]))
+        for (kind, members), j in zip(runs, matched([r[0] for r in runs], items)):
+            here = f"{at}/{j}:{kind}"
+            for inner in members:
+                if kind == SLOT:
+                    out[inner] = here
+                elif inner:
+                    todo.append((inner, items[j][2] if j >= 0 else [], here))
+    return out
+
+
+def path_of(slot: str) -> tuple[str, ...]:
+    return tuple(step.split(":", 1)[1] for step in slot.split("/")[1:-1])
 
 
 def outside(path: tuple[str, ...], void: frozenset = frozenset()) -> bool:
@@ -301,8 +369,12 @@ def article_slots(paths: list[tuple[str, ...]]) -> set[tuple[str, ...]]:
 
 
 def blocks(page: str | None) -> Iterator[tuple[tuple[str, ...], str]]:
+    yield from _texts(events(page))
+
+
+def _texts(tokens) -> Iterator[tuple[tuple[str, ...], str]]:
     path: list[str] = []
-    for kind, value in events(page):
+    for kind, value in tokens:
         if kind == "<":
             path.append(value)
         elif kind == ">":
@@ -311,11 +383,36 @@ def blocks(page: str | None) -> Iterator[tuple[tuple[str, ...], str]]:
             yield tuple(path), value
 
 
-def main_text(page: str | None, fixed: set[tuple[str, ...]], void: frozenset = frozenset()) -> str:
-    """Texts of the page's named articles; of a page without such, all that is neither template text nor marked as other."""
-    found = [(p, t) for p, t in blocks(page) if not outside(p, void)]
-    named = article_slots([p for p, _ in found])
-    return "\n".join(t for p, t in found if (p in named if named else p not in fixed))
+def skeleton(tokens: list[tuple[str, str]]) -> list[str]:
+    return [SLOT if kind == "t" else ">" if kind == ">" else "<" + value for kind, value in tokens]
+
+
+def digest(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+
+
+@functools.lru_cache(maxsize=256)
+def _read_wrapper(text: str) -> list:
+    return json.loads(text)
+
+
+def main_text(page: str | None, wrapper: str | None, fixed: frozenset, void: frozenset = frozenset()) -> str:
+    """Texts of the page's named articles; of a page without such, all that is neither template text nor marked as other.
+
+    ``fixed`` has the (slot, digest) of template texts.
+    """
+    tokens = list(events(page))
+    texts = list(_texts(tokens))
+    opened = [not outside(p, void) for p, _ in texts]
+    named = article_slots([p for (p, _), o in zip(texts, opened) if o])
+    if named:
+        chosen = [t for (p, t), o in zip(texts, opened) if o and p in named]
+    elif fixed:
+        places = placed(skeleton(tokens), _read_wrapper(wrapper))
+        chosen = [t for (_, t), o, slot in zip(texts, opened, places) if o and (slot, digest(t)) not in fixed]
+    else:
+        chosen = [t for (_, t), o in zip(texts, opened) if o]
+    return "\n".join(chosen)
 
 
 def _host(url_col: str):
@@ -323,45 +420,63 @@ def _host(url_col: str):
 
 
 def _pages_as_streams(pages: DataFrame) -> DataFrame:
-    """(host, wrapper, slots): of each page its own wrapper and its slots with characters and a text hash."""
+    """(host, page, wrapper, kinds, texts): of each page a digest, its own wrapper, its tokens, and characters and digest of its texts."""
 
     def read(batches):
         for batch in batches:
-            wrappers, lists = [], []
+            found, wrappers, kinds, texts = [], [], [], []
             for page in batch.column("html").to_pylist():
                 tokens = list(events(page))
+                found.append(digest(page or ""))
                 wrappers.append(json.dumps(stream(tokens), separators=(",", ":")))
-                sums: dict[str, list] = {}
-                path: list[str] = []
-                for kind, value in tokens:
-                    if kind == "<":
-                        path.append(value)
-                    elif kind == ">":
-                        path.pop()
-                    else:
-                        at = sums.setdefault("/".join(path), [0, []])
-                        at[0] += len(value)
-                        at[1].append(value)
-                lists.append([{"path": p, "chars": n, "texts": "\n".join(t)} for p, (n, t) in sums.items()])
+                kinds.append("\n".join(skeleton(tokens)))
+                texts.append([{"chars": len(t), "digest": digest(t)} for k, t in tokens if k == "t"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("host"), pa.array(found, pa.int64()), pa.array(wrappers, pa.string()), pa.array(kinds, pa.string()),
+                 pa.array(texts, pa.list_(pa.struct([("chars", pa.int64()), ("digest", pa.int64())])))],
+                ["host", "page", "wrapper", "kinds", "texts"],
+            )
+
+    form = "host string, page long, wrapper string, kinds string, texts array<struct<chars: long, digest: long>>"
+    return pages.select("host", "html").mapInArrow(read, form)
+
+
+def _slot_statistics(streams: DataFrame, wrappers: DataFrame) -> DataFrame:
+    """(host, slot, digest, pages, chars): of each text in a slot the pages that have it there, with a null digest of all texts.
+
+    Each page is matched against its host's wrapper. Exact copies of a page count once.
+    """
+
+    def match(batches):
+        for batch in batches:
+            host, slot, text, chars = [], [], [], []
+            for name, kinds, texts, wrapper in zip(*(batch.column(c).to_pylist() for c in ("host", "kinds", "texts", "wrapper"))):
+                sums: dict[str, int] = {}
+                held: set[tuple[str, int]] = set()
+                for place, t in zip(placed(kinds.split("\n") if kinds else [], _read_wrapper(wrapper)), texts):
+                    sums[place] = sums.get(place, 0) + t["chars"]
+                    held.add((place, t["digest"]))
+                for place, found, size in [*((p, None, n) for p, n in sums.items()), *((p, d, 0) for p, d in held)]:
+                    host.append(name)
+                    slot.append(place)
+                    text.append(found)
+                    chars.append(size)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("host"), pa.array(wrappers, pa.string()),
-                 pa.array(lists, pa.list_(pa.struct([("path", pa.string()), ("chars", pa.int64()), ("texts", pa.string())])))],
-                ["host", "wrapper", "slots"],
+                [pa.array(host, pa.string()), pa.array(slot, pa.string()), pa.array(text, pa.int64()), pa.array(chars, pa.int64())],
+                ["host", "slot", "digest", "chars"],
             )
 
-    return pages.select("host", "html").mapInArrow(read, "host string, wrapper string, slots array<struct<path: string, chars: long, texts: string>>").withColumn(
-        "slots", F.transform("slots", lambda s: F.struct(s["path"].alias("path"), s["chars"].alias("chars"), F.xxhash64(s["texts"]).alias("hash")))
-    )
+    once = streams.select("host", "page", "kinds", "texts").dropDuplicates(["host", "page"])
+    rows = once.join(wrappers, "host").select("host", "kinds", "texts", "wrapper").mapInArrow(match, "host string, slot string, digest long, chars long")
+    return rows.groupBy("host", "slot", "digest").agg(F.count("*").alias("pages"), F.sum("chars").alias("chars"))
 
 
 def infer(pages: DataFrame) -> DataFrame:
-    """(host, wrapper, fixed, void) from (host, html), over all pages of each host."""
+    """(host, wrapper, fixed, void) from (host, html), over all pages of each host.
+
+    ``fixed`` has the template texts as slot and digest: those that all pages with the slot have in it.
+    """
     streams = stage(_pages_as_streams(pages), "streams")
-    masses = (
-        streams.select("host", F.explode("slots").alias("s")).groupBy("host", "s.path")
-        .agg(F.sum("s.chars").alias("chars"), F.count("*").alias("pages"), F.min("s.hash").alias("low"), F.max("s.hash").alias("high"))
-        .select("host", "path", "chars", ((F.col("pages") >= TEMPLATE_PAGES) & (F.col("low") == F.col("high"))).alias("fixed"))
-    )
     wrappers = streams.select("host", "wrapper").distinct()
 
     def merge(frame: pd.DataFrame) -> pd.DataFrame:
@@ -379,24 +494,25 @@ def infer(pages: DataFrame) -> DataFrame:
         dealt = wrappers.join(counts, "host").withColumn("part", F.pmod(F.xxhash64("wrapper"), parts))
         wrappers = dealt.select("host", "wrapper", "part").groupBy("host", "part").applyInPandas(merge, "host string, wrapper string").distinct()
 
-    listed = masses.groupBy("host").agg(F.collect_list(F.struct("path", "chars", "fixed")).alias("slots"))
+    known = stage(_slot_statistics(streams, wrappers).where(F.col("digest").isNull() | (F.col("pages") >= TEMPLATE_PAGES)), "slots")
+    masses = known.where(F.col("digest").isNull()).select("host", "slot", F.col("pages").alias("of"), "chars")
+    listed = masses.groupBy("host").agg(F.collect_list(F.struct("slot", "chars")).alias("slots"))
+    template = known.where(F.col("digest").isNotNull()).join(masses, ["host", "slot"]).where(F.col("pages") == F.col("of"))
+    template = template.groupBy("host").agg(F.collect_list(F.struct("slot", "digest")).alias("fixed"))
 
     def decide(batches):
         for batch in batches:
-            rows = batch.to_pylist()
-            fixed, voids = [], []
-            for row in rows:
-                mass = {tuple(filter(None, s["path"].split("/"))): (s["chars"], s["fixed"]) for s in row["slots"] or ()}
-                void = void_marks({p: n for p, (n, _) in mass.items()})
-                fixed.append(["/".join(p) for p, (_, same) in sorted(mass.items()) if same])
-                voids.append(["/".join(p) for p in sorted(void)])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("host"), batch.column("wrapper"), *[pa.array(x, pa.list_(pa.string())) for x in (fixed, voids)]],
-                ["host", "wrapper", "fixed", "void"],
-            )
+            voids = []
+            for found in batch.column("slots").to_pylist():
+                mass: dict[tuple[str, ...], int] = {}
+                for s in found or ():
+                    path = path_of(s["slot"])
+                    mass[path] = mass.get(path, 0) + s["chars"]
+                voids.append(["/".join(p) for p in sorted(void_marks(mass))])
+            yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(voids, pa.list_(pa.string()))], ["host", "void"])
 
-    decided = wrappers.join(listed, "host", "left").select("host", "wrapper", "slots")
-    return stage(decided.mapInArrow(decide, "host string, wrapper string, fixed array<string>, void array<string>"), "wrappers")
+    void = listed.mapInArrow(decide, "host string, void array<string>")
+    return stage(wrappers.join(template, "host", "left").join(void, "host", "left"), "decided")
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -417,13 +533,15 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     def read(batches):
         for batch in batches:
             texts = []
-            for page, fixed, void in zip(*(batch.column(c).to_pylist() for c in ("html", "fixed", "void"))):
-                split = [[tuple(filter(None, p.split("/"))) for p in paths or ()] for paths in (fixed, void)]
-                texts.append(main_text(page, set(split[0]), frozenset(split[1])))
+            for page, wrapper, fixed, void in zip(*(batch.column(c).to_pylist() for c in ("html", "wrapper", "fixed", "void"))):
+                template = frozenset((f["slot"], f["digest"]) for f in fixed or ())
+                texts.append(main_text(page, wrapper, template, frozenset(tuple(p.split("/")) for p in void or ())))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 ["page_id", "url", "text", "n_chars"],
             )
 
-    joined = rows.join(wrappers.select("host", "fixed", "void"), "host", "left")
+    # Only hosts with template text match their pages again.
+    needed = F.when(F.col("fixed").isNotNull(), F.col("wrapper")).alias("wrapper")
+    joined = rows.join(wrappers.select("host", needed, "fixed", "void"), "host", "left")
     return joined.mapInArrow(read, f"page_id {id_type}, url {url_type}, text string, n_chars long")

@@ -132,3 +132,24 @@ def test_no_part_of_an_unnamed_article_is_dropped(spark):
     for k in range(6):
         item, para = (" ".join([f"{w} {k}"] * 20) for w in ("long item", "para"))
         assert got[4 * k : 4 * k + 4] == [f"Head {k}\nPara {k}\n{item}\nquote {k}", f"Head {k}\n{para}\nshort {k}", f"lead {k}", f"outer {k}\ninner {k}"]
+
+
+def test_template_texts_are_found_by_their_slot_in_the_wrapper(spark):
+    page = "<body><div>Home | News</div><div>article {0}</div><h2>More</h2><div>Home | News {0}</div>"
+    alike = "<body><div>the same page</div>"
+    got = texts_of(spark, [("http://h.org/", page.format(k)) for k in range(4)] + [("http://copies.org/", alike)] * 4)
+    assert got == [f"article {k}\nHome | News {k}" for k in range(4)] + ["the same page"] * 4
+
+
+def test_matching_places_every_page_of_the_host():
+    pages = ["<h1>t</h1><p>a<p>b", "<h1>t</h1><ul><li>x</ul><p>c", "<p>d<ul><li>y<li>z</ul><p>e", "<p>d"]
+    tokens = [list(html_wrapper.events(f"<div>{p}</div>")) for p in pages]
+    wrapper = []
+    for t in tokens:
+        wrapper = html_wrapper.align(wrapper, html_wrapper.stream(t)) if wrapper else html_wrapper.stream(t)
+    for t in tokens:
+        places = html_wrapper.placed(html_wrapper.skeleton(t), wrapper)
+        assert [html_wrapper.path_of(p) for p in places] == [p for p, _ in html_wrapper._texts(t)] and not any("-1:" in p for p in places)
+    # A single required item is taken before an optional one of the same kind.
+    assert html_wrapper.matched(["p"], [["p", "?", []], ["ul", "?", []], ["p", "1", []]]) == [2]
+    assert html_wrapper.matched(["x", "p"], [["p", "1", []]]) == [-1, 0]
