@@ -584,7 +584,7 @@ def score_run_result(i: Inputs) -> DataFrame:
 
 # Spark ML has no SQL counterpart: the queries below are checked for their rows only.
 
-def _segment_matrix(i: Inputs, name: str = "small") -> tuple[DataFrame, list[str]]:
+def _segment_matrix(i: Inputs, name: str) -> tuple[DataFrame, list[str]]:
     """One-hot features of a segment without constant columns, transformed and scaled, and the column names."""
     hot = stage(prepare.one_hot(prepare.segment(i.features, name)), "matrix")
     columns = prepare.feature_columns(hot)
@@ -593,41 +593,40 @@ def _segment_matrix(i: Inputs, name: str = "small") -> tuple[DataFrame, list[str
     return stage(prepare.standard_scale(prepare.power_transform(hot, columns), columns), "scaled"), columns
 
 
-def _train_and_test(hot: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Fixed split of the parents, for want of two extracts of different dates."""
-    bucket = F.pmod(F.xxhash64("parentname"), F.lit(4))
-    return hot.where(bucket != 0), hot.where(bucket == 0)
-
-
 def _best(hot: DataFrame, columns: list[str], k: int) -> list[str]:
     """The k columns of highest F value; a bounded list of names."""
     return [r.measure for r in select.top_k(select.anova_f(hot, columns), "f", k).collect()]
 
 
+def _segments(of: Callable[[str], DataFrame]) -> DataFrame:
+    """The rows of all segments below each other, with the segment's name."""
+    found = None
+    for name in prepare.SEGMENTS:
+        rows = of(name).withColumn("segment", F.lit(name))
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
 @query
 def model_select(i: Inputs) -> DataFrame:
-    return train.model_select(*_segment_matrix(i), max_iter=20, trees=10)
+    return _segments(lambda name: train.model_select(*_segment_matrix(i, name)))
 
 
 @query
 def rfe(i: Inputs) -> DataFrame:
-    return train.rfe(*_segment_matrix(i), keep=select.KEPT_FEATURES, step=50, max_iter=10, trees=3)
+    return _segments(lambda name: train.rfe(*_segment_matrix(i, name)))
 
 
 @query
 def model_leaderboard(i: Inputs) -> DataFrame:
-    scaled, columns = _segment_matrix(i)
-    fit_on, check_on = _train_and_test(scaled)
-    by_mi = select.top_k(select.mutual_info(scaled, columns), "mi", 150)
-    sets = {"kbest": _best(scaled, columns, 150), "mutual_info": [r.measure for r in by_mi.collect()]}
-    return train.model_leaderboard(fit_on, check_on, sets, max_iter=10, trees=5)
+    """Five models on the twelve sets of nine votes, by the training run of each segment."""
+    return _segments(lambda name: flagship.train_run(i.spark, i.tables.root, name)[0].board)
 
 
 @query
 def tune(i: Inputs) -> DataFrame:
-    scaled, columns = _segment_matrix(i)
-    fit_on, check_on = _train_and_test(scaled)
-    return train.tune(fit_on, check_on, "LogisticRegression", _best(scaled, columns, 150), "kbest", max_iter=10)
+    """The grids of the best three of the comparison, by the training run of each segment."""
+    return _segments(lambda name: flagship.train_run(i.spark, i.tables.root, name)[0].tuned)
 
 
 @query
