@@ -3,7 +3,8 @@
 Texts become TF-IDF vectors of hashed character 1- to 3-grams, scaled to length one.
 Per language the fitting sample is clustered (spherical k-means), and a text gets
 the language of the centroid with the largest cosine. A text further from its
-centroid than that centroid's radius is rejected.
+centroid than that centroid's radius is rejected. Short texts have small cosines, so a
+centroid has a radius for each length, learned from the starts of the fitting texts.
 """
 
 from __future__ import annotations
@@ -25,8 +26,12 @@ CENTROIDS = 4
 ROUNDS = 10
 # Bound of the fitting sample: texts per language, those with the smallest hash of their id.
 SAMPLE = 300
-# A text is rejected when its cosine is below this part of the least cosine of its centroid's fitting texts.
-SLACK = 0.25
+# A text is rejected when its cosine is below this quantile of those of fitting texts cut to its length.
+QUANTILE = 0.01
+# Radii are learned for lengths of 1, 2, 4 and so on characters, so many lengths; longer texts take the last.
+LENGTHS = 14
+# Fitting texts that a radius needs.
+LEAST = 20
 UNKNOWN = "und"
 
 
@@ -66,31 +71,60 @@ def counts(text: str | None) -> np.ndarray | None:
     return total
 
 
-def vector(text: str | None, idf: np.ndarray) -> np.ndarray | None:
-    found = counts(text)
-    if found is None:
-        return None
+def _scaled(found: np.ndarray, idf: np.ndarray) -> np.ndarray:
     weighted = np.sqrt(found) * idf
     length = np.linalg.norm(weighted)
     return weighted / length if length > 0 else weighted
 
 
+def vector(text: str | None, idf: np.ndarray) -> np.ndarray | None:
+    found = counts(text)
+    return None if found is None else _scaled(found, idf)
+
+
+def length_class(found: np.ndarray) -> int:
+    """Of the lengths with a radius, the last that a text with these counts reaches; a character counts in about three grams."""
+    return min(LENGTHS, max(1, int(found.sum()) // 3).bit_length()) - 1
+
+
 @dataclass
 class Model:
     languages: list[str]  # of each centroid
     centroids: np.ndarray
-    radii: np.ndarray  # least cosine that is accepted, by centroid
+    radii: np.ndarray  # least cosine that is accepted, by centroid and length
     idf: np.ndarray
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """Language, cosine cut to [0, 1], and whether the text is rejected."""
-        v = vector(text, self.idf) if self.languages else None
-        if v is None:
+        found = counts(text) if self.languages else None
+        if found is None:
             return UNKNOWN, 0.0, True
-        cosines = self.centroids @ v
+        cosines = self.centroids @ _scaled(found, self.idf)
         best = int(np.argmax(cosines))
         score = float(min(1.0, max(0.0, cosines[best])))
-        return self.languages[best], score, bool(score < self.radii[best])
+        return self.languages[best], score, bool(score < self.radii[best, length_class(found)])
+
+
+def _radii(texts: list[str], centers: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """Least accepted cosine by centroid and length, from the starts of the fitting texts of one language.
+
+    A centroid with few starts takes the quantile over its language. NaN where that has few too.
+    """
+    radii = np.full((len(centers), LENGTHS), np.nan)
+    classes = [length_class(found) if (found := counts(t)) is not None else -1 for t in texts]
+    for k in range(LENGTHS):
+        starts = [vector(t[: 1 << k], idf) for t, c in zip(texts, classes) if c >= k]
+        starts = [v for v in starts if v is not None]
+        if len(starts) < LEAST:
+            # Longer texts have larger cosines: the radius of the length before is no larger than theirs would be.
+            radii[:, k] = radii[:, k - 1] if k else np.nan
+            continue
+        cosines = np.array(starts) @ centers.T
+        home, best = np.argmax(cosines, axis=1), cosines.max(axis=1)
+        for c in range(len(centers)):
+            own = best[home == c]
+            radii[c, k] = np.quantile(own if len(own) >= LEAST else best, QUANTILE)
+    return radii
 
 
 def _document_frequencies(sample: DataFrame) -> tuple[np.ndarray, int]:
@@ -136,15 +170,17 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
             home = np.argmax(vectors @ centers.T, axis=1)
             sums = np.array([vectors[home == c].sum(axis=0) if (home == c).any() else centers[c] for c in range(len(centers))])
             centers = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-12)
-        cosines = vectors @ centers.T
-        home, best = np.argmax(cosines, axis=1), cosines.max(axis=1)
-        radii = [float(best[home == c].min()) * SLACK if (home == c).any() else 0.0 for c in range(len(centers))]
-        return pd.DataFrame({"lang": frame["lang"].iloc[0], "part": range(len(centers)), "center": centers.tolist(), "radius": radii})
+        radii = _radii(list(frame["text"]), centers, shared.value)
+        return pd.DataFrame({"lang": frame["lang"].iloc[0], "part": range(len(centers)), "center": centers.tolist(), "radii": radii.tolist()})
 
     named = chosen.select("lang", "text", F.concat_ws(" ", F.col("rank.col1").cast("string"), F.col("rank.col2")).alias("name"))
-    fitted = named.groupBy("lang").applyInPandas(cluster, "lang string, part int, center array<double>, radius double").collect()
+    fitted = named.groupBy("lang").applyInPandas(cluster, "lang string, part int, center array<double>, radii array<double>").collect()
     fitted = sorted(fitted, key=lambda r: (r.lang, r.part))
-    return Model([r.lang for r in fitted], np.array([r.center for r in fitted]).reshape(-1, DIMENSIONS), np.array([r.radius for r in fitted]), idf)
+    radii = np.array([r.radii for r in fitted], float).reshape(-1, LENGTHS)
+    # A language with too few texts for radii of its own takes the least of the others, or rejects nothing if there are none.
+    least = np.where(np.isnan(radii), np.inf, radii).min(axis=0, initial=np.inf)
+    radii = np.where(np.isnan(radii), np.where(np.isinf(least), 0.0, least), radii)
+    return Model([r.lang for r in fitted], np.array([r.center for r in fitted]).reshape(-1, DIMENSIONS), radii, idf)
 
 
 def _smallest(keys: DataFrame, sample: int) -> DataFrame:

@@ -1,5 +1,7 @@
 """Operators on documents against plain Python, and their defined edge cases."""
 
+import random
+
 import duckdb
 import brute
 import pytest
@@ -158,3 +160,26 @@ def test_query_equals_sql(spark, name):
     got = entry_module.queries()[name](spark, ROOT)
     assert sorted(got.columns) == sorted(names)
     assert sorted((tuple(r[c] for c in sorted(names)) for r in got.collect()), key=str) == want
+
+
+def test_language_rejects_what_it_has_not_learned(spark):
+    real = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    unlearned = [r.text for r in real.where("lang = 'de'").collect() if len(r.text or "") >= 200]
+    model = language.fit(real.where(~language.held_out() & (F.col("lang") != "de")))
+    held = [r.text for r in real.where(language.held_out() & (F.col("lang") != "de")).collect() if language.counts(r.text) is not None]
+    rng = random.Random(3)
+
+    def made(letters, n):
+        return ["".join(rng.choice(letters) for _ in range(n)) for _ in range(40)]
+
+    def rejected(texts):
+        return sum(model.predict(t)[2] for t in texts) / len(texts)
+
+    assert len(unlearned) > 50 and rejected(unlearned) > 0.95
+    assert rejected([t[:64] for t in unlearned]) > 0.95
+    for n in (40, 400, 4000):
+        assert rejected(made("абвгдежзиклмнопрстуфх    ", n)) == 1
+        assert rejected(made("abcdefghijklmnopqrstuvwxyz     ", n)) > 0.95
+    assert len(held) > 150 and rejected(held) < 0.04
+    long_enough = [t for t in held if len(t) >= 200]
+    assert rejected([t[:40] for t in long_enough]) < 0.04 and rejected([t[:200] for t in long_enough]) < 0.04
