@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,18 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int):
+    """Arrow batches of ``rows`` rows for the jobs that run inside; then the session's own setting again."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def free_name(taken: list[str], stem: str) -> str:
     """A column name that no input column has, compared without case."""
     used = {c.lower() for c in taken}

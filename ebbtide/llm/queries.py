@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm import decontaminate, exact_dedup, html_wrapper, language, mixing, ngram_join, pii, resample, substring_dedup, warc
+from ebbtide.llm import decontaminate, exact_dedup, html_wrapper, language, lexical, mixing, ngram_join, pii, resample, substring_dedup, warc
 from ebbtide.llm.common import documents, pages
 
 QUERIES: dict = {}
@@ -199,3 +199,26 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     marked = exact_dedup.exact_duplicates(docs, carry=["doc_id"])
     return marked.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+TERMS = r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'"
+
+
+@query(f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({LOWERED}, {TERMS}) AS w FROM documents),
+n AS (SELECT r, doc_id, len(w) AS n FROM d WHERE len(w) > 0),
+s AS (SELECT count(*) AS all_docs, sum(n)::BIGINT AS all_words FROM n),
+i AS (SELECT item_id, t, count(*) AS c FROM (SELECT item_id, unnest(regexp_extract_all({LOWERED}, {TERMS})) AS t FROM benchmark) GROUP BY ALL),
+p AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM d) WHERE t IN (SELECT t FROM i) GROUP BY ALL),
+v AS (SELECT t, floor(1000 * ln((2 * all_docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM p, s GROUP BY t, all_docs),
+x AS (
+  SELECT r, t, w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * all_docs) // all_words))) AS share
+  FROM p JOIN v USING (t) JOIN n USING (r), s),
+y AS (SELECT item_id, r, sum(c * share)::BIGINT AS score FROM i JOIN x USING (t) GROUP BY ALL),
+z AS (
+  SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank
+  FROM y JOIN n USING (r) WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM z WHERE rank <= 20""")
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
+    return lexical.ranked_documents(documents(spark, sf_dir).select("doc_id", "text"), bench)
