@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm import decontaminate, exact_dedup, html_wrapper, language, lexical, mixing, ngram_join, pii, resample, substring_dedup, warc
+from ebbtide.llm import decontaminate, exact_dedup, html_wrapper, language, lexical, mixing, ngram_join, pii, resample, substring_dedup, vectors, warc
 from ebbtide.llm.common import documents, pages
 
 QUERIES: dict = {}
@@ -222,3 +222,8 @@ SELECT item_id, rank, doc_id, score FROM z WHERE rank <= 20""")
 def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
     return lexical.ranked_documents(documents(spark, sf_dir).select("doc_id", "text"), bench)
+
+
+@query()
+def op13_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding"))
