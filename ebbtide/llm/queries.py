@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm import decontaminate, exact_dedup, html_wrapper, language, lexical, mixing, ngram_join, pii, resample, substring_dedup, vectors, warc
+from ebbtide.llm import decontaminate, exact_dedup, html_wrapper, language, lexical, mixing, ngram_join, pii, resample, substring_dedup, turn_trie, vectors, warc
 from ebbtide.llm.common import documents, pages
 
 QUERIES: dict = {}
@@ -224,6 +224,34 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.ranked_documents(documents(spark, sf_dir).select("doc_id", "text"), bench)
 
 
+# Rebuilt conversations as lists of turns; a node is named by md5 of its turns, each turn by md5 of role and text.
+@query("""
+WITH t AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(coalesce(role, '') || chr(0) || coalesce(text, ''))) AS j,
+         md5(coalesce(role, '') || chr(0) || coalesce(text, '')) AS k, strlen(coalesce(text, '')) AS b
+  FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT c, list(k ORDER BY j) AS k, list(b ORDER BY j) AS b FROM t GROUP BY c),
+h AS (
+  SELECT c, k, b, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+    lambda r, x: list_reduce(list_concat([xor(r, x)], range(8)), lambda v, i: xor(v >> 1, 3988292384 * (v & 1)))), 4294967295) % 9 AS h FROM o),
+r AS (
+  SELECT h.c, list_concat(coalesce(f.k[1:h.h], []), h.k[h.h + 1:]) AS k, list_concat(coalesce(f.b[1:h.h], []), h.b[h.h + 1:]) AS b
+  FROM h LEFT JOIN o f ON f.c = h.c - h.c % 5),
+p AS (SELECT c, d, md5(array_to_string(k[1:d], '')) AS id, CASE WHEN d = 0 THEN 0 ELSE b[d] END AS b, len(k) = d AS last FROM r, unnest(range(0, len(k) + 1)) u(d)),
+n AS (
+  SELECT d, id, min(c) AS conv_id, count(*) AS n_convs, max(b) AS b, sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (last), '')) AS ends_sha256
+  FROM p GROUP BY d, id),
+x AS (SELECT n.*, q.id AS above, m.conv_id AS parent_conv_id FROM n LEFT JOIN p q ON q.c = n.conv_id AND q.d = n.d - 1 LEFT JOIN n m ON m.d = q.d AND m.id = q.id),
+k AS (SELECT d - 1 AS d, above AS id, count(*) AS n_children FROM x WHERE d > 0 GROUP BY ALL),
+s AS (
+  SELECT q.d, q.id, count(*) FILTER (k.id IS NULL) AS n_leaves, sum((x.n_convs - 1) * x.b)::BIGINT AS saved_tokens
+  FROM x LEFT JOIN k ON k.d = x.d AND k.id = x.id JOIN p q ON q.c = x.conv_id AND q.d <= x.d GROUP BY ALL)
+SELECT conv_id, d AS depth, parent_conv_id, n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens, ends_sha256
+FROM x JOIN s USING (d, id) LEFT JOIN k USING (d, id)""")
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_trie.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text"))
+
+
 @query()
 def op13_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding"))
