@@ -202,7 +202,7 @@ def search_block(block: Block, item: Item, weights: np.ndarray, best: Best, floo
     group = done = 0
     step = 2 * top
     while group < len(groups) and highest[group] >= max(1, floor, best.floor(top)):
-        group = min(len(groups), int(np.searchsorted(ends, done + step)) + 1)
+        group = max(group + 1, int(np.searchsorted(ends, done + step, "right")))
         some = np.sort(members[done : ends[group - 1]])
         score = block.scores(some, terms, worth)
         keep = score >= max(1, floor)
@@ -249,7 +249,10 @@ def _search_items(docs: DataFrame, rows: list[Row], top: int, first_share: int)
     """(item, rank, doc_id, score) for one set of items, ``item`` being the place in ``rows``."""
     spark = docs.sparkSession
     tallies = [Counter(terms_of(r["text"])) for r in rows]
-    vocabulary, place = Vocabulary.of(sorted(set().union(*tallies)) or ["-"])
+    terms = sorted(set().union(*tallies))
+    if not terms:
+        return None
+    vocabulary, place = Vocabulary.of(terms)
     items = []
     for tally in tallies:
         numbered = sorted((place[t], c) for t, c in tally.items())
