@@ -77,7 +77,10 @@ def week_math(i: Inputs) -> DataFrame:
 
 @query
 def string_keys(i: Inputs) -> DataFrame:
-    rows = i.ledger.select("account_no").distinct()
+    """Accounts of ledger rows with either date in the history window, whatever kind of fee they are."""
+    rows = logical.ledger(i.tables)
+    either = logical.within_days("tran_date", i.p.history_days) | logical.within_days("load_date", i.p.history_days)
+    rows = rows.where(either).select("account_no").distinct()
     width = logical.ACCOUNT_WIDTH
     return rows.select(
         "account_no",
