@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,6 +14,8 @@ MOUNTED = "spark.ebbtide.sharedMount"
 
 _fallback: dict[str, str] = {}
 _runs: dict[str, str] = {}
+_scopes: dict[str, str] = {}
+_tables: dict[str, str] = {}
 
 
 def _setting(spark: SparkSession, key: str) -> str | None:
@@ -58,17 +61,46 @@ def _hadoop(spark: SparkSession, path: str):
     return hadoop_path, hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    hadoop_path, fs = _hadoop(spark, path)
+    fs.delete(hadoop_path, True)
+
+
 def release(spark: SparkSession, folder: str | None = None) -> None:
-    """Remove what this application has staged; frames that still read it become invalid."""
+    """Remove all that this application has staged; frames that still read it become invalid."""
     path = _runs.pop(f"{spark.sparkContext.applicationId} {shared_folder(spark, folder)}", None)
     if path:
-        hadoop_path, fs = _hadoop(spark, path)
-        fs.delete(hadoop_path, True)
+        for name in [n for n, at in _tables.items() if at.startswith(path)]:
+            _tables.pop(name)
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        _delete(spark, path)
+
+
+@contextmanager
+def scope(spark: SparkSession, name: str):
+    """What is staged inside goes below a folder of its own, so that ``release_scope`` can remove it alone."""
+    app = spark.sparkContext.applicationId
+    before = _scopes.get(app, "")
+    _scopes[app] = f"{name}/"
+    try:
+        yield
+    finally:
+        _scopes[app] = before
+
+
+def release_scope(spark: SparkSession, name: str, still_read: DataFrame | None = None, folder: str | None = None) -> bool:
+    """Remove what was staged in a scope, unless ``still_read`` reads from it; says whether it did."""
+    path = f"{run_folder(spark, folder)}/{name}/"
+    if still_read is not None and any(path in f for f in still_read.inputFiles()):
+        return False
+    _delete(spark, path)
+    return True
 
 
 def new_path(spark: SparkSession, label: str, folder: str | None = None) -> str:
-    """A fresh path below the run's folder."""
-    return f"{run_folder(spark, folder)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the run's folder, in the scope that is open."""
+    inside = _scopes.get(spark.sparkContext.applicationId, "")
+    return f"{run_folder(spark, folder)}/{inside}{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
@@ -76,3 +108,19 @@ def stage(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
     path = new_path(df.sparkSession, label, folder)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stage_bucketed(df: DataFrame, label: str, key: str, folder: str | None = None) -> DataFrame:
+    """Write ``df`` once, bucketed and sorted by ``key``, and read it back as a table.
+
+    Aggregates by the key and joins of such tables on it need no exchange. There are
+    as many buckets as shuffle partitions, one file each; for keys with a bounded
+    number of rows, as a bucket is one task.
+    """
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path, name = new_path(spark, label, folder), f"ebbtide_{label}_{uuid.uuid4().hex}"
+    rows = df.repartition(buckets, key).write.format("parquet").bucketBy(buckets, key).sortBy(key)
+    rows.option("path", path).saveAsTable(name)
+    _tables[name] = path
+    return spark.table(name)

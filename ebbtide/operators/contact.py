@@ -143,13 +143,17 @@ def survey_weekly(responses: DataFrame) -> DataFrame:
 
 
 def survey_features(labelled: DataFrame, responses: DataFrame, row_weighted: bool = True) -> DataFrame:
-    """45 columns per parent.
+    """45 columns per parent."""
+    return survey_features_of(labelled, survey_counts(responses), row_weighted)
+
+
+def survey_features_of(labelled: DataFrame, counts: DataFrame, row_weighted: bool = True) -> DataFrame:
+    """45 columns per parent, from ``survey_counts``.
 
     By default a week weighs as many times as it has responses: each statistic
     sits on the rows it is about, so the sum over a week is statistic times
     rows. ``row_weighted=False`` counts each week's rows once.
     """
-    counts = survey_counts(responses)
     def weighted(value: str, rows: str) -> str:
         return f"{value} * {rows}" if row_weighted else value
 

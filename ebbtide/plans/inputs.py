@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.functions import weeks as wk
-from ebbtide.functions.staging import stage
+from ebbtide.functions.staging import stage, stage_bucketed
 from ebbtide.modelling import evaluate
 from ebbtide.operators import (
     behaviour, contact, fact, feature_table, metrics, priority, profile, ranges, rollup, static_features,
@@ -99,12 +99,12 @@ class Inputs:
     def parent_weekly(self) -> DataFrame:
         return rollup.parent_weekly(self.account_weeks, self.active_parents, self.p)
 
-    # ---- labelled weeks and profile, written once because every family reads them
+    # ---- what the families read: written once, in buckets of parents, so families aggregate and join without an exchange
 
     @cached_property
     def labelled(self) -> DataFrame:
         status = self.parent_profile.select("parentname", "churn_flag") if self.p.random_cutoff else None
-        return stage(ranges.labelled_weeks(self.parent_weekly, self.p, status), "labelled")
+        return stage_bucketed(ranges.labelled_weeks(self.parent_weekly, self.p, status), "labelled", "parentname")
 
     @cached_property
     def revenue(self) -> DataFrame:
@@ -123,7 +123,7 @@ class Inputs:
 
     @cached_property
     def parent_profile(self) -> DataFrame:
-        return stage(rollup.rollup_profile(self.profile, self.p), "profile")
+        return stage_bucketed(rollup.rollup_profile(self.profile, self.p), "profile", "parentname")
 
     # ---- feature families
 
@@ -145,6 +145,14 @@ class Inputs:
             logical.surveys(t), logical.contacts(t), self.active_parents, self.history_calendar, self.p.history_floor
         )
 
+    @cached_property
+    def weekly_calls(self) -> DataFrame:
+        return stage_bucketed(contact.call_weekly(self.call_cases), "calls", "parentname")
+
+    @cached_property
+    def weekly_surveys(self) -> DataFrame:
+        return stage_bucketed(contact.survey_counts(self.survey_responses), "surveys", "parentname")
+
     @cached_property
     def families(self) -> list[DataFrame]:
         return [
@@ -152,8 +160,8 @@ class Inputs:
             behaviour.transaction_features(self.labelled),
             behaviour.fee_features(self.labelled),
             behaviour.fee_flags(self.labelled),
-            contact.call_features(self.labelled, contact.call_weekly(self.call_cases)),
-            contact.survey_features(self.labelled, self.survey_responses),
+            contact.call_features(self.labelled, self.weekly_calls),
+            contact.survey_features_of(self.labelled, self.weekly_surveys),
         ]
 
     @cached_property

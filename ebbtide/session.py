@@ -11,18 +11,21 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Tables in buckets of parents join on (parent, week) where they are; a parent has a bounded number of weeks.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 
-# Shuffles start with this many partitions per core; adaptive planning merges small ones, it adds none.
+# Shuffles start with this many partitions per core, or as many as are set if that is more; adaptive planning merges small ones, it adds none.
 PARTITIONS_PER_CORE = 4
 
 
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
-    initial = PARTITIONS_PER_CORE * spark.sparkContext.defaultParallelism
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(initial))
+    wanted = PARTITIONS_PER_CORE * spark.sparkContext.defaultParallelism
+    given = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(max(wanted, given)))
     return spark
 
 
