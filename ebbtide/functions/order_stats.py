@@ -119,12 +119,14 @@ def quartile_scores(rows: DataFrame, key: str, columns: list[str]) -> DataFrame:
         quantiles(rows.select([F.nullif(F.col(c), F.lit(0.0)).alias(c) for c in columns]), columns, [0, 0.25, 0.5, 0.75, 1])
         .groupBy("measure")
         .agg(F.array_sort(F.collect_set("value")).alias("edges"))
-        .groupBy()
-        .agg(F.map_from_entries(F.collect_list(F.struct("measure", "edges"))).alias("edges"))
     )
-    scored = rows.withColumn("_edges", edges.scalar())
-    for c in columns:
-        mine = F.try_element_at("_edges", F.lit(c))
+    # One array in the order of the columns: a column finds its edges by its place.
+    places = F.posexplode(F.array(*[F.lit(c) for c in columns])).alias("place", "measure")
+    named = rows.sparkSession.range(1).select(places).join(F.broadcast(edges), "measure", "left")
+    fitted = named.agg(F.array_sort(F.collect_list(F.struct("place", "edges")))).scalar()
+    scored = rows.withColumn("_edges", fitted)
+    for place, c in enumerate(columns):
+        mine = F.get("_edges", F.lit(place))["edges"]
         score = F.greatest(F.lit(1), F.size(F.filter(mine, lambda e: e < F.col(c))))
         usable = F.col(c).isNotNull() & (F.col(c) != 0) & (F.size(mine) >= 2)
         scored = scored.withColumn(_score_name(c), F.when(usable, score).otherwise(0).cast("int"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -72,10 +72,15 @@ def scale_statistics(features: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def _as_map(statistics: DataFrame, fields: list[str]) -> Column:
-    """A bounded (measure → struct) table as a value: one entry per feature column."""
-    entries = F.collect_list(F.struct("measure", F.struct(*fields)))
-    return statistics.agg(F.map_from_entries(entries)).scalar()
+def by_place(statistics: DataFrame, columns: Sequence[str], fields: Sequence[str]) -> Column:
+    """A (measure, fields) table as one array of structs in the order of ``columns``, so a column's fit is found by its place.
+
+    A column without statistics has null fields; a bounded value, one struct per column.
+    """
+    places = F.posexplode(F.array(*[F.lit(c) for c in columns])).alias("place", "measure")
+    named = statistics.sparkSession.range(1).select(places)
+    entries = named.join(F.broadcast(statistics.select("measure", *fields)), "measure", "left")
+    return entries.agg(F.array_sort(F.collect_list(F.struct("place", *fields)))).scalar()
 
 
 def standard_scale(features: DataFrame, columns: Sequence[str], statistics: DataFrame | None = None) -> DataFrame:
@@ -84,14 +89,20 @@ def standard_scale(features: DataFrame, columns: Sequence[str], statistics: Data
     Pass the training ``statistics`` at scoring time; by default the batch's own.
     """
     fitted = scale_statistics(features, columns) if statistics is None else statistics
-    with_map = features.withColumn("_fit", _as_map(fitted, ["mean", "sd"]))
+
+    def scaled(value: Column, fit: Column) -> Column:
+        return (value - fit["mean"]) / F.when(fit["sd"] == 0, 1.0).otherwise(fit["sd"])
+
+    return _each_by_place(features, columns, by_place(fitted, columns, ["mean", "sd"]), scaled)
+
+
+def _each_by_place(features: DataFrame, columns: Sequence[str], fits: Column, change: Callable[[Column, Column], Column]) -> DataFrame:
+    """All ``columns`` changed by their fits in one expression over two arrays, whose code does not grow with the columns."""
+    values = F.array(*[q(c).cast("double") for c in columns])
     others = [q(c) for c in features.columns if c not in set(columns)]
-    scaled = []
-    for c in columns:
-        fit = F.try_element_at("_fit", F.lit(c))
-        sd = F.when(fit["sd"] == 0, 1.0).otherwise(fit["sd"])
-        scaled.append(((q(c) - fit["mean"]) / sd).alias(c))
-    return with_map.select(*others, *scaled)
+    both = features.select(*others, values.alias("_values"), fits.alias("_fits"))
+    changed = both.select(*others, F.zip_with("_values", "_fits", change).alias("_changed"))
+    return changed.select(*others, *[F.get("_changed", F.lit(place)).alias(c) for place, c in enumerate(columns)])
 
 
 def yeo_johnson(value: Column, lam: Column) -> Column:
@@ -129,10 +140,7 @@ def power_fit(features: DataFrame, columns: Sequence[str]) -> DataFrame:
 def power_transform(features: DataFrame, columns: Sequence[str], fitted: DataFrame | None = None) -> DataFrame:
     """Yeo-Johnson transform; pass the training fit to reuse it at scoring time."""
     fit = power_fit(features, columns) if fitted is None else fitted
-    with_map = features.withColumn("_lam", _as_map(fit, ["lam"]))
-    others = [q(c) for c in features.columns if c not in set(columns)]
-    changed = [yeo_johnson(q(c), F.try_element_at("_lam", F.lit(c))["lam"]).alias(c) for c in columns]
-    return with_map.select(*others, *changed)
+    return _each_by_place(features, columns, by_place(fit, columns, ["lam"]), lambda value, fit: yeo_johnson(value, fit["lam"]))
 
 
 def feature_columns(features: DataFrame) -> list[str]:

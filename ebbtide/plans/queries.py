@@ -589,11 +589,8 @@ def score_run_result(i: Inputs) -> DataFrame:
 
 def _segment_matrix(i: Inputs, name: str) -> tuple[DataFrame, list[str]]:
     """One-hot features of a segment without constant columns, transformed and scaled, and the column names."""
-    hot = stage(prepare.one_hot(prepare.segment(i.features, name)), "matrix")
-    columns = prepare.feature_columns(hot)
-    constant = {r.measure for r in prepare.constant_columns(hot, columns).select("measure").collect()}
-    columns = [c for c in columns if c not in constant]
-    return stage(prepare.standard_scale(prepare.power_transform(hot, columns), columns), "scaled"), columns
+    fitted, scaled = flagship.fit_preparation(i.features, name)
+    return scaled, fitted.columns
 
 
 def _best(hot: DataFrame, columns: list[str], k: int) -> list[str]:
