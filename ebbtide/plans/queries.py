@@ -15,7 +15,7 @@ from ebbtide.functions.staging import new_path, stage
 from ebbtide.modelling import evaluate, explain, prepare, select, train
 from ebbtide.operators import behaviour, checks, contact, fact, feature_table, priority, profile, ranges, rollup
 from ebbtide.operators import calendar as cal
-from ebbtide.plans import flagship
+from ebbtide.plans import bundle, flagship
 from ebbtide.plans.inputs import Inputs
 from ebbtide.session import configure
 from ebbtide.sources import logical, sinks
@@ -570,14 +570,14 @@ def quality_gate(i: Inputs) -> DataFrame:
     return evaluate.below_quality(metrics.withColumnRenamed("customer_size", "segment"))
 
 
-@query
-def score_run_result(i: Inputs) -> DataFrame:
-    """A scoring run of all segments with fixed weights, written to the result table and read back."""
-    hot = prepare.one_hot(i.features)
-    columns = sorted(prepare.feature_columns(hot))
+def _fixed_models(i: Inputs) -> dict[str, flagship.LinearModel]:
+    columns = sorted(prepare.feature_columns(prepare.one_hot(i.features)))
     weights = {c: round(w * 0.02, 4) for c, w in fixed_weights(columns).items()}
-    path = new_path(i.spark, "result")
-    result = flagship.score_run(i, {name: flagship.LinearModel(weights) for name in prepare.SEGMENTS}, i.p.last_day, path)
+    return {name: flagship.LinearModel(weights) for name in prepare.SEGMENTS}
+
+
+def _run_result(i: Inputs, models: dict) -> DataFrame:
+    result = flagship.score_run(i, models, i.p.last_day, new_path(i.spark, "result"))
     return result.select(
         "parentname", "customer_size", "state_code", "credit_limit", F.round(F.col("tenure").cast("double"), 2).alias("tenure"),
         F.round(F.col("churn_prob").cast("double"), 4).alias("churn_prob"), "churn_rank", "churn_flag_predicted", "churn_flag_actual",
@@ -585,6 +585,26 @@ def score_run_result(i: Inputs) -> DataFrame:
     )
 
 
+def _reloaded(i: Inputs, models: dict) -> dict:
+    """The models as a later driver finds them: saved as bundles of the run week, then loaded."""
+    path = new_path(i.spark, "models")
+    for name in list(models):
+        bundle.save_model(i.spark, models.pop(name), path, name, i.p.current_week)
+    return {name: bundle.load_model(i.spark, path, name) for name in prepare.SEGMENTS}
+
+
+@query
+def score_run_result(i: Inputs) -> DataFrame:
+    """A scoring run of all segments with fixed weights, written to the result table and read back."""
+    return _run_result(i, _fixed_models(i))
+
+
+@query
+def score_loaded(i: Inputs) -> DataFrame:
+    """The same run with models that were saved as bundles and loaded again."""
+    return _run_result(i, _reloaded(i, _fixed_models(i)))
+
+
 # Spark ML has no SQL counterpart: the queries below are checked for their rows only.
 
 def _segment_matrix(i: Inputs, name: str) -> tuple[DataFrame, list[str]]:
@@ -642,7 +662,7 @@ def train_segment(i: Inputs) -> DataFrame:
 
 @query
 def score_segment(i: Inputs) -> DataFrame:
-    """Fit and apply a model of the smallest and the largest segment kinds, with factors."""
-    models = {name: flagship.train_model(i.features, name) for name in prepare.SEGMENTS}
+    """Fit a model of each segment, save and load it, and apply what was loaded, with factors."""
+    models = _reloaded(i, {name: flagship.train_model(i.features, name) for name in prepare.SEGMENTS})
     result = flagship.score_run(i, models, i.p.last_day, new_path(i.spark, "result"))
     return result.select("parentname", "customer_size", "churn_prob", "churn_rank", "churn_flag_predicted", *[f"factor_{n}" for n in range(1, 11)])

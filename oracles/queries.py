@@ -282,3 +282,6 @@ SELECT parentname, {_segment} AS customer_size, state_code, credit_limit::INTEGE
        round(round_even(prob, 4)::FLOAT::DOUBLE, 4) AS churn_prob, floor(round(round_even(prob, 4) * 10, 6))::INTEGER AS churn_rank, (prob >= 0.5)::INTEGER AS churn_flag_predicted,
        churn_flag AS churn_flag_actual, {', '.join(f'factor_{n}' for n in range(1, 11))}, cur::VARCHAR AS run_week, (SELECT max(o_orderdate)::DATE FROM orders) AS run_date
 FROM features JOIN p USING (parentname) JOIN f USING (parentname) CROSS JOIN run""")
+
+# Saving and loading a model changes no row.
+SQL["score_loaded"] = SQL["score_run_result"]
