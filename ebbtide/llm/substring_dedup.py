@@ -78,7 +78,7 @@ def run_hashes(hashes: np.ndarray, first: np.ndarray, length: np.ndarray) -> tup
 
 
 def _occurrences(texts: DataFrame, window: int, gram: int, id_type: str) -> DataFrame:
-    """(doc_id, segments): prefix, two hashes of the text, first window and windows of each segment."""
+    """(doc_id, version, segments): prefix, two hashes of the text, first window and windows of each segment."""
     names = ["prefix", "h1", "h2", "first", "windows"]
 
     def cut(batches):
@@ -98,10 +98,10 @@ def _occurrences(texts: DataFrame, window: int, gram: int, id_type: str) -> Data
             fields = [pa.array(np.concatenate(c) if c else np.zeros(0, np.int64), pa.int64()) for c in columns]
             fields[3], fields[4] = fields[3].cast(pa.int32()), fields[4].cast(pa.int32())
             lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(fields, names))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists], ["doc_id", "segments"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("version"), lists], ["doc_id", "version", "segments"])
 
     kind = "array<struct<prefix: long, h1: long, h2: long, first: int, windows: int>>"
-    return texts.mapInArrow(cut, f"doc_id {id_type}, segments {kind}")
+    return texts.mapInArrow(cut, f"doc_id {id_type}, version long, segments {kind}")
 
 
 def depth_nodes(texts: list[np.ndarray], owners: list, window: int) -> list[list[tuple[int, int, object]]]:
@@ -233,9 +233,9 @@ def _windows_of(rows: DataFrame, window: int, id_type: str) -> DataFrame:
 
 
 def repeated_runs(texts: DataFrame, window: int, gram: int, group_segments: int, id_type: str) -> DataFrame:
-    """(doc_id, first, runs): for segments with windows of smaller documents, the runs of windows and their smallest owner."""
+    """(doc_id, version, first, runs): for segments with windows of smaller documents, the runs of windows and their smallest owner."""
     occurrences = stage(_occurrences(texts, window, gram, id_type), "suffixes")
-    flat = occurrences.select("doc_id", F.explode("segments").alias("s")).select("doc_id", "s.*")
+    flat = occurrences.select("doc_id", "version", F.explode("segments").alias("s")).select("doc_id", "version", "s.*")
     # Equal segment texts are one leaf with the smallest document that holds it.
     leaves = flat.groupBy("prefix", "h1", "h2").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last"), F.min_by(F.struct("first", "windows"), "doc_id").alias("at"))
     leaves = stage(leaves, "leaves")
@@ -246,7 +246,7 @@ def repeated_runs(texts: DataFrame, window: int, gram: int, group_segments: int,
         F.collect_list(F.struct("prefix", "h1", "h2", "at.first", "at.windows")).alias("asked")
     )
     contents = stage(
-        _segment_words(texts.join(asked, "doc_id"), id_type, window).join(grouped.select("prefix", "h1", "h2", "large"), ["prefix", "h1", "h2"]),
+        _segment_words(texts.join(asked, "doc_id").select("doc_id", "asked", "text"), id_type, window).join(grouped.select("prefix", "h1", "h2", "large"), ["prefix", "h1", "h2"]),
         "contents",
     )
     trees = _trees(contents.where("NOT large").drop("large"), window, id_type)
@@ -264,7 +264,7 @@ def repeated_runs(texts: DataFrame, window: int, gram: int, group_segments: int,
     for more in results[1:]:
         runs = runs.unionByName(more)
     owned = flat.join(runs, ["prefix", "h1", "h2"])
-    earlier = owned.select("doc_id", "first", F.filter("runs", lambda r: r["owner"] < F.col("doc_id")).alias("runs"))
+    earlier = owned.select("doc_id", "version", "first", F.filter("runs", lambda r: r["owner"] < F.col("doc_id")).alias("runs"))
     return earlier.where(F.size("runs") > 0)
 
 
@@ -277,18 +277,20 @@ def remove_repeats(
     with a smaller id; windows are judged on the input. ``spans`` are the removed
     [start, end) word ranges; ``kept_text`` joins the kept words by one space. Null and
     empty texts have no words, texts shorter than a window keep all. Rows that repeat
-    an id never count as a smaller document for each other; a row without id keeps all
-    and counts for none. Other columns are not read; an empty input gives no rows.
+    an id never count as a smaller document for each other, and each loses its own spans
+    only; a row without id keeps all and counts for none. Other columns are not read; an empty input gives no rows.
     """
     spark = docs.sparkSession
     small_batches(spark)
     id_type = docs.schema[id_col].dataType.simpleString()
-    texts = docs.select(F.col(q(id_col)).alias("doc_id"), F.col(q(text_col)).alias("text"))
+    text = F.col(q(text_col))
+    # Rows of one id are told apart by a hash of their text; rows equal in both lose the same words.
+    texts = docs.select(F.col(q(id_col)).alias("doc_id"), F.xxhash64(text).alias("version"), text.alias("text"))
     named = texts.where("doc_id IS NOT NULL")
     runs = repeated_runs(named, window, gram, group_segments, id_type)
-    flat = runs.select("doc_id", F.explode(F.transform("runs", lambda r: F.struct((F.col("first") + r["a"]).alias("a"), (F.col("first") + r["b"]).alias("b")))).alias("r"))
-    spans = flat.groupBy("doc_id").agg(F.collect_list("r").alias("spans")).withColumnRenamed("doc_id", "of")
-    joined = texts.join(spans, texts["doc_id"] == spans["of"], "left").drop("of")
+    flat = runs.select("doc_id", "version", F.explode(F.transform("runs", lambda r: F.struct((F.col("first") + r["a"]).alias("a"), (F.col("first") + r["b"]).alias("b")))).alias("r"))
+    spans = flat.groupBy("doc_id", "version").agg(F.collect_set("r").alias("spans"))
+    joined = texts.join(spans, ["doc_id", "version"], "left").select("doc_id", "text", "spans")
 
     def remove(batches):
         for batch in batches:
