@@ -17,7 +17,6 @@ from __future__ import annotations
 import functools
 import hashlib
 import html
-import json
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -196,33 +195,61 @@ def _weaken(a: str, b: str) -> str:
     return {(False, False): "1", (False, True): "?", (True, False): "+", (True, True): "*"}[repeated, optional]
 
 
+def unrolled(call):
+    """Value of a generator that yields further calls of its kind in place of calling itself: depth costs heap, not stack."""
+    waiting, value = [call], None
+    while waiting:
+        try:
+            waiting.append(waiting[-1].send(value))
+            value = None
+        except StopIteration as done:
+            waiting.pop()
+            value = done.value
+    return value
+
+
 def fold(items: list) -> list:
     """Neighbours of the same kind as one repeated item."""
+    return unrolled(_fold(items))
+
+
+def align(a: list, b: list) -> list:
+    """Least wrapper of this form that both sequences match; pages may be nested to any depth."""
+    return unrolled(_align(a, b))
+
+
+def _plain(a: list, b: list) -> bool:
+    """Whether two sequences are equal and hold nothing inside."""
+    return len(a) == len(b) and all(not x[2] and not y[2] and x[0] == y[0] and x[1] == y[1] for x, y in zip(a, b))
+
+
+def _fold(items: list):
     out: list = []
     for kind, times, inner in items:
         if out and out[-1][0] == kind:
             last = out[-1]
             # Present if either is: optional only where both are.
             optional = last[1] in "?*" and times in "?*"
-            out[-1] = [kind, "*" if optional else "+", align(last[2], inner)]
+            merged = last[2] if _plain(last[2], inner) else (yield _align(last[2], inner))
+            out[-1] = [kind, "*" if optional else "+", merged]
         else:
             out.append([kind, times, inner])
     return out
 
 
-def align(a: list, b: list) -> list:
-    """Least wrapper of this form that both sequences match."""
-    if a == b:
-        return a
+def _align(a: list, b: list):
     n, m = len(a), len(b)
-    best = [[0] * (m + 1) for _ in range(n + 1)]
-    for i in range(n - 1, -1, -1):
-        for j in range(m - 1, -1, -1):
+    # A common beginning is aligned as it is; only what follows needs the table.
+    same = next((k for k, (x, y) in enumerate(zip(a, b)) if x[0] != y[0]), min(n, m))
+    best = [[0] * (m + 1) for _ in range(n + 1)] if same < n and same < m else []
+    for i in range(n - 1, same - 1, -1) if best else ():
+        for j in range(m - 1, same - 1, -1):
             best[i][j] = best[i + 1][j + 1] + 1 if a[i][0] == b[j][0] else max(best[i + 1][j], best[i][j + 1])
     out, i, j = [], 0, 0
     while i < n or j < m:
         if i < n and j < m and a[i][0] == b[j][0]:
-            out.append([a[i][0], _weaken(a[i][1], b[j][1]), align(a[i][2], b[j][2])])
+            inner = a[i][2] if _plain(a[i][2], b[j][2]) else (yield _align(a[i][2], b[j][2]))
+            out.append([a[i][0], _weaken(a[i][1], b[j][1]), inner])
             i, j = i + 1, j + 1
         elif j >= m or i < n and best[i + 1][j] >= best[i][j + 1]:
             out.append([a[i][0], _weaken(a[i][1], "?"), a[i][2]])
@@ -230,7 +257,7 @@ def align(a: list, b: list) -> list:
         else:
             out.append([b[j][0], _weaken(b[j][1], "?"), b[j][2]])
             j += 1
-    return fold(out)
+    return (yield _fold(out))
 
 
 def stream(tokens: list[tuple[str, str]]) -> list:
@@ -324,23 +351,30 @@ def path_of(slot: str) -> tuple[str, ...]:
 
 
 def outside(path: tuple[str, ...], void: frozenset = frozenset()) -> bool:
-    """Whether a group on the path is never part of the article; marks of the paths in ``void`` do not count."""
+    """Whether a group on the path is never part of the article; marks of the paths in ``void`` do not count.
+
+    A form around a named article is layout.
+    """
     inside = False
+    named = max((k for k, key in enumerate(path) if key.endswith("*") or key in ARTICLES), default=-1)
     for k, key in enumerate(path):
         name = key.rstrip("!*")
-        if key.endswith("!") and path[: k + 1] not in void or name in NOT_TEXT or name == "header" and not inside:
+        excluded = name in NOT_TEXT and (name != "form" or k > named)
+        if name == "form" and excluded or key.endswith("!"):
+            excluded = path[: k + 1] not in void or excluded and name != "form"
+        if excluded or name == "header" and not inside:
             return True
         inside = inside or name in ARTICLES
     return False
 
 
 def void_marks(mass: dict[tuple[str, ...], int]) -> frozenset:
-    """Paths of marked groups whose mark would drop most of the host's text, where no article tag outside them has text.
+    """Paths of marked groups and forms that would drop most of the host's text, where no article tag outside them has text.
 
     ``mass`` has the characters of each slot path. Text that its tags exclude does not count.
     """
     void: set[tuple[str, ...]] = set()
-    bare = {p: tuple(k.rstrip("!") for k in p) for p in mass}
+    bare = {p: tuple("div" if k.rstrip("!") == "form" else k.rstrip("!") for k in p) for p in mass}
     weight = {p: n for p, n in mass.items() if not outside(bare[p])}
     if any(n and not outside(p) and any(k.endswith("*") or k in ARTICLES for k in p) for p, n in weight.items()):
         return frozenset()
@@ -348,7 +382,7 @@ def void_marks(mass: dict[tuple[str, ...], int]) -> frozenset:
     prefixes: dict[tuple[str, ...], int] = {}
     for p, n in weight.items():
         for k, key in enumerate(p):
-            if key.endswith("!"):
+            if key.endswith("!") or key == "form":
                 prefixes[p[: k + 1]] = prefixes.get(p[: k + 1], 0) + n
     for prefix in sorted(prefixes, key=len):
         if prefixes[prefix] >= MASS * total:
@@ -391,9 +425,32 @@ def digest(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
 
 
+def written(wrapper: list) -> str:
+    """A wrapper as one line per token: quantifier and kind of an item, ``>`` after its inner items."""
+    lines: list[str] = []
+    todo = [iter(wrapper)]
+    while todo:
+        item = next(todo[-1], None)
+        if item is None:
+            todo.pop()
+            if todo:
+                lines.append(">")
+            continue
+        lines.append(item[1] + item[0])
+        todo.append(iter(item[2]))
+    return "\n".join(lines)
+
+
 @functools.lru_cache(maxsize=256)
 def _read_wrapper(text: str) -> list:
-    return json.loads(text)
+    stack: list[list] = [[]]
+    for line in text.split("\n") if text else ():
+        if line == ">":
+            stack.pop()
+        else:
+            stack[-1].append([line[1:], line[0], []])
+            stack.append(stack[-1][-1][2])
+    return stack[0]
 
 
 def main_text(page: str | None, wrapper: str | None, fixed: frozenset, void: frozenset = frozenset()) -> str:
@@ -428,7 +485,7 @@ def _pages_as_streams(pages: DataFrame) -> DataFrame:
             for page in batch.column("html").to_pylist():
                 tokens = list(events(page))
                 found.append(digest(page or ""))
-                wrappers.append(json.dumps(stream(tokens), separators=(",", ":")))
+                wrappers.append(written(stream(tokens)))
                 kinds.append("\n".join(skeleton(tokens)))
                 texts.append([{"chars": len(t), "digest": digest(t)} for k, t in tokens if k == "t"])
             yield pa.RecordBatch.from_arrays(
@@ -482,8 +539,9 @@ def infer(pages: DataFrame) -> DataFrame:
     def merge(frame: pd.DataFrame) -> pd.DataFrame:
         merged = None
         for text in sorted(frame["wrapper"]):
-            merged = json.loads(text) if merged is None else align(merged, json.loads(text))
-        return pd.DataFrame({"host": [frame["host"].iloc[0]], "wrapper": [json.dumps(merged, separators=(",", ":"))]})
+            read = _read_wrapper.__wrapped__
+            merged = read(text) if merged is None else align(merged, read(text))
+        return pd.DataFrame({"host": [frame["host"].iloc[0]], "wrapper": [written(merged)]})
 
     while True:
         wrappers = stage(wrappers, "wrappers")
@@ -520,8 +578,9 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
     Blocks of the article are joined by a line feed, in page order. A null or empty page
     has the empty text; pages without url, or with one that names no host, share one
-    wrapper. A page on which its host's article group has no text gives all text that no
-    tag or attribute marks as something else. Other columns are not read; an empty input
+    wrapper. A page without a named article gives all text that no tag or attribute marks as
+    something else and that is no template text of its host. Rows that repeat an id are
+    pages of their own; pages may be nested to any depth. Other columns are not read; an empty input
     gives no rows.
     """
     spark = pages.sparkSession

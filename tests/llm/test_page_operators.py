@@ -153,3 +153,22 @@ def test_matching_places_every_page_of_the_host():
     # A single required item is taken before an optional one of the same kind.
     assert html_wrapper.matched(["p"], [["p", "?", []], ["ul", "?", []], ["p", "1", []]]) == [2]
     assert html_wrapper.matched(["x", "p"], [["p", "1", []]]) == [-1, 0]
+
+
+def test_pages_nested_deeply(spark):
+    levels = 5000
+    deep = "<div>" * levels + "<p>one {0}</p>" + "</div>" * levels
+    quoted = "<blockquote>" * levels + "two {0}"
+    got = texts_of(spark, [("http://deep.org/", page.format(k)) for k in range(2) for page in (deep, quoted, f"<p>lead {{0}}</p>{deep}")])
+    assert got == [t.format(k) for k in range(2) for t in ("one {0}", "two {0}", "lead {0}\none {0}")]
+    wrapper = html_wrapper.stream(list(html_wrapper.events(f"<h1>t</h1>{deep}<ul><li>a<li><b>b</b><p>c</ul>")))
+    text = html_wrapper.written(wrapper)
+    assert html_wrapper.written(html_wrapper._read_wrapper(text)) == text and text.count("div") == levels
+
+
+def test_forms_around_the_article_are_layout(spark):
+    article = "<body><form id=x><nav>menu</nav><article><p>text {0}</p><form><label>Name</label><p>send it</p></form></article></form>"
+    prose = "<body><form class=page><h1>head {0}</h1><p>" + "word {0} " * 30 + "</p><select><option>pick</select></form>"
+    search = "<body><form><p>search</p></form><p>" + "para {0} " * 30 + "</p>"
+    for host, page, want in (("a", article, "text {0}"), ("b", prose, "head {0}\n" + " ".join(["word {0}"] * 30)), ("c", search, " ".join(["para {0}"] * 30))):
+        assert texts_of(spark, [(f"http://{host}.org/", page.format(k)) for k in range(3)]) == [want.format(k) for k in range(3)]
