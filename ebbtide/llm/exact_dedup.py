@@ -18,6 +18,7 @@ from ebbtide.llm.common import free_name, lower_ascii, q
 COUNTERS = 4096
 # Sketches that are merged by one task.
 FAN_IN = 64
+RESULTS = {"keep_id", "group_size", "kept", "text_sha256"}
 
 
 def frequent_keys(keys: DataFrame, counters: int = COUNTERS) -> DataFrame:
@@ -45,8 +46,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     result column is replaced by the result; ``carry`` names the columns to keep, the id
     among them, where not all are wanted.
     """
-    results = {"keep_id", "group_size", "kept", "text_sha256"}
-    carried = [c for c in (carry or docs.columns) if c.lower() not in results]
+    carried = [c for c in (carry or docs.columns) if c.lower() not in RESULTS]
     digest, row = free_name(docs.columns, "digest"), free_name(docs.columns, "row")
     rows = stage(
         docs.withColumn(digest, F.unhex(F.sha2(lower_ascii(F.col(q(text_col))), 256)))
@@ -85,6 +85,17 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The kept rows of ``docs`` in its own columns."""
-    marked = exact_duplicates(docs.select("*"), id_col, text_col)
-    return marked.where("kept").select(*[q(c) for c in docs.columns if c in marked.columns])
+    """The kept rows of ``docs`` in its own columns.
+
+    Of equal texts one row stays, as in ``exact_duplicates``. Columns with the names of its
+    results keep their own values. An empty input gives no rows.
+    """
+    taken = [*docs.columns, *RESULTS]
+    own = {}
+    for c in docs.columns:
+        if c.lower() in RESULTS:
+            own[c] = free_name(taken, "own")
+            taken.append(own[c])
+    moved = docs.withColumnsRenamed(own)
+    marked = exact_duplicates(moved, own.get(id_col, id_col), own.get(text_col, text_col))
+    return marked.where("kept").select(*[F.col(q(own.get(c, c))).alias(c) for c in docs.columns])

@@ -112,12 +112,14 @@ def resample(docs: DataFrame, ratio: np.ndarray, k: int, id_col: str = "doc_id",
 
     ``kept`` marks the ``k`` rows with the largest keys. The noise comes from a hash of
     the id, so reruns agree; among equal keys the smaller ids come first, and rows that
-    repeat an id and its weight are taken in any order. An empty input gives no rows.
+    repeat an id and its weight are taken in any order. A null or wordless text has the
+    key minus infinity and is never kept, so fewer than ``k`` rows are where the others are fewer.
+    An empty input gives no rows.
     """
     uniform = (F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(2**52)) + 0.5) / float(2**52)
-    keyed = weigh(docs, ratio, id_col, text_col).withColumn("key", F.col("log_weight") - F.log(-F.log(uniform)))
+    keyed = weigh(docs, ratio, id_col, text_col).withColumn("key", F.when(F.col("n_grams") > 0, F.col("log_weight") - F.log(-F.log(uniform))).otherwise(float("-inf")))
     rows = stage(keyed, "keys")
-    found = threshold(rows.select("key"), k)
+    found = threshold(rows.where("n_grams > 0").select("key"), k)
     if found is None:
         return rows.withColumn("kept", F.lit(False))
     cut, ties = found

@@ -183,3 +183,31 @@ def test_language_rejects_what_it_has_not_learned(spark):
     assert len(held) > 150 and rejected(held) < 0.04
     long_enough = [t for t in held if len(t) >= 200]
     assert rejected([t[:40] for t in long_enough]) < 0.04 and rejected([t[:200] for t in long_enough]) < 0.04
+
+
+def test_rows_that_repeat_an_id_lose_their_own_spans_only(spark):
+    p, other = (" ".join(f"{w}{k}" for k in range(90)) for w in "pq")
+    rows = [(1, p), (5, p), (5, other), (5, p), (7, other), (None, p), (None, None), (9, p + " " + "z" * 100_000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted((r.doc_id or 0, r.n_words, r.n_removed) for r in substring_dedup.remove_repeats(frame).collect())
+    assert got == [(0, 0, 0), (0, 90, 0), (1, 90, 0), (5, 90, 0), (5, 90, 90), (5, 90, 90), (7, 90, 90), (9, 91, 90)]
+
+
+def test_resampling_leaves_out_texts_without_words(spark):
+    rows = [(k, "good words here " * 3) for k in range(30)] + [(k, f"junk {k} noise") for k in range(30, 180)] + [(k, ["", None, " . "][k % 3]) for k in range(180, 200)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    ratio = resample.fit(frame, spark.range(30))
+    kept = [r.doc_id for r in resample.resample(frame, ratio, 50).collect() if r.kept]
+    assert len(kept) == 50 and max(kept) < 180
+    every = resample.resample(frame, ratio, 1000).collect()
+    assert len(every) == 200 and {r.doc_id for r in every if r.kept} == set(range(180))
+    wordless = frame.where("doc_id >= 180")
+    assert not any(r.kept for r in resample.resample(wordless, ratio, 5).collect())
+
+
+def test_dropping_exact_duplicates_keeps_columns_of_clashing_names(spark):
+    rows = [(1, "T", "a", 7, "x"), (2, "t", "b", 8, "y"), (3, "u", None, 9, "z")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, kept string, Group_Size int, keep_id string")
+    got = exact_dedup.drop_exact_duplicates(frame)
+    assert got.columns == frame.columns and sorted(map(tuple, got.collect())) == [tuple(r) for r in rows[1:]]
+    assert [r[0] for r in exact_dedup.drop_exact_duplicates(frame.select("Group_Size", "kept"), "Group_Size", "kept").orderBy(F.col("Group_Size")).collect()] == [7, 8, 9]
