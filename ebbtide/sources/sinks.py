@@ -48,11 +48,25 @@ def stamp(rows: DataFrame, run_week: int, run_date: dt.date) -> DataFrame:
 
 
 def replace_slice(rows: DataFrame, path: str, run_week: int, run_date: dt.date) -> None:
-    """Stamp ``rows`` with one (run_week, run_date) and let them replace that slice, also when there are none."""
+    """Stamp ``rows`` with one (run_week, run_date) and let them replace that slice, also when there are none.
+
+    The new slice is written beside the old one and takes its place when the write is
+    committed, so a write that fails leaves the old slice. Only an empty batch, which
+    writes no slice, removes the old one, after its write has succeeded.
+    """
     spark = rows.sparkSession
     folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/run_week={run_week}/run_date={run_date.isoformat()}")
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-    stamp(rows, run_week, run_date).write.mode("append").partitionBy(*SLICE).parquet(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def files() -> set[str]:
+        return {f.getPath().getName() for f in fs.listStatus(folder)} if fs.exists(folder) else set()
+
+    old = files()
+    slices = stamp(rows, run_week, run_date).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    slices.partitionBy(*SLICE).parquet(path)
+    # Every write names its files anew: those still there were not replaced, as nothing was written.
+    if old and files() == old:
+        fs.delete(folder, True)
 
 
 def read_result(spark, path: str) -> DataFrame:
