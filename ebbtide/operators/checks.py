@@ -1,10 +1,10 @@
-"""Stage invariants as a table of checks."""
+"""Stage invariants: as a table of checks, and as conditions that stop the run that breaks them."""
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -29,5 +29,17 @@ def not_empty(rows: DataFrame, name: str) -> DataFrame:
     )
 
 
+def required(rows: DataFrame, holds: Column, message: str) -> DataFrame:
+    """``rows``, whose reading fails with ``message`` at a row where ``holds`` is not true; no pass of its own."""
+    return rows.where(F.when(holds, F.lit(True)).otherwise(F.raise_error(F.lit(message)).cast("boolean")))
+
+
+def required_unique(rows: DataFrame, key: str, name: str) -> DataFrame:
+    """``rows``, whose reading fails where ``key`` is null or repeats; for keys with a bounded number of rows."""
+    named = required(rows, F.col(key).isNotNull(), f"{name}: {key} is null")
+    counted = named.withColumn("_rows", F.count("*").over(Window.partitionBy(key)))
+    return required(counted, F.col("_rows") == 1, f"{name}: {key} repeats").drop("_rows")
+
+
 def stage_invariants(checks: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, checks)

@@ -243,6 +243,23 @@ sql("score_factors", "long names", f"""
                   / CASE WHEN stddev_pop(value) OVER (PARTITION BY measure) = 0 THEN 1 ELSE stddev_pop(value) OVER (PARTITION BY measure) END AS a
                 FROM long JOIN (SELECT measure, round((CASE k % 2 WHEN 0 THEN 1 ELSE -1 END) * (0.9::DOUBLE - 0.05::DOUBLE * (k % 18)), 2) AS w
                               FROM (SELECT measure, row_number() OVER (ORDER BY measure) - 1 AS k FROM names)) USING (measure)))) GROUP BY 1""")
+sql("forest_factors", "long names", f"""
+, m AS (SELECT measure, row_number() OVER (ORDER BY measure) - 1 AS place, count(*) OVER () AS n FROM names),
+w0 AS (SELECT parentname, t, 0 AS k FROM (SELECT DISTINCT parentname FROM long) CROSS JOIN (SELECT unnest(range(100)) AS t)),
+z AS (SELECT parentname, measure, place, n, (value - avg(value) OVER s) / CASE WHEN stddev_pop(value) OVER s = 0 THEN 1 ELSE stddev_pop(value) OVER s END AS z
+      FROM long JOIN m USING (measure) WINDOW s AS (PARTITION BY measure)),
+{', '.join(f"""w{d + 1} AS (
+  SELECT w.parentname, t, 2 * k + 1 + (z > ((3 * t + 11 * k) % 9 - 4) / 4 + 0.1::DOUBLE)::INTEGER AS k, k AS parent, measure
+  FROM w{d} w JOIN z ON z.parentname = w.parentname AND z.place = (7 * t + 5 * k) % n)""" for d in range(3))},
+c AS (
+  SELECT parentname, measure, sum(0.5::DOUBLE * (((13 * t + 29 * k) % 41) - ((13 * t + 29 * parent) % 41)) / 64) AS a
+  FROM (FROM w1 UNION ALL FROM w2 UNION ALL FROM w3) GROUP BY 1, 2),
+f AS (
+  SELECT parentname, measure, place, row_number() OVER (PARTITION BY parentname ORDER BY abs(coalesce(a, 0)) DESC, measure) AS r
+  FROM z LEFT JOIN c USING (parentname, measure)),
+k AS (SELECT parentname, measure, row_number() OVER (PARTITION BY parentname ORDER BY r) AS r FROM f WHERE r <= 25 AND place % 7 <> 0)
+SELECT parentname, {', '.join(f'max(measure) FILTER (r = {n}) AS factor_{n}' for n in range(1, 11))}
+FROM (SELECT DISTINCT parentname FROM z) LEFT JOIN k USING (parentname) GROUP BY 1""")
 sql("score_combine", "scored run", """
   SELECT parentname, CASE customer_size WHEN 'others' THEN 'express-check' WHEN 'medium' THEN 'small' ELSE customer_size END AS customer_size,
          churn_prob, churn_rank, churn_flag_predicted, churn_flag AS churn_flag_actual, cur::VARCHAR AS run_week,
