@@ -249,7 +249,7 @@ w0 AS (SELECT parentname, t, 0 AS k FROM (SELECT DISTINCT parentname FROM long)
 z AS (SELECT parentname, measure, place, n, (value - avg(value) OVER s) / CASE WHEN stddev_pop(value) OVER s = 0 THEN 1 ELSE stddev_pop(value) OVER s END AS z
       FROM long JOIN m USING (measure) WINDOW s AS (PARTITION BY measure)),
 {', '.join(f"""w{d + 1} AS (
-  SELECT w.parentname, t, 2 * k + 1 + (z > ((3 * t + 11 * k) % 9 - 4) / 4 + 0.1::DOUBLE)::INTEGER AS k, k AS parent, measure
+  SELECT w.parentname, t, 2 * k + 1 + (z > ((3 * t + 11 * k) % 9 - 4) / 4 + 0.1::DOUBLE)::INTEGER AS k, k AS parent, z.measure
   FROM w{d} w JOIN z ON z.parentname = w.parentname AND z.place = (7 * t + 5 * k) % n)""" for d in range(3))},
 c AS (
   SELECT parentname, measure, sum(0.5::DOUBLE * (((13 * t + 29 * k) % 41) - ((13 * t + 29 * parent) % 41)) / 64) AS a
