@@ -1,11 +1,15 @@
 """Personal data: base patterns, and terms that disclose what the patterns protect.
 
 Base spans are email addresses, IP addresses, card and phone numbers. Information
-theory adds terms: the corpus tells how often a term stands near a protected value
-and how often it occurs at all. When the pointwise mutual information of both comes
-near the information content of the value itself, the term reveals the value; it is
-then sanitised in the documents where it stands near the value, generalised if other
-documents use it too, removed if none does.
+theory adds terms: the corpus tells how many documents hold a term together with a
+protected value, anywhere in the text, and how many hold it at all. When the pointwise
+mutual information of both comes near the information content of the value itself, the
+term reveals the value; it is then sanitised in every document that holds the value,
+generalised if other documents use it too, removed if none does.
+
+Values held by the same documents disclose alike, and so do terms: both are joined as
+classes, named by their number of documents and two exclusive-or sums of hashes of
+those, so a long document that is copied gives one pair and not all of its pairs.
 
 Everything is DataFrame functions. A text is cut by a pattern into matches and the
 pieces between them; running sums of their lengths are the positions. Repeated
@@ -24,9 +28,7 @@ from ebbtide.llm.common import q
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
-# Characters beside a protected value that count as its context, on each side.
-CONTEXT = 120
-# Documents in which a term must stand near a value to be evidence.
+# Documents that must hold a term and a value together for evidence.
 MIN_DOCUMENTS = 2
 # Part of a value's information that a term may disclose.
 THRESHOLD = 0.9
@@ -73,65 +75,80 @@ def _valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
-def _cut(rows: DataFrame, text: Column, pattern: str, extra: list[str]) -> DataFrame:
-    """(row, extra, before, value, after, start, end) for each match of ``pattern``; rows are keyed by ``row``."""
+def _cut(rows: DataFrame, text: Column, pattern: str) -> DataFrame:
+    """(row, value, start, end) for each match of ``pattern``; rows are keyed by ``row``."""
     pieces, values = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    parts = rows.select("row", *extra, pieces.alias("pieces"), values.alias("values")).where(F.size("values") > 0)
-    zipped = F.arrays_zip(F.col("pieces"), F.col("values"), F.slice("pieces", F.lit(2), F.size("values")).alias("next"))
-    flat = parts.select("row", *extra, F.posexplode(zipped).alias("at", "z")).where("z.values IS NOT NULL")
-    cut_left = F.regexp_replace(F.right("z.pieces", F.lit(CONTEXT)), rf"^{LETTERS}", "")
-    cut_right = F.regexp_replace(F.left("z.next", F.lit(CONTEXT)), rf"{LETTERS}$", "")
-    short = flat.select(
-        "row", *extra, "at", F.length("z.pieces").alias("gap"), F.length("z.values").alias("size"), F.col("z.values").alias("value"),
-        F.when(F.length("z.pieces") > CONTEXT, cut_left).otherwise(F.col("z.pieces")).alias("before"),
-        F.when(F.length("z.next") > CONTEXT, cut_right).otherwise(F.col("z.next")).alias("after"),
-    )
+    parts = rows.select("row", pieces.alias("pieces"), values.alias("values")).where(F.size("values") > 0)
+    flat = parts.select("row", F.posexplode(F.arrays_zip("pieces", "values")).alias("at", "z")).where("z.values IS NOT NULL")
+    short = flat.select("row", "at", F.length("z.pieces").alias("gap"), F.length("z.values").alias("size"), F.col("z.values").alias("value"))
     upto = Window.partitionBy("row").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     end = F.sum(F.col("gap") + F.col("size")).over(upto)
-    return short.withColumn("end", end).withColumn("start", F.col("end") - F.col("size"))
+    return short.withColumn("end", end).select("row", "value", (F.col("end") - F.col("size")).alias("start"), "end")
 
 
 def base_matches(rows: DataFrame) -> DataFrame:
-    """(row, kind, start, end, value, terms) of all base spans of (row, text); terms are the words beside it."""
+    """(row, kind, start, end, value) of all base spans of (row, text); values are lower case."""
     found = None
     for number, kind in enumerate(KINDS):
         text, pattern = _prepared(F.col("text"), kind)
         # Only texts that can hold the kind are cut.
         some = rows.where(F.col("text").rlike({"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9]", "phone": r"\+[0-9]"}[kind]))
-        matches = _cut(some, text, pattern, []).where(_valid(kind, F.col("value")))
-        words = F.array_distinct(F.regexp_extract_all(F.lower(F.concat_ws(" ", "before", "after")), F.lit(LETTERS), F.lit(0)))
-        spans = matches.select("row", F.lit(number).alias("kind"), "start", "end", F.lower("value").alias("value"), words.alias("terms"))
+        matches = _cut(some, text, pattern).where(_valid(kind, F.col("value")))
+        spans = matches.select("row", F.lit(number).alias("kind"), "start", "end", F.lower("value").alias("value"))
         found = spans if found is None else found.unionByName(spans)
     return found
 
 
-def disclosures(base: DataFrame, texts: DataFrame, min_documents: int, threshold: float) -> DataFrame:
-    """(kind, value, term, disclosure) for terms that disclose ``threshold`` or more of a value.
+def _words(text: str) -> Column:
+    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(LETTERS), F.lit(0)))
+
+
+def _same_rows(prefix: str) -> list[Column]:
+    """Two exclusive-or sums of hashes: equal for groups of the same distinct rows."""
+    return [F.bit_xor(F.xxhash64("row", F.lit(k))).alias(f"{prefix}{k}") for k in (1, 2)]
+
+
+VALUE, TERMS = ["n_value", "v1", "v2"], ["n_term", "t1", "t2"]
+
+
+def value_classes(base: DataFrame, min_documents: int, total: int) -> DataFrame:
+    """(row, n_value, v1, v2) of the values that ``min_documents`` rows or more, but not all, hold."""
+    held = base.select("row", "kind", "value").distinct()
+    classes = held.groupBy("kind", "value").agg(F.count("*").alias("n_value"), *_same_rows("v"))
+    wanted = classes.where((F.col("n_value") >= min_documents) & (F.col("n_value") < total))
+    return held.join(wanted, ["kind", "value"]).select("row", *VALUE).distinct()
+
+
+def term_classes(asked: DataFrame, texts: DataFrame, min_documents: int) -> DataFrame:
+    """(row, term, n_term, t1, t2) of the words that ``min_documents`` rows of ``asked`` or more hold; all texts count."""
+    words = asked.select("row", F.explode(_words("text")).alias("term"))
+    sets = words.groupBy("term").agg(F.count("*").alias("n_asked"), *_same_rows("t")).where(F.col("n_asked") >= min_documents)
+    # Words are counted where they are read, then joined.
+    spread = texts.select(F.explode(_words("text")).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
+    return words.join(sets.join(spread, "term"), "term").select("row", "term", *TERMS)
+
+
+def disclosing_terms(held: DataFrame, words: DataFrame, total: int, min_documents: int, threshold: float) -> DataFrame:
+    """(row, term, disclosure) of the terms that disclose ``threshold`` or more of a value that the row holds.
 
     With document frequencies N, n(value), n(term) and n(value, term) the disclosure is
-    log(n(value, term) N / (n(value) n(term))) / log(N / n(value)). All documents count.
+    log(n(value, term) N / (n(value) n(term))) / log(N / n(value)). As n(value, term) is at
+    most n(value), a term of many documents is passed over before it is paired.
     """
-    total = texts.count()
-    pairs = base.select("row", "kind", "value", F.explode("terms").alias("term")).distinct()
-    together = pairs.groupBy("kind", "value", "term").agg(F.count("*").alias("both")).where(F.col("both") >= min_documents)
-    values = base.select("row", "kind", "value").distinct().groupBy("kind", "value").agg(F.count("*").alias("n_value"))
-    near = stage(together.join(values.where(F.col("n_value") < total), ["kind", "value"]), "near")
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(LETTERS), F.lit(0)))
-    spread = texts.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
-    # An inner join stays above the aggregate: words are counted where they are read, then joined.
-    informed = near.join(spread, "term")
     information = F.log(F.lit(float(total)) / F.col("n_value"))
+    can_reach = F.log(F.lit(float(total)) / F.col("n_term")) >= (threshold - 1e-5) * information
+    together = held.join(words.select("row", *TERMS).distinct(), "row").where(can_reach)
+    counted = together.groupBy(*VALUE, *TERMS).agg(F.count("*").alias("both")).where(F.col("both") >= min_documents)
     mutual = F.log(F.col("both") * float(total) / (F.col("n_value") * F.col("n_term")))
-    scored = informed.withColumn("disclosure", F.round(mutual / information, 6))
-    return scored.where(F.col("disclosure") >= threshold).select("kind", "value", "term", "disclosure")
+    scored = counted.withColumn("disclosure", F.round(mutual / information, 6)).where(F.col("disclosure") >= threshold)
+    best = held.join(scored, VALUE).groupBy("row", *TERMS).agg(F.max("disclosure").alias("disclosure"))
+    return words.join(best, ["row", *TERMS]).select("row", "term", "disclosure")
 
 
-def term_matches(rows: DataFrame, base: DataFrame, disclosing: DataFrame) -> DataFrame:
-    """(row, kind, start, end, disclosure) of disclosing terms, wherever the document has them outside base spans."""
-    held = base.select("row", "kind", "value", F.explode("terms").alias("term")).join(disclosing, ["kind", "value", "term"])
-    terms = held.groupBy("row", "term").agg(F.max("disclosure").alias("disclosure"))
+def term_matches(rows: DataFrame, base: DataFrame, terms: DataFrame) -> DataFrame:
+    """(row, kind, start, end, disclosure) of a row's disclosing terms, wherever it has them outside base spans."""
     asked = rows.join(terms.select("row").distinct(), "row", "left_semi")
-    words = _cut(asked, F.col("text"), LETTERS, []).select("row", F.lower("value").alias("term"), "start", "end")
+    words = _cut(asked, F.col("text"), LETTERS).select("row", F.lower("value").alias("term"), "start", "end")
     spans = base.groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     apart = ~F.exists("spans", lambda s: (s["start"] < F.col("end")) & (s["end"] > F.col("start")))
     found = words.join(terms, ["row", "term"]).join(spans, "row").where(apart)
@@ -149,14 +166,20 @@ def personal_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Spans are sorted by kind, then start; positions are code points, ends exclusive.
     Null texts are empty and have no spans. Rows that repeat an id keep their own spans;
-    equal rows each count as a document. Documents without a base span get no term
-    spans. Other columns are not read; an empty input gives no rows.
+    equal rows each count as a document. A term is a run of letters, compared in lower
+    case; it counts wherever the text has it, inside values too, and gives spans outside
+    base spans. Documents without a base span get no term spans. Other columns are not
+    read; an empty input gives no rows.
     """
     texts = docs.select(F.col(q(id_col)).alias("doc_id"), F.coalesce(F.col(q(text_col)), F.lit("")).alias("text"))
     maybe = F.col("text").rlike("@|[0-9]")
     rows = stage(texts.where(maybe).withColumn("row", F.monotonically_increasing_id()), "texts")
     base = stage(base_matches(rows.select("row", "text")), "spans")
-    disclosing = stage(disclosures(base, texts, min_documents, threshold), "disclosing")
+    total = texts.count()
+    held = stage(value_classes(base, min_documents, total), "held")
+    asked = rows.select("row", "text").join(held.select("row").distinct(), "row", "left_semi")
+    words = stage(term_classes(asked, texts, min_documents), "words")
+    disclosing = stage(disclosing_terms(held, words, total, min_documents, threshold), "disclosing")
     terms = term_matches(rows.select("row", "text"), base, disclosing)
     spans = base.select("row", "kind", "start", "end", F.lit(None).cast("double").alias("disclosure")).unionByName(terms)
     per_row = spans.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("kind", "start", "end", "disclosure"))).alias("spans"))

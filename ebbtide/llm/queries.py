@@ -109,10 +109,7 @@ c AS (
          sum(length(p[i]) + length(v[i])) OVER (PARTITION BY r, kind ORDER BY i) AS stop
   FROM (SELECT r, kind, p, v, unnest(range(1, len(v) + 1)) AS i FROM m)),
 base AS (
-  SELECT r, kind, stop - length(value) AS start, stop, lower(value) AS value,
-         list_distinct(regexp_extract_all(lower(
-           CASE WHEN length(b) > 120 THEN regexp_replace(right(b, 120), '^\p{L}+', '') ELSE b END || ' ' ||
-           CASE WHEN length(a) > 120 THEN regexp_replace(left(a, 120), '\p{L}+$', '') ELSE a END), '\p{L}+')) AS terms
+  SELECT r, kind, stop - length(value) AS start, stop, lower(value) AS value
   FROM c
   WHERE CASE kind WHEN 0 THEN true
     WHEN 1 THEN list_bool_and(list_transform(string_split(value, '.'), lambda q: length(ltrim(q, '0')) <= 3 AND coalesce(try_cast(left(ltrim(q, '0'), 3) AS INTEGER), 0) <= 255))
@@ -122,14 +119,14 @@ base AS (
            ELSE substr(reverse(digits), i, 1)::INTEGER * 2 END)) % 10 = 0
     ELSE length(digits) BETWEEN 8 AND 15 END),
 n AS (SELECT count(*)::DOUBLE AS total FROM t),
-pairs AS (SELECT DISTINCT r, kind, value, unnest(terms) AS term FROM base),
+held AS (SELECT DISTINCT r, kind, value FROM base),
+vals AS (SELECT kind, value, count(*) AS n_value FROM held GROUP BY ALL HAVING count(*) >= 2),
+words AS (SELECT r, unnest(list_distinct(regexp_extract_all(lower(x), '\p{L}+'))) AS term FROM t),
+pairs AS (SELECT r, kind, value, term FROM held JOIN vals USING (kind, value) JOIN words USING (r)),
 near AS (
   SELECT kind, value, term, both_n, n_value
-  FROM (SELECT kind, value, term, count(*) AS both_n FROM pairs GROUP BY ALL HAVING count(*) >= 2)
-  JOIN (SELECT kind, value, count(DISTINCT r) AS n_value FROM base GROUP BY ALL) USING (kind, value), n WHERE n_value < total),
-spread AS (
-  SELECT term, count(*) AS n_term FROM (SELECT unnest(list_distinct(regexp_extract_all(lower(x), '\p{L}+'))) AS term FROM t)
-  WHERE term IN (SELECT term FROM near) GROUP BY term),
+  FROM (SELECT kind, value, term, count(*) AS both_n FROM pairs GROUP BY ALL HAVING count(*) >= 2) JOIN vals USING (kind, value), n WHERE n_value < total),
+spread AS (SELECT term, count(*) AS n_term FROM words WHERE term IN (SELECT term FROM near) GROUP BY term),
 disclosing AS (
   SELECT kind, value, term, round(ln(both_n * total / (n_value * n_term)) / ln(total / n_value), 6) AS d FROM near JOIN spread USING (term), n),
 terms AS (SELECT DISTINCT r, term FROM pairs JOIN disclosing USING (kind, value, term) WHERE d >= 0.9),

@@ -1,6 +1,8 @@
 """Operators on documents against plain Python, and their defined edge cases."""
 
+import math
 import random
+import re
 
 import duckdb
 import brute
@@ -120,6 +122,45 @@ def test_personal_spans_and_sanitised_text(spark):
     assert clean[0] == "call  about [EMAIL] now" and clean[10] == "call now about nothing"
 
 
+def disclosing_spans(texts):
+    """Term spans per document by plain counting of whole documents; emails are the only values here."""
+    mails = [{m.lower() for m in re.findall(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", t or "")} for t in texts]
+    words = [{w.lower() for w in re.findall(r"[^\W\d_]+", t or "")} for t in texts]
+    n, out = len(texts), []
+    for k, text in enumerate(texts):
+        shown = set()
+        for v in mails[k]:
+            n_value = sum(v in m for m in mails)
+            for w in words[k]:
+                both = sum(v in m and w in s for m, s in zip(mails, words))
+                if both >= 2 and n_value < n:
+                    mutual = math.log(both * n / (n_value * sum(w in s for s in words)))
+                    if round(mutual / math.log(n / n_value), 6) >= 0.9:
+                        shown.add(w)
+        held = [m.span() for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", text or "")]
+        spans = [m.span() for m in re.finditer(r"[^\W\d_]+", text or "") if m.group().lower() in shown]
+        out.append([f"term:{a}:{b}" for a, b in spans if not any(x < b and y > a for x, y in held)])
+    return out
+
+
+def test_terms_disclose_from_anywhere_in_the_document(spark):
+    far = "common words " * 40
+    texts = [f"Quaxil {far}write to al@mail.org" if k % 2 else f"write to al@mail.org quaxil {far}" for k in range(6)]
+    # A name inside one address and outside another's; long documents that are copies; numbers that are no cards beside a value.
+    texts += ["brimlow writes from brimlow@host.net today"] * 2 + ["born 1984, brimlow at brimlow@host.net"]
+    long_text = " ".join(f"w{chr(97 + k % 26)}{chr(97 + k // 26 % 26)} u{k}@x{k % 7}.com" for k in range(300))
+    texts += [long_text, long_text, None, "", "no value here, quaxilo"] + [f"common words write to here {k}" for k in range(30)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    got = by_id(pii.span_columns(pii.personal_spans(frame)), "spans")
+    for k, want in enumerate(disclosing_spans(texts)):
+        assert [s for s in got[k].split(",") if s.startswith("term")] == want, k
+    assert got[0].count("term:") == got[1].count("term:") == 1 and got[6].count("term:") >= 1
+    # A very long text, and rows that repeat an id: each keeps the spans of its own text.
+    rows = [(1, "al@mail.org " + "z " * 200_000 + "quaxil"), (1, "quaxil al@mail.org"), (1, "plain")] + [(9 + k, f"other {k}") for k in range(40)]
+    again = pii.span_columns(pii.personal_spans(spark.createDataFrame(rows, "doc_id long, text string"))).where("doc_id = 1").collect()
+    assert sorted(r.spans for r in again) == ["", "email:0:11,term:400012:400018", "email:7:18,term:0:6"]
+
+
 def test_resampling_prefers_target_text(spark):
     rows = [(k, ("good fine text here " if k % 2 else "bad awful junk words ") * 20) for k in range(200)]
     rows += [(300, None), (301, ""), (302, "good"), (302, "good")]
