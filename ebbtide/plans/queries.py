@@ -662,13 +662,15 @@ def rfe(i: Inputs) -> DataFrame:
 @query
 def model_leaderboard(i: Inputs) -> DataFrame:
     """Five models on the twelve sets of nine votes, by the training run of each segment."""
-    return _segments(lambda name: flagship.train_run(i.spark, i.tables.root, name)[0].board)
+    extracts = flagship.TrainingExtracts(i.spark, i.tables.root)
+    return _segments(lambda name: flagship.train_run(i.spark, extracts, name)[0].board)
 
 
 @query
 def tune(i: Inputs) -> DataFrame:
     """The grids of the best three of the comparison, by the training run of each segment."""
-    return _segments(lambda name: flagship.train_run(i.spark, i.tables.root, name)[0].tuned)
+    extracts = flagship.TrainingExtracts(i.spark, i.tables.root)
+    return _segments(lambda name: flagship.train_run(i.spark, extracts, name)[0].tuned)
 
 
 @query
