@@ -3,9 +3,11 @@
 import math
 import random
 import re
+from collections import Counter
 
 import duckdb
 import brute
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -175,6 +177,61 @@ def test_resampling_prefers_target_text(spark):
     assert resample.resample(frame.limit(0), resample.fit(frame, target), 5).count() == 0
 
 
+def plain_resample(rows, targets, k, hashed):
+    """(log weight, key) per row and the smallest key kept, from counted n-grams; ``hashed`` gives the noise of an id."""
+    named = {}
+
+    def bucket(gram):
+        if gram not in named:
+            named[gram] = int(next(resample.ngram_buckets(pa.array([" ".join(gram)])))[-1])
+        return named[gram]
+
+    grams = []
+    for _, text in rows:
+        w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate({c: c + 32 for c in range(65, 91)}))
+        grams.append([bucket((a,)) for a in w] + [bucket(pair) for pair in zip(w, w[1:])])
+    raw, target = Counter(g for own in grams for g in own), Counter(g for (d, _), own in zip(rows, grams) if d in targets for g in own)
+    share = sum(target.values()) / max(1, sum(raw.values()))
+    ratio = {g: math.log((target[g] + resample.PRIOR) / (n * share + resample.PRIOR)) for g, n in raw.items()}
+    out = []
+    for (d, _), own in zip(rows, grams):
+        weight = sum(ratio[g] for g in own)
+        noise = -math.log(-math.log((hashed[d] % 2**52 + 0.5) / 2**52))
+        out.append((len(own), weight, weight + noise if own else -math.inf))
+    return out, sorted((key for n, _, key in out if n), reverse=True)[:k]
+
+
+def test_resampling_equals_plain_counting(spark, docs):
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").where("doc_id IS NOT NULL").collect()]
+    # Null, wordless and very long texts, repeated rows, one id with two texts, equal texts of different ids.
+    rows += [(900_001, None), (900_002, " ..."), (900_003, "Long tale " * 60_000), (900_004, "same words"), (900_004, "same words"), (900_004, "other words"), (900_005, "same words")]
+    targets = {d for d, _ in rows if d % 3 == 0} | {900_004}
+    frame = spark.createDataFrame([(d, t, 0.5, True) for d, t in rows], "doc_id long, text string, key double, kept boolean").repartition(6)
+    wanted = spark.createDataFrame([(d,) for d in targets], "doc_id long")
+    seeded = F.xxhash64("doc_id", F.lit(resample.SEED))
+    hashed = {r[0]: r[1] for r in frame.select("doc_id", seeded).distinct().collect()}
+    for k in (1, len(rows) // 4, len(rows) + 5):
+        plain, best = plain_resample(rows, targets, k, hashed)
+        got = resample.resample(frame, resample.fit(frame, wanted), k).collect()
+        assert sorted((r.doc_id, r.n_grams) for r in got) == sorted((d, n) for (d, _), (n, _, _) in zip(rows, plain))
+        mine = sorted((r.doc_id, r.n_grams, r.log_weight, r.key) for r in got)
+        for have, want in zip(mine, sorted((d, *p) for (d, _), p in zip(rows, plain))):
+            assert have[:2] == want[:2] and have[2:] == pytest.approx(want[2:], rel=1e-6, abs=1e-6)
+        assert sorted((r.key for r in got if r.kept), reverse=True) == pytest.approx(best, rel=1e-6, abs=1e-6)
+        assert not any(r.kept for r in got if r.doc_id in (900_001, 900_002))
+
+
+def test_threshold_with_ties(spark):
+    values = [3.0] * 7 + [1.5] * 4 + [-2.0, 9.0, 1e-9, 0.0] + [2.0 + n / 1e12 for n in range(50)]
+    keys = spark.createDataFrame([(v,) for v in values], "key double").repartition(4)
+    ordered = sorted(values, reverse=True)
+    for k in (1, 2, 5, 8, 30, 58, 60, len(values), len(values) + 3):
+        cut, ties = resample.threshold(keys, k)
+        k = min(k, len(values))
+        assert cut == ordered[k - 1] and ties == k - sum(v > cut for v in values)
+    assert resample.threshold(keys, 0) is None and resample.threshold(keys.limit(0), 3) is None
+
+
 def test_empty_tables(spark, docs):
     none = docs.limit(0)
     bench = spark.createDataFrame([], "item_id long, text string")
