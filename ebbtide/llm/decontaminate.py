@@ -175,7 +175,11 @@ def drop_contaminated(
     docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
     item_text_col: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
-    """The rows of ``docs`` in which no window of an item occurs, in its own columns."""
+    """The rows of ``docs`` in which no window of an item occurs, in its own columns.
+
+    Null and wordless texts stay; rows are judged one by one, repeated ones alike. Items
+    without words have no window, so an empty benchmark leaves all rows.
+    """
     spark = docs.sparkSession
     small_batches(spark)
     blocks = item_blocks(benchmark.select(q(item_col), q(item_text_col)), item_col, item_text_col, block_words)

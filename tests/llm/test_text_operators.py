@@ -260,6 +260,18 @@ def test_query_equals_sql(spark, name):
     assert sorted((tuple(r[c] for c in sorted(names)) for r in got.collect()), key=str) == want
 
 
+def test_language_fit_takes_one_text_of_a_repeated_id(spark):
+    texts = [("en", f"the quick brown fox number {k} runs over the lazy dog") for k in range(40)] + [("fr", f"le chat noir {k} dort sur la chaise verte") for k in range(40)]
+    rows = [(k, t, l) for k, (l, t) in enumerate(texts)]
+    hot = [(None, f"zz hot text {k} of no id", "en") for k in range(300)] + [(7, f"zz more of seven {k}", "en") for k in range(300)]
+    frame = spark.createDataFrame(rows + hot, "doc_id long, text string, lang string").repartition(4)
+    once = spark.createDataFrame(rows + [min(hot[:300], key=lambda r: r[1])], "doc_id long, text string, lang string")
+    for sample in (50, 12):
+        got, want = language.fit(frame, sample=sample), language.fit(once, sample=sample)
+        assert got.languages == want.languages and got.idf.tolist() == want.idf.tolist(), sample
+        assert abs(got.centroids - want.centroids).max() < 1e-9, sample
+
+
 def test_language_rejects_what_it_has_not_learned(spark):
     real = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     unlearned = [r.text for r in real.where("lang = 'de'").collect() if len(r.text or "") >= 200]
