@@ -251,6 +251,42 @@ def test_local_paths_are_refused_on_a_cluster():
     assert folder(session("yarn", **{"spark.checkpoint.dir": "hdfs://n/x/"})) == "hdfs://n/x"
 
 
+def test_a_local_path_that_executors_share_is_staged_on_a_cluster(spark, tmp_path, monkeypatch):
+    """Under a cluster's master name a folder is tried: a shared one serves, one that cannot be written is refused."""
+    from ebbtide.functions import staging
+
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+    for folder in (f"file://{tmp_path}", str(tmp_path)):
+        assert staging.stage(spark.range(5), "tried", folder).count() == 5
+        assert not list(tmp_path.glob("ebbtide/trial-*"))
+        staging.release(spark, folder)
+    (tmp_path / "file").write_text("")
+    for wrong in (f"file://{tmp_path}/file/x", f"{tmp_path}/file/x"):
+        with pytest.raises(ValueError):
+            staging.stage(spark.range(5), "refused", wrong)
+
+
+def test_a_trial_that_lacks_rows_is_refused(spark, tmp_path, monkeypatch):
+    from ebbtide.functions import staging
+
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+    read = type(spark.read.schema("id long")).parquet
+    monkeypatch.setattr(type(spark.read), "parquet", lambda self, path: read(self, path).where("id > 0"))
+    with pytest.raises(ValueError):
+        staging.shared_folder(spark, str(tmp_path))
+
+
+def test_without_a_checkpoint_folder_executors_of_their_own_use_the_warehouse():
+    from types import SimpleNamespace
+
+    from ebbtide.functions.staging import shared_folder as folder
+
+    conf = {"spark.sql.warehouse.dir": "hdfs://n/tables/"}
+    for master in ("local-cluster[2,1,512]", "yarn"):
+        context = SimpleNamespace(master=master, getConf=lambda: SimpleNamespace(get=lambda k: conf.get(k)), applicationId="x")
+        assert folder(SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: conf.get(k, d)), sparkContext=context)) == "hdfs://n/tables"
+
+
 def test_ledger_scans_are_cut_by_both_dates(spark):
     from ebbtide.plans.inputs import Inputs
 
