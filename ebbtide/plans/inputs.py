@@ -113,12 +113,12 @@ class Inputs:
 
     @cached_property
     def profile(self) -> DataFrame:
-        activity = profile.account_activity(self.all_transactions, self.accounts, self.calendar, self.p)
+        # Open to later days than the run's: an account's last week may be one of them.
+        low = min(self.p.activity_days[0], wk.month_first_day_of(self.p.product_floor_month))
+        sold = profile.account_sales(logical.sales(self.tables, (low, dt.date.max)), self.accounts, self.calendar, self.p)
         attributes = profile.latest_attribute(logical.billing_terms(self.tables), logical.deals(self.tables))
         return profile.account_profile(
-            activity, self.accounts, logical.first_months(self.tables), attributes,
-            profile.product_information(self.revenue, self.p),
-            profile.last_payment(logical.payments(self.tables)), self.p,
+            sold, self.accounts, logical.first_months(self.tables), attributes, profile.last_payment(logical.payments(self.tables)), self.p
         )
 
     @cached_property

@@ -121,8 +121,8 @@ def activity(t: Tables, days: Days = None) -> DataFrame:
     )
 
 
-def transactions(t: Tables, days: Days = None, customers: DataFrame | None = None) -> DataFrame:
-    """Transactions of both platforms; each fills its own columns."""
+def _transaction_columns() -> list[str]:
+    """Columns of both platforms; each fills its own."""
     platform_a = {
         "billing_type": BILLING_TYPE,
         "card_bin": "CASE pmod(l_suppkey, 10) WHEN 0 THEN '556736' WHEN 1 THEN '555622' WHEN 2 THEN '556766' ELSE '540000' END",
@@ -143,13 +143,18 @@ def transactions(t: Tables, days: Days = None, customers: DataFrame | None = Non
         "cash_advance_rate": "CASE WHEN l_linenumber = 1 THEN 0.5D END",
         "handling_charge": "CASE WHEN l_linestatus = 'O' THEN 0.25D END",
     }
-    return _sales(t, days, customers).selectExpr(
+    return [
         "o_custkey AS customer_id", "CAST(o_orderdate AS DATE) AS trx_date", f"if({IS_A}, 'A', 'B') AS platform",
         *[f"CASE WHEN {IS_A} THEN {text} END AS {name}" for name, text in platform_a.items()],
         *[f"CASE WHEN NOT {IS_A} THEN {text} END AS {name}" for name, text in platform_b.items()],
         *[f"CAST(NULL AS DOUBLE) AS {name}" for name in NO_AMOUNTS],
         *[f"CAST(NULL AS INT) AS {name}" for name in NO_FLAGS],
-    )
+    ]
+
+
+def transactions(t: Tables, days: Days = None, customers: DataFrame | None = None) -> DataFrame:
+    """Transactions of both platforms; each fills its own columns."""
+    return _sales(t, days, customers).selectExpr(*_transaction_columns())
 
 
 def ledger(t: Tables, days: Days = None, customers: DataFrame | None = None) -> DataFrame:
@@ -208,13 +213,21 @@ def settlements(t: Tables, days: Days = None, customers: DataFrame | None = None
     )
 
 
-def monthly_revenue(t: Tables, days: Days = None) -> DataFrame:
-    return _sales(t, days).select(
-        F.col("o_custkey").alias("customer_id"),
+def _revenue_columns() -> list[Column]:
+    return [
         wk.month_key(F.col("o_orderdate").cast("date")).alias("yearmonth"),
         _lookup(F.col("p_type"), PRODUCT_OF_TYPE).alias("producttype"),
         F.col("l_extendedprice").alias("netspend"),
-    )
+    ]
+
+
+def monthly_revenue(t: Tables, days: Days = None) -> DataFrame:
+    return _sales(t, days).select(F.col("o_custkey").alias("customer_id"), *_revenue_columns())
+
+
+def sales(t: Tables, days: Days = None) -> DataFrame:
+    """Transactions, each with its monthly revenue, so that one join of the lines serves both."""
+    return _sales(t, days).select(*map(F.expr, _transaction_columns()), *_revenue_columns())
 
 
 def billing_terms(t: Tables) -> DataFrame:

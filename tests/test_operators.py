@@ -287,6 +287,15 @@ def test_without_a_checkpoint_folder_executors_of_their_own_use_the_warehouse():
         assert folder(SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: conf.get(k, d)), sparkContext=context)) == "hdfs://n/tables"
 
 
+def test_the_profile_joins_the_lines_of_sales_once(spark):
+    """Lines are read twice, once for sales and once for terms; volumes and products share the sales."""
+    from ebbtide.plans.inputs import Inputs
+
+    i = Inputs(spark, "/root/testdata/sf0.001")
+    plan = i.profile._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet [l_orderkey") == 2
+
+
 def test_ledger_scans_are_cut_by_both_dates(spark):
     from ebbtide.plans.inputs import Inputs
 
