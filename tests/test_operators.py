@@ -296,6 +296,15 @@ def test_the_profile_joins_the_lines_of_sales_once(spark):
     assert plan.count("FileScan parquet [l_orderkey") == 2
 
 
+@pytest.mark.parametrize("given, kept", [("64MB", 16 * 2**20), ("67108864b", 16 * 2**20), ("1g", 16 * 2**20), ("8m", 8 * 2**20), ("512k", 2**19), ("8388608", 8 * 2**20)])
+def test_merged_partitions_stay_small_enough_to_be_sorted(spark, given, kept):
+    from ebbtide.session import MERGED, configure
+
+    session = spark.newSession()
+    session.conf.set(MERGED, given)
+    assert configure(session).conf.get(MERGED) == str(kept)
+
+
 def test_ledger_scans_are_cut_by_both_dates(spark):
     from ebbtide.plans.inputs import Inputs
 
