@@ -7,7 +7,8 @@ the one that the highest power of two divides, and a dictionary keeps the nodes
 handle. A conversation finds the node where it leaves the trie by a fat binary
 search: it looks up the two-fattest depth of the depths left, goes below the node
 that it finds or above the depth where it finds none. So a search takes as many
-lookups as its length has bits, whatever the trie's size.
+steps as its length has bits, whatever the trie's size. As a lookup is a shuffle, it
+asks at once for all depths that the next steps can come to, the fattest ones left.
 
 Conversations go in by batches. All that are pending search together; edges are split
 where some leave them, and of those that go on from one place with the same turn one
@@ -37,9 +38,12 @@ BLOCK_TURNS = 4096
 # Depths of an edge that one row expands to at once, and ids in one chunk of members.
 EDGE_DEPTHS = 4096
 CHUNK_IDS = 16_384
+# Steps of a fat binary search in one lookup, which asks for two to this power depths.
+STEPS = 6
 
 _EARLIER = (Window.unboundedPreceding, -1)
-NODE = ["p", "pa", "pb", "e", "ea", "eb", "s"]
+NODE = ["p", "pa", "pb", "e", "ea", "eb", "ca", "cb", "s"]
+EDGE = ["e", "ea", "eb", "p", "pa", "pb", "ca", "cb", "r"]
 
 
 def numbered_turns(rows: DataFrame) -> DataFrame:
@@ -75,21 +79,32 @@ def rebuilt(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def prefixes(turns: DataFrame) -> DataFrame:
-    """(s, d, a, b, bytes, upto): names of the first d turns, and the bytes in them; sums run in blocks of turns."""
+    """(s, d, a, b, bytes, upto, na, nb): names of the first d turns, the bytes in them, and the names with the next turn.
+
+    Sums run in blocks of turns. A last turn has no next name.
+    """
     block = F.floor((F.col("d") - 1) / BLOCK_TURNS)
     cut = stage(turns.withColumn("block", block), "blocks")
     sums = lambda window: [F.bit_xor("a").over(window), F.bit_xor("b").over(window), F.sum("bytes").over(window)]
     inside = Window.partitionBy("s", "block").orderBy("d").rowsBetween(Window.unboundedPreceding, 0)
-    totals = cut.groupBy("s", "block").agg(F.bit_xor("a").alias("a"), F.bit_xor("b").alias("b"), F.sum("bytes").alias("bytes"))
-    before = Window.partitionBy("s").orderBy("block").rowsBetween(*_EARLIER)
-    offsets = totals.select("s", "block", *[c.alias(n) for c, n in zip(sums(before), ("a0", "b0", "u0"))]).where("block > 0")
-    run = cut.select("s", "d", "block", "bytes", *[c.alias(n) for c, n in zip(sums(inside), ("a1", "b1", "u1"))])
+    totals = cut.groupBy("s", "block").agg(
+        F.bit_xor("a").alias("a"), F.bit_xor("b").alias("b"), F.sum("bytes").alias("bytes"), F.min_by("a", "d").alias("fa"), F.min_by("b", "d").alias("fb")
+    )
+    blocks = Window.partitionBy("s").orderBy("block")
+    following = [F.lead(c).over(blocks).alias(n) for c, n in (("fa", "a3"), ("fb", "b3"))]
+    offsets = totals.select("s", "block", *[c.alias(n) for c, n in zip(sums(blocks.rowsBetween(*_EARLIER)), ("a0", "b0", "u0"))], *following)
+    offsets = offsets.where("block > 0 OR a3 IS NOT NULL")
+    along = Window.partitionBy("s", "block").orderBy("d")
+    run = cut.select(
+        "s", "d", "block", "bytes", *[c.alias(n) for c, n in zip(sums(inside), ("a1", "b1", "u1"))], *[F.lead(c).over(along).alias(n) for c, n in (("a", "a2"), ("b", "b2"))]
+    )
     joined = run.join(offsets, ["s", "block"], "left")
     zero = F.lit(0).cast("long")
-    return joined.select(
+    named = joined.select(
         "s", "d", F.col("a1").bitwiseXOR(F.coalesce("a0", zero)).alias("a"), F.col("b1").bitwiseXOR(F.coalesce("b0", zero)).alias("b"),
-        "bytes", (F.col("u1") + F.coalesce("u0", zero)).alias("upto"),
+        "bytes", (F.col("u1") + F.coalesce("u0", zero)).alias("upto"), F.coalesce("a2", "a3").alias("a2"), F.coalesce("b2", "b3").alias("b2"),
     )
+    return named.withColumn("na", F.col("a").bitwiseXOR(F.col("a2"))).withColumn("nb", F.col("b").bitwiseXOR(F.col("b2"))).drop("a2", "b2")
 
 
 def two_fattest(low: Column, high: Column) -> Column:
@@ -104,92 +119,107 @@ def _names(prefix: DataFrame, key: str, depth: str, a: str, b: str) -> DataFrame
 
 
 def _with_handles(nodes: DataFrame, prefix: DataFrame) -> DataFrame:
-    """Adds the handle (f, fa, fb) and the first prefix of the edge (c, ca, cb)."""
+    """Adds the handle (f, fa, fb) and the depth c of the first prefix of the edge."""
     placed = nodes.withColumn("f", two_fattest(F.col("p"), F.col("e"))).withColumn("c", F.col("p") + 1)
-    return placed.join(_names(prefix, "s", "f", "fa", "fb"), ["s", "f"]).join(_names(prefix, "s", "c", "ca", "cb"), ["s", "c"])
+    return placed.join(_names(prefix, "s", "f", "fa", "fb"), ["s", "f"])
 
 
-def _exits(pending: DataFrame, nodes: DataFrame, prefix: DataFrame, lookups: int) -> DataFrame:
-    """Where each pending conversation leaves the trie: its depth x, and the edge there if it leaves inside or at the end of one.
+def _edge() -> Column:
+    return F.struct(*[F.col("s" if x == "r" else x).alias(x) for x in EDGE])
 
-    ``pending`` has (s, n, at), ``at`` being the depth of a node that it is known to pass.
+
+def _last_found(pending: DataFrame, nodes: DataFrame, prefix: DataFrame, rounds: int) -> DataFrame:
+    """Adds ``edge``, that of the last node a fat binary search finds by its handle; null if it finds none.
+
+    The search is open in the depths (low, high]. A round asks for the multiples of ``unit`` among them, 64 or so: its
+    next steps look up no others until less than ``unit`` depths are left. These steps end at the deepest node found, and
+    below the next multiple.
     """
-    # Rows that have ended their search look up a name of their own that no node has, so they do not meet in one task.
-    active = F.col("low") < F.col("high")
-    found = nodes.select("f", "fa", "fb", F.col("e").alias("g"), F.col("ea").alias("ga"), F.col("eb").alias("gb"), F.col("p").alias("gp"), F.col("s").alias("gs"))
-    state = pending.select(
-        "s", "n", "at", F.col("at").alias("low"), F.col("n").alias("high"),
-        *[F.lit(None).cast("long").alias(c) for c in ("e", "ea", "eb", "p", "r")],
-    )
-    for _ in range(lookups):
-        state = state.withColumn("f", F.when(active, two_fattest(F.col("low"), F.col("high"))).otherwise(F.lit(-1).cast("long")))
-        state = state.join(_names(prefix, "s", "f", "fa", "fb"), ["s", "f"], "left").withColumn("fa", F.coalesce("fa", "s"))
-        state = state.withColumn("fb", F.coalesce("fb", "s")).join(found, ["f", "fa", "fb"], "left")
-        hit = F.col("g").isNotNull()
-        state = state.select(
-            "s", "n", "at", F.when(hit, F.col("g")).otherwise(F.col("low")).alias("low"),
-            F.when(active & ~hit, F.col("f") - 1).otherwise(F.col("high")).alias("high"),
-            *[F.when(hit, F.col(new)).otherwise(F.col(old)).alias(old) for old, new in (("e", "g"), ("ea", "ga"), ("eb", "gb"), ("p", "gp"), ("r", "gs"))],
+    found = nodes.select("f", "fa", "fb", _edge().alias("hit"))
+    own = F.struct(*pending.columns)
+    state = pending.select("s", own.alias("own"), F.col("at").alias("low"), F.col("n").alias("high"), F.lit(None).cast(found.schema["hit"].dataType).alias("edge"))
+    for _ in range(rounds):
+        bits = F.length(F.bin(F.greatest(F.col("high") - F.col("low"), F.lit(1))))
+        state = state.withColumn("unit", F.pow(F.lit(2.0), F.greatest(bits - STEPS, F.lit(0))).cast("long"))
+        after = lambda depth: depth - F.pmod(depth, F.col("unit")) + F.col("unit")
+        depths = F.when(after(F.col("low")) <= F.col("high"), F.sequence(after(F.col("low")), F.col("high"), F.col("unit")))
+        asked = state.withColumn("f", F.explode_outer(depths)).join(_names(prefix, "s", "f", "fa", "fb"), ["s", "f"], "left")
+        # Rows that have ended their search look up a name of their own that no node has, so they do not meet in one task.
+        asked = asked.withColumn("f", F.coalesce("f", F.lit(-1).cast("long"))).withColumn("fa", F.coalesce("fa", "s")).withColumn("fb", F.coalesce("fb", "s"))
+        answers = asked.join(found, ["f", "fa", "fb"], "left").groupBy("s").agg(
+            *[F.first(x).alias(x) for x in ("own", "low", "high", "unit", "edge")], F.max_by("hit", F.when(F.col("hit").isNotNull(), F.col("f"))).alias("hit")
         )
+        answers = answers.withColumn("low", F.coalesce("hit.e", "low"))
+        state = answers.select("s", "own", "low", F.least(F.col("high"), after(F.col("low")) - 1).alias("high"), F.coalesce("hit", "edge").alias("edge"))
+    return state.select("own.*", "edge")
+
+
+def _exits(pending: DataFrame, nodes: DataFrame, prefix: DataFrame, rounds: int) -> DataFrame:
+    """Where each pending conversation leaves the trie: its depth x, and the edge there if it leaves inside or at the end of one.
+
+    ``pending`` has (s, n, a, b, at, xa, xb, na, nb): a conversation, its name, the depth of a node that it is known to
+    pass, its names there and a turn further. The result has the same names for x in place of ``at``, the edge, and the
+    names (ra, rb) a turn further on the edge.
+    """
+    state = _last_found(pending, nodes, prefix, rounds).withColumn("e", F.col("edge.e"))
+    end = prefix.select("s", F.col("d").alias("e"), *[F.col(x).alias(f"e_{x}") for x in ("a", "b", "na", "nb")])
+    state = state.join(end, ["s", "e"], "left")
     # The last node found is passed whole, or the conversation leaves inside its edge.
-    end = _names(prefix, "s", "e", "xa", "xb")
-    state = state.join(end, ["s", "e"], "left").withColumn("whole", F.coalesce((F.col("xa") == F.col("ea")) & (F.col("xb") == F.col("eb")), F.lit(False)))
-    state = state.withColumn("passed", F.when(F.col("whole"), F.col("e")).when(F.col("e").isNull(), F.col("at")))
-    state = state.withColumn("c", F.coalesce(F.col("passed") + 1, F.lit(-1))).join(_names(prefix, "s", "c", "ca", "cb"), ["s", "c"], "left")
-    state = state.withColumn("ca", F.coalesce("ca", "s")).withColumn("cb", F.coalesce("cb", "s"))
-    below = nodes.select("c", "ca", "cb", *[F.col(c).alias(f"n{c}") for c in ("e", "ea", "eb", "p", "s")])
-    state = state.join(below, ["c", "ca", "cb"], "left")
-    inside = F.col("passed").isNull()
-    edge = lambda old, new: F.when(inside, F.col(old)).otherwise(F.col(new))
-    state = state.select(
-        "s", "n", "passed", edge("e", "ne").alias("e"), edge("ea", "nea").alias("ea"), edge("eb", "neb").alias("eb"),
-        edge("p", "np").alias("p"), edge("r", "ns").alias("r"),
-    )
-    state = stage(state, "exits")
+    whole = F.coalesce((F.col("e_a") == F.col("edge.ea")) & (F.col("e_b") == F.col("edge.eb")), F.lit(False))
+    inside = F.col("e").isNotNull() & ~whole
+    at_end = lambda new, old: F.when(whole, F.col(new)).otherwise(F.col(old)).alias(old)
+    state = state.select("s", "n", "a", "b", "edge", inside.alias("inside"), *[at_end(*x) for x in (("e", "at"), ("e_a", "xa"), ("e_b", "xb"), ("e_na", "na"), ("e_nb", "nb"))])
+    outside = lambda name, own: F.when(F.col("inside"), own).otherwise(F.coalesce(name, own))
+    state = state.withColumn("c", outside(F.col("at") + 1, F.lit(-1))).withColumn("ca", outside(F.col("na"), F.col("s"))).withColumn("cb", outside(F.col("nb"), F.col("s")))
+    state = state.join(nodes.select("c", "ca", "cb", _edge().alias("below")), ["c", "ca", "cb"], "left")
+    state = state.withColumn("edge", F.when(F.col("inside"), F.col("edge")).otherwise(F.col("below")))
+    state = stage(state.select("s", "n", "a", "b", "at", "xa", "xb", "na", "nb", "edge.*"), "exits")
     # How far the edge is followed: the deepest depth at which both have one name.
-    walked = state.where("r IS NOT NULL").select("s", "r", F.col("p").alias("from"), F.least("e", "n").alias("to")).join(prefix.select("s", "d", "a", "b"), "s")
-    walked = walked.where(F.col("d").between(F.col("from") + 1, F.col("to")))
-    same = walked.join(_names(prefix, "r", "d", "a", "b"), ["r", "d", "a", "b"]).groupBy("s").agg(F.max("d").alias("x"))
-    return state.join(same, "s", "left").withColumn("x", F.coalesce("x", "passed"))
+    walked = state.where("r IS NOT NULL").select("s", "r", F.col("p").alias("from"), F.least("e", "n").alias("to"))
+    walked = walked.join(prefix.select("s", "d", "a", "b", "na", "nb"), "s").where(F.col("d").between(F.col("from") + 1, F.col("to")))
+    along = prefix.select(F.col("s").alias("r"), "d", "a", "b", F.col("na").alias("ra"), F.col("nb").alias("rb"))
+    same = walked.join(along, ["r", "d", "a", "b"]).groupBy("s").agg(F.max(F.struct("d", "a", "b", "na", "nb", "ra", "rb")).alias("w"))
+    reached = lambda new, old: F.when(F.col("w").isNotNull(), F.col(f"w.{new}")).otherwise(F.col(old))
+    return stage(
+        state.join(same, "s", "left").select(
+            "s", "n", "a", "b", *[reached(*x).alias(y) for *x, y in (("d", "at", "x"), ("a", "xa", "xa"), ("b", "xb", "xb"), ("na", "na", "na"), ("nb", "nb", "nb"))],
+            *EDGE, "w.ra", "w.rb",
+        ), "places",
+    )
 
 
-def _insert(exits: DataFrame, nodes: DataFrame, prefix: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _insert(here: DataFrame, nodes: DataFrame, prefix: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The trie with one batch in it, and what is still pending."""
-    here = exits.join(_names(prefix, "s", "x", "xa", "xb"), ["s", "x"], "left")
-    zero = F.lit(0).cast("long")
-    here = here.withColumn("xa", F.coalesce("xa", zero)).withColumn("xb", F.coalesce("xb", zero)).withColumn("next", F.col("x") + 1)
-    here = stage(here.join(_names(prefix, "s", "next", "na", "nb"), ["s", "next"], "left"), "places")
-    splits = here.where("r IS NOT NULL AND x < e").groupBy("p", "e", "ea", "eb", "r", "x").agg(F.max("xa").alias("xa"), F.max("xb").alias("xb"))
-    split = splits.select("e", "ea", "eb").distinct()
-    old = nodes.join(split, ["e", "ea", "eb"], "left_semi")
-    ends = old.select("e", "ea", "eb", "p", "pa", "pb", "s", F.col("e").alias("x"), F.col("ea").alias("xa"), F.col("eb").alias("xb")).unionByName(
-        splits.join(old.select("e", "ea", "eb", "pa", "pb"), ["e", "ea", "eb"]).withColumnRenamed("r", "s")
-    )
+    leaving = here.where("r IS NOT NULL AND x < e")
+    split = leaving.select("e", "ea", "eb").distinct()
+    splits = leaving.groupBy("e", "ea", "eb", "x").agg(*[F.max(x).alias(x) for x in ("p", "pa", "pb", "ca", "cb", "r", "xa", "xb", "ra", "rb")])
     along = Window.partitionBy("e", "ea", "eb").orderBy("x")
     piece = lambda last, start: F.coalesce(F.lag(last).over(along), F.col(start))
-    pieces = ends.select(
-        piece("x", "p").alias("p"), piece("xa", "pa").alias("pa"), piece("xb", "pb").alias("pb"),
-        F.col("x").alias("e"), F.col("xa").alias("ea"), F.col("xb").alias("eb"), "s",
+    of = lambda *columns: F.struct(*[F.col(c).alias(n) for c, n in zip(columns, NODE)])
+    cuts = splits.select(
+        "*", F.lead("x").over(along).isNull().alias("last"),
+        *[piece(last, start).alias(f"{start}0") for last, start in (("x", "p"), ("xa", "pa"), ("xb", "pb"), ("ra", "ca"), ("rb", "cb"))],
     )
+    above, rest = of("p0", "pa0", "pb0", "x", "xa", "xb", "ca0", "cb0", "r"), of("x", "xa", "xb", "e", "ea", "eb", "ra", "rb", "r")
+    pieces = cuts.select(F.explode(F.when(F.col("last"), F.array(above, rest)).otherwise(F.array(above))).alias("piece")).select("piece.*")
     going = here.where("x < n")
-    picked = going.groupBy("x", "xa", "xb", "na", "nb").agg(F.min_by("s", F.struct(F.xxhash64("s"), "s")).alias("s"), F.min_by("n", F.struct(F.xxhash64("s"), "s")).alias("n"))
-    leaves = picked.select(F.col("x").alias("p"), F.col("xa").alias("pa"), F.col("xb").alias("pb"), F.col("n").alias("e"), "s")
-    leaves = leaves.join(_names(prefix, "s", "e", "ea", "eb"), ["s", "e"])
-    added = stage(_with_handles(pieces.select(*NODE).unionByName(leaves.select(*NODE)), prefix), "added")
+    picked = going.groupBy("x", "xa", "xb", "na", "nb").agg(F.min_by(F.struct("s", "n", "a", "b"), F.struct(F.xxhash64("s"), "s")).alias("leaf"))
+    leaves = picked.select(of("x", "xa", "xb", "leaf.n", "leaf.a", "leaf.b", "na", "nb", "leaf.s").alias("leaf")).select("leaf.*")
+    added = _with_handles(pieces.unionByName(leaves), prefix)
     grown = stage(nodes.join(split, ["e", "ea", "eb"], "left_anti").unionByName(added), "nodes")
-    pending = stage(going.join(picked.select("s"), "s", "left_anti").select("s", "n", F.col("x").alias("at")), "pending")
-    return grown, pending
+    pending = going.join(picked.select("leaf.s"), "s", "left_anti")
+    return grown, stage(pending.select("s", "n", "a", "b", F.col("x").alias("at"), "xa", "xb", "na", "nb"), "pending")
 
 
 def compacted(sequences: DataFrame, prefix: DataFrame) -> DataFrame:
-    """The compacted nodes below the root: NODE columns, handles and first prefixes."""
-    pending = sequences.where("n > 0").select("s", "n", F.lit(0).cast("long").alias("at"))
+    """The compacted nodes below the root: NODE columns, handles and depths of first prefixes."""
     zero = F.lit(0).cast("long")
-    first = pending.select("s", "n", F.col("at").alias("passed"), *[F.lit(None).cast("long").alias(c) for c in ("e", "ea", "eb", "p", "r")], F.col("at").alias("x"))
-    none = sequences.limit(0).select(*[zero.alias(c) for c in [*NODE, "c", "f", "fa", "fb", "ca", "cb"]])
-    nodes, pending = _insert(first, none, prefix)
-    while (longest := pending.agg(F.max("n")).first()[0]) is not None:
-        nodes, pending = _insert(_exits(pending, nodes, prefix, int(longest).bit_length()), nodes, prefix)
+    start = sequences.where("n > 0").select("s", "n", "a", "b").join(prefix.where("d = 1").select("s", F.col("a").alias("na"), F.col("b").alias("nb")), "s")
+    none = sequences.limit(0).select(*[zero.alias(c) for c in [*NODE, "c", "f", "fa", "fb"]])
+    first = start.select("s", "n", "a", "b", *[zero.alias(c) for c in ("x", "xa", "xb")], "na", "nb", *[F.lit(None).cast("long").alias(c) for c in (*EDGE, "ra", "rb")])
+    nodes, pending = _insert(stage(first, "places"), none, prefix)
+    while (longest := pending.agg(F.max(F.col("n") - F.col("at"))).first()[0]) is not None:
+        nodes, pending = _insert(_exits(pending, nodes, prefix, -(-int(longest).bit_length() // STEPS)), nodes, prefix)
     return nodes
 
 
