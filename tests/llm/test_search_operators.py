@@ -216,6 +216,18 @@ def test_prefix_trie(spark, chats, monkeypatch, small):
     assert trie(turn_frame(spark, chats)) == plain_trie(chats)
 
 
+@pytest.mark.parametrize("steps", [6, 2])
+def test_prefix_trie_asks_for_many_steps_at_once(spark, monkeypatch, steps):
+    asked, exits = [], turn_trie._exits
+    monkeypatch.setattr(turn_trie, "_exits", lambda pending, nodes, prefix, rounds: asked.append(rounds) or exits(pending, nodes, prefix, rounds))
+    if steps < 6:
+        monkeypatch.setattr(turn_trie, "STEPS", steps)
+    long = [(400, k, "user", f"t{k}") for k in range(60)]
+    rows = long + [(405, k, r, x if k < 41 else x + "!") for _, k, r, x in long] + [(410, k, r, x) for _, k, r, x in long[:20]]
+    assert trie(turn_frame(spark, rows)) == plain_trie(rows)
+    assert max(asked) == 6 // steps  # a search of up to 63 turns has six steps
+
+
 def test_prefix_trie_of_little(spark):
     assert trie(turn_frame(spark, []).limit(0)) == []
     lost = [(None, 0, "user", "x")]
