@@ -266,6 +266,31 @@ def test_a_local_path_that_executors_share_is_staged_on_a_cluster(spark, tmp_pat
             staging.stage(spark.range(5), "refused", wrong)
 
 
+def test_a_query_that_stages_runs_on_a_cluster(spark, tmp_path, monkeypatch):
+    """Under a cluster's master name, with a plain path as checkpoint folder: a registered query, and a stage in buckets."""
+    import datetime as dt
+
+    from ebbtide.functions import staging
+    from ebbtide.plans.queries import QUERIES
+
+    orders = [(10 * c + w, c, "O", 1.0, dt.datetime(2024, 1, 1) + dt.timedelta(weeks=w), ("1-URGENT", "5-LOW")[w % 2]) for c in range(4) for w in range(8)]
+    tables = {
+        "customer": spark.createDataFrame([(c, 1, 4000.0, "FURNITURE") for c in range(4)], "c_custkey long, c_nationkey int, c_acctbal double, c_mktsegment string"),
+        "orders": spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string"),
+        "lineitem": spark.createDataFrame([(o[0], 1) for o in orders], "l_orderkey long, l_suppkey long"),
+    }
+    for name, rows in tables.items():
+        rows.coalesce(1).write.parquet(f"{tmp_path}/data/{name}.parquet")
+    folder = f"{tmp_path}/shared"
+    monkeypatch.setattr(staging, "_setting", lambda _, key: folder if key == staging.CHECKPOINT_DIR else None)
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+    found = QUERIES["active_accounts"](spark, f"{tmp_path}/data")
+    assert {r.customer_id for r in found.collect()} == {0, 1, 2, 3}
+    assert staging.stage_bucketed(spark.range(50), "numbers", "id").count() == 50
+    assert all(f.startswith(f"file://{folder}/ebbtide/") for f in found.inputFiles())
+    staging.release(spark)
+
+
 def test_a_trial_that_lacks_rows_is_refused(spark, tmp_path, monkeypatch):
     from ebbtide.functions import staging
 
